@@ -252,3 +252,103 @@ def with_views(body: str, *views: tuple[str, str]) -> str:
     allv = base + list(views)
     ctes = ",\n".join(f"{n} AS (\n{s}\n)" for n, s in allv)
     return f"WITH {ctes}\n{body}"
+
+
+# --------------------------------------------------------------------------
+# Feature pipeline (raw TF-IDF text block)
+# --------------------------------------------------------------------------
+
+NUMERIC = [("sales_price", True), ("list_price", True), ("rating", False),
+           ("discount_percentage", False), ("weight_grams", True), ("sales_rank", True)]
+BLOCK_NAMES = ["category", "text", "numeric", "brand", "colour"]
+
+
+def _log(x: str, use_log: bool) -> str:
+    return f"(CASE WHEN {x} IS NOT NULL THEN ln(1.0::DOUBLE + greatest({x}, 0.0::DOUBLE)) END)" \
+        if use_log else f"CAST({x} AS DOUBLE)"
+
+
+def feature_views(weights: dict, top_brands: int = 300, top_colours: int = 60,
+                  min_df: int = 3, max_features: int = 4096) -> list[tuple[str, str]]:
+    total = sum(weights.get(b, 0.0) for b in BLOCK_NAMES)
+    w = {b: float(weights.get(b, 0.0)) / total for b in BLOCK_NAMES}
+    xs = ", ".join(f"{_log(n, lg)} AS x{i}" for i, (n, lg) in enumerate(NUMERIC))
+    logged = f"SELECT product_id, {xs}, is_prime, is_best_seller FROM products"
+    meds = ", ".join(f"coalesce(median(x{i}), 0.0::DOUBLE) AS med{i}" for i in range(6))
+    mom = ", ".join(f"avg(coalesce(x{i}, med{i})) AS mean{i}, "
+                    f"CASE WHEN stddev_pop(coalesce(x{i}, med{i})) > 1e-12 THEN "
+                    f"stddev_pop(coalesce(x{i}, med{i})) ELSE 1.0::DOUBLE END AS sc{i}"
+                    for i in range(6))
+    nstats = f"SELECT * FROM (SELECT {meds} FROM logged) m, LATERAL (SELECT {mom} FROM logged) s"
+    comps = ([f"(coalesce(x{i}, med{i}) - mean{i}) / sc{i}" for i in range(6)]
+             + [f"CAST(x{i} IS NULL AS DOUBLE)" for i in range(6)]
+             + ["coalesce(is_prime, 0.0::DOUBLE)", "coalesce(is_best_seller, 0.0::DOUBLE)"])
+    allmiss = " AND ".join(f"x{i} IS NULL" for i in range(6))
+    numraw = (f"SELECT product_id, [{', '.join(comps)}] AS v, NOT ({allmiss}) AS has_numeric "
+              f"FROM logged, nstats")
+    numv = ("SELECT product_id, has_numeric, CASE WHEN nrm = 0 THEN v ELSE "
+            "list_transform(v, lambda e: e / nrm) END AS num_vec FROM "
+            "(SELECT *, sqrt(list_sum(list_transform(v, lambda e: e * e))) AS nrm FROM numraw) t")
+    brands = (f"SELECT brand, count(*) AS n FROM products WHERE brand IS NOT NULL AND brand <> '' "
+              f"GROUP BY brand ORDER BY n DESC, brand ASC LIMIT {top_brands}")
+    colours = (f"SELECT token, count(*) AS n FROM (SELECT unnest(colour_tokens) AS token FROM products) u "
+               f"GROUP BY token ORDER BY n DESC, token ASC LIMIT {top_colours}")
+    tf = (f"SELECT product_id, term, count(*) AS tf FROM (SELECT product_id, unnest({ngrams_of('t')}) AS term "
+          f"FROM (SELECT product_id, {tokens('text')} AS t FROM products) a) b GROUP BY product_id, term")
+    vocab = (f"SELECT term, df, cf, ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0::DOUBLE AS idf FROM "
+             f"(SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term HAVING count(*) >= {min_df} "
+             f"ORDER BY cf DESC, term ASC LIMIT {max_features}) v, (SELECT count(*) AS n FROM products) c")
+    tfidf = ("SELECT product_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY product_id)) AS w FROM "
+             "(SELECT tf.product_id, tf.term, (1.0::DOUBLE + ln(tf.tf)) * vocab.idf AS raw "
+             "FROM tf JOIN vocab USING (term)) r")
+    cat = ("list_filter(['browsenode=' || browsenode, 'child_category=' || child_category, "
+           "'parent_category=' || parent_category], lambda t: t IS NOT NULL)")
+    base = f"""SELECT p.product_id, p.product_name, p.brand, p.child_category, p.sales_price, p.rating,
+  p.image_url, {cat} AS cat_tokens, n.num_vec, n.has_numeric,
+  CASE WHEN p.brand IN (SELECT brand FROM brands) THEN p.brand END AS brand_top,
+  list_sort(list_distinct(list_filter(p.colour_tokens, lambda t: list_contains(cv.cv, t))))
+    AS colour_top,
+  coalesce((SELECT count(*) FROM tfidf WHERE tfidf.product_id = p.product_id), 0) > 0 AS has_text
+FROM products p JOIN numv n USING (product_id),
+  (SELECT coalesce(list(token), []::VARCHAR[]) AS cv FROM colours) cv"""
+    has = (f"SELECT *, len(cat_tokens) > 0 AS has_category, brand_top IS NOT NULL AS has_brand, "
+           f"len(colour_top) > 0 AS has_colour FROM base")
+    avail = " + ".join(f"CAST(has_{b} AS DOUBLE) * {w[b]!r}" for b in BLOCK_NAMES)
+    effs = ", ".join(f"CASE WHEN avail > 0 THEN CAST(has_{b} AS DOUBLE) * {w[b]!r} / avail "
+                     f"ELSE 0.0::DOUBLE END AS eff_{b}" for b in BLOCK_NAMES)
+    feats = f"SELECT *, {effs} FROM (SELECT *, {avail} AS avail FROM has) h"
+    return [("logged", logged), ("nstats", nstats), ("numraw", numraw), ("numv", numv),
+            ("brands", brands), ("colours", colours), ("tf", tf), ("vocab", vocab),
+            ("tfidf", tfidf), ("base", base), ("has", has), ("feats", feats)]
+
+
+def pair_score_sql(a: str = "a", b: str = "b") -> str:
+    """Closed-form score of two rows of ``feats`` (text cosine from column ``tc``)."""
+    def cos_set(col):
+        return (f"(CASE WHEN len({a}.{col}) = 0 OR len({b}.{col}) = 0 THEN 0.0::DOUBLE ELSE "
+                f"len(list_intersect({a}.{col}, {b}.{col})) / sqrt(len({a}.{col}) * len({b}.{col})) END)")
+    return (f"(sqrt({a}.eff_category * {b}.eff_category) * {cos_set('cat_tokens')}"
+            f" + sqrt({a}.eff_text * {b}.eff_text) * coalesce(tc, 0.0::DOUBLE)"
+            f" + sqrt({a}.eff_numeric * {b}.eff_numeric) * list_inner_product({a}.num_vec, {b}.num_vec)"
+            f" + sqrt({a}.eff_brand * {b}.eff_brand) * (CASE WHEN {a}.brand_top = {b}.brand_top"
+            f" THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+            f" + sqrt({a}.eff_colour * {b}.eff_colour) * {cos_set('colour_top')})")
+
+
+def topk_sql(queries_sql: str, k: int, weights: dict, **fv) -> str:
+    """Top-k by the closed-form score for the ids returned by ``queries_sql``."""
+    body = f"""SELECT query_id, CAST(rank AS BIGINT) AS rank, product_id, score, product_name, brand,
+  child_category, sales_price, rating, image_url FROM (
+  SELECT a.product_id AS query_id, b.product_id, round({pair_score_sql()}, 6) AS score,
+    b.product_name, b.brand, b.child_category, b.sales_price, b.rating, b.image_url,
+    row_number() OVER (PARTITION BY a.product_id ORDER BY round({pair_score_sql()}, 6) DESC,
+      coalesce(b.rating, -1.0::DOUBLE) DESC, coalesce(b.sales_price, 'inf'::DOUBLE) ASC,
+      b.product_id ASC) AS rank
+  FROM (SELECT * FROM feats WHERE product_id IN ({queries_sql})) a
+  JOIN feats b ON a.product_id <> b.product_id
+  LEFT JOIN (SELECT x.product_id AS qa, y.product_id AS qb, sum(x.w * y.w) AS tc
+             FROM tfidf x JOIN tfidf y ON x.term = y.term
+             WHERE x.product_id IN ({queries_sql}) GROUP BY 1, 2) t
+    ON t.qa = a.product_id AND t.qb = b.product_id) r
+WHERE rank <= {k}"""
+    return with_views(body, *feature_views(weights, **fv))

@@ -1 +1,47 @@
 """Projection, filter and dedup queries on the catalogue."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from simcat.operators import normalise as N
+from simcat.plans import oracle as O
+from simcat.plans.registry import register
+from simcat.sources import catalog_raw
+
+_CANON = list(N.COLUMN_MAP.items())
+
+
+@register("project_canonical", lambda: O.with_views(
+    "SELECT src_seq, " + ", ".join(f"{s} AS {d}" for s, d in _CANON) + " FROM catalog_raw"))
+def q_project_canonical(spark, sf_dir):
+    return N.project_canonical(catalog_raw(spark, sf_dir))
+
+
+@register("filter_valid_id", lambda: O.with_views(
+    "SELECT product_id, src_seq FROM (" + O.cleaned_sql() + ") c "
+    "WHERE product_id IS NOT NULL AND product_id <> ''"))
+def q_filter_valid_id(spark, sf_dir):
+    c = N.clean_columns(N.project_canonical(catalog_raw(spark, sf_dir)))
+    return N.filter_valid_id(c).select("product_id", "src_seq")
+
+
+@register("dedup_first", lambda: O.with_views(
+    "SELECT product_id, src_seq, product_name FROM products"))
+def q_dedup_first(spark, sf_dir):
+    return N.normalise(catalog_raw(spark, sf_dir)).select("product_id", "src_seq", "product_name")
+
+
+_NUM = ["sales_price", "rating", "discount_percentage", "weight_grams", "sales_rank", "list_price",
+        "is_prime", "is_best_seller"]
+_STR = ["product_id", "product_name", "brand", "browsenode", "child_category", "parent_category",
+        "text", "image_url"]
+
+
+@register("normalise", lambda: O.with_views(
+    "SELECT " + ", ".join(_STR) + ", " + ", ".join(f"round({c}, 6) AS {c}" for c in _NUM)
+    + ", array_to_string(colour_tokens, '|') AS colour_tokens, src_seq FROM products"))
+def q_normalise(spark, sf_dir):
+    p = N.normalise(catalog_raw(spark, sf_dir))
+    return p.select(*_STR, *[F.round(c, 6).alias(c) for c in _NUM],
+                    F.array_join("colour_tokens", "|").alias("colour_tokens"), "src_seq")
