@@ -137,10 +137,11 @@ def topk(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpec = PRODUCT
     need = [spec.id_col, spec.keys_col, spec.vals_col]
     cand_cols = list(dict.fromkeys(need + [c for c in spec.carry]
                                    + [c for c, _, _ in spec.tiebreak]))
-    q = (queries.select(*need)
+    # fresh aliases: both sides may come from the same DataFrame
+    q = (queries.select(*[F.col(x).alias(x) for x in need])
          .withColumn("qb", _block_of(spec.id_col, gq))
          .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(gc - 1)))))
-    c = (corpus.select(*cand_cols)
+    c = (corpus.select(*[F.col(x).alias(x) for x in cand_cols])
          .withColumn("cb", _block_of(spec.id_col, gc))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(gq - 1)))))
 

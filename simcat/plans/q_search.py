@@ -1 +1,149 @@
-"""placeholder"""
+"""Search queries: exact top-k for a basket of products, whole-catalogue kNN, lookups."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from simcat.config import Config
+from simcat.operators import search as S
+from simcat.plans import oracle as O
+from simcat.plans.q_features import CFG_RAW, built, products
+from simcat.plans.registry import register
+from simcat.sources import read_table
+
+K = 10
+
+# The request set: every item of the most expensive order ("more like the
+# items in this basket").  It is derived from orders and lineitem, so it moves
+# with the data; the corpus is always the whole catalogue.
+BASKET_SQL = ("SELECT CAST(l_partkey AS VARCHAR) FROM lineitem WHERE l_orderkey = "
+              "(SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 1)")
+
+
+def basket_ids(spark, sf_dir):
+    top = (read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+           .orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey").asc()).limit(1))
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    return (li.join(top, li.l_orderkey == top.o_orderkey, "left_semi")
+            .select(F.col("l_partkey").cast("string").alias("product_id")).distinct())
+
+
+def _features(spark, sf_dir, cfg=CFG_RAW):
+    f, _ = built(spark, sf_dir, cfg)
+    return f
+
+
+@register("topk_exact", lambda: O.topk_sql(BASKET_SQL, K, CFG_RAW.weights), headline=True)
+def q_topk_exact(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    return S.similar(f, basket_ids(spark, sf_dir), K)
+
+
+def _topk_ids_sql():
+    inner = O.topk_sql(BASKET_SQL, K, CFG_RAW.weights)
+    return (f"SELECT query_id, string_agg(product_id, '|' ORDER BY rank) AS ids FROM ({inner}) r "
+            f"GROUP BY query_id")
+
+
+@register("topk_ids", lambda: _topk_ids_sql())
+def q_topk_ids(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    r = S.ids_only(S.similar(f, basket_ids(spark, sf_dir), K))
+    return r.select("query_id", F.array_join("ids", "|").alias("ids"))
+
+
+@register("knn_all", lambda: O.topk_sql("SELECT product_id FROM products", K, CFG_RAW.weights),
+          headline=True)
+def q_knn_all(spark, sf_dir):
+    """Top-10 similar products for every product of the catalogue."""
+    f = _features(spark, sf_dir)
+    return S.topk(f, f, K)
+
+
+CAT_ONLY = Config(svd_components=0, weights={"category": 1.0, "text": 0.0, "numeric": 0.0,
+                                             "brand": 0.0, "colour": 0.0})
+
+
+@register("topk_tiebreak", lambda: O.topk_sql("SELECT product_id FROM products", 5, CAT_ONLY.weights))
+def q_topk_tiebreak(spark, sf_dir):
+    """Category-only weights: scores tie in large groups, so the tie-break decides."""
+    f, _ = built(spark, sf_dir, CAT_ONLY)
+    return S.topk(f, f, 5)
+
+
+EMB_RANK = S.RankSpec(id_col="vec_id", id_type="bigint", tiebreak=(), carry=("label",),
+                      carry_types=("int",), keys_col="ekeys", vals_col="evals")
+
+
+def embedding_features(spark, sf_dir):
+    """Each vector as a feature list ("e:<dim>" -> unit-normalised value)."""
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    v = F.col("embedding").cast("array<double>")
+    n = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+    unit = F.transform(v, lambda x: F.when(n == 0, x).otherwise(x / n))
+    return e.select("vec_id", "label",
+                    F.transform(unit, lambda x, i: F.concat(F.lit("e:"), i.cast("string"))).alias("ekeys"),
+                    unit.alias("evals"))
+
+
+_EMB_SQL = """WITH u AS (SELECT vec_id, label, CASE WHEN nrm = 0 THEN e ELSE list_transform(e, lambda x: x / nrm) END AS e
+  FROM (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS nrm
+        FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) a) b)
+SELECT query_id, CAST(rank AS BIGINT) AS rank, vec_id, score, label FROM (
+  SELECT a.vec_id AS query_id, b.vec_id, b.label, round(list_inner_product(a.e, b.e), 6) AS score,
+    row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_inner_product(a.e, b.e), 6) DESC,
+                       b.vec_id ASC) AS rank
+  FROM u a JOIN u b ON a.vec_id <> b.vec_id) r WHERE rank <= 10"""
+
+
+@register("knn_embeddings", _EMB_SQL, headline=True)
+def q_knn_embeddings(spark, sf_dir):
+    """Top-10 cosine neighbours of every embedding vector."""
+    e = embedding_features(spark, sf_dir)
+    return S.topk(e, e, 10, EMB_RANK)
+
+
+# ------------------------------------------------------------------ lookups
+_LOOKUP_COLS = ["product_id", "product_name", "brand", "sales_price", "rating", "discount_percentage",
+                "browsenode", "weight_grams", "sales_rank", "list_price", "child_category",
+                "parent_category", "text", "is_prime", "is_best_seller", "image_url"]
+REQUESTS_SQL = "SELECT ' ' || CAST(l_partkey AS VARCHAR) || ' ' AS request FROM lineitem"
+
+
+def requests(spark, sf_dir):
+    """Every part key ordered in lineitem, as padded text ids (lookups trim them)."""
+    return read_table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit(" "), F.col("l_partkey").cast("string"), F.lit(" ")).alias("request"))
+
+
+@register("product_lookup", lambda: O.with_views(
+    "SELECT " + ", ".join(_LOOKUP_COLS) + " FROM products WHERE product_id IN "
+    f"(SELECT trim(request) FROM ({REQUESTS_SQL}) r)"))
+def q_product_lookup(spark, sf_dir):
+    """Products whose (trimmed) id was requested; list and dict fields left out."""
+    p = products(spark, sf_dir)
+    return S.lookup(p, requests(spark, sf_dir)).select(*_LOOKUP_COLS)
+
+
+CUST_SQL = "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS request FROM orders"
+
+
+def customer_requests(spark, sf_dir):
+    return read_table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("request")).distinct()
+
+
+@register("contains_ids", lambda: O.with_views(
+    f"SELECT request, request IN (SELECT product_id FROM products) AS found FROM ({CUST_SQL}) r"))
+def q_contains_ids(spark, sf_dir):
+    """Membership of each requested id (a left join against the id column)."""
+    p = products(spark, sf_dir).select(F.col("product_id").alias("request"), F.lit(True).alias("_hit"))
+    r = customer_requests(spark, sf_dir)
+    return r.join(p, "request", "left").select("request", F.coalesce("_hit", F.lit(False)).alias("found"))
+
+
+@register("unknown_ids", lambda: O.with_views(
+    f"SELECT trim(request) AS product_id FROM ({CUST_SQL}) r WHERE trim(request) NOT IN "
+    f"(SELECT product_id FROM products)"))
+def q_unknown_ids(spark, sf_dir):
+    return S.unknown_ids(products(spark, sf_dir), customer_requests(spark, sf_dir))
