@@ -68,14 +68,20 @@ def parse_price(x, lenient: bool = False) -> Column:
     comma matches the number pattern but is not a number; it is ignored.
     """
     x = _c(x)
-    nums = F.filter(
-        F.transform(F.regexp_extract_all(x, F.lit(NUMBER_PATTERN), 0),
-                    lambda m: F.replace(m, F.lit(","), F.lit("")).try_cast("double")),
-        lambda v: v.isNotNull())
-    value = _mean(nums)
-    if lenient:
-        return F.when(x.isNotNull(), value)
-    return F.when(~is_missing(x) & (value > 0), value)
+    nums = F.transform(F.regexp_extract_all(x, F.lit(NUMBER_PATTERN), 0),
+                       lambda m: F.replace(m, F.lit(","), F.lit("")).try_cast("double"))
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
+
+    def merge(acc, v):
+        return F.when(v.isNull(), acc).otherwise(
+            F.struct((acc["s"] + v).alias("s"), (acc["n"] + 1).alias("n")))
+
+    def finish(acc):
+        mean = acc["s"] / acc["n"]
+        return F.when(acc["n"] > 0, mean) if lenient else F.when((acc["n"] > 0) & (mean > 0), mean)
+
+    value = F.aggregate(nums, zero, merge, finish)
+    return F.when(x.isNotNull(), value) if lenient else F.when(~is_missing(x), value)
 
 
 def _unit_map(units: dict) -> Column:
@@ -133,15 +139,17 @@ def parse_dict(x) -> Column:
                                                {"allowSingleQuotes": "true"}))
 
 
-def category_key(x) -> Column:
-    """Last non-blank key of the dict text, stripped."""
-    keys = F.filter(F.map_keys(parse_dict(x)), lambda k: strip(k) != "")
+def category_key(x, parsed: bool = False) -> Column:
+    """Last non-blank key of the dict text, stripped (``parsed``: x is already the map)."""
+    m = _c(x) if parsed else parse_dict(x)
+    keys = F.filter(F.map_keys(m), lambda k: strip(k) != "")
     return strip(F.try_element_at(keys, F.lit(-1)))
 
 
-def category_rank(x) -> Column:
+def category_rank(x, parsed: bool = False) -> Column:
     """Digits of the dict's last value as a number; none -> null."""
-    last = F.try_element_at(F.map_values(parse_dict(x)), F.lit(-1))
+    m = _c(x) if parsed else parse_dict(x)
+    last = F.try_element_at(F.map_values(m), F.lit(-1))
     digits = F.regexp_replace(F.coalesce(last, F.lit("")), r"[^\d]", "")
     return F.when(digits != "", digits.try_cast("double"))
 

@@ -286,7 +286,8 @@ def with_feature_list(feat: DataFrame, model: FeatureModel) -> DataFrame:
         "fvals": F.transform("_f", lambda e: e["v"])}).drop("_f")
 
 
-def build_features(products: DataFrame, cfg: Config = Config(), materialise_inputs: bool = True):
+def build_features(products: DataFrame, cfg: Config = Config(), materialise_inputs: bool = True,
+                   with_features: bool = True):
     """Fit and transform in one go: returns (features DataFrame, model).
 
     The product table and its term counts feed several aggregations, so they are
@@ -299,5 +300,7 @@ def build_features(products: DataFrame, cfg: Config = Config(), materialise_inpu
     if materialise_inputs:
         tf = materialise(tf)
     model = fit(products, cfg, tf=tf)
-    feats = transform(products, model, tfidf(tf, model))
+    feats = transform(products, model, tfidf(tf, model), with_features=with_features)
+    if materialise_inputs:
+        feats = materialise(feats)
     return feats, model

@@ -46,10 +46,19 @@ def project_canonical(raw: DataFrame) -> DataFrame:
 
 
 def clean_columns(canonical: DataFrame, weight_sentinel: float = 1_000_000.0) -> DataFrame:
-    """Typed, cleaned columns (no row removal)."""
-    price = P.parse_price("sales_price")
-    disc = P.parse_percentage("discount_percentage")
-    return canonical.select(
+    """Typed, cleaned columns (no row removal).
+
+    Two projections: parsed values that later columns reuse (price, discount,
+    the dict maps) are computed once in the first and referenced in the second.
+    """
+    staged = canonical.select(
+        "*",
+        P.parse_price("sales_price").alias("_price"),
+        P.parse_percentage("discount_percentage").alias("_disc"),
+        P.parse_dict("child_category_raw").alias("_child"),
+        P.parse_dict("parent_category_raw").alias("_parent"))
+    price, disc = F.col("_price"), F.col("_disc")
+    return staged.select(
         P.strip(F.col("product_id")).alias("product_id"),
         F.coalesce(F.col("product_name"), F.lit("")).alias("product_name"),
         P.clean_categorical("brand").alias("brand"),
@@ -58,10 +67,10 @@ def clean_columns(canonical: DataFrame, weight_sentinel: float = 1_000_000.0) ->
         disc.alias("discount_percentage"),
         P.clean_categorical("browsenode").alias("browsenode"),
         P.parse_weight("weight_raw", weight_sentinel).alias("weight_grams"),
-        P.category_rank("child_category_raw").alias("sales_rank"),
+        P.category_rank(F.col("_child"), parsed=True).alias("sales_rank"),
         P.list_price(price, disc).alias("list_price"),
-        P.category_key("child_category_raw").alias("child_category"),
-        P.category_key("parent_category_raw").alias("parent_category"),
+        P.category_key(F.col("_child"), parsed=True).alias("child_category"),
+        P.category_key(F.col("_parent"), parsed=True).alias("parent_category"),
         P.split_multi("colour").alias("colour_tokens"),
         P.text_concat("product_name", "meta_keywords").alias("text"),
         P.yn_flag("prime_raw").alias("is_prime"),
@@ -88,8 +97,18 @@ def dedup_first(df: DataFrame, key: str = "product_id", order: str = "src_seq")
 
 
 def normalise(raw: DataFrame, weight_sentinel: float = 1_000_000.0,
-              keep_seq: bool = True) -> DataFrame:
-    """Full cleaning: rename, parse, drop id-less rows, keep the first row per id."""
-    out = dedup_first(filter_valid_id(clean_columns(project_canonical(raw), weight_sentinel)))
+              keep_seq: bool = True, partitions: int | None = None) -> DataFrame:
+    """Full cleaning: rename, parse, drop id-less rows, keep the first row per id.
+
+    Raw rows are hash-partitioned on the cleaned id *before* the parsing
+    projection: the keep-first window needs exactly that distribution, so the
+    one shuffle serves both, and the regex work then runs on every shuffle
+    partition instead of on however few splits the source file has.
+    """
+    spark = raw.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    canonical = project_canonical(raw)
+    canonical = canonical.repartition(n, P.strip(F.col("product_id")))
+    out = dedup_first(filter_valid_id(clean_columns(canonical, weight_sentinel)))
     cols = PRODUCT_COLUMNS + (["src_seq"] if keep_seq else [])
     return out.select(*cols)

@@ -16,14 +16,20 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def order_statistics(values: DataFrame, key: str, value: str, ranks: dict,
                      buckets: int = 1024, max_collect: int = 50_000,
-                     max_passes: int = 32) -> dict:
-    """Exact values at 0-based ``ranks`` = {key_value: [rank, ...]} -> {(key, rank): value}."""
+                     max_passes: int = 32, bounds: dict | None = None,
+                     counts: dict | None = None) -> dict:
+    """Exact values at 0-based ``ranks`` = {key_value: [rank, ...]} -> {(key, rank): value}.
+
+    ``bounds`` = {key_value: (min, max)} saves a pass when already known.
+    """
     spark = values.sparkSession
     base = values.select(F.col(key).alias("k"), F.col(value).cast("double").alias("v"))
     # state per target: [key, rank, lo, hi, below]
@@ -33,10 +39,20 @@ def order_statistics(values: DataFrame, key: str, value: str, ranks: dict,
             pending[(kv, r)] = None
     if not pending:
         return {}
-    bounds = {row["k"]: (row["lo"], row["hi"]) for row in
-              base.groupBy("k").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    if bounds is None:
+        bounds = {row["k"]: (row["lo"], row["hi"]) for row in
+                  base.groupBy("k").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
     state = {t: [bounds[t[0]][0], bounds[t[0]][1], 0] for t in pending if t[0] in bounds}
     result = {}
+    # keys whose whole value set is within the bound: one Arrow fetch, no histogram
+    small = {kv for kv, n in (counts or {}).items() if n <= max_collect and kv in ranks}
+    if small:
+        pdf = base.where(F.col("k").isin(list(small))).toPandas()
+        for kv, grp in pdf.groupby("k"):
+            vs = np.sort(grp["v"].to_numpy(dtype=np.float64))
+            for r in ranks[kv]:
+                result[(kv, r)] = float(vs[r])
+                state.pop((kv, r), None)
     for _ in range(max_passes):
         if not state:
             break
@@ -79,14 +95,10 @@ def order_statistics(values: DataFrame, key: str, value: str, ranks: dict,
                 acc += n
         if to_collect:
             want = {tid for tid, _, _ in to_collect}
-            rows = (joined.where(F.col("tid").isin(list(want)))
-                    .select("tid", "v").collect())
-            vals: dict = {}
-            for row in rows:
-                vals.setdefault(row["tid"], []).append(row["v"])
+            pdf = joined.where(F.col("tid").isin(list(want))).select("tid", "v").toPandas()
+            groups = {tid: np.sort(g["v"].to_numpy(dtype=np.float64)) for tid, g in pdf.groupby("tid")}
             for tid, t, need in to_collect:
-                vs = sorted(vals.get(tid, []))
-                result[t] = vs[need]
+                result[t] = float(groups[tid][need])
                 del state[t]
     if state:
         raise RuntimeError("order statistics did not converge")
@@ -101,7 +113,10 @@ def quantiles(values: DataFrame, key: str, value: str, probs: list[float], **kw)
     """Exact linear-interpolated quantiles per key: columns (key, p, q)."""
     spark = values.sparkSession
     clean = values.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    counts = {row[0]: row[1] for row in clean.groupBy(key).count().collect()}
+    stats = clean.groupBy(key).agg(F.count("*").alias("n"), F.min(value).alias("lo"),
+                                   F.max(value).alias("hi")).collect()
+    counts = {row[0]: row["n"] for row in stats}
+    bounds = {row[0]: (row["lo"], row["hi"]) for row in stats}
     ranks = {}
     for kv, n in counts.items():
         rs = set()
@@ -109,7 +124,7 @@ def quantiles(values: DataFrame, key: str, value: str, probs: list[float], **kw)
             pos = p * (n - 1)
             rs.update({math.floor(pos), math.ceil(pos)})
         ranks[kv] = sorted(rs)
-    stats = order_statistics(clean, key, value, ranks, **kw)
+    stats = order_statistics(clean, key, value, ranks, bounds=bounds, counts=counts, **kw)
     rows = []
     for kv, n in counts.items():
         for p in probs:

@@ -10,6 +10,7 @@ from simcat.config import BLOCKS, Config
 from simcat.operators import features as FT
 from simcat.operators import normalise as N
 from simcat.plans import oracle as O
+from simcat.plans.memo import memo
 from simcat.plans.registry import register
 from simcat.sources import catalog_raw
 
@@ -17,14 +18,13 @@ CFG_RAW = Config(svd_components=0)
 
 
 def products(spark, sf_dir):
-    return N.normalise(catalog_raw(spark, sf_dir))
+    return memo(spark, ("products", sf_dir), lambda: N.normalise(catalog_raw(spark, sf_dir)))
 
 
 def built(spark, sf_dir, cfg=CFG_RAW, features=True):
-    p = products(spark, sf_dir)
-    tf = FT.term_counts(p)
-    model = FT.fit(p, cfg, tf=tf)
-    return FT.transform(p, model, FT.tfidf(tf, model), with_features=features), model
+    """Products -> fitted model -> feature table (checkpointed), once per session and config."""
+    return memo(spark, ("features", sf_dir, repr(cfg)),
+                lambda: FT.build_features(products(spark, sf_dir), cfg))
 
 
 def fsql(body: str, cfg: Config = CFG_RAW) -> str:

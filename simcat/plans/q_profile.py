@@ -213,7 +213,7 @@ def q_text_lengths(spark, sf_dir):
 
 @register("text_lengths_documents", lambda: O.with_views(_text_len_sql("documents", ["text"], "doc_id")))
 def q_text_lengths_documents(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("src_seq"), "text")
+    docs = read_table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").alias("src_seq"), "text")
     return PR.text_lengths(docs, ["text"])
 
 

@@ -87,7 +87,7 @@ def q_text_concat(spark, sf_dir):
 @register("clean_text_documents", O.with_views(
     f"SELECT doc_id, {O.clean_text('text')} AS clean FROM documents"))
 def q_clean_text_documents(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents").select(
+    return read_table(spark, sf_dir, "documents", spread=True).select(
         "doc_id", P.clean_text("text").alias("clean"))
 
 
@@ -131,7 +131,7 @@ FROM (SELECT doc_id, {O.ngrams_of('t')} AS g
 def q_ngrams(spark, sf_dir):
     """Unigrams + bigrams of every whole document (cleaned, stop words out)."""
     g = F.col("g")
-    return (read_table(spark, sf_dir, "documents")
+    return (read_table(spark, sf_dir, "documents", spread=True)
             .select("doc_id", TX.tokens(P.clean_text("text")).alias("t"))
             .select("doc_id", TX.with_bigrams("t").alias("g"))
             .select("doc_id", F.size(g).cast("bigint").alias("n_grams"),

@@ -147,3 +147,100 @@ def q_contains_ids(spark, sf_dir):
     f"(SELECT product_id FROM products)"))
 def q_unknown_ids(spark, sf_dir):
     return S.unknown_ids(products(spark, sf_dir), customer_requests(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ default model (SVD text block)
+CFG_DEFAULT = Config()
+
+
+@register("topk_exact_svd")
+def q_topk_exact_svd(spark, sf_dir):
+    """The shipped model: text block reduced by truncated SVD (rows-only check)."""
+    f, _ = built(spark, sf_dir, CFG_DEFAULT)
+    return S.similar(f, basket_ids(spark, sf_dir), K)
+
+
+@register("svd_text")
+def q_svd_text(spark, sf_dir):
+    """Per product: SVD text vector length and norm (unit when the product has text)."""
+    f, _ = built(spark, sf_dir, CFG_DEFAULT, features=False)
+    v = F.coalesce(F.col("text_vec"), F.array().cast("array<double>"))
+    return f.select("product_id", F.size(v).cast("bigint").alias("dims"),
+                    F.round(F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)), 6).alias("norm"))
+
+
+@register("svd_explained")
+def q_svd_explained(spark, sf_dir):
+    f, model = built(spark, sf_dir, CFG_DEFAULT, features=False)
+    svd = model.svd
+    return f.agg(F.count("*").alias("n_products")).select(
+        "n_products", F.lit(len(model.vocab)).cast("bigint").alias("n_terms"),
+        F.lit(svd.k if svd else 0).cast("bigint").alias("n_components"),
+        F.round(F.lit(svd.explained_variance_ratio if svd else 1.0), 6).alias("explained_variance"))
+
+
+@register("features")
+def q_features(spark, sf_dir):
+    """The feature table: one row per product with its scaled sparse feature list size."""
+    f, _ = built(spark, sf_dir)
+    return f.select("product_id", F.size("fkeys").cast("bigint").alias("n_features"),
+                    *[F.round(f"eff_{b}", 6).alias(f"eff_{b}") for b in
+                      ("category", "text", "numeric", "brand", "colour")])
+
+
+# ------------------------------------------------------------------ approximate search
+def _ann(spark, sf_dir, cfg=CFG_RAW):
+    from simcat.operators import ann as A
+    from simcat.plans.memo import memo
+    f = _features(spark, sf_dir, cfg)
+    return memo(spark, ("ann", sf_dir, repr(cfg)),
+                lambda: A.build(f, cells=cfg.ann_cells, dims=cfg.ann_dims, seed=cfg.ann_seed))
+
+
+@register("topk_ann", headline=True)
+def q_topk_ann(spark, sf_dir):
+    """Approximate top-10 for the basket: probe 8 nearest cells, rescore exactly."""
+    from simcat.operators import ann as A
+    f = _features(spark, sf_dir)
+    idx = _ann(spark, sf_dir)
+    return A.search(S.lookup(f, basket_ids(spark, sf_dir)), idx, K, nprobe=CFG_RAW.ann_nprobe,
+                    max_cell_rows=CFG_RAW.ann_max_cell_rows)
+
+
+RECALL_SAMPLE = 200
+
+
+@register("recall_at_k", headline=True)
+def q_recall_at_k(spark, sf_dir):
+    """Recall@10 of the approximate search against exact, over 200 sampled products."""
+    from simcat.operators import ann as A
+    f = _features(spark, sf_dir)
+    idx = _ann(spark, sf_dir)
+    qf = S.lookup(f, A.sample_ids(f, RECALL_SAMPLE))
+    n = min(RECALL_SAMPLE, f.count())
+    ex = S.topk(qf, f, K, n_queries=n)
+    ap = A.search(qf, idx, K, nprobe=CFG_RAW.ann_nprobe, max_cell_rows=CFG_RAW.ann_max_cell_rows)
+    return A.recall_at_k(ex, ap, n, K)
+
+
+@register("sample_ids")
+def q_sample_ids(spark, sf_dir):
+    """20 products in seeded hash order, name cut at 80 characters."""
+    from simcat.operators import ann as A
+    p = products(spark, sf_dir)
+    ids = A.sample_ids(p, 20)
+    return p.join(ids, "product_id", "left_semi").select(
+        "product_id", F.substring("product_name", 1, 80).alias("product_name"))
+
+
+@register("index_stats")
+def q_index_stats(spark, sf_dir):
+    f, model = built(spark, sf_dir)
+    idx = _ann(spark, sf_dir)
+    dims = model.block_dims()
+    return f.agg(F.count("*").alias("n_products"),
+                 F.countDistinct(F.explode("fkeys")) if False else F.lit(None).alias("_x")).select(
+        "n_products",
+        F.lit(int(sum(v for v in dims.values() if v))).cast("bigint").alias("n_dense_dims"),
+        F.lit(len(idx.centers)).cast("bigint").alias("ann_cells"),
+        F.lit(True).alias("ann_ready"))

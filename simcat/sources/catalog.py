@@ -90,7 +90,12 @@ def _rules(name: Column) -> list[Column]:
 
 def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``part`` rows as raw catalogue records, plus re-listed copies of every 50th key."""
-    part = read_table(spark, sf_dir, "part").select(
+    from simcat.plans.memo import memo
+    return memo(spark, ("catalog_raw", sf_dir), lambda: _catalog_raw(spark, sf_dir))
+
+
+def _catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read_table(spark, sf_dir, "part", spread=True).select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     k = F.col("p_partkey")
     name = F.when(k % 17 == 0, F.concat(F.col("p_name"), F.lit(" https://x.example/"), _s(k))) \

@@ -7,6 +7,17 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``<sf_dir>/<name>.parquet``; Catalyst prunes columns and pushes filters into the scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """``<sf_dir>/<name>.parquet``; Catalyst prunes columns and pushes filters into the scan.
+
+    ``spread=True`` is for tables with heavy per-row work (regexes over text):
+    when the scan yields fewer splits than there are cores (one small file),
+    rows are dealt round-robin over the cores.  A large input already has many
+    splits, and then nothing is added.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
