@@ -28,15 +28,27 @@ def scan_ldjson(spark: SparkSession, path: str, columns: list[str],
     if not fs.exists(jpath):
         raise FileNotFoundError(f"Dataset not found at {path}")
 
+    out = parse_lines(spark.read.text(path), columns)
+    if out.where(F.col(CORRUPT).isNull()).limit(1).count() == 0:
+        raise ValueError(f"No parseable records found in {path}")
+    return out if keep_corrupt else out.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def parse_lines(text: DataFrame, columns: list[str]) -> DataFrame:
+    """``value`` lines (batch or stream) -> all-string columns, ``_corrupt_record``, ``src_seq``.
+
+    For a stream, ``src_seq`` is (file, split start) only: first arrival decides.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                           + [T.StructField(CORRUPT, T.StringType())])
     # File order without a global sort: (file, split start, position in the
     # task) orders every line, and is comparable as one struct column.
-    lines = (spark.read.text(path)
+    lines = (text
              .select(F.trim(F.col("value")).alias("line"),
                      F.struct(F.col("_metadata.file_path").alias("file"),
                               F.col("_metadata.file_block_start").alias("block"),
-                              F.monotonically_increasing_id().alias("pos")).alias("src_seq"))
+                              (F.lit(0).cast("long") if text.isStreaming
+                               else F.monotonically_increasing_id()).alias("pos")).alias("src_seq"))
              .where(F.col("line") != ""))
     parsed = lines.select(
         F.from_json("line", schema, {"mode": "PERMISSIVE",
@@ -48,9 +60,7 @@ def scan_ldjson(spark: SparkSession, path: str, columns: list[str],
         F.when(F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull(), F.col("line"))
          .alias(CORRUPT),
         "src_seq")
-    if out.where(F.col(CORRUPT).isNull()).limit(1).count() == 0:
-        raise ValueError(f"No parseable records found in {path}")
-    return out if keep_corrupt else out.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return out
 
 
 def malformed_count(df_with_corrupt: DataFrame) -> DataFrame:
