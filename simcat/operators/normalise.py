@@ -106,7 +106,9 @@ def normalise(raw: DataFrame, weight_sentinel: float = 1_000_000.0,
     partition instead of on however few splits the source file has.
     """
     spark = raw.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the session's shuffle width, but not more than 4 tasks per core of the cluster
+    n = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                          4 * spark.sparkContext.defaultParallelism)
     canonical = project_canonical(raw)
     canonical = canonical.repartition(n, P.strip(F.col("product_id")))
     out = dedup_first(filter_valid_id(clean_columns(canonical, weight_sentinel)))
