@@ -244,3 +244,22 @@ def q_index_stats(spark, sf_dir):
         F.lit(int(sum(v for v in dims.values() if v))).cast("bigint").alias("n_dense_dims"),
         F.lit(len(idx.centers)).cast("bigint").alias("ann_cells"),
         F.lit(True).alias("ann_ready"))
+
+
+def _overlap_sql():
+    a = O.topk_sql(BASKET_SQL, K, CFG_RAW.weights)
+    b = O.topk_sql(BASKET_SQL, K, CAT_ONLY.weights)
+    return f"""SELECT x.query_id, CAST(len(list_intersect(x.ids, y.ids)) AS BIGINT) AS overlap
+FROM (SELECT query_id, list(product_id) AS ids FROM ({a}) r GROUP BY query_id) x
+JOIN (SELECT query_id, list(product_id) AS ids FROM ({b}) s GROUP BY query_id) y USING (query_id)"""
+
+
+@register("topk_overlap", _overlap_sql)
+def q_topk_overlap(spark, sf_dir):
+    """Per basket item: how many of the top-10 under all blocks are also top-10 by category alone."""
+    ids = basket_ids(spark, sf_dir)
+    a = S.ids_only(S.similar(_features(spark, sf_dir), ids, K))
+    fc, _ = built(spark, sf_dir, CAT_ONLY)
+    b = S.ids_only(S.similar(fc, ids, K)).withColumnRenamed("ids", "ids_b")
+    return a.join(b, "query_id").select(
+        "query_id", F.size(F.array_intersect("ids", "ids_b")).cast("bigint").alias("overlap"))
