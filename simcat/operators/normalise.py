@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from simcat.functions import parsers as P
 
@@ -88,29 +87,23 @@ def filter_valid_id(df: DataFrame) -> DataFrame:
 def dedup_first(df: DataFrame, key: str = "product_id", order: str = "src_seq") -> DataFrame:
     """Keep the first row per key in source order.
 
-    A per-key ``row_number`` (one shuffle on the key); Catalyst turns the
-    ``= 1`` filter into a partial group limit before the shuffle, so a key with
-    many copies sends one row per map task, not all of them.
+    ``min_by(row, order)`` per key is an aggregate with a map-side partial step:
+    a key with millions of copies (a third of the table) is reduced to one row
+    per map task before the shuffle, so no task receives the hot key whole.
     """
-    w = Window.partitionBy(key).orderBy(F.col(order).asc())
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    others = [c for c in df.columns if c != key]
+    first = F.min_by(F.struct(*others), F.col(order)).alias("_first")
+    return df.groupBy(key).agg(first).select(key, "_first.*")
 
 
 def normalise(raw: DataFrame, weight_sentinel: float = 1_000_000.0,
-              keep_seq: bool = True, partitions: int | None = None) -> DataFrame:
+              keep_seq: bool = True) -> DataFrame:
     """Full cleaning: rename, parse, drop id-less rows, keep the first row per id.
 
-    Raw rows are hash-partitioned on the cleaned id *before* the parsing
-    projection: the keep-first window needs exactly that distribution, so the
-    one shuffle serves both, and the regex work then runs on every shuffle
-    partition instead of on however few splits the source file has.
+    Parsing runs where the rows are (no shuffle); the only shuffle is the
+    keep-first aggregation on the id, which leaves the table hash-partitioned
+    by ``product_id`` for the per-product aggregations that follow.
     """
-    spark = raw.sparkSession
-    # the session's shuffle width, but not more than 4 tasks per core of the cluster
-    n = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                          4 * spark.sparkContext.defaultParallelism)
-    canonical = project_canonical(raw)
-    canonical = canonical.repartition(n, P.strip(F.col("product_id")))
-    out = dedup_first(filter_valid_id(clean_columns(canonical, weight_sentinel)))
+    out = dedup_first(filter_valid_id(clean_columns(project_canonical(raw), weight_sentinel)))
     cols = PRODUCT_COLUMNS + (["src_seq"] if keep_seq else [])
     return out.select(*cols)

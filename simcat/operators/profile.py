@@ -31,14 +31,19 @@ def blank_v2(c) -> F.Column:
     return F.col(c).isNull() | P.strip(F.col(c).cast("string")).isin(*BLANK_TOKENS_V2)
 
 
-def _stack(one_row: DataFrame, items: list[tuple[str, list[str]]], names: list[str]) -> DataFrame:
-    """Turn a one-row wide result into one row per item."""
+def _stack(one_row: DataFrame, items: list[tuple], names: list[str], keep=()) -> DataFrame:
+    """Turn a one-row wide result into one row per item (``keep`` columns ride along).
+
+    An item is (label, [column, ...]) or (label, literal, [column, ...]).
+    """
     parts = []
-    for label, cols in items:
+    for item in items:
+        label, cols = item[0], item[-1]
         parts.append(f"'{label}'")
+        parts.extend(f"'{lit}'" for lit in item[1:-1])
         parts.extend(f"`{c}`" for c in cols)
     expr = f"stack({len(items)}, {', '.join(parts)}) as ({', '.join(names)})"
-    return one_row.select(F.expr(expr))
+    return one_row.select(F.expr(expr), *keep)
 
 
 def null_report(raw: DataFrame, columns: list[str]) -> DataFrame:
@@ -47,13 +52,11 @@ def null_report(raw: DataFrame, columns: list[str]) -> DataFrame:
     for i, c in enumerate(columns):
         aggs += [F.count(F.col(c)).alias(f"nn{i}"), F.count_if(blank_v1(c)).alias(f"bl{i}")]
     wide = raw.agg(*aggs)
-    long = _stack(wide, [(c, [f"nn{i}", f"bl{i}"]) for i, c in enumerate(columns)],
-                  ["field", "non_null", "blank"])
-    n = wide.select("_n")
-    types = raw.sparkSession.createDataFrame(
-        [(c, raw.schema[c].dataType.simpleString()) for c in columns], "field string, dtype string")
+    long = _stack(wide, [(c, raw.schema[c].dataType.simpleString(), [f"nn{i}", f"bl{i}"])
+                         for i, c in enumerate(columns)],
+                  ["field", "dtype", "non_null", "blank"], keep=[F.col("_n").alias("n_rows")])
     pct = lambda x: F.bround(F.lit(100.0) * x / F.col("n_rows"), 1)
-    return (long.crossJoin(n.withColumnRenamed("_n", "n_rows")).join(types, "field")
+    return (long
             .select("field", "dtype", F.col("non_null").cast("bigint").alias("non_null"),
                     pct(F.col("n_rows") - F.col("non_null")).alias("null_pct"),
                     pct(F.col("blank")).alias("blank_or_null_pct"),
@@ -141,13 +144,13 @@ def topk_coverage(raw: DataFrame, columns: list[str], ks=(20, 50, 100, 200, 500)
     """True cardinality: distinct, coverage, top-k coverage (k <= distinct), singletons."""
     s = lambda c: F.lower(P.strip(F.col(c).cast("string")))
     freq = frequencies(raw, columns, s, lambda c: ~blank_v2(c))
-    n_total = raw.select(F.count("*").alias("n_total"))
+    n_total = raw.select(F.count("*")).scalar()      # scalar subquery
     summary = freq.groupBy("field").agg(
         F.count("*").alias("n_distinct"), F.sum("n").alias("n_nonblank"),
         F.count_if(F.col("n") == 1).alias("singletons"))
     top = _ranked(freq, max(ks)).groupBy("field").agg(
         *[F.sum(F.when(F.col("rank") <= k, F.col("n"))).alias(f"top{k}") for k in ks])
-    out = summary.join(top, "field").crossJoin(n_total)
+    out = summary.join(top, "field").withColumn("n_total", n_total)
     pct = lambda x, d: F.round(F.lit(100.0) * x / d, 6)
     return out.select(
         "field", "n_distinct", F.col("n_nonblank").cast("bigint").alias("n_nonblank"),
@@ -173,10 +176,13 @@ def token_stats(raw: DataFrame, column: str, sep: str = "|", top: int = 25) -> D
     w = Window.orderBy(F.col("n").desc(), F.col("value").asc())
     top_rows = (tok.withColumn("field", F.lit(column)).withColumn(
         "rank", F.row_number().over(w.partitionBy("field"))).where(F.col("rank") <= top))
-    return (top_rows.crossJoin(summary).crossJoin(n_tok).crossJoin(med)
-            .select(F.col("rank").cast("bigint").alias("rank"), F.col("value").alias("token"), "n",
-                    "n_rows", "n_distinct_raw", "n_distinct_tokens",
-                    F.round("median_tokens", 6).alias("median_tokens"), "max_tokens"))
+    return top_rows.select(
+        F.col("rank").cast("bigint").alias("rank"), F.col("value").alias("token"), "n",
+        summary.select("n_rows").scalar().alias("n_rows"),
+        summary.select("n_distinct_raw").scalar().alias("n_distinct_raw"),
+        n_tok.select("n_distinct_tokens").scalar().alias("n_distinct_tokens"),
+        F.round(med.select("median_tokens").scalar(), 6).alias("median_tokens"),
+        summary.select("max_tokens").scalar().alias("max_tokens"))
 
 
 def sentinel_report(raw: DataFrame, column: str = "weight") -> DataFrame:
@@ -216,9 +222,9 @@ def rating_describe(raw: DataFrame, column: str = "rating") -> DataFrame:
                   F.round(F.stddev_samp("r"), 6).alias("std"), F.min("r").alias("min"),
                   F.max("r").alias("max"))
     qs = quantiles(r.where(F.col("r").isNotNull()), "k", "r", [0.25, 0.5, 0.75])
-    q = qs.groupBy().pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q")).toDF("p25", "p50", "p75")
-    q = q.select(*[F.round(F.col(c), 6).alias(c) for c in q.columns])
-    return stats.crossJoin(q).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    qv = {n: F.round(qs.where(F.col("p") == p).select("q").scalar(), 6).alias(n)
+          for n, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))}
+    return stats.select("count", "mean", "std", "min", qv["p25"], qv["p50"], qv["p75"], "max")
 
 
 def rating_counts(raw: DataFrame, column: str = "rating", top: int = 12) -> DataFrame:
@@ -238,7 +244,7 @@ def rating_trust(raw: DataFrame, rating: str = "rating", reviews: str = "no__of_
                 F.round(F.avg(F.when(F.col("has"), F.col("r"))), 6).alias("mean_rating_known"),
                 F.round(F.avg(F.when(~F.col("has"), F.col("r"))), 6).alias("mean_rating_unknown"))
     med = quantiles(d.where("has").select(F.lit("x").alias("k"), "nr"), "k", "nr", [0.5])
-    return agg.crossJoin(med.select(F.round("q", 6).alias("median_reviews"))).select(
+    return agg.withColumn("median_reviews", F.round(med.select("q").scalar(), 6)).select(
         "with_reviews", F.round(F.lit(100.0) * F.col("with_reviews") / F.col("n"), 6)
         .alias("with_reviews_pct"), "median_reviews", "max_reviews", "mean_rating_known",
         "mean_rating_unknown")
@@ -266,16 +272,16 @@ def text_lengths(raw: DataFrame, columns: list[str], blank=None, sample_chars: i
 def category_report(raw: DataFrame, column: str, top: int = 15, cut: int = 100) -> DataFrame:
     """Coverage, distinct count and the ``top`` most common values (cut to ``cut`` chars)."""
     keep = ~blank_v2(column)
-    n_total = raw.select(F.count("*").alias("n_total"))
+    n_total = raw.select(F.count("*")).scalar()      # scalar subquery
     freq = raw.where(keep).select(F.lit(column).alias("field"),
                                   F.col(column).cast("string").alias("value")) \
               .groupBy("field", "value").agg(F.count("*").alias("n"))
     summary = freq.groupBy("field").agg(F.count("*").alias("n_distinct"),
                                          F.sum("n").cast("bigint").alias("covered"))
-    return (_ranked(freq, top).join(summary, "field").crossJoin(n_total)
+    return (_ranked(freq, top).join(summary, "field")
             .select("field", F.col("rank").cast("bigint").alias("rank"),
                     F.substring("value", 1, cut).alias("value"), "n", "covered",
-                    F.round(F.lit(100.0) * F.col("covered") / F.col("n_total"), 6).alias("coverage_pct"),
+                    F.round(F.lit(100.0) * F.col("covered") / n_total, 6).alias("coverage_pct"),
                     "n_distinct"))
 
 
@@ -289,8 +295,8 @@ def url_coverage(raw: DataFrame, columns: list[str], cut: int = 130) -> DataFram
                  .alias(f"s{i}")]
     wide = raw.agg(*aggs)
     long = _stack(wide, [(c, [f"n{i}", f"s{i}"]) for i, c in enumerate(columns)],
-                  ["field", "rows", "sample"])
-    return long.crossJoin(wide.select("_n")).select(
+                  ["field", "rows", "sample"], keep=["_n"])
+    return long.select(
         "field", F.col("rows").cast("bigint").alias("rows"),
         F.round(F.lit(100.0) * F.col("rows") / F.col("_n"), 6).alias("pct"), "sample")
 
@@ -302,8 +308,8 @@ def id_integrity(raw: DataFrame, columns: list[str]) -> DataFrame:
         aggs += [F.count_distinct(c).alias(f"d{i}"), F.count_if(F.col(c).isNull()).alias(f"z{i}")]
     wide = raw.agg(*aggs)
     long = _stack(wide, [(c, [f"d{i}", f"z{i}"]) for i, c in enumerate(columns)],
-                  ["field", "n_distinct", "n_null"])
-    return long.crossJoin(wide.select(F.col("_n").alias("n_rows"))).select(
+                  ["field", "n_distinct", "n_null"], keep=[F.col("_n").alias("n_rows")])
+    return long.select(
         "field", "n_rows", F.col("n_distinct").cast("bigint").alias("n_distinct"),
         (F.col("n_distinct") == F.col("n_rows")).alias("is_unique"),
         F.col("n_null").cast("bigint").alias("n_null"))

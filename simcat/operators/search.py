@@ -122,21 +122,27 @@ def n_blocks_for(n_rows: int, block_rows: int) -> int:
 
 def topk(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpec = PRODUCT_RANK,
          block_rows: int = 2048, n_queries: int | None = None,
-         n_corpus: int | None = None) -> DataFrame:
+         n_corpus: int | None = None, max_broadcast_queries: int = 2048) -> DataFrame:
     """Exact top-k of ``corpus`` rows for every row of ``queries`` (both carry feature lists).
 
-    Returns (query_id, rank, id, score, carried columns), ``rank`` from 1.
+    Up to ``max_broadcast_queries`` queries (a checked count) are broadcast and
+    every corpus partition is scored where it lies; more queries use the
+    blocked ``cogroup`` plan.  Returns (query_id, rank, id, score, carried
+    columns), ``rank`` from 1.
     """
     spark = queries.sparkSession
     schema = _result_schema(spec)
     if k <= 0:
         return spark.createDataFrame([], schema).withColumn("rank", F.lit(1).cast("bigint")).limit(0)
-    nq = n_queries if n_queries is not None else queries.count()
-    nc = n_corpus if n_corpus is not None else corpus.count()
-    gq, gc = n_blocks_for(nq, block_rows), n_blocks_for(nc, block_rows)
     need = [spec.id_col, spec.keys_col, spec.vals_col]
     cand_cols = list(dict.fromkeys(need + [c for c in spec.carry]
                                    + [c for c, _, _ in spec.tiebreak]))
+    nq = n_queries if n_queries is not None else queries.count()
+    if nq <= max_broadcast_queries:
+        return _topk_broadcast(queries.select(*need), corpus.select(*cand_cols), k, spec,
+                               block_rows, max_broadcast_queries)
+    nc = n_corpus if n_corpus is not None else corpus.count()
+    gq, gc = n_blocks_for(nq, block_rows), n_blocks_for(nc, block_rows)
     # fresh aliases: both sides may come from the same DataFrame
     q = (queries.select(*[F.col(x).alias(x) for x in need])
          .withColumn("qb", _block_of(spec.id_col, gq))
@@ -153,6 +159,24 @@ def topk(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpec = PRODUCT
     return rank_final(partial, k, spec)
 
 
+def _topk_broadcast(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpec,
+                    block_rows: int, limit: int) -> DataFrame:
+    qpdf = queries.limit(limit + 1).toPandas()
+    if len(qpdf) > limit:        # the count was stale: never broadcast an unchecked size
+        raise ValueError("query set larger than the broadcast bound")
+    bq = corpus.sparkSession.sparkContext.broadcast(qpdf)
+
+    def score(batches):
+        q = bq.value
+        for cpdf in batches:
+            for start in range(0, len(cpdf), block_rows):
+                part = block_topk(q, cpdf.iloc[start:start + block_rows], k, spec)
+                if len(part):
+                    yield part
+    partial = corpus.mapInPandas(score, _result_schema(spec))
+    return rank_final(partial, k, spec)
+
+
 def order_columns(spec: RankSpec):
     cols = [F.col("score").desc()]
     for col, order, fill in spec.tiebreak:
