@@ -272,17 +272,18 @@ def text_lengths(raw: DataFrame, columns: list[str], blank=None, sample_chars: i
 def category_report(raw: DataFrame, column: str, top: int = 15, cut: int = 100) -> DataFrame:
     """Coverage, distinct count and the ``top`` most common values (cut to ``cut`` chars)."""
     keep = ~blank_v2(column)
-    n_total = raw.select(F.count("*")).scalar()      # scalar subquery
-    freq = raw.where(keep).select(F.lit(column).alias("field"),
-                                  F.col(column).cast("string").alias("value")) \
-              .groupBy("field", "value").agg(F.count("*").alias("n"))
-    summary = freq.groupBy("field").agg(F.count("*").alias("n_distinct"),
-                                         F.sum("n").cast("bigint").alias("covered"))
-    return (_ranked(freq, top).join(summary, "field")
-            .select("field", F.col("rank").cast("bigint").alias("rank"),
-                    F.substring("value", 1, cut).alias("value"), "n", "covered",
-                    F.round(F.lit(100.0) * F.col("covered") / n_total, 6).alias("coverage_pct"),
-                    "n_distinct"))
+    n_total = raw.select(F.count("*")).scalar()      # scalar subqueries, merged by Catalyst
+    freq = raw.where(keep).select(F.col(column).cast("string").alias("value")) \
+              .groupBy("value").agg(F.count("*").alias("n"))
+    covered = freq.select(F.sum("n")).scalar()
+    n_distinct = freq.select(F.count("*")).scalar()
+    ranked = _ranked(freq.withColumn("field", F.lit(column)), top)
+    return ranked.select(
+        "field", F.col("rank").cast("bigint").alias("rank"),
+        F.substring("value", 1, cut).alias("value"), "n",
+        covered.cast("bigint").alias("covered"),
+        F.round(F.lit(100.0) * covered / n_total, 6).alias("coverage_pct"),
+        n_distinct.alias("n_distinct"))
 
 
 def url_coverage(raw: DataFrame, columns: list[str], cut: int = 130) -> DataFrame:
