@@ -5,8 +5,8 @@ product: (term_idx array, weight array).  Every pass is one Spark job:
 
 * ``A Z``      is computed inside each task from a broadcast Z (terms x l, bounded
   by the vocabulary size and the component count), and
-* its Gram matrix ``(AZ)^T (AZ)`` (l x l) or ``A^T Q`` (terms x l) is emitted as
-  partial sums and added up by a Spark aggregation (map-side combine).
+* ``A^T (AZ)`` (terms x l) and the Gram matrix ``(AZ)^T (AZ)`` (l x l) are emitted
+  together as partial sums and added up by a Spark aggregation (map-side combine).
 
 So the driver only ever holds terms x l and l x l matrices.  Power iterations
 re-orthonormalise with an eigen-decomposition of the Gram matrix, which is
@@ -87,27 +87,23 @@ def fit_svd(weights: DataFrame, model, k: int, cfg, id_col: str = "product_id")
     rng = np.random.default_rng(cfg.svd_seed)
     z = rng.standard_normal((n_terms, l))
     for _ in range(cfg.svd_power_iters + 1):
+        # One pass gives both A^T Y and Y^T Y for Y = A Z.  With Y^T Y = U L U^T and
+        # Q = Y U L^-1/2 (orthonormal), A^T Q = (A^T Y) U L^-1/2 is formed on the driver.
         bz = sc.broadcast(z)
+        width = z.shape[1]
 
-        def gram(pdf, bz=bz):
+        def both(pdf, bz=bz, width=width):
             lens, r, c, v = _row_block(pdf, n_terms)
             y = _times(r, c, v, len(pdf), bz.value)
-            return y.T @ y
-        g = _sum_matrix(rows, gram, (z.shape[1], z.shape[1]))
+            aty = np.zeros((n_terms, width))
+            np.add.at(aty, c, v[:, None] * y[r])
+            return np.vstack([aty, y.T @ y])
+        m = _sum_matrix(rows, both, (n_terms + width, width))
+        aty, g = m[:n_terms], m[n_terms:]
         lam, u = np.linalg.eigh(g)
         keep = lam > lam.max() * 1e-12 if lam.max() > 0 else np.zeros_like(lam, bool)
-        rinv = u[:, keep] / np.sqrt(lam[keep])
-        brinv = sc.broadcast(rinv)
-
-        def atq(pdf, bz=bz, brinv=brinv):
-            lens, r, c, v = _row_block(pdf, n_terms)
-            q = _times(r, c, v, len(pdf), bz.value) @ brinv.value
-            out = np.zeros((n_terms, q.shape[1]))
-            np.add.at(out, c, v[:, None] * q[r])
-            return out
-        z = _sum_matrix(rows, atq, (n_terms, rinv.shape[1]))
+        z = aty @ (u[:, keep] / np.sqrt(lam[keep]))
         bz.unpersist()
-        brinv.unpersist()
     # B = Q^T A = z^T (l' x terms); its right singular vectors span the row space
     _, s, vt = np.linalg.svd(z.T, full_matrices=False)
     comps = vt[:k]
