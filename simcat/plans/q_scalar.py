@@ -139,3 +139,48 @@ def q_ngrams(spark, sf_dir):
                     F.try_element_at(g, F.lit(-1)).alias("last_gram"),
                     F.aggregate(g, F.lit(0).cast("bigint"),
                                 lambda acc, x: acc + F.length(x)).alias("gram_chars")))
+
+
+# ------------------------------------------------------------------ driver tables beyond the catalogue
+@register("malformed_count", O.with_views(
+    "SELECT CAST(count_if(json_valid(trim(props)) AND json_type(trim(props)) = 'OBJECT') AS BIGINT)"
+    " AS good_lines, CAST(count_if(NOT coalesce(json_valid(trim(props)) AND json_type(trim(props)) ="
+    " 'OBJECT', false)) AS BIGINT) AS skipped_lines FROM events"))
+def q_malformed_count(spark, sf_dir):
+    """Every events.props text through the record parser: parsed vs skipped."""
+    from simcat.sources.ldjson import malformed_count, parse_records
+    ev = read_table(spark, sf_dir, "events").select("props")
+    return malformed_count(parse_records(ev, "props", ["k"]))
+
+
+@register("parse_dict_events", O.with_views(
+    f"SELECT event_id, {O.category_key('props')} AS dict_key, {O.category_rank('props')} AS dict_rank"
+    f" FROM events"))
+def q_parse_dict_events(spark, sf_dir):
+    return read_table(spark, sf_dir, "events").select(
+        "event_id", P.category_key("props").alias("dict_key"), P.category_rank("props").alias("dict_rank"))
+
+
+@register("log1p_safe_customer", O.with_views(
+    "SELECT c_custkey, round(CASE WHEN c_acctbal IS NOT NULL THEN ln(1.0::DOUBLE + greatest(c_acctbal,"
+    " 0.0::DOUBLE)) END, 6) AS log_acctbal FROM customer"))
+def q_log1p_safe_customer(spark, sf_dir):
+    """log1p with negatives clamped to 0 (account balances go below zero)."""
+    from simcat.operators.features import log1p_safe
+    return read_table(spark, sf_dir, "customer").select(
+        "c_custkey", F.round(log1p_safe("c_acctbal"), 6).alias("log_acctbal"))
+
+
+@register("median_by_group", O.with_views(
+    "SELECT event_type, CAST(count(value) AS BIGINT) AS n, round(median(value), 6) AS median_value,"
+    " round(quantile_cont(value, 0.95), 6) AS p95_value FROM events WHERE value IS NOT NULL"
+    " GROUP BY event_type"))
+def q_median_by_group(spark, sf_dir):
+    """Exact median and 95th percentile of events.value per event type (histogram passes)."""
+    from simcat.operators.quantiles import quantiles
+    ev = read_table(spark, sf_dir, "events").select("event_type", "value").where(F.col("value").isNotNull())
+    q = quantiles(ev, "event_type", "value", [0.5, 0.95])
+    wide = q.groupBy("event_type").pivot("p", [0.5, 0.95]).agg(F.first("q")).toDF("event_type", "q50", "q95")
+    n = ev.groupBy("event_type").agg(F.count("value").alias("n"))
+    return n.join(wide, "event_type").select("event_type", "n", F.round("q50", 6).alias("median_value"),
+                                             F.round("q95", 6).alias("p95_value"))

@@ -63,6 +63,18 @@ def parse_lines(text: DataFrame, columns: list[str]) -> DataFrame:
     return out
 
 
+def parse_records(df: DataFrame, text_col: str, columns: list[str]) -> DataFrame:
+    """JSON-object text in any column -> all-string fields plus ``_corrupt_record``."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
+                          + [T.StructField(CORRUPT, T.StringType())])
+    r = F.from_json(F.trim(F.col(text_col)), schema,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return df.withColumn("_r", r).select(
+        "*", *[F.col(f"_r.{c}").alias(c) for c in columns],
+        F.when(F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull(), F.col(text_col))
+         .alias(CORRUPT)).drop("_r")
+
+
 def malformed_count(df_with_corrupt: DataFrame) -> DataFrame:
     """One row: good and skipped (malformed) line counts."""
     return df_with_corrupt.agg(
