@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from simcat.functions import parsers as P
 
@@ -87,13 +88,13 @@ def filter_valid_id(df: DataFrame) -> DataFrame:
 def dedup_first(df: DataFrame, key: str = "product_id", order: str = "src_seq") -> DataFrame:
     """Keep the first row per key in source order.
 
-    ``min_by(row, order)`` per key is an aggregate with a map-side partial step:
-    a key with millions of copies (a third of the table) is reduced to one row
-    per map task before the shuffle, so no task receives the hot key whole.
+    ``row_number() = 1`` per key: Catalyst plans it as a partial group limit
+    (``WindowGroupLimit ... Partial``) inside each map task, then the shuffle on
+    the key, then the final limit.  A key with millions of copies (a third of the
+    table) therefore sends one row per map task, never the whole group.
     """
-    others = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*others), F.col(order)).alias("_first")
-    return df.groupBy(key).agg(first).select(key, "_first.*")
+    w = Window.partitionBy(key).orderBy(F.col(order).asc())
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def normalise(raw: DataFrame, weight_sentinel: float = 1_000_000.0,
@@ -101,8 +102,8 @@ def normalise(raw: DataFrame, weight_sentinel: float = 1_000_000.0,
     """Full cleaning: rename, parse, drop id-less rows, keep the first row per id.
 
     Parsing runs where the rows are (no shuffle); the only shuffle is the
-    keep-first aggregation on the id, which leaves the table hash-partitioned
-    by ``product_id`` for the per-product aggregations that follow.
+    keep-first window on the id, which leaves the table hash-partitioned by
+    ``product_id`` for the per-product aggregations that follow.
     """
     out = dedup_first(filter_valid_id(clean_columns(project_canonical(raw), weight_sentinel)))
     cols = PRODUCT_COLUMNS + (["src_seq"] if keep_seq else [])

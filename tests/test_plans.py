@@ -14,8 +14,8 @@ def plan(df) -> str:
 def test_dedup_is_partially_aggregated_before_shuffle(spark):
     from simcat.plans.q_features import products
     p = plan(products(spark, SF))
-    assert "partial_min_by" in p
-    assert p.index("partial_min_by") > p.index("Exchange hashpartitioning(product_id")
+    assert "WindowGroupLimit" in p and "row_number(), 1, Partial" in p
+    assert p.index("row_number(), 1, Partial") > p.index("Exchange hashpartitioning(product_id")
 
 
 def test_basket_scan_is_pruned(spark):
