@@ -30,7 +30,11 @@ def cosine(a, b) -> Column:
 
 
 def l2_normalise(a) -> Column:
-    """Scale to unit length; an all-zero vector stays zero."""
+    """Scale to unit length; an all-zero vector stays zero.
+
+    The norm is an argument of ``zip_with`` (evaluated once per row), not an
+    expression inside the per-element lambda (which would re-run it per element).
+    """
     a = as_double_array(a)
-    n = norm(a)
-    return F.transform(a, lambda x: F.when(n == 0, x).otherwise(x / n))
+    return F.zip_with(a, F.array_repeat(norm(a), F.size(a)),
+                      lambda x, n: F.when(n == 0, x).otherwise(x / n))

@@ -208,8 +208,8 @@ def numeric_vector(model: FeatureModel) -> Column:
 
 
 def _unit(arr: Column) -> Column:
-    n = F.sqrt(F.aggregate(arr, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(arr, lambda x: F.when(n == 0, x).otherwise(x / n))
+    from simcat.functions.vectors import l2_normalise
+    return l2_normalise(arr)
 
 
 def transform(products: DataFrame, model: FeatureModel, text_weights: DataFrame | None = None,
@@ -231,13 +231,14 @@ def transform(products: DataFrame, model: FeatureModel, text_weights: DataFrame
     base = products.select(
         "product_id", *[c for c in DISPLAY_COLUMNS if c != "product_id"],
         category_tokens().alias("cat_tokens"),
-        _unit(numeric_vector(model)).alias("num_vec"),
+        numeric_vector(model).alias("_num_raw"),
         (~all_missing).alias("has_numeric"),
         (F.when(F.col("brand").isin(*brand_set), F.col("brand")) if brand_set
          else F.lit(None).cast("string")).alias("brand_top"),
         (F.array_sort(F.array_distinct(F.filter("colour_tokens", lambda t: t.isin(*colour_set))))
          if colour_set else F.array().cast("array<string>")).alias("colour_top"),
     )
+    base = base.withColumn("num_vec", _unit(F.col("_num_raw"))).drop("_num_raw")
     out = base.join(text, "product_id", "left")
     if model.svd is not None:
         has_text = F.col("text_vec").isNotNull()

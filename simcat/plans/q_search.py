@@ -77,13 +77,12 @@ EMB_RANK = S.RankSpec(id_col="vec_id", id_type="bigint", tiebreak=(), carry=("la
 
 def embedding_features(spark, sf_dir):
     """Each vector as a feature list ("e:<dim>" -> unit-normalised value)."""
+    from simcat.functions.vectors import l2_normalise
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
-    v = F.col("embedding").cast("array<double>")
-    n = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-    unit = F.transform(v, lambda x: F.when(n == 0, x).otherwise(x / n))
-    return e.select("vec_id", "label",
-                    F.transform(unit, lambda x, i: F.concat(F.lit("e:"), i.cast("string"))).alias("ekeys"),
-                    unit.alias("evals"))
+    u = e.select("vec_id", "label", l2_normalise("embedding").alias("evals"))
+    return u.select("vec_id", "label",
+                    F.transform("evals", lambda x, i: F.concat(F.lit("e:"), i.cast("string"))).alias("ekeys"),
+                    "evals")
 
 
 _EMB_SQL = """WITH u AS (SELECT vec_id, label, CASE WHEN nrm = 0 THEN e ELSE list_transform(e, lambda x: x / nrm) END AS e
