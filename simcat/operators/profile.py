@@ -257,10 +257,12 @@ def text_lengths(raw: DataFrame, columns: list[str], blank=None, sample_chars: i
         F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"),
                  blank(c).alias("is_blank")) for c in columns])).alias("s")) \
         .select("src_seq", "s.*").where(~F.col("is_blank"))
-    long = long.withColumn("words", TX.word_count("value").cast("double"))
+    # one pass over the whole texts; the later passes read this narrow table
+    from simcat.session import materialise
+    long = materialise(long.select("field", "src_seq", TX.word_count("value").cast("double").alias("words"),
+                                   F.substring("value", 1, sample_chars).alias("value")))
     summary = long.groupBy("field").agg(
-        F.count("*").alias("non_blank"),
-        F.substring(F.min_by("value", "src_seq"), 1, sample_chars).alias("sample"))
+        F.count("*").alias("non_blank"), F.min_by("value", "src_seq").alias("sample"))
     qs = quantiles(long, "field", "words", [0.5, 0.95])
     qw = qs.groupBy("field").pivot("p", [0.5, 0.95]).agg(F.first("q")).toDF("field", "q50", "q95")
     qw = qw.select("field", F.floor(F.col("q50") + F.lit(1e-9)).cast("bigint").alias("median_words"),

@@ -225,6 +225,35 @@ def similar_one(features: DataFrame, product_id: str, k: int = 10,
     return similar(features, ids, k, spec)
 
 
+BACKENDS = ("exact", "ann")
+
+
+def validate_request(k: int, backend: str, max_k: int = 100) -> None:
+    """Request rules of the lookup service: 1 <= k <= max_k and a known backend."""
+    if backend not in BACKENDS:
+        raise ValueError(f"unknown backend {backend!r}; expected one of {BACKENDS}")
+    if not 1 <= k <= max_k:
+        raise ValueError(f"num_similar must be between 1 and {max_k}")
+
+
+def search(features: DataFrame, query_ids: DataFrame, k: int = 10, backend: str = "exact",
+           ann_index=None, nprobe: int = 8, spec: RankSpec = PRODUCT_RANK,
+           max_k: int | None = 100) -> DataFrame:
+    """Top-k for the requested ids with the chosen backend.
+
+    ``backend="ann"`` without an index falls back to exact search.  ``max_k=None``
+    lifts the service's k range (the core accepts any k; k <= 0 gives no rows).
+    """
+    if max_k is not None:
+        validate_request(k, backend, max_k)
+    elif backend not in BACKENDS:
+        raise ValueError(f"unknown backend {backend!r}")
+    if backend == "ann" and ann_index is not None:
+        from simcat.operators import ann as A
+        return A.search(lookup(features, query_ids, spec.id_col), ann_index, k, nprobe)
+    return similar(features, query_ids, k, spec)
+
+
 def ids_only(results: DataFrame, id_col: str = "product_id") -> DataFrame:
     """(query_id, ids array ordered by rank)."""
     return results.groupBy("query_id").agg(

@@ -232,15 +232,26 @@ def q_sample_ids(spark, sf_dir):
         "product_id", F.substring("product_name", 1, 80).alias("product_name"))
 
 
-@register("index_stats")
+def _index_stats_sql():
+    from simcat.plans.q_features import fsql
+    return fsql("""SELECT CAST(count(*) AS BIGINT) AS n_products,
+  CAST((SELECT count(DISTINCT t) FROM (SELECT unnest(cat_tokens) AS t FROM feats) u)
+       + (SELECT count(*) FROM vocab) + 14 + (SELECT count(*) FROM brands)
+       + (SELECT count(*) FROM colours) AS BIGINT) AS n_dimensions,
+  CAST(greatest(2, least(round(sqrt(count(*))), count(*))) AS BIGINT) AS ann_cells,
+  true AS ann_ready FROM feats""")
+
+
+@register("index_stats", _index_stats_sql)
 def q_index_stats(spark, sf_dir):
+    """Products, width of the concatenated feature vector, ANN cells."""
     f, model = built(spark, sf_dir)
     idx = _ann(spark, sf_dir)
     dims = model.block_dims()
-    return f.agg(F.count("*").alias("n_products"),
-                 F.countDistinct(F.explode("fkeys")) if False else F.lit(None).alias("_x")).select(
-        "n_products",
-        F.lit(int(sum(v for v in dims.values() if v))).cast("bigint").alias("n_dense_dims"),
+    fixed = sum(v for b, v in dims.items() if b != "category" and v)
+    cat_dims = f.select(F.explode("cat_tokens").alias("t")).select(F.count_distinct("t")).scalar()
+    return f.agg(F.count("*").alias("n_products")).select(
+        "n_products", (cat_dims + F.lit(fixed)).cast("bigint").alias("n_dimensions"),
         F.lit(len(idx.centers)).cast("bigint").alias("ann_cells"),
         F.lit(True).alias("ann_ready"))
 
