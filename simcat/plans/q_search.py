@@ -178,7 +178,20 @@ def q_svd_explained(spark, sf_dir):
         F.round(F.lit(svd.explained_variance_ratio if svd else 1.0), 6).alias("explained_variance"))
 
 
-@register("features")
+def _features_sql():
+    from simcat.plans.q_features import fsql
+    effs = ", ".join(f"round(eff_{b}, 6) AS eff_{b}" for b in ("category", "text", "numeric", "brand", "colour"))
+    return fsql(f"""SELECT product_id, CAST(
+    (CASE WHEN eff_category > 0 THEN len(cat_tokens) ELSE 0 END)
+  + (CASE WHEN eff_text > 0 THEN (SELECT count(*) FROM tfidf t WHERE t.product_id = f.product_id
+                                  AND t.w <> 0) ELSE 0 END)
+  + (CASE WHEN eff_numeric > 0 THEN len(list_filter(num_vec, lambda x: x <> 0)) ELSE 0 END)
+  + (CASE WHEN eff_brand > 0 THEN 1 ELSE 0 END)
+  + (CASE WHEN eff_colour > 0 THEN len(colour_top) ELSE 0 END) AS BIGINT) AS n_features, {effs}
+FROM feats f""")
+
+
+@register("features", _features_sql)
 def q_features(spark, sf_dir):
     """The feature table: one row per product with its scaled sparse feature list size."""
     f, _ = built(spark, sf_dir)
@@ -222,7 +235,9 @@ def q_recall_at_k(spark, sf_dir):
     return A.recall_at_k(ex, ap, n, K)
 
 
-@register("sample_ids")
+@register("sample_ids", lambda: O.with_views(
+    "SELECT product_id, substr(product_name, 1, 80) AS product_name FROM products WHERE product_id IN "
+    "(SELECT product_id FROM products ORDER BY md5('42:' || product_id), product_id LIMIT 20)"))
 def q_sample_ids(spark, sf_dir):
     """20 products in seeded hash order, name cut at 80 characters."""
     from simcat.operators import ann as A
