@@ -112,6 +112,23 @@ def block_topk(q: pd.DataFrame, c: pd.DataFrame, k: int, spec: RankSpec) -> pd.D
     return pd.DataFrame(res)[out_cols]
 
 
+def merge_topk(a: pd.DataFrame, b: pd.DataFrame, k: int, spec: RankSpec) -> pd.DataFrame:
+    """Best ``k`` rows per query of two partial results, under the ranking order."""
+    both = pd.concat([a, b], ignore_index=True)
+    keys = []
+    _, id_rank = np.unique(both[spec.id_col].to_numpy().astype(object), return_inverse=True)
+    keys.append(id_rank)
+    for col, order, fill in reversed(spec.tiebreak):
+        v = pd.to_numeric(both[col], errors="coerce").to_numpy(dtype=np.float64)
+        v = np.where(np.isnan(v), fill, v)
+        keys.append(-v if order == "desc" else v)
+    keys.append(-both["score"].to_numpy(dtype=np.float64))
+    _, q_rank = np.unique(both["query_id"].to_numpy().astype(object), return_inverse=True)
+    keys.append(q_rank)
+    both = both.iloc[np.lexsort(keys)]
+    return both[both.groupby("query_id", sort=False).cumcount() < k]
+
+
 def _block_of(id_col: str, n_blocks: int):
     return F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_blocks)).cast("int")
 
@@ -167,12 +184,17 @@ def _topk_broadcast(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpe
     bq = corpus.sparkSession.sparkContext.broadcast(qpdf)
 
     def score(batches):
+        # a running top-k per query across all blocks of this task: the task
+        # emits at most (queries x k) rows whatever the partition size
         q = bq.value
+        best = None
         for cpdf in batches:
             for start in range(0, len(cpdf), block_rows):
                 part = block_topk(q, cpdf.iloc[start:start + block_rows], k, spec)
                 if len(part):
-                    yield part
+                    best = part if best is None else merge_topk(best, part, k, spec)
+        if best is not None and len(best):
+            yield best
     partial = corpus.mapInPandas(score, _result_schema(spec))
     return rank_final(partial, k, spec)
 
