@@ -53,3 +53,16 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows round-robin over the cores when ``df`` has fewer partitions than cores.
+
+    For small inputs (one file, or a table that adaptive execution coalesced)
+    ahead of CPU-heavy per-row work.  Large inputs already have many partitions
+    and are returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

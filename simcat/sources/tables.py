@@ -17,7 +17,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
     """
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
+        from simcat.session import spread as _spread
+        df = _spread(df)
     return df
