@@ -288,20 +288,21 @@ def with_feature_list(feat: DataFrame, model: FeatureModel) -> DataFrame:
 
 
 def build_features(products: DataFrame, cfg: Config = Config(), materialise_inputs: bool = True,
-                   with_features: bool = True):
+                   with_features: bool = True, tf: DataFrame | None = None):
     """Fit and transform in one go: returns (features DataFrame, model).
 
     The product table and its term counts feed several aggregations, so they are
-    written once to the shared checkpoint folder rather than recomputed.
+    written once to the shared checkpoint folder rather than recomputed (pass
+    ``materialise_inputs=False`` and ``tf`` when the caller already holds them).
     """
     from simcat.session import materialise
     if materialise_inputs:
         products = materialise(products)
-    tf = term_counts(products)
-    if materialise_inputs:
-        tf = materialise(tf)
+    if tf is None:
+        tf = term_counts(products)
+        if materialise_inputs:
+            tf = materialise(tf)
     model = fit(products, cfg, tf=tf)
     feats = transform(products, model, tfidf(tf, model), with_features=with_features)
-    if materialise_inputs:
-        feats = materialise(feats)
+    feats = materialise(feats)
     return feats, model

@@ -21,10 +21,22 @@ def products(spark, sf_dir):
     return memo(spark, ("products", sf_dir), lambda: N.normalise(catalog_raw(spark, sf_dir)))
 
 
+def checkpointed_inputs(spark, sf_dir):
+    """Cleaned products and their term counts, checkpointed once per session (any config)."""
+    from simcat.session import materialise
+
+    def make():
+        p = materialise(products(spark, sf_dir))
+        return p, materialise(FT.term_counts(p))
+    return memo(spark, ("inputs", sf_dir), make)
+
+
 def built(spark, sf_dir, cfg=CFG_RAW, features=True):
     """Products -> fitted model -> feature table (checkpointed), once per session and config."""
-    return memo(spark, ("features", sf_dir, repr(cfg)),
-                lambda: FT.build_features(products(spark, sf_dir), cfg))
+    def make():
+        p, tf = checkpointed_inputs(spark, sf_dir)
+        return FT.build_features(p, cfg, materialise_inputs=False, tf=tf)
+    return memo(spark, ("features", sf_dir, repr(cfg)), make)
 
 
 def fsql(body: str, cfg: Config = CFG_RAW) -> str:
