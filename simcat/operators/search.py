@@ -85,7 +85,10 @@ def block_topk(q: pd.DataFrame, c: pd.DataFrame, k: int, spec: RankSpec) -> pd.D
     qid = q[spec.id_col].to_numpy()
     cid = c[spec.id_col].to_numpy()
     if spec.exclude_self:
-        r = np.where(qid[:, None] == cid[None, :], -np.inf, r)
+        # position of each query inside this candidate block (ids are unique)
+        own = pd.Index(cid).get_indexer(qid)
+        hit = own >= 0
+        r[np.flatnonzero(hit), own[hit]] = -np.inf
     kk = min(k, r.shape[1])
     thr = -np.partition(-r, kk - 1, axis=1)[:, kk - 1]
     qi, ci = np.nonzero((r >= thr[:, None]) & np.isfinite(r))
