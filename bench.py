@@ -54,12 +54,14 @@ def main() -> None:
     for name, fn in steps:
         run(name, fn, sf_dir)
     n = products(spark, sf_dir).count()
+    recall = qs["recall_at_k"].build(spark, sf_dir).first()["recall"]
     total = round(sum(times.values()), 3)
     print(json.dumps({
         "metric": "total_seconds", "value": total, "unit": "sec", "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "products": n,
         "knn_all_ms_per_product": round(1000.0 * times["knn_all"] / max(n, 1), 3),
+        "recall_at_10": recall,
     }))
 
 

@@ -211,7 +211,7 @@ def _ann(spark, sf_dir, cfg=CFG_RAW):
 
 @register("topk_ann", headline=True)
 def q_topk_ann(spark, sf_dir):
-    """Approximate top-10 for the basket: probe 8 nearest cells, rescore exactly."""
+    """Approximate top-10 for the basket: probe the nearest cells, rescore exactly."""
     from simcat.operators import ann as A
     f = _features(spark, sf_dir)
     idx = _ann(spark, sf_dir)
