@@ -50,15 +50,28 @@ def _row_block(pdf: pd.DataFrame, n_terms: int):
     return lens, rows, cols, vals
 
 
-def _times(rows, cols, vals, n_rows, z):
-    """(sparse batch) @ z."""
-    out = np.zeros((n_rows, z.shape[1]))
-    np.add.at(out, rows, vals[:, None] * z[cols])
-    return out
+CHUNK_ROWS = 512
+
+
+def _dense_chunks(pdf: pd.DataFrame, n_terms: int, size: int = CHUNK_ROWS):
+    """The batch as dense row blocks of at most ``size`` x terms (bounded memory)."""
+    for start in range(0, len(pdf), size):
+        part = pdf.iloc[start:start + size]
+        lens, r, c, v = _row_block(part, n_terms)
+        x = np.zeros((len(part), n_terms))
+        x[r, c] = v
+        yield x
 
 
 def _sum_matrix(rows: DataFrame, fn, shape) -> np.ndarray:
-    """Run ``fn`` per batch -> partial matrices as (r, c, v); add them up in Spark."""
+    """Run ``fn`` per batch -> one partial matrix per task; add them up in Spark.
+
+    Each task emits its non-zero matrix rows as (row index, array<double>); the
+    element-wise sum runs in the JVM (``zip_with``) per row index, whose group
+    holds at most one array per task.
+    """
+    width = shape[1]
+
     def part(it):
         acc = None
         for pdf in it:
@@ -66,12 +79,17 @@ def _sum_matrix(rows: DataFrame, fn, shape) -> np.ndarray:
             acc = m if acc is None else acc + m
         if acc is None:
             return
-        r, c = np.nonzero(acc)
-        yield pd.DataFrame({"r": r.astype(np.int32), "c": c.astype(np.int32), "v": acc[r, c]})
-    parts = rows.mapInPandas(part, "r int, c int, v double")
-    tot = parts.groupBy("r", "c").agg(F.sum("v").alias("v")).toPandas()
+        nz = np.flatnonzero(np.any(acc != 0, axis=1))
+        yield pd.DataFrame({"r": nz.astype(np.int32), "v": list(acc[nz])})
+    parts = rows.mapInPandas(part, "r int, v array<double>")
+    zero = F.array_repeat(F.lit(0.0), width)
+    tot = (parts.groupBy("r")
+           .agg(F.aggregate(F.collect_list("v"), zero,
+                            lambda a, b: F.zip_with(a, b, lambda x, y: x + y)).alias("v"))
+           .toPandas())
     m = np.zeros(shape)
-    m[tot["r"].to_numpy(), tot["c"].to_numpy()] = tot["v"].to_numpy()
+    if len(tot):
+        m[tot["r"].to_numpy()] = np.stack(tot["v"].to_numpy())
     return m
 
 
@@ -93,11 +111,12 @@ def fit_svd(weights: DataFrame, model, k: int, cfg, id_col: str = "product_id")
         width = z.shape[1]
 
         def both(pdf, bz=bz, width=width):
-            lens, r, c, v = _row_block(pdf, n_terms)
-            y = _times(r, c, v, len(pdf), bz.value)
-            aty = np.zeros((n_terms, width))
-            np.add.at(aty, c, v[:, None] * y[r])
-            return np.vstack([aty, y.T @ y])
+            out = np.zeros((n_terms + width, width))
+            for x in _dense_chunks(pdf, n_terms):
+                y = x @ bz.value
+                out[:n_terms] += x.T @ y
+                out[n_terms:] += y.T @ y
+            return out
         m = _sum_matrix(rows, both, (n_terms + width, width))
         aty, g = m[:n_terms], m[n_terms:]
         lam, u = np.linalg.eigh(g)
@@ -114,13 +133,13 @@ def fit_svd(weights: DataFrame, model, k: int, cfg, id_col: str = "product_id")
     bc = sc.broadcast(comps)
 
     def moments(pdf, bc=bc):
-        lens, r, c, v = _row_block(pdf, n_terms)
-        p = _times(r, c, v, len(pdf), bc.value.T)
         m = np.zeros((4, max(n_terms, k)))
-        m[0, :k] = p.sum(axis=0)
-        m[1, :k] = (p * p).sum(axis=0)
-        np.add.at(m[2], c, v)
-        np.add.at(m[3], c, v * v)
+        for x in _dense_chunks(pdf, n_terms):
+            p = x @ bc.value.T
+            m[0, :k] += p.sum(axis=0)
+            m[1, :k] += (p * p).sum(axis=0)
+            m[2, :n_terms] += x.sum(axis=0)
+            m[3, :n_terms] += (x * x).sum(axis=0)
         return m
     mo = _sum_matrix(rows, moments, (4, max(n_terms, k)))
     proj_var = mo[1, :k] / n_docs - (mo[0, :k] / n_docs) ** 2
@@ -140,10 +159,11 @@ def project(weights: DataFrame, svd: SvdModel, id_col: str = "product_id") -> Da
     def proj(it):
         comps = bc.value
         for pdf in it:
-            lens, r, c, v = _row_block(pdf, n_terms)
-            p = _times(r, c, v, len(pdf), comps.T)
-            nrm = np.linalg.norm(p, axis=1, keepdims=True)
-            p = np.where(nrm > 0, p / np.where(nrm > 0, nrm, 1.0), p)
-            yield pd.DataFrame({id_col: pdf[id_col].values, "text_vec": list(p)})
+            for start, x in zip(range(0, len(pdf), CHUNK_ROWS), _dense_chunks(pdf, n_terms)):
+                p = x @ comps.T
+                nrm = np.linalg.norm(p, axis=1, keepdims=True)
+                p = np.where(nrm > 0, p / np.where(nrm > 0, nrm, 1.0), p)
+                ids = pdf[id_col].values[start:start + CHUNK_ROWS]
+                yield pd.DataFrame({id_col: ids, "text_vec": list(p)})
     id_type = weights.schema[id_col].dataType.simpleString()
     return rows.mapInPandas(proj, f"{id_col} {id_type}, text_vec array<double>")
