@@ -72,8 +72,8 @@ def q_median_impute(spark, sf_dir):
     row = {}
     for n, _ in FT.NUMERIC_SPECS:
         row[f"median_{n}"], row[f"mean_{n}"], row[f"scale_{n}"] = med[n], mean[n], sc[n]
-    # the statistics come from Spark jobs; one summary row per fitted model
-    return p.limit(1).select(*[F.round(F.lit(v), 6).alias(k) for k, v in row.items()])
+    # the statistics come from Spark jobs over the whole table; one summary row
+    return spark.range(1).select(*[F.round(F.lit(v), 6).alias(k) for k, v in row.items()])
 
 
 @register("missing_flags", lambda: fsql(

@@ -56,8 +56,7 @@ def q_vocabulary_documents(spark, sf_dir):
     """Terms in >= 3 documents, the 4,096 most frequent, with smooth idf."""
     m = doc_model(spark, sf_dir)
     rows = [(t, int(df), float(idf)) for t, df, idf in m.vocab]
-    tf, _ = doc_term_counts(spark, sf_dir)
-    # the vocabulary is bounded (max_features rows); join it back to a Spark frame
+    # the fitted vocabulary is bounded (max_features rows)
     v = spark.createDataFrame(rows, "term string, df bigint, idf double")
     return v.select("term", "df", F.round("idf", 6).alias("idf"))
 
