@@ -41,3 +41,15 @@ def test_missing_source_column_is_null(spark):
     df = spark.createDataFrame([("x1", "n")], "uniq_id string, product_name string")
     out = N.normalise(df).first()
     assert out["brand"] is None and out["colour_tokens"] == [] and out["is_prime"] == 0.0
+
+
+def test_keep_first_follows_file_order(spark):
+    d = tempfile.mkdtemp(prefix="simcat-test-", dir="/tmp")
+    with open(os.path.join(d, "a.ldjson"), "w") as fh:
+        fh.write('{"uniq_id": "x", "product_name": "from a"}\n{"uniq_id": "y", "product_name": "y1"}\n'
+                 '{"uniq_id": "y", "product_name": "y2"}\n')
+    with open(os.path.join(d, "b.ldjson"), "w") as fh:
+        fh.write('{"uniq_id": "x", "product_name": "from b"}\n')
+    got = {r[0]: r[1] for r in N.normalise(scan_ldjson(spark, d, COLS))
+           .select("product_id", "product_name").collect()}
+    assert got == {"x": "from a", "y": "y1"}
