@@ -73,15 +73,23 @@ def _dense(pdf: pd.DataFrame, vocab: pd.Index, spec: RankSpec) -> np.ndarray:
     return x
 
 
-def block_topk(q: pd.DataFrame, c: pd.DataFrame, k: int, spec: RankSpec) -> pd.DataFrame:
-    """Best ``k`` candidates of block ``c`` for every query of block ``q``."""
-    out_cols = [x.split(" ")[0] for x in _result_schema(spec).split(", ")]
-    if q.empty or c.empty or k <= 0:
-        return pd.DataFrame({col: [] for col in out_cols})
-    vocab = pd.Index(pd.unique(np.concatenate(
-        [np.asarray(x, dtype=object) for x in q[spec.keys_col].values] or [np.array([], object)])))
-    s = _dense(q, vocab, spec) @ _dense(c, vocab, spec).T
-    r = np.round(s, spec.score_places)
+def _out_columns(spec: RankSpec) -> list[str]:
+    return [x.split(" ")[0] for x in _result_schema(spec).split(", ")]
+
+
+def _empty(spec: RankSpec) -> pd.DataFrame:
+    return pd.DataFrame({col: [] for col in _out_columns(spec)})
+
+
+def _vocab(*frames: pd.DataFrame, spec: RankSpec) -> pd.Index:
+    keys = [np.asarray(x, dtype=object) for f in frames for x in f[spec.keys_col].values]
+    return pd.Index(pd.unique(np.concatenate(keys or [np.array([], object)])))
+
+
+def select_topk(r: np.ndarray, q: pd.DataFrame, c: pd.DataFrame, k: int,
+                spec: RankSpec) -> pd.DataFrame:
+    """Best ``k`` columns of the rounded score matrix ``r`` (queries x candidates) per row."""
+    r = r.copy()
     qid = q[spec.id_col].to_numpy()
     cid = c[spec.id_col].to_numpy()
     if spec.exclude_self:
@@ -109,10 +117,37 @@ def block_topk(q: pd.DataFrame, c: pd.DataFrame, k: int, spec: RankSpec) -> pd.D
     starts = np.repeat(first, np.diff(np.r_[first, len(qi)]))
     keep = (np.arange(len(qi)) - starts) < k
     qi, ci, score = qi[keep], ci[keep], score[keep]
+    cols = _out_columns(spec)
     res = {"query_id": qid[qi], spec.id_col: cid[ci], "score": score}
-    for col in out_cols[3:]:
+    for col in cols[3:]:
         res[col] = c[col].to_numpy()[ci]
-    return pd.DataFrame(res)[out_cols]
+    return pd.DataFrame(res)[cols]
+
+
+def block_topk(q: pd.DataFrame, c: pd.DataFrame, k: int, spec: RankSpec) -> pd.DataFrame:
+    """Best ``k`` candidates of block ``c`` for every query of block ``q``."""
+    if q.empty or c.empty or k <= 0:
+        return _empty(spec)
+    vocab = _vocab(q, spec=spec)
+    r = np.round(_dense(q, vocab, spec) @ _dense(c, vocab, spec).T, spec.score_places)
+    return select_topk(r, q, c, k, spec)
+
+
+def pair_topk(a: pd.DataFrame, b: pd.DataFrame | None, k: int, spec: RankSpec) -> pd.DataFrame:
+    """Both directions of one block pair from a single score matrix (scores are symmetric).
+
+    ``b=None`` is a diagonal pair (a block against itself).
+    """
+    if a.empty or k <= 0:
+        return _empty(spec)
+    if b is None or b.empty:
+        xa = _dense(a, _vocab(a, spec=spec), spec)
+        r = np.round(xa @ xa.T, spec.score_places)
+        return select_topk(r, a, a, k, spec)
+    vocab = _vocab(a, b, spec=spec)
+    r = np.round(_dense(a, vocab, spec) @ _dense(b, vocab, spec).T, spec.score_places)
+    return pd.concat([select_topk(r, a, b, k, spec), select_topk(r.T, b, a, k, spec)],
+                     ignore_index=True)
 
 
 def merge_topk(a: pd.DataFrame, b: pd.DataFrame, k: int, spec: RankSpec) -> pd.DataFrame:
@@ -202,6 +237,50 @@ def _topk_broadcast(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpe
     return rank_final(partial, k, spec)
 
 
+def topk_self(features: DataFrame, k: int, spec: RankSpec = PRODUCT_RANK,
+              block_rows: int = 2048, n_rows: int | None = None) -> DataFrame:
+    """Exact top-k of every row against all others (whole catalogue).
+
+    Rows are cut into g hash blocks; a row of block b joins the g groups
+    (min(b, j), max(b, j)), so only block pairs i <= j are scored and each
+    pair's score matrix serves both directions: g(g+1)/2 tasks instead of g^2,
+    and each row is shipped g times instead of 2g.
+    """
+    spark = features.sparkSession
+    if k <= 0:
+        return topk(features, features, k, spec)
+    n = n_rows if n_rows is not None else features.count()
+    g = n_blocks_for(n, block_rows)
+    cols = list(dict.fromkeys([spec.id_col, spec.keys_col, spec.vals_col] + list(spec.carry)
+                              + [c for c, _, _ in spec.tiebreak]))
+    rows = (features.select(*[F.col(x).alias(x) for x in cols])
+            .withColumn("_b", _block_of(spec.id_col, g))
+            .withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(g - 1))))
+            .withColumn("_lo", F.least("_b", "_j")).withColumn("_hi", F.greatest("_b", "_j"))
+            .drop("_j"))
+
+    def score(key, pdf):
+        lo, hi = int(key[0]), int(key[1])
+        body = pdf.drop(columns=["_lo", "_hi"])
+        if lo == hi:
+            return pair_topk(body.drop(columns=["_b"]).reset_index(drop=True), None, k, spec)
+        a = body[body["_b"] == lo].drop(columns=["_b"]).reset_index(drop=True)
+        b = body[body["_b"] == hi].drop(columns=["_b"]).reset_index(drop=True)
+        return pair_topk(a, b, k, spec)
+    partial = rows.groupBy("_lo", "_hi").applyInPandas(score, _result_schema(spec))
+    return rank_final(partial, k, spec)
+
+
+def all_pairs(features: DataFrame, k: int, spec: RankSpec = PRODUCT_RANK, block_rows: int = 2048,
+              max_broadcast_queries: int = 2048) -> DataFrame:
+    """Top-k of every row against all others: broadcast when small, symmetric blocks otherwise."""
+    n = features.count()
+    if n <= max_broadcast_queries:
+        return topk(features, features, k, spec, block_rows, n_queries=n, n_corpus=n,
+                    max_broadcast_queries=max_broadcast_queries)
+    return topk_self(features, k, spec, block_rows, n_rows=n)
+
+
 def order_columns(spec: RankSpec):
     cols = [F.col("score").desc()]
     for col, order, fill in spec.tiebreak:

@@ -57,7 +57,7 @@ def q_topk_ids(spark, sf_dir):
 def q_knn_all(spark, sf_dir):
     """Top-10 similar products for every product of the catalogue."""
     f = _features(spark, sf_dir)
-    return S.topk(f, f, K)
+    return S.all_pairs(f, K)
 
 
 CAT_ONLY = Config(svd_components=0, weights={"category": 1.0, "text": 0.0, "numeric": 0.0,
@@ -68,7 +68,7 @@ CAT_ONLY = Config(svd_components=0, weights={"category": 1.0, "text": 0.0, "nume
 def q_topk_tiebreak(spark, sf_dir):
     """Category-only weights: scores tie in large groups, so the tie-break decides."""
     f, _ = built(spark, sf_dir, CAT_ONLY)
-    return S.topk(f, f, 5)
+    return S.all_pairs(f, 5)
 
 
 EMB_RANK = S.RankSpec(id_col="vec_id", id_type="bigint", tiebreak=(), carry=("label",),
@@ -99,7 +99,7 @@ SELECT query_id, CAST(rank AS BIGINT) AS rank, vec_id, score, label FROM (
 def q_knn_embeddings(spark, sf_dir):
     """Top-10 cosine neighbours of every embedding vector."""
     e = embedding_features(spark, sf_dir)
-    return S.topk(e, e, 10, EMB_RANK)
+    return S.all_pairs(e, 10, EMB_RANK)
 
 
 # ------------------------------------------------------------------ lookups

@@ -35,6 +35,8 @@ def test_blocked_search_shape(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
     p2 = plan(S.topk(f, f, 10))
     assert "MapInPandas" in p2 and "FlatMapCoGroupsInPandas" not in p2
+    p3 = plan(S.topk_self(f, 10, block_rows=64))
+    assert "FlatMapGroupsInPandas" in p3 and "WindowGroupLimit" in p3
 
 
 @pytest.mark.parametrize("name", ["null_report", "topk_coverage", "token_stats", "category_report",
