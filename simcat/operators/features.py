@@ -87,6 +87,11 @@ def category_tokens() -> Column:
 # --------------------------------------------------------------------------
 
 def fit_numeric(products: DataFrame) -> tuple[dict, dict, dict]:
+    """(medians, means, scales); see ``fit_numeric_stats``."""
+    return fit_numeric_stats(products)[:3]
+
+
+def fit_numeric_stats(products: DataFrame) -> tuple[dict, dict, dict, int]:
     """Median of the (logged) present values per column (all missing -> 0), then the
     mean and population deviation of the imputed column (zero deviation -> 1)."""
     long = products.select(F.explode(F.array(*[
@@ -96,13 +101,14 @@ def fit_numeric(products: DataFrame) -> tuple[dict, dict, dict]:
     medians = {n: float(med.get(n, 0.0)) for n, _ in NUMERIC_SPECS}
     imputed = [F.coalesce(_numeric_raw(n, lg), F.lit(medians[n])) for n, lg in NUMERIC_SPECS]
     row = products.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(imputed)],
-                       *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(imputed)]).first()
+                       *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(imputed)],
+                       F.count("*").alias("n")).first()
     means, scales = {}, {}
     for i, (n, _) in enumerate(NUMERIC_SPECS):
         means[n] = float(row[f"m{i}"] or 0.0)
         sd = float(row[f"s{i}"] or 0.0)
         scales[n] = sd if sd > 1e-12 else 1.0
-    return medians, means, scales
+    return medians, means, scales, int(row["n"])
 
 
 def top_values(values: DataFrame, column: str, n: int) -> list:
@@ -150,13 +156,27 @@ def fit_vocabulary(tf: DataFrame, n_docs: int, min_df: int, max_features: int) -
             for r in stats.collect()]
 
 
+def fit_vocabularies(products: DataFrame, n_brands: int, n_colours: int) -> tuple[list, list]:
+    """Top brands and top colour tokens in one job (count desc, value asc)."""
+    from pyspark.sql.window import Window
+    b = (products.where(F.col("brand").isNotNull() & (F.col("brand") != ""))
+         .select(F.lit("b").alias("kind"), F.col("brand").alias("value")))
+    c = products.select(F.lit("c").alias("kind"), F.explode("colour_tokens").alias("value"))
+    freq = b.unionByName(c).groupBy("kind", "value").count()
+    w = Window.partitionBy("kind").orderBy(F.col("count").desc(), F.col("value").asc())
+    lim = F.when(F.col("kind") == "b", F.lit(n_brands)).otherwise(F.lit(n_colours))
+    top = (freq.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= lim)
+           .select("kind", "value", "rk").collect())          # at most n_brands + n_colours rows
+    pick = lambda kind: [r["value"] for r in sorted((r for r in top if r["kind"] == kind),
+                                                     key=lambda r: r["rk"])]
+    return pick("b"), pick("c")
+
+
 def fit(products: DataFrame, cfg: Config = Config(), tf: DataFrame | None = None) -> FeatureModel:
     weights = cfg.normalised_weights()
     model = FeatureModel(weights=weights)
-    model.medians, model.means, model.scales = fit_numeric(products)
-    model.brands = fit_brands(products, cfg.top_n_brands)
-    model.colours = fit_colours(products, cfg.top_n_colours)
-    model.n_docs = products.count()
+    model.medians, model.means, model.scales, model.n_docs = fit_numeric_stats(products)
+    model.brands, model.colours = fit_vocabularies(products, cfg.top_n_brands, cfg.top_n_colours)
     tf = term_counts(products) if tf is None else tf
     model.vocab = fit_vocabulary(tf, model.n_docs, cfg.tfidf_min_df, cfg.tfidf_max_features)
     if cfg.svd_components > 0 and len(model.vocab) > 1:
