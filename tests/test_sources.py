@@ -53,3 +53,18 @@ def test_keep_first_follows_file_order(spark):
     got = {r[0]: r[1] for r in N.normalise(scan_ldjson(spark, d, COLS))
            .select("product_id", "product_name").collect()}
     assert got == {"x": "from a", "y": "y1"}
+
+
+def test_dedup_with_a_hot_id(spark):
+    """One id holds a third of all rows, spread over many partitions: the earliest copy wins."""
+    n = 30_000
+    df = (spark.range(n, numPartitions=16)
+          .select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+                  .alias("product_id"),
+                  F.concat(F.lit("name "), F.col("id").cast("string")).alias("product_name"),
+                  (F.lit(n) - F.col("id")).alias("src_seq")))
+    out = N.dedup_first(df)
+    assert out.count() == 1 + (n - n // 3)
+    hot = out.where(F.col("product_id") == "hot").first()
+    # largest id divisible by 3 has the smallest src_seq
+    assert hot["product_name"] == f"name {max(i for i in range(n) if i % 3 == 0)}"
