@@ -27,6 +27,7 @@ class Config:
     # text block
     tfidf_max_features: int = 4096
     tfidf_min_df: int = 3
+    stop_words: tuple | None = None  # None -> Spark ML's English list (simcat.functions.text)
     svd_components: int = 256      # <= 0 keeps the raw TF-IDF space
     svd_seed: int = 42
     svd_oversample: int = 10

@@ -130,13 +130,15 @@ def fit_colours(products: DataFrame, n: int) -> list:
     return top_values(t, "token", n)
 
 
-def term_counts(docs: DataFrame, id_col: str = "product_id", text_col: str = "text") -> DataFrame:
+def term_counts(docs: DataFrame, id_col: str = "product_id", text_col: str = "text",
+                stop_words=None) -> DataFrame:
     """(id, term, tf) for unigrams and bigrams of each document.
 
     The aggregation is keyed by (id, term); when the input is already
     partitioned by id (as ``normalise`` leaves it) Spark adds no shuffle.
     """
-    toks = docs.select(id_col, TX.tokens(text_col).alias("_t"))
+    toks = docs.select(id_col, TX.tokens(text_col, list(stop_words) if stop_words else None)
+                       .alias("_t"))
     grams = toks.select(id_col, F.explode(TX.with_bigrams("_t")).alias("term"))
     return grams.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
 
@@ -177,7 +179,7 @@ def fit(products: DataFrame, cfg: Config = Config(), tf: DataFrame | None = None
     model = FeatureModel(weights=weights)
     model.medians, model.means, model.scales, model.n_docs = fit_numeric_stats(products)
     model.brands, model.colours = fit_vocabularies(products, cfg.top_n_brands, cfg.top_n_colours)
-    tf = term_counts(products) if tf is None else tf
+    tf = term_counts(products, stop_words=cfg.stop_words) if tf is None else tf
     model.vocab = fit_vocabulary(tf, model.n_docs, cfg.tfidf_min_df, cfg.tfidf_max_features)
     if cfg.svd_components > 0 and len(model.vocab) > 1:
         from simcat.operators.svd import fit_svd
@@ -319,7 +321,7 @@ def build_features(products: DataFrame, cfg: Config = Config(), materialise_inpu
     if materialise_inputs:
         products = materialise(products)
     if tf is None:
-        tf = term_counts(products)
+        tf = term_counts(products, stop_words=cfg.stop_words)
         if materialise_inputs:
             tf = materialise(tf)
     model = fit(products, cfg, tf=tf)

@@ -35,6 +35,8 @@ def built(spark, sf_dir, cfg=CFG_RAW, features=True):
     """Products -> fitted model -> feature table (checkpointed), once per session and config."""
     def make():
         p, tf = checkpointed_inputs(spark, sf_dir)
+        if cfg.stop_words is not None:      # the shared term counts use the default list
+            tf = None
         return FT.build_features(p, cfg, materialise_inputs=False, tf=tf)
     return memo(spark, ("features", sf_dir, repr(cfg)), make)
 

@@ -57,3 +57,16 @@ def test_cosine_bounds(spark):
                                 ([0.0, 0.0], [1.0, 1.0])], "a array<double>, b array<double>")
     got = [r[0] for r in df.select(V.cosine("a", "b")).collect()]
     assert math.isclose(got[0], 1.0) and got[1] == 0.0 and got[2] == 0.0
+
+
+def test_stop_words_parameter(spark):
+    from simcat.functions import text as TX
+    df = spark.createDataFrame([("the slim fit shirt",)], "x string")
+    assert df.select(TX.tokens("x")).first()[0] == ["slim", "fit", "shirt"]
+    assert df.select(TX.tokens("x", ["shirt"])).first()[0] == ["the", "slim", "fit"]
+
+
+def test_stop_words_equal_spark_default(spark):
+    from pyspark.ml.feature import StopWordsRemover
+    from simcat.functions.text import STOP_WORDS
+    assert STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
