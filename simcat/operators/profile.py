@@ -61,7 +61,8 @@ def null_report(raw: DataFrame, columns: list[str]) -> DataFrame:
                     pct(F.col("n_rows") - F.col("non_null")).alias("null_pct"),
                     pct(F.col("blank")).alias("blank_or_null_pct"),
                     F.col("n_rows").cast("bigint").alias("n_rows"),
-                    F.lit(len(columns)).cast("bigint").alias("n_columns")))
+                    F.lit(len(columns)).cast("bigint").alias("n_columns"))
+            .orderBy("blank_or_null_pct", "field"))                 # one row per column
 
 
 def first_values(raw: DataFrame, columns: list[str], n: int, blank) -> DataFrame:
