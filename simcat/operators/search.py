@@ -358,6 +358,14 @@ def search(features: DataFrame, query_ids: DataFrame, k: int = 10, backend: str
     return similar(features, query_ids, k, spec)
 
 
+def find_similar_products(features: DataFrame, product_id: str, num_similar: int = 10,
+                          max_k: int = 100) -> list[str]:
+    """Ids of the most similar products, best first (at most ``max_k`` reach the driver)."""
+    validate_request(num_similar, "exact", max_k)
+    rows = similar_one(features, product_id, num_similar).select("rank", "product_id").collect()
+    return [r["product_id"] for r in sorted(rows, key=lambda r: r["rank"])]
+
+
 def ids_only(results: DataFrame, id_col: str = "product_id") -> DataFrame:
     """(query_id, ids array ordered by rank)."""
     return results.groupBy("query_id").agg(
