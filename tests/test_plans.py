@@ -39,8 +39,13 @@ def test_blocked_search_shape(spark):
     assert "FlatMapGroupsInPandas" in p3 and "WindowGroupLimit" in p3
 
 
-@pytest.mark.parametrize("name", ["null_report", "topk_coverage", "token_stats", "category_report",
-                                  "knn_all", "topk_exact", "contains_ids", "rating_describe"])
-def test_no_cartesian_products(spark, name):
-    p = plan(load_all()[name].build(spark, SF))
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+def test_no_cartesian_products_or_row_udfs(spark):
+    """Every registered query: no cartesian product, no nested-loop join, no per-row Python UDF."""
+    bad = {}
+    for name, q in load_all().items():
+        p = plan(q.build(spark, SF))
+        hits = [w for w in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                            "ArrowEvalPython") if w in p]
+        if hits:
+            bad[name] = hits
+    assert bad == {}
