@@ -55,11 +55,6 @@ def _float_text(s: Column) -> Column:
     return F.when(s.rlike(FLOAT_TEXT_PATTERN), s.try_cast("double"))
 
 
-def _mean(arr: Column) -> Column:
-    total = F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)
-    return F.when(F.size(arr) > 0, total / F.size(arr))
-
-
 def parse_price(x, lenient: bool = False) -> Column:
     """Mean of every number in the text (ranges give their midpoint), commas dropped.
 

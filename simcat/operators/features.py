@@ -111,25 +111,6 @@ def fit_numeric_stats(products: DataFrame) -> tuple[dict, dict, dict, int]:
     return medians, means, scales, int(row["n"])
 
 
-def top_values(values: DataFrame, column: str, n: int) -> list:
-    """Most frequent values, count desc then value asc (a bounded ordered limit)."""
-    if n <= 0:
-        return []
-    return [r[0] for r in values.groupBy(column).count()
-            .orderBy(F.col("count").desc(), F.col(column).asc()).limit(n).collect()]
-
-
-def fit_brands(products: DataFrame, n: int) -> list:
-    b = products.select("brand").where(F.col("brand").isNotNull() & (F.col("brand") != ""))
-    return top_values(b, "brand", n)
-
-
-def fit_colours(products: DataFrame, n: int) -> list:
-    """Token counts include repeats inside a row."""
-    t = products.select(F.explode("colour_tokens").alias("token"))
-    return top_values(t, "token", n)
-
-
 def term_counts(docs: DataFrame, id_col: str = "product_id", text_col: str = "text",
                 stop_words=None) -> DataFrame:
     """(id, term, tf) for unigrams and bigrams of each document.
