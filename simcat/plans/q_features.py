@@ -191,7 +191,7 @@ def _block_stats_sql():
             ("brand", "(SELECT count(*) FROM brands)"), ("colour", "(SELECT count(*) FROM colours)")]
     w = CFG_RAW.normalised_weights()
     return fsql(" UNION ALL ".join(
-        f"SELECT '{b}' AS block, CAST({d} AS BIGINT) AS dims, round({w[b]!r}, 6) AS weight, "
+        f"SELECT '{b}' AS block, CAST({d} AS BIGINT) AS dims, round(CAST({w[b]!r} AS DOUBLE), 6) AS weight, "
         f"round(100.0::DOUBLE * avg(CAST(has_{b} AS DOUBLE)), 6) AS coverage_pct FROM feats"
         for b, d in rows))
 
