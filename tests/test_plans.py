@@ -49,3 +49,22 @@ def test_no_cartesian_products_or_row_udfs(spark):
         if hits:
             bad[name] = hits
     assert bad == {}
+
+
+def test_result_types_match_oracle(spark):
+    """Spark result types equal the DuckDB oracle's column types for every SQL-backed query."""
+    from tests.harness import duck_connection
+    con = duck_connection(SF)
+    same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN"}
+    bad = {}
+    for name, q in load_all().items():
+        if not q.sql:
+            continue
+        st = {f.name: same.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in q.build(spark, SF).schema.fields}
+        rel = con.sql(q.sql)
+        dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        if st != dt:
+            bad[name] = (st, dt)
+    assert bad == {}
