@@ -57,14 +57,14 @@ def q_split_multi(spark, sf_dir):
 
 
 @register("parse_dict", O.with_views(
-    f"SELECT src_seq, uniq_id, CAST(cardinality({O.parse_dict('sales_rank_in_parent_category')}) AS BIGINT)"
-    f" AS n_keys, array_to_string(map_keys({O.parse_dict('sales_rank_in_parent_category')}), '|') AS keys,"
+    f"SELECT src_seq, uniq_id, CAST(coalesce(cardinality({O.parse_dict('sales_rank_in_parent_category')}), 0)"
+    f" AS BIGINT) AS n_keys, array_to_string(map_keys({O.parse_dict('sales_rank_in_parent_category')}), '|') AS keys,"
     f" array_to_string(map_values({O.parse_dict('sales_rank_in_parent_category')}), '|') AS vals"
     f" FROM catalog_raw"))
 def q_parse_dict(spark, sf_dir):
     m = P.parse_dict("sales_rank_in_parent_category")
     return catalog_raw(spark, sf_dir).select(
-        "src_seq", "uniq_id", F.size(m).cast("bigint").alias("n_keys"),
+        "src_seq", "uniq_id", F.coalesce(F.size(m), F.lit(0)).cast("bigint").alias("n_keys"),
         F.array_join(F.map_keys(m), "|").alias("keys"),
         F.array_join(F.map_values(m), "|").alias("vals"))
 
