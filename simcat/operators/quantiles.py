@@ -1,140 +1,61 @@
-"""Exact quantiles without holding a whole column in one task.
+"""Exact quantiles per key, entirely in Spark.
 
-Spark's exact ``percentile`` merges every distinct value of a group into one
-buffer, which does not scale to a large continuous column.  Here each pass is
-one aggregation job that returns a bounded histogram (``buckets`` rows per
-target); the pass narrows the value range that holds the wanted rank, and once
-that range holds at most ``max_collect`` values they are fetched and the exact
-order statistic is read off.  Typical data needs two or three passes.
+Distinct values of a key are counted first (partial aggregation, so repeated values shrink before
+any exchange) and sorted over range partitions by (key, value).  The number of values before each
+partition gives every row its place in its key, and only the partitions that hold a wanted place
+are ranked.  A key may span any number of partitions, so neither a large group nor a hot key ever
+meets in one task, and no value goes through the driver.
 
-Quantiles use linear interpolation between the two neighbouring order
-statistics (numpy/pandas ``linear``; the median of an even count is the mean
-of the middle two).
+Quantiles use linear interpolation between the two neighbouring order statistics (numpy/pandas
+``linear``; the median of an even count is the mean of the middle two).  Missing values (null, NaN)
+don't count; a null key is a key of its own.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def order_statistics(values: DataFrame, key: str, value: str, ranks: dict,
-                     buckets: int = 1024, max_collect: int = 50_000,
-                     max_passes: int = 32, bounds: dict | None = None,
-                     counts: dict | None = None) -> dict:
-    """Exact values at 0-based ``ranks`` = {key_value: [rank, ...]} -> {(key, rank): value}.
-
-    ``bounds`` = {key_value: (min, max)} saves a pass when already known.
-    """
-    spark = values.sparkSession
-    base = values.select(F.col(key).alias("k"), F.col(value).cast("double").alias("v"))
-    # state per target: [key, rank, lo, hi, below]
-    pending = {}
-    for kv, rs in ranks.items():
-        for r in rs:
-            pending[(kv, r)] = None
-    if not pending:
-        return {}
-    if bounds is None:
-        bounds = {row["k"]: (row["lo"], row["hi"]) for row in
-                  base.groupBy("k").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-    state = {t: [bounds[t[0]][0], bounds[t[0]][1], 0] for t in pending if t[0] in bounds}
-    result = {}
-    # keys whose whole value set is within the bound: one Arrow fetch, no histogram
-    small = {kv for kv, n in (counts or {}).items() if n <= max_collect and kv in ranks}
-    if small:
-        pdf = base.where(F.col("k").isin(list(small))).toPandas()
-        for kv, grp in pdf.groupby("k"):
-            vs = np.sort(grp["v"].to_numpy(dtype=np.float64))
-            for r in ranks[kv]:
-                result[(kv, r)] = float(vs[r])
-                state.pop((kv, r), None)
-    for _ in range(max_passes):
-        if not state:
-            break
-        targets = [(i, t[0], t[1], s[0], s[1]) for i, (t, s) in enumerate(state.items())]
-        ids = {i: t for i, t in enumerate(state)}
-        tdf = spark.createDataFrame(
-            [(i, kv, float(lo), float(hi)) for i, kv, _, lo, hi in targets],
-            "tid int, k " + _key_type(base) + ", lo double, hi double")
-        # bounded table (one row per target): broadcast is safe
-        joined = base.join(F.broadcast(tdf), "k").where(
-            (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-        width = F.col("hi") - F.col("lo")
-        bucket = F.when(width == 0, F.lit(0)).otherwise(
-            F.least(F.lit(buckets - 1),
-                    F.floor((F.col("v") - F.col("lo")) / width * F.lit(buckets)).cast("int")))
-        hist = (joined.groupBy("tid", bucket.alias("b"))
-                .agg(F.count("*").alias("n"), F.min("v").alias("bmin"), F.max("v").alias("bmax"))
-                .collect())
-        by_t: dict = {}
-        for row in hist:
-            by_t.setdefault(row["tid"], []).append((row["b"], row["n"], row["bmin"], row["bmax"]))
-        to_collect = []
-        for tid, parts in by_t.items():
-            t = ids[tid]
-            lo, hi, below = state[t]
-            need = t[1] - below
-            total = sum(p[1] for p in parts)
-            if total <= max_collect:
-                to_collect.append((tid, t, need))
-                continue
-            acc = 0
-            for b, n, bmin, bmax in sorted(parts):
-                if acc + n > need:
-                    if bmin == bmax:
-                        result[t] = bmin
-                        del state[t]
-                    else:
-                        state[t] = [bmin, bmax, below + acc]
-                    break
-                acc += n
-        if to_collect:
-            want = {tid for tid, _, _ in to_collect}
-            pdf = joined.where(F.col("tid").isin(list(want))).select("tid", "v").toPandas()
-            groups = {tid: np.sort(g["v"].to_numpy(dtype=np.float64)) for tid, g in pdf.groupby("tid")}
-            for tid, t, need in to_collect:
-                result[t] = float(groups[tid][need])
-                del state[t]
-    if state:
-        raise RuntimeError("order statistics did not converge")
-    return result
-
-
-def _key_type(df: DataFrame) -> str:
-    return df.schema["k"].dataType.simpleString()
-
-
-def quantiles(values: DataFrame, key: str, value: str, probs: list[float], **kw) -> DataFrame:
+def quantiles(values: DataFrame, key: str, value: str, probs: list[float]) -> DataFrame:
     """Exact linear-interpolated quantiles per key: columns (key, p, q)."""
-    spark = values.sparkSession
-    clean = values.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    stats = clean.groupBy(key).agg(F.count("*").alias("n"), F.min(value).alias("lo"),
-                                   F.max(value).alias("hi")).collect()
-    counts = {row[0]: row["n"] for row in stats}
-    bounds = {row[0]: (row["lo"], row["hi"]) for row in stats}
-    ranks = {}
-    for kv, n in counts.items():
-        rs = set()
-        for p in probs:
-            pos = p * (n - 1)
-            rs.update({math.floor(pos), math.ceil(pos)})
-        ranks[kv] = sorted(rs)
-    stats = order_statistics(clean, key, value, ranks, bounds=bounds, counts=counts, **kw)
-    rows = []
-    for kv, n in counts.items():
-        for p in probs:
-            pos = p * (n - 1)
-            lo, hi = math.floor(pos), math.ceil(pos)
-            a, b = stats[(kv, lo)], stats[(kv, hi)]
-            frac = pos - lo
-            rows.append((kv, float(p), float(a + (b - a) * frac) if lo != hi else float(a)))
-    ktype = clean.schema[key].dataType.simpleString()
-    schema = f"{key} {ktype}, p double, q double"
-    if not rows:
-        return spark.createDataFrame([], schema)
-    return spark.createDataFrame(rows, schema)
+    from simcat.session import materialise
+    counted = (values.select(F.col(key).alias("k"), F.col(value).cast("double").alias("v"))
+               .where(F.col("v").isNotNull() & ~F.isnan("v"))
+               .groupBy("k", "v").agg(F.count("*").alias("n")))
+    # written once: the partition number is part of a row's place
+    placed = materialise(counted.repartitionByRange("k", "v")
+                         .withColumn("pid", F.spark_partition_id()))
+    # one row per key and partition
+    parts = placed.groupBy("k", "pid").agg(F.sum("n").alias("m"))
+    whole = Window.partitionBy("k")
+    parts = parts.select(
+        "k", "pid", "m", F.sum("m").over(whole).alias("total"),
+        F.coalesce(F.sum("m").over(whole.orderBy("pid").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    # wanted places, each in the partition that holds it
+    pos = F.col("p") * (F.col("total") - 1)
+    wanted = (parts.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+              .withColumn("s", F.explode(F.array(
+                  F.struct(F.lit("a").alias("side"), F.floor(pos).alias("rank")),
+                  F.struct(F.lit("b").alias("side"), F.ceil(pos).alias("rank")))))
+              .select("k", "pid", "p", (pos - F.floor(pos)).alias("frac"), "before",
+                      "s.side", "s.rank")
+              .join(parts.select(F.col("k").alias("k2"), F.col("pid").alias("pid2"), "m"),
+                    F.col("k").eqNullSafe(F.col("k2")) & (F.col("pid") == F.col("pid2")))
+              .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("m")))
+              .groupBy("k", "pid").agg(
+                  F.first("before").alias("before"),
+                  F.collect_list(F.struct("p", "frac", "side", "rank")).alias("want")))
+    w = wanted.select(F.col("k").alias("wk"), F.col("pid").alias("wpid"), "before", "want")
+    rows = placed.join(w, F.col("k").eqNullSafe(F.col("wk")) & (F.col("pid") == F.col("wpid")))
+    last = F.col("before") + F.sum("n").over(
+        Window.partitionBy("k", "pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    hits = (rows.withColumn("last", last)
+            .withColumn("t", F.explode(F.filter("want", lambda t: (t["rank"] < F.col("last"))
+                                                & (t["rank"] >= F.col("last") - F.col("n")))))
+            .select("k", "t.*", "v"))
+    side = lambda x: F.max(F.when(F.col("side") == x, F.col("v")))
+    out = hits.groupBy("k", "p", "frac").agg(side("a").alias("a"), side("b").alias("b"))
+    return out.select(F.col("k").alias(key), "p",
+                      (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("q"))

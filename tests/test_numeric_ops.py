@@ -5,16 +5,31 @@ from simcat.config import Config
 from simcat.operators.quantiles import quantiles
 
 
-def test_exact_quantiles_match_numpy_with_histogram_passes(spark):
+def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(1)
     vals = np.concatenate([rng.lognormal(3, 2, 5000), np.full(3000, 7.0)])
-    df = spark.createDataFrame([("a", float(v)) for v in vals] + [("b", float(v)) for v in vals[:11]],
-                               "k string, v double")
-    got = {(r["k"], r["p"]): r["q"] for r in
-           quantiles(df, "k", "v", [0.0, 0.25, 0.5, 0.95, 1.0], max_collect=100, buckets=16).collect()}
-    for p in [0.0, 0.25, 0.5, 0.95, 1.0]:
+    few = vals[:11]
+    df = spark.createDataFrame(
+        [("a", float(v)) for v in vals] + [("b", float(v)) for v in few]
+        + [(None, float(v)) for v in vals[:500]] + [("one", 4.0), ("b", None), ("b", float("nan"))],
+        "k string, v double").repartition(7)
+    probs = [0.0, 0.25, 0.5, 0.95, 1.0]
+    got = {(r["k"], r["p"]): r["q"] for r in quantiles(df, "k", "v", probs).collect()}
+    assert len(got) == 4 * len(probs)
+    for p in probs:
         assert np.isclose(got[("a", p)], np.quantile(vals, p))
-        assert np.isclose(got[("b", p)], np.quantile(vals[:11], p))
+        assert np.isclose(got[("b", p)], np.quantile(few, p))
+        assert np.isclose(got[(None, p)], np.quantile(vals[:500], p))
+        assert got[("one", p)] == 4.0
+    assert quantiles(df.limit(0), "k", "v", probs).count() == 0
+
+
+def test_quantiles_send_no_value_to_the_driver():
+    """No collecting call in the module: its result is a plan."""
+    import inspect
+    from simcat.operators import quantiles as module
+    source = inspect.getsource(module)
+    assert not any(call in source for call in (".collect(", "toPandas", "toLocalIterator", ".first()", ".take("))
 
 
 def test_svd_inner_products(spark):
