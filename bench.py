@@ -51,10 +51,6 @@ def main() -> None:
     if warm and os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
         for name, fn in steps:
             run(name, fn, warm, record=False)
-        # the small tables take the broadcast path; warm the block-pair path too
-        from simcat.operators import search as S
-        run("warm_blocks", lambda sf: S.topk_self(built(spark, sf, CFG_RAW)[0], 10, block_rows=64),
-            warm, record=False)
     for name, fn in steps:
         run(name, fn, sf_dir)
     n = products(spark, sf_dir).count()

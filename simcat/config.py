@@ -39,17 +39,15 @@ class Config:
     weight_sentinel: float = 1_000_000.0
     # search
     max_num_similar: int = 100
-    block_rows: int = 4096          # rows per block in blocked all-pairs scoring
-    max_broadcast_queries: int = 20_000
+    block_rows: int = 2048          # rows per block or query chunk in exact scoring
     # approximate search (inverted-file cells)
-    ann_cells: int = 0              # 0 -> about sqrt(n)
+    ann_cells: int = 0              # 0 -> about sqrt(n), at most ann.MAX_CELLS
     ann_nprobe: int = 32            # recall@10 0.989 on the sf0.1 catalogue (see README)
     ann_dims: int = 64              # random-projection width used for the cells
-    ann_max_cell_rows: int = 4096   # larger cells are split into sub-blocks
     ann_seed: int = 42
 
     def normalised_weights(self) -> dict:
         total = float(sum(self.weights.get(b, 0.0) for b in BLOCKS))
         if total <= 0:
-            raise ValueError("Feature weights must sum to a positive value")
+            raise ValueError("no feature block has a weight above zero")
         return {b: float(self.weights.get(b, 0.0)) / total for b in BLOCKS}

@@ -40,8 +40,8 @@ def _c(x) -> Column:
 
 
 def strip(x) -> Column:
-    """Remove leading and trailing whitespace (Spark's trim only removes spaces)."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    """Remove leading and trailing whitespace, Unicode included (Spark's trim only removes spaces)."""
+    return F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
 
 
 def is_missing(x) -> Column:
@@ -102,7 +102,7 @@ def parse_weight(x, sentinel: float = 1_000_000.0, lenient: bool = False) -> Col
 
 
 def parse_rating(x, lenient: bool = False) -> Column:
-    """'4.5' or '4.5 out of 5 stars' -> 4.5; outside [0, 5] -> null (not clamped).
+    """A plain number or prose such as '3.5 out of 5' as a number; outside [0, 5] -> null.
 
     Lenient form (profiler): the 'out of 5' branch has no range check.
     """
@@ -150,7 +150,7 @@ def category_rank(x, parsed: bool = False) -> Column:
 
 
 def split_multi(x, sep: str = "|") -> Column:
-    """'black|White ' -> ['black', 'white']; missing -> []."""
+    """Lower-cased, stripped, non-empty parts of a delimited list; missing -> empty array."""
     x = _c(x)
     parts = F.filter(F.transform(F.split(x, "\\" + sep if sep in "|.^$*+?()[]{}\\" else sep),
                                  lambda p: F.lower(strip(p))),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,6 +35,11 @@ STOP_WORDS = [
 TOKEN_PATTERN = r"\b\w\w+\b"
 
 
+def stop_tokens(words) -> list[str]:
+    """The words and, since tokens never hold an apostrophe, the tokens inside contractions."""
+    return list(dict.fromkeys([*words, *(t for w in words for t in re.findall(TOKEN_PATTERN, w))]))
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -40,7 +47,7 @@ def _c(x) -> Column:
 def tokens(x, stop_words: list[str] | None = None) -> Column:
     """Lower-cased tokens of 2+ word characters, stop words removed (array<string>)."""
     words = F.regexp_extract_all(F.lower(F.coalesce(_c(x), F.lit(""))), F.lit(TOKEN_PATTERN), 0)
-    stop = STOP_WORDS if stop_words is None else stop_words
+    stop = stop_tokens(STOP_WORDS) if stop_words is None else stop_words
     # a long IN list becomes a hash-set lookup (InSet)
     return F.filter(words, lambda w: ~w.isin(*stop))
 

@@ -62,8 +62,8 @@ class SimilarityIndex:
             return 1.0
         q = S.lookup(self.features, A.sample_ids(self.features, sample, seed))
         n = q.count()
-        ex = S.topk(q, self.features, k, n_queries=n)
-        ap = A.search(q, self.ann, k, self.cfg.ann_nprobe, self.cfg.ann_max_cell_rows)
+        ex = S.topk(q, self.features, k, block_rows=self.cfg.block_rows)
+        ap = A.search(q, self.ann, k, self.cfg.ann_nprobe, self.cfg.block_rows)
         return float(A.recall_at_k(ex, ap, n, k).first()["recall"])
 
     def stats(self) -> DataFrame:
@@ -75,10 +75,11 @@ class SimilarityIndex:
 
     def save(self, path: str) -> None:
         from simcat.operators.index_store import save_index
-        save_index(path, self.features, self.model, self.ann)
+        save_index(path, self.features, self.model, self.ann, self.cfg)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, cfg: Config = Config()):
+    def load(cls, spark: SparkSession, path: str, cfg: Config | None = None):
+        """With the configuration it was saved with, unless another is given."""
         from simcat.operators.index_store import load_index
-        feats, model, ann = load_index(spark, path)
-        return cls(feats, model, ann, cfg)
+        feats, model, ann, saved = load_index(spark, path)
+        return cls(feats, model, ann, cfg or saved)

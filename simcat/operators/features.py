@@ -53,6 +53,7 @@ class FeatureModel:
     colours: list = field(default_factory=list)
     vocab: list = field(default_factory=list)      # [(term, df, idf)]
     n_docs: int = 0
+    stop_words: tuple | None = None                 # None -> the default list
     svd: object = None                              # simcat.operators.svd.SvdModel or None
 
     def block_dims(self) -> dict:
@@ -157,7 +158,7 @@ def fit_vocabularies(products: DataFrame, n_brands: int, n_colours: int) -> tupl
 
 def fit(products: DataFrame, cfg: Config = Config(), tf: DataFrame | None = None) -> FeatureModel:
     weights = cfg.normalised_weights()
-    model = FeatureModel(weights=weights)
+    model = FeatureModel(weights=weights, stop_words=cfg.stop_words)
     model.medians, model.means, model.scales, model.n_docs = fit_numeric_stats(products)
     model.brands, model.colours = fit_vocabularies(products, cfg.top_n_brands, cfg.top_n_colours)
     tf = term_counts(products, stop_words=cfg.stop_words) if tf is None else tf
@@ -220,7 +221,7 @@ def transform(products: DataFrame, model: FeatureModel, text_weights: DataFrame
     """Per product: block columns, presence flags, effective weights and the feature list."""
     spark = products.sparkSession
     if text_weights is None:
-        text_weights = tfidf(term_counts(products), model)
+        text_weights = tfidf(term_counts(products, stop_words=model.stop_words), model)
     if model.svd is not None:
         from simcat.operators.svd import project
         text = project(text_weights, model.svd)          # product_id, text_vec

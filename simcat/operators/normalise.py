@@ -38,11 +38,9 @@ def project_canonical(raw: DataFrame) -> DataFrame:
     """Rename the source columns; an absent source column becomes an all-null string."""
     cols = [(F.col(src) if src in raw.columns else F.lit(None).cast("string")).alias(dst)
             for src, dst in COLUMN_MAP.items()]
-    if "src_seq" in raw.columns:
-        cols.append(F.col("src_seq"))
-    else:  # no position known: any stable order will do
-        cols.append(F.monotonically_increasing_id().alias("src_seq"))
-    return raw.select(*cols)
+    if "src_seq" not in raw.columns:
+        raise ValueError("raw records need src_seq, their position: the first row of an id is kept")
+    return raw.select(*cols, "src_seq")
 
 
 def clean_columns(canonical: DataFrame, weight_sentinel: float = 1_000_000.0) -> DataFrame:

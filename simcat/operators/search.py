@@ -1,17 +1,20 @@
 """Top-k similarity search over sparse feature lists.
 
-Exact search scores every (query, candidate) pair, but never as a join of
-rows: queries and candidates are cut into hash blocks of bounded size, each
-(query block, candidate block) pair meets in one ``cogroup`` task, the scores
-of that pair of blocks are one dense matrix product in numpy, and only each
-query's best ``k`` in that block (under the full tie-break order) leave the
-task.  A final ``row_number() <= k`` per query (a partial group limit before
-its shuffle) merges the blocks.  Blocks are keyed by a hash of the unique id,
-so they are balanced whatever the data's skew.
-
-Ranking order: score rounded to 6 places desc, then rating desc (missing
-last), then price asc (missing last), then id asc.  The query itself is
-excluded; k <= 0 gives no rows; k beyond the corpus gives every other row.
+Exact search scores every (query, candidate) pair, but never as a join of rows.
+
+* A request set (``topk``) is cut by a hash of the id into chunks of about ``block_rows`` queries.
+  Each chunk is broadcast in turn and every corpus partition is scored where it lies, so the
+  corpus is never exchanged; a task keeps a running best ``k`` per query of the chunk.
+* The whole catalogue (``topk_self``) is cut into hash blocks of about ``block_rows`` rows; every
+  pair of blocks meets once and its score matrix serves both directions.
+
+Blocks are keyed by a hash of the unique id, so they are balanced whatever the data's skew.  Only
+ids, scores and tie-break columns leave the scoring tasks; the other result columns are joined to
+the final rows.  Feature keys travel as 64-bit hashes.
+
+Ranking order: score rounded to 6 places desc, then rating desc (missing last), then price asc
+(missing last), then id asc.  The query itself is excluded; k <= 0 gives no rows; k beyond the
+corpus gives every other row.
 """
 
 from __future__ import annotations
@@ -25,6 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from simcat.config import Config
+from simcat.functions.parsers import strip
+
 
 @dataclass(frozen=True)
 class RankSpec:
@@ -35,7 +41,6 @@ class RankSpec:
     tiebreak: tuple = (("rating", "desc", -1.0), ("sales_price", "asc", math.inf))
     # extra columns carried from the candidate into the result
     carry: tuple = ("product_name", "brand", "child_category", "sales_price", "rating", "image_url")
-    carry_types: tuple = ("string", "string", "string", "double", "double", "string")
     keys_col: str = "fkeys"
     vals_col: str = "fvals"
     score_places: int = 6
@@ -47,29 +52,40 @@ PRODUCT_RANK = RankSpec()
 
 
 def _result_schema(spec: RankSpec) -> str:
-    cols = [f"query_id {spec.id_type}", f"{spec.id_col} {spec.id_type}", "score double"]
-    for c, t in zip(spec.carry, spec.carry_types):
-        if c != spec.id_col:
-            cols.append(f"{c} {t}")
-    for c, _, _ in spec.tiebreak:
-        if c not in spec.carry:
-            cols.append(f"{c} double")
-    return ", ".join(cols)
-
-
-def _dense(pdf: pd.DataFrame, vocab: pd.Index, spec: RankSpec) -> np.ndarray:
-    keys = pdf[spec.keys_col].values
-    vals = pdf[spec.vals_col].values
+    """Columns that a scoring task emits."""
+    return ", ".join([f"query_id {spec.id_type}", f"{spec.id_col} {spec.id_type}", "score double"]
+                     + [f"{c} double" for c, _, _ in spec.tiebreak])
+
+
+def query_side(df: DataFrame, spec: RankSpec, *extra: str) -> DataFrame:
+    """Id and hashed feature list (fresh columns, so both sides may come from one DataFrame)."""
+    return df.select(F.col(spec.id_col).alias(spec.id_col),
+                     F.transform(F.col(spec.keys_col), lambda k: F.xxhash64(k)).alias(spec.keys_col),
+                     F.col(spec.vals_col).alias(spec.vals_col), *extra)
+
+
+def candidate_side(df: DataFrame, spec: RankSpec, *extra: str) -> DataFrame:
+    return query_side(df, spec, *[F.col(c).cast("double").alias(c) for c, _, _ in spec.tiebreak], *extra)
+
+
+def _flat(pdf: pd.DataFrame, spec: RankSpec):
+    """(row, key, value) of every feature."""
+    keys, vals = pdf[spec.keys_col].values, pdf[spec.vals_col].values
     lens = np.fromiter((len(k) for k in keys), dtype=np.int64, count=len(keys))
+    if lens.sum() == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return (np.repeat(np.arange(len(pdf)), lens),
+            np.concatenate([np.asarray(k, dtype=np.int64) for k in keys]),
+            np.concatenate([np.asarray(v, dtype=np.float64) for v in vals]))
+
+
+def _dense(pdf: pd.DataFrame, vocab: np.ndarray, spec: RankSpec) -> np.ndarray:
     x = np.zeros((len(pdf), len(vocab)), dtype=np.float64)
-    if lens.sum() == 0 or len(vocab) == 0:
-        return x
-    flat_k = np.concatenate([np.asarray(k, dtype=object) for k in keys])
-    flat_v = np.concatenate([np.asarray(v, dtype=np.float64) for v in vals])
-    rows = np.repeat(np.arange(len(pdf)), lens)
-    cols = vocab.get_indexer(flat_k)
-    m = cols >= 0
-    np.add.at(x, (rows[m], cols[m]), flat_v[m])
+    rows, keys, vals = _flat(pdf, spec)
+    if len(keys) and len(vocab):
+        cols = np.minimum(np.searchsorted(vocab, keys), len(vocab) - 1)
+        m = vocab[cols] == keys
+        np.add.at(x, (rows[m], cols[m]), vals[m])
     return x
 
 
@@ -81,9 +97,25 @@ def _empty(spec: RankSpec) -> pd.DataFrame:
     return pd.DataFrame({col: [] for col in _out_columns(spec)})
 
 
-def _vocab(*frames: pd.DataFrame, spec: RankSpec) -> pd.Index:
-    keys = [np.asarray(x, dtype=object) for f in frames for x in f[spec.keys_col].values]
-    return pd.Index(pd.unique(np.concatenate(keys or [np.array([], object)])))
+def _vocab(*frames: pd.DataFrame, spec: RankSpec) -> np.ndarray:
+    return np.unique(np.concatenate([_flat(f, spec)[1] for f in frames]))
+
+
+class Prepared:
+    """A query block whose dense matrix is made once and scored against many blocks."""
+
+    def __init__(self, q: pd.DataFrame, spec: RankSpec):
+        self.q, self.spec = q, spec
+        self.vocab = _vocab(q, spec=spec)
+        self.x = _dense(q, self.vocab, spec)
+
+    def topk(self, c: pd.DataFrame, k: int, rows: np.ndarray | None = None) -> pd.DataFrame:
+        """Best ``k`` of ``c`` for the queries at ``rows`` (all without)."""
+        q, x = (self.q, self.x) if rows is None else (self.q.iloc[rows], self.x[rows])
+        if q.empty or c.empty or k <= 0:
+            return _empty(self.spec)
+        r = np.round(x @ _dense(c, self.vocab, self.spec).T, self.spec.score_places)
+        return select_topk(r, q, c, k, self.spec)
 
 
 def select_topk(r: np.ndarray, q: pd.DataFrame, c: pd.DataFrame, k: int,
@@ -106,7 +138,7 @@ def select_topk(r: np.ndarray, q: pd.DataFrame, c: pd.DataFrame, k: int,
     _, id_rank = np.unique(cid.astype(object), return_inverse=True)
     keys.append(id_rank[ci])
     for col, order, fill in reversed(spec.tiebreak):
-        v = pd.to_numeric(c[col], errors="coerce").to_numpy(dtype=np.float64)[ci]
+        v = c[col].to_numpy(dtype=np.float64)[ci]
         v = np.where(np.isnan(v), fill, v)
         keys.append(-v if order == "desc" else v)
     keys.append(-score)
@@ -128,9 +160,7 @@ def block_topk(q: pd.DataFrame, c: pd.DataFrame, k: int, spec: RankSpec) -> pd.D
     """Best ``k`` candidates of block ``c`` for every query of block ``q``."""
     if q.empty or c.empty or k <= 0:
         return _empty(spec)
-    vocab = _vocab(q, spec=spec)
-    r = np.round(_dense(q, vocab, spec) @ _dense(c, vocab, spec).T, spec.score_places)
-    return select_topk(r, q, c, k, spec)
+    return Prepared(q, spec).topk(c, k)
 
 
 def pair_topk(a: pd.DataFrame, b: pd.DataFrame | None, k: int, spec: RankSpec) -> pd.DataFrame:
@@ -157,7 +187,7 @@ def merge_topk(a: pd.DataFrame, b: pd.DataFrame, k: int, spec: RankSpec) -> pd.D
     _, id_rank = np.unique(both[spec.id_col].to_numpy().astype(object), return_inverse=True)
     keys.append(id_rank)
     for col, order, fill in reversed(spec.tiebreak):
-        v = pd.to_numeric(both[col], errors="coerce").to_numpy(dtype=np.float64)
+        v = both[col].to_numpy(dtype=np.float64)
         v = np.where(np.isnan(v), fill, v)
         keys.append(-v if order == "desc" else v)
     keys.append(-both["score"].to_numpy(dtype=np.float64))
@@ -175,85 +205,70 @@ def n_blocks_for(n_rows: int, block_rows: int) -> int:
     return max(1, math.ceil(n_rows / max(1, block_rows)))
 
 
+BLOCK_ROWS = 2048
+
+
+def no_result(corpus: DataFrame, spec: RankSpec) -> DataFrame:
+    return with_columns(corpus.sparkSession.createDataFrame([], _result_schema(spec))
+                        .withColumn("rank", F.lit(1).cast("bigint")), corpus, spec)
+
+
+def query_chunks(queries: DataFrame, spec: RankSpec, block_rows: int = BLOCK_ROWS):
+    """The queries in hash chunks of about ``block_rows`` rows, one at a time on the driver."""
+    n = queries.count()
+    chunks = n_blocks_for(n, block_rows)
+    for j in range(chunks if n else 0):
+        part = queries if chunks == 1 else queries.where(_block_of(spec.id_col, chunks) == j)
+        yield part.toPandas()
+
+
 def topk(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpec = PRODUCT_RANK,
-         block_rows: int = 2048, n_queries: int | None = None,
-         n_corpus: int | None = None, max_broadcast_queries: int = 2048) -> DataFrame:
+         block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Exact top-k of ``corpus`` rows for every row of ``queries`` (both carry feature lists).
 
-    Up to ``max_broadcast_queries`` queries (a checked count) are broadcast and
-    every corpus partition is scored where it lies; more queries use the
-    blocked ``cogroup`` plan.  Returns (query_id, rank, id, score, carried
-    columns), ``rank`` from 1.
+    Returns (query_id, rank, id, score, carried columns), ``rank`` from 1.
     """
-    spark = queries.sparkSession
-    schema = _result_schema(spec)
     if k <= 0:
-        return spark.createDataFrame([], schema).withColumn("rank", F.lit(1).cast("bigint")).limit(0)
-    need = [spec.id_col, spec.keys_col, spec.vals_col]
-    cand_cols = list(dict.fromkeys(need + [c for c in spec.carry]
-                                   + [c for c, _, _ in spec.tiebreak]))
-    nq = n_queries if n_queries is not None else queries.count()
-    if nq <= max_broadcast_queries:
-        return _topk_broadcast(queries.select(*need), corpus.select(*cand_cols), k, spec,
-                               block_rows, max_broadcast_queries)
-    nc = n_corpus if n_corpus is not None else corpus.count()
-    gq, gc = n_blocks_for(nq, block_rows), n_blocks_for(nc, block_rows)
-    # fresh aliases: both sides may come from the same DataFrame
-    q = (queries.select(*[F.col(x).alias(x) for x in need])
-         .withColumn("qb", _block_of(spec.id_col, gq))
-         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(gc - 1)))))
-    c = (corpus.select(*[F.col(x).alias(x) for x in cand_cols])
-         .withColumn("cb", _block_of(spec.id_col, gc))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(gq - 1)))))
-
-    def score(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        return block_topk(qpdf, cpdf, k, spec)
-
-    partial = (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
-               .applyInPandas(score, schema))
-    return rank_final(partial, k, spec)
-
-
-def _topk_broadcast(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpec,
-                    block_rows: int, limit: int) -> DataFrame:
-    qpdf = queries.limit(limit + 1).toPandas()
-    if len(qpdf) > limit:        # the count was stale: never broadcast an unchecked size
-        raise ValueError("query set larger than the broadcast bound")
-    bq = corpus.sparkSession.sparkContext.broadcast(qpdf)
-
-    def score(batches):
-        # a running top-k per query across all blocks of this task: the task
-        # emits at most (queries x k) rows whatever the partition size
-        q = bq.value
-        best = None
-        for cpdf in batches:
-            for start in range(0, len(cpdf), block_rows):
-                part = block_topk(q, cpdf.iloc[start:start + block_rows], k, spec)
-                if len(part):
+        return no_result(corpus, spec)
+    sc = corpus.sparkSession.sparkContext
+    cand = candidate_side(corpus, spec)
+    parts = []
+    for qpdf in query_chunks(query_side(queries, spec), spec, block_rows):
+        shared = sc.broadcast(qpdf)        # about block_rows queries
+
+        def score(batches, shared=shared):
+            prepared, best = Prepared(shared.value, spec), None
+            for cpdf in batches:
+                for start in range(0, len(cpdf), block_rows):
+                    part = prepared.topk(cpdf.iloc[start:start + block_rows], k)
                     best = part if best is None else merge_topk(best, part, k, spec)
-        if best is not None and len(best):
-            yield best
-    partial = corpus.mapInPandas(score, _result_schema(spec))
-    return rank_final(partial, k, spec)
+            if best is not None and len(best):
+                yield best
+        parts.append(cand.mapInPandas(score, _result_schema(spec)))
+    if not parts:
+        return no_result(corpus, spec)
+    return with_columns(rank_final(union_all(parts), k, spec), corpus, spec)
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def topk_self(features: DataFrame, k: int, spec: RankSpec = PRODUCT_RANK,
-              block_rows: int = 2048, n_rows: int | None = None) -> DataFrame:
+              block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Exact top-k of every row against all others (whole catalogue).
 
-    Rows are cut into g hash blocks; a row of block b joins the g groups
-    (min(b, j), max(b, j)), so only block pairs i <= j are scored and each
-    pair's score matrix serves both directions: g(g+1)/2 tasks instead of g^2,
-    and each row is shipped g times instead of 2g.
+    Rows are cut into g hash blocks; a row of block b joins the g groups (min(b, j), max(b, j)), so
+    only block pairs i <= j are scored and each pair's score matrix serves both directions:
+    g(g+1)/2 tasks instead of g^2, and each row is shipped g times instead of 2g.
     """
-    spark = features.sparkSession
     if k <= 0:
-        return topk(features, features, k, spec)
-    n = n_rows if n_rows is not None else features.count()
-    g = n_blocks_for(n, block_rows)
-    cols = list(dict.fromkeys([spec.id_col, spec.keys_col, spec.vals_col] + list(spec.carry)
-                              + [c for c, _, _ in spec.tiebreak]))
-    rows = (features.select(*[F.col(x).alias(x) for x in cols])
+        return no_result(features, spec)
+    g = n_blocks_for(features.count(), block_rows)
+    rows = (candidate_side(features, spec)
             .withColumn("_b", _block_of(spec.id_col, g))
             .withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(g - 1))))
             .withColumn("_lo", F.least("_b", "_j")).withColumn("_hi", F.greatest("_b", "_j"))
@@ -268,17 +283,10 @@ def topk_self(features: DataFrame, k: int, spec: RankSpec = PRODUCT_RANK,
         b = body[body["_b"] == hi].drop(columns=["_b"]).reset_index(drop=True)
         return pair_topk(a, b, k, spec)
     partial = rows.groupBy("_lo", "_hi").applyInPandas(score, _result_schema(spec))
-    return rank_final(partial, k, spec)
+    return with_columns(rank_final(partial, k, spec), features, spec)
 
 
-def all_pairs(features: DataFrame, k: int, spec: RankSpec = PRODUCT_RANK, block_rows: int = 2048,
-              max_broadcast_queries: int = 2048) -> DataFrame:
-    """Top-k of every row against all others: broadcast when small, symmetric blocks otherwise."""
-    n = features.count()
-    if n <= max_broadcast_queries:
-        return topk(features, features, k, spec, block_rows, n_queries=n, n_corpus=n,
-                    max_broadcast_queries=max_broadcast_queries)
-    return topk_self(features, k, spec, block_rows, n_rows=n)
+all_pairs = topk_self
 
 
 def order_columns(spec: RankSpec):
@@ -292,26 +300,32 @@ def order_columns(spec: RankSpec):
 
 def rank_final(partial: DataFrame, k: int, spec: RankSpec) -> DataFrame:
     w = Window.partitionBy("query_id").orderBy(*order_columns(spec))
-    ranked = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    rest = [c for c in partial.columns if c not in ("query_id", spec.id_col, "score")]
-    return ranked.select("query_id", F.col("rank").cast("bigint").alias("rank"), spec.id_col,
-                         "score", *rest)
+    return partial.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
+
+
+def with_columns(ranked: DataFrame, corpus: DataFrame, spec: RankSpec) -> DataFrame:
+    """The final rows with the candidates' carried and tie-break columns."""
+    show = list(dict.fromkeys([c for c in spec.carry if c != spec.id_col]
+                              + [c for c, _, _ in spec.tiebreak]))
+    own = corpus.select(F.col(spec.id_col).alias(spec.id_col), *[F.col(c).alias(c) for c in show])
+    return (ranked.select("query_id", "rank", spec.id_col, "score").join(own, spec.id_col)
+            .select("query_id", "rank", spec.id_col, "score", *show))
 
 
 def lookup(features: DataFrame, ids: DataFrame, id_col: str = "product_id") -> DataFrame:
     """Rows of ``features`` whose id is in ``ids`` (trimmed), as a left-semi join."""
-    wanted = ids.select(F.trim(F.col(ids.columns[0])).alias(id_col)).distinct()
+    wanted = ids.select(strip(F.col(ids.columns[0])).alias(id_col)).distinct()
     return features.join(wanted, id_col, "left_semi")
 
 
 def unknown_ids(features: DataFrame, ids: DataFrame, id_col: str = "product_id") -> DataFrame:
     """Requested ids (trimmed) that are not in ``features`` (left-anti join)."""
-    wanted = ids.select(F.trim(F.col(ids.columns[0])).alias(id_col)).distinct()
+    wanted = ids.select(strip(F.col(ids.columns[0])).alias(id_col)).distinct()
     return wanted.join(features.select(id_col), id_col, "left_anti")
 
 
 def similar(features: DataFrame, query_ids: DataFrame, k: int = 10, spec: RankSpec = PRODUCT_RANK,
-            block_rows: int = 2048) -> DataFrame:
+            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Top-k similar products for each requested id (unknown ids give no rows;
     see ``unknown_ids``)."""
     queries = lookup(features, query_ids, spec.id_col)
@@ -335,13 +349,13 @@ BACKENDS = ("exact", "ann")
 def validate_request(k: int, backend: str, max_k: int = 100) -> None:
     """Request rules of the lookup service: 1 <= k <= max_k and a known backend."""
     if backend not in BACKENDS:
-        raise ValueError(f"unknown backend {backend!r}; expected one of {BACKENDS}")
+        raise ValueError(f"backend {backend!r} is not among {BACKENDS}")
     if not 1 <= k <= max_k:
-        raise ValueError(f"num_similar must be between 1 and {max_k}")
+        raise ValueError(f"asked for {k} products; 1 to {max_k} can be returned")
 
 
 def search(features: DataFrame, query_ids: DataFrame, k: int = 10, backend: str = "exact",
-           ann_index=None, nprobe: int = 8, spec: RankSpec = PRODUCT_RANK,
+           ann_index=None, nprobe: int = Config.ann_nprobe, spec: RankSpec = PRODUCT_RANK,
            max_k: int | None = 100) -> DataFrame:
     """Top-k for the requested ids with the chosen backend.
 
@@ -351,7 +365,7 @@ def search(features: DataFrame, query_ids: DataFrame, k: int = 10, backend: str
     if max_k is not None:
         validate_request(k, backend, max_k)
     elif backend not in BACKENDS:
-        raise ValueError(f"unknown backend {backend!r}")
+        raise ValueError(f"backend {backend!r} is not among {BACKENDS}")
     if backend == "ann" and ann_index is not None:
         from simcat.operators import ann as A
         return A.search(lookup(features, query_ids, spec.id_col), ann_index, k, nprobe)

@@ -7,11 +7,45 @@ returns a SQL expression over an input expression ``x``.
 
 from __future__ import annotations
 
-from simcat.functions.parsers import (FLOAT_TEXT_PATTERN, MISSING_TOKENS, NUMBER_PATTERN,
-                                      RATING_PATTERN, SENTINEL_PATTERN, WEIGHT_PATTERN,
-                                      WEIGHT_UNITS, WEIGHT_UNITS_LENIENT)
-from simcat.functions.text import STOP_WORDS, TOKEN_PATTERN
-from simcat.sources.catalog import DUPLICATE_SEQ_OFFSET
+# Fixed values, written out here once more: the SQL must not share constants with the code it checks.
+MISSING_TOKENS = ["", "nan", "none", "null", "<na>", "n/a"]
+WEIGHT_UNITS = {
+    "g": 1.0, "gram": 1.0, "grams": 1.0, "gm": 1.0, "gms": 1.0,
+    "kg": 1000.0, "kilogram": 1000.0, "kilograms": 1000.0,
+    "mg": 0.001, "milligram": 0.001,
+    "oz": 28.3495, "ounce": 28.3495, "ounces": 28.3495,
+    "lb": 453.592, "lbs": 453.592, "pound": 453.592, "pounds": 453.592,
+}
+WEIGHT_UNITS_LENIENT = {u: f for u, f in WEIGHT_UNITS.items() if u not in ("gm", "gms")}
+NUMBER_PATTERN = r"[\d,]+\.?\d*"
+WEIGHT_PATTERN = r"([\d.,]+)\s*([a-zA-Z]+)"
+RATING_PATTERN = r"([\d.]+)\s*out of\s*5"
+SENTINEL_PATTERN = r"^9{6,}(\.0+)?$"
+FLOAT_TEXT_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+TOKEN_PATTERN = r"\b\w\w+\b"
+STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours",
+    "yourself", "yourselves", "he", "him", "his", "himself", "she", "her", "hers", "herself",
+    "it", "its", "itself", "they", "them", "their", "theirs", "themselves", "what", "which",
+    "who", "whom", "this", "that", "these", "those", "am", "is", "are", "was", "were", "be",
+    "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an",
+    "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at", "by",
+    "for", "with", "about", "against", "between", "into", "through", "during", "before",
+    "after", "above", "below", "to", "from", "up", "down", "in", "out", "on", "off", "over",
+    "under", "again", "further", "then", "once", "here", "there", "when", "where", "why",
+    "how", "all", "any", "both", "each", "few", "more", "most", "other", "some", "such", "no",
+    "nor", "not", "only", "own", "same", "so", "than", "too", "very", "s", "t", "can", "will",
+    "just", "don", "should", "now", "i'll", "you'll", "he'll", "she'll", "we'll", "they'll",
+    "i'd", "you'd", "he'd", "she'd", "we'd", "they'd", "i'm", "you're", "he's", "she's",
+    "it's", "we're", "they're", "i've", "we've", "you've", "they've", "isn't", "aren't",
+    "wasn't", "weren't", "haven't", "hasn't", "hadn't", "don't", "doesn't", "didn't",
+    "won't", "wouldn't", "shan't", "shouldn't", "mustn't", "can't", "couldn't", "cannot",
+    "could", "here's", "how's", "let's", "ought", "that's", "there's", "what's", "when's",
+    "where's", "who's", "why's", "would",
+]
+# The parts of two or more letters that the contractions above are cut into.
+STOP_PARTS = ["ll", "ve", "re", "isn", "aren", "wasn", "weren", "haven", "hasn", "hadn", "doesn",
+              "didn", "won", "wouldn", "shan", "shouldn", "mustn", "couldn", "let"]
 
 
 def q(s: str) -> str:
@@ -144,7 +178,7 @@ def is_sentinel(x: str) -> str:
 
 
 def tokens(x: str) -> str:
-    stop = "[" + ", ".join(q(w) for w in STOP_WORDS) + "]"
+    stop = "[" + ", ".join(q(w) for w in STOP_WORDS + STOP_PARTS) + "]"
     words = f"regexp_extract_all(lower(coalesce({x}, '')), {q(TOKEN_PATTERN)}, 0)"
     return f"list_filter({words}, lambda w: NOT list_contains({stop}, w))"
 
@@ -205,12 +239,24 @@ def _catalog_select(name_sql: str) -> str:
 FROM part"""
 
 
+RAW_TEXT_COLUMNS = [
+    "product_name", "brand", "colour", "sales_price", "weight", "rating", "discount_percentage",
+    "browsenode", "meta_keywords", "medium", "sales_rank_in_child_category",
+    "sales_rank_in_parent_category", "amazon_prime__y_or_n", "best_seller_tag__y_or_n",
+    "no__of_reviews"]
+
+
 def catalog_raw_sql() -> str:
     name = ("CASE WHEN p_partkey % 17 = 0 THEN p_name || ' https://x.example/' || "
             "CAST(p_partkey AS VARCHAR) ELSE p_name || ' ' || p_type END")
-    copies = _catalog_select("p_name || ' copy'").replace(
-        "SELECT p_partkey AS src_seq", f"SELECT p_partkey + {DUPLICATE_SEQ_OFFSET} AS src_seq", 1)
-    return f"{_catalog_select(name)}\nUNION ALL\n{copies} WHERE p_partkey % 50 = 0"
+    place = lambda sql, n: sql.replace("SELECT p_partkey AS src_seq",
+                                       f"SELECT p_partkey * 3 + {n} AS src_seq", 1)
+    bare = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in RAW_TEXT_COLUMNS)
+    return (f"{place(_catalog_select(name), 0)}\nUNION ALL\n"
+            f"{place(_catalog_select("p_name || ' copy'"), 1)} WHERE p_partkey % 50 = 0\nUNION ALL\n"
+            "SELECT p_partkey * 3 + 2 AS src_seq, CASE WHEN p_partkey % 120 = 0 THEN NULL "
+            "WHEN p_partkey % 80 = 0 THEN '   ' ELSE 'bare' || CAST(p_partkey AS VARCHAR) END AS uniq_id, "
+            f"{bare} FROM part WHERE p_partkey % 40 = 0")
 
 
 def cleaned_sql(src: str = "catalog_raw", sentinel: float = 1_000_000.0) -> str:

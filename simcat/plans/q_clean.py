@@ -45,3 +45,32 @@ def q_normalise(spark, sf_dir):
     p = N.normalise(catalog_raw(spark, sf_dir))
     return p.select(*_STR, *[F.round(c, 6).alias(c) for c in _NUM],
                     F.array_join("colour_tokens", "|").alias("colour_tokens"), "src_seq")
+
+
+_SCAN = ["uniq_id", "product_name", "brand", "sales_price", "sales_rank_in_child_category"]
+
+
+@register("scan_ldjson", lambda: O.with_views(
+    "SELECT " + ", ".join(_SCAN) + " FROM catalog_raw WHERE src_seq % 37 <> 0"))
+def q_scan_ldjson(spark, sf_dir):
+    """The catalogue written as JSON lines and scanned again.
+
+    Every 37th line is cut short; blank and tab-only lines stand between the records.
+    """
+    import os
+    import uuid
+
+    from simcat.plans.memo import memo
+    from simcat.session import ensure_checkpoint_dir
+    from simcat.sources.ldjson import scan_ldjson
+
+    def write():
+        path = os.path.join(ensure_checkpoint_dir(spark), f"lines-{uuid.uuid4().hex}")
+        raw = catalog_raw(spark, sf_dir)
+        record = F.to_json(F.struct(*[c for c in raw.columns if c != "src_seq"]))
+        line = F.when(F.col("src_seq") % 37 == 0, F.substring(record, F.lit(1), F.length(record) - 1)).otherwise(
+            F.concat(F.lit("\t"), record, F.lit(" \t")))
+        raw.select(F.explode(F.array(line, F.lit("\t\t"), F.lit(""))).alias("value")).write.text(path)
+        return path
+    path = memo(spark, ("lines", sf_dir), write)
+    return scan_ldjson(spark, path, _SCAN).select(*_SCAN)

@@ -143,13 +143,17 @@ def q_ngrams(spark, sf_dir):
 
 # ------------------------------------------------------------------ driver tables beyond the catalogue
 @register("malformed_count", O.with_views(
-    "SELECT CAST(count_if(json_valid(trim(props)) AND json_type(trim(props)) = 'OBJECT') AS BIGINT)"
-    " AS good_lines, CAST(count_if(NOT coalesce(json_valid(trim(props)) AND json_type(trim(props)) ="
-    " 'OBJECT', false)) AS BIGINT) AS skipped_lines FROM events"))
+    "SELECT CAST(count_if(good) AS BIGINT) AS good_lines, CAST(count_if(NOT good) AS BIGINT)"
+    " AS skipped_lines FROM (SELECT coalesce(CASE WHEN json_valid(p) THEN json_type(p) = 'OBJECT' END,"
+    " false) AS good FROM (SELECT CASE WHEN event_id % 37 = 0 THEN "
+    "substr(props, 1, 5) WHEN event_id % 41 = 0 THEN '[1]' ELSE trim(props) END AS p FROM events) e) g"))
 def q_malformed_count(spark, sf_dir):
-    """Every events.props text through the record parser: parsed vs skipped."""
+    """Every events.props text, some of them cut short, through the record parser: parsed vs skipped."""
     from simcat.sources.ldjson import malformed_count, parse_records
-    ev = read_table(spark, sf_dir, "events").select("props")
+    n = F.col("event_id")
+    ev = read_table(spark, sf_dir, "events").select(
+        F.when(n % 37 == 0, F.substring("props", 1, 5)).when(n % 41 == 0, F.lit("[1]"))
+        .otherwise(F.col("props")).alias("props"))
     return malformed_count(parse_records(ev, "props", ["k"]))
 
 

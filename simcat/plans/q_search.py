@@ -72,7 +72,7 @@ def q_topk_tiebreak(spark, sf_dir):
 
 
 EMB_RANK = S.RankSpec(id_col="vec_id", id_type="bigint", tiebreak=(), carry=("label",),
-                      carry_types=("int",), keys_col="ekeys", vals_col="evals")
+                      keys_col="ekeys", vals_col="evals")
 
 
 def embedding_features(spark, sf_dir):
@@ -124,28 +124,29 @@ def q_product_lookup(spark, sf_dir):
     return S.lookup(p, requests(spark, sf_dir)).select(*_LOOKUP_COLS)
 
 
-CUST_SQL = "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS request FROM orders"
+# Order keys as requested ids: they reach far beyond the part keys, so many are unknown.
+ORDER_SQL = "SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS request FROM orders"
 
 
-def customer_requests(spark, sf_dir):
+def order_requests(spark, sf_dir):
     return read_table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").cast("string").alias("request")).distinct()
+        F.col("o_orderkey").cast("string").alias("request")).distinct()
 
 
 @register("contains_ids", lambda: O.with_views(
-    f"SELECT request, request IN (SELECT product_id FROM products) AS found FROM ({CUST_SQL}) r"))
+    f"SELECT request, request IN (SELECT product_id FROM products) AS found FROM ({ORDER_SQL}) r"))
 def q_contains_ids(spark, sf_dir):
     """Membership of each requested id (a left join against the id column)."""
     p = products(spark, sf_dir).select(F.col("product_id").alias("request"), F.lit(True).alias("_hit"))
-    r = customer_requests(spark, sf_dir)
+    r = order_requests(spark, sf_dir)
     return r.join(p, "request", "left").select("request", F.coalesce("_hit", F.lit(False)).alias("found"))
 
 
 @register("unknown_ids", lambda: O.with_views(
-    f"SELECT trim(request) AS product_id FROM ({CUST_SQL}) r WHERE trim(request) NOT IN "
+    f"SELECT trim(request) AS product_id FROM ({ORDER_SQL}) r WHERE trim(request) NOT IN "
     f"(SELECT product_id FROM products)"))
 def q_unknown_ids(spark, sf_dir):
-    return S.unknown_ids(products(spark, sf_dir), customer_requests(spark, sf_dir))
+    return S.unknown_ids(products(spark, sf_dir), order_requests(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ default model (SVD text block)
@@ -215,8 +216,16 @@ def q_topk_ann(spark, sf_dir):
     from simcat.operators import ann as A
     f = _features(spark, sf_dir)
     idx = _ann(spark, sf_dir)
-    return A.search(S.lookup(f, basket_ids(spark, sf_dir)), idx, K, nprobe=CFG_RAW.ann_nprobe,
-                    max_cell_rows=CFG_RAW.ann_max_cell_rows)
+    return A.search(S.lookup(f, basket_ids(spark, sf_dir)), idx, K, nprobe=CFG_RAW.ann_nprobe)
+
+
+@register("topk_ann_all_cells", lambda: O.topk_sql(BASKET_SQL, K, CFG_RAW.weights))
+def q_topk_ann_all_cells(spark, sf_dir):
+    """Approximate search with every cell probed: the exact result."""
+    from simcat.operators import ann as A
+    idx = _ann(spark, sf_dir)
+    return A.search(S.lookup(_features(spark, sf_dir), basket_ids(spark, sf_dir)), idx, K,
+                    nprobe=len(idx.centers))
 
 
 RECALL_SAMPLE = 200
@@ -230,8 +239,8 @@ def q_recall_at_k(spark, sf_dir):
     idx = _ann(spark, sf_dir)
     qf = S.lookup(f, A.sample_ids(f, RECALL_SAMPLE))
     n = min(RECALL_SAMPLE, f.count())
-    ex = S.topk(qf, f, K, n_queries=n)
-    ap = A.search(qf, idx, K, nprobe=CFG_RAW.ann_nprobe, max_cell_rows=CFG_RAW.ann_max_cell_rows)
+    ex = S.topk(qf, f, K)
+    ap = A.search(qf, idx, K, nprobe=CFG_RAW.ann_nprobe)
     return A.recall_at_k(ex, ap, n, K)
 
 

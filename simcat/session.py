@@ -33,7 +33,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when unset (tests) make one."""
+    """The folder set by ``spark.checkpoint.dir``.
+
+    Only a local session, whose tasks all run on this machine, may go without it and gets a folder
+    of its own; on a cluster a machine-local folder would be lost to the other nodes.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -41,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
         configured = tempfile.mkdtemp(prefix="simcat-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -5,7 +5,8 @@ fields are free-form text.  The driver's tables hold no such dump, so this view
 writes ``part`` out in that shape: prices with thousands separators and ranges,
 weights with units or a sentinel, ratings as prose, stringified dicts for the
 sales-rank columns, pipe-separated colours, Y/N flags with stray spaces and a
-few exact re-listings (same id, later position) for the keep-first dedup.
+few exact re-listings (same id, later position) for the keep-first dedup, and
+rows that hold nothing but an id, or a null or blank one.
 
 It is a projection plus one UNION ALL: no shuffle, and its size grows with
 ``part``.  The same rules are written as DuckDB SQL in ``simcat.plans.oracle``.
@@ -27,7 +28,8 @@ RAW_COLUMNS = [
     "amazon_prime__y_or_n", "best_seller_tag__y_or_n", "no__of_reviews",
 ]
 
-DUPLICATE_SEQ_OFFSET = 1_000_000_000
+# Places per part key: the record, its re-listed copy, its bare row.
+PLACES = 3
 
 
 def _s(c: Column) -> Column:
@@ -43,7 +45,7 @@ def _rules(name: Column) -> list[Column]:
     k3 = F.lpad(_s(m(1000)), 3, "0")
     first_word = F.substring_index(F.col("p_name"), " ", 1)
     return [
-        k.alias("src_seq"),
+        (k * PLACES).alias("src_seq"),
         _s(k).alias("uniq_id"),
         name.alias("product_name"),
         F.when(m(4) == 0, F.lit(None).cast("string"))
@@ -89,7 +91,7 @@ def _rules(name: Column) -> list[Column]:
 
 
 def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ``part`` rows as raw catalogue records, plus re-listed copies of every 50th key."""
+    """All ``part`` rows as raw catalogue records, re-listed copies of every 50th key, bare rows of every 40th."""
     from simcat.plans.memo import memo
     return memo(spark, ("catalog_raw", sf_dir), lambda: _catalog_raw(spark, sf_dir))
 
@@ -103,5 +105,11 @@ def _catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = part.select(*_rules(name))
     copies = (part.where(k % 50 == 0)
               .select(*_rules(F.concat(F.col("p_name"), F.lit(" copy"))))
-              .withColumn("src_seq", F.col("src_seq") + F.lit(DUPLICATE_SEQ_OFFSET)))
-    return base.unionByName(copies)
+              .withColumn("src_seq", F.col("src_seq") + 1))
+    # records with nothing but an id, and ids that are null or blank
+    uniq_id = (F.when(k % 120 == 0, F.lit(None).cast("string")).when(k % 80 == 0, F.lit("   "))
+               .otherwise(F.concat(F.lit("bare"), _s(k))))
+    bare = part.where(k % 40 == 0).select(
+        (k * PLACES + 2).alias("src_seq"), uniq_id.alias("uniq_id"),
+        *[F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS if c not in ("src_seq", "uniq_id")])
+    return base.unionByName(copies).unionByName(bare)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from simcat.functions.parsers import strip
+
 CORRUPT = "_corrupt_record"
 
 
@@ -26,11 +28,11 @@ def scan_ldjson(spark: SparkSession, path: str, columns: list[str],
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jpath):
-        raise FileNotFoundError(f"Dataset not found at {path}")
+        raise FileNotFoundError(f"no records at {path}: it does not exist")
 
     out = parse_lines(spark.read.text(path), columns)
     if out.where(F.col(CORRUPT).isNull()).limit(1).count() == 0:
-        raise ValueError(f"No parseable records found in {path}")
+        raise ValueError(f"{path} holds no line that is a JSON object")
     return out if keep_corrupt else out.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
@@ -44,7 +46,7 @@ def parse_lines(text: DataFrame, columns: list[str]) -> DataFrame:
     # File order without a global sort: (file, split start, position in the
     # task) orders every line, and is comparable as one struct column.
     lines = (text
-             .select(F.trim(F.col("value")).alias("line"),
+             .select(strip(F.col("value")).alias("line"),
                      F.struct(F.col("_metadata.file_path").alias("file"),
                               F.col("_metadata.file_block_start").alias("block"),
                               (F.lit(0).cast("long") if text.isStreaming
@@ -67,7 +69,7 @@ def parse_records(df: DataFrame, text_col: str, columns: list[str]) -> DataFrame
     """JSON-object text in any column -> all-string fields plus ``_corrupt_record``."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                           + [T.StructField(CORRUPT, T.StringType())])
-    r = F.from_json(F.trim(F.col(text_col)), schema,
+    r = F.from_json(strip(F.col(text_col)), schema,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return df.withColumn("_r", r).select(
         "*", *[F.col(f"_r.{c}").alias(c) for c in columns],

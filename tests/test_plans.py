@@ -30,11 +30,9 @@ def test_blocked_search_shape(spark):
     from simcat.operators import search as S
     from simcat.plans.q_features import built
     f, _ = built(spark, SF)
-    p = plan(S.topk(f, f, 10, max_broadcast_queries=0))
-    assert "FlatMapCoGroupsInPandas" in p
+    p = plan(S.topk(f, f, 10))
+    assert "MapInPandas" in p and "FlatMapCoGroupsInPandas" not in p
     assert "WindowGroupLimit" in p and "Partial" in p
-    p2 = plan(S.topk(f, f, 10))
-    assert "MapInPandas" in p2 and "FlatMapCoGroupsInPandas" not in p2
     p3 = plan(S.topk_self(f, 10, block_rows=64))
     assert "FlatMapGroupsInPandas" in p3 and "WindowGroupLimit" in p3
 

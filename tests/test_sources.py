@@ -19,7 +19,7 @@ def _write(lines):
 
 
 def test_malformed_lines_skipped_and_counted(spark):
-    p = _write(['{"uniq_id": "a", "product_name": "first"}', "", "   ", "not json", "[1]",
+    p = _write(['{"uniq_id": "a", "product_name": "first"}', "", "   ", "\t", " \t\u3000", "not json", "[1]",
                 '{"uniq_id": "a", "product_name": "second"}', '{"uniq_id": "b"}'])
     raw = scan_ldjson(spark, p, COLS, keep_corrupt=True)
     c = malformed_count(raw).first()
@@ -38,7 +38,9 @@ def test_missing_path_and_empty(spark):
 
 
 def test_missing_source_column_is_null(spark):
-    df = spark.createDataFrame([("x1", "n")], "uniq_id string, product_name string")
+    df = spark.createDataFrame([("x1", "n", 0)], "uniq_id string, product_name string, src_seq long")
+    with pytest.raises(ValueError):
+        N.normalise(df.drop("src_seq"))
     out = N.normalise(df).first()
     assert out["brand"] is None and out["colour_tokens"] == [] and out["is_prime"] == 0.0
 
@@ -68,3 +70,35 @@ def test_dedup_with_a_hot_id(spark):
     hot = out.where(F.col("product_id") == "hot").first()
     # largest id divisible by 3 has the smallest src_seq
     assert hot["product_name"] == f"name {max(i for i in range(n) if i % 3 == 0)}"
+
+
+def test_memo_follows_the_files(spark):
+    from simcat.plans.memo import memo
+    d = tempfile.mkdtemp(prefix="simcat-test-", dir="/tmp")
+    with open(os.path.join(d, "a.txt"), "w") as fh:
+        fh.write("1")
+    calls = []
+    build = lambda: calls.append(1) or len(calls)
+    assert memo(spark, ("t", d), build) == memo(spark, ("t", d), build) == 1
+    with open(os.path.join(d, "a.txt"), "w") as fh:
+        fh.write("changed")
+    assert memo(spark, ("t", d), build) == 2
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from simcat.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
