@@ -50,43 +50,65 @@ def _row_block(pdf: pd.DataFrame, n_terms: int):
     return lens, rows, cols, vals
 
 
-CHUNK_ROWS = 512
+CHUNK_VALUES = 1 << 14      # non-zeros multiplied at once
+FAN_IN = 64                 # partial sums that meet in one group
 
 
-def _dense_chunks(pdf: pd.DataFrame, n_terms: int, size: int = CHUNK_ROWS):
-    """The batch as dense row blocks of at most ``size`` x terms (bounded memory)."""
-    for start in range(0, len(pdf), size):
-        part = pdf.iloc[start:start + size]
-        lens, r, c, v = _row_block(part, n_terms)
-        x = np.zeros((len(part), n_terms))
-        x[r, c] = v
-        yield x
+def _chunks(pdf: pd.DataFrame):
+    """The batch in pieces of about CHUNK_VALUES non-zeros: (rows, row, column, value)."""
+    lens = np.fromiter((len(x) for x in pdf["idx"].values), dtype=np.int64, count=len(pdf))
+    piece = np.cumsum(lens) // CHUNK_VALUES
+    for p in np.unique(piece):
+        part = pdf.iloc[np.flatnonzero(piece == p)]
+        _, r, c, v = _row_block(part, 0)
+        yield len(part), r, c, v
+
+
+def _times(n: int, r, c, v, z: np.ndarray) -> np.ndarray:
+    """A Z for the rows of a piece."""
+    out = np.zeros((n, z.shape[1]))
+    if len(r):
+        first = np.flatnonzero(np.diff(r, prepend=-1))
+        out[r[first]] = np.add.reduceat(v[:, None] * z[c], first, axis=0)
+    return out
+
+
+def _add_transposed(out: np.ndarray, r, c, v, y: np.ndarray) -> None:
+    """out += A^T Y for the rows of a piece."""
+    if len(r):
+        order = np.argsort(c, kind="stable")
+        col = c[order]
+        first = np.flatnonzero(np.diff(col, prepend=-1))
+        out[col[first]] += np.add.reduceat(v[order, None] * y[r[order]], first, axis=0)
 
 
 def _sum_matrix(rows: DataFrame, fn, shape) -> np.ndarray:
-    """Run ``fn`` per batch -> one partial matrix per task; add them up in Spark.
+    """Run ``fn(piece, out)`` over all pieces -> one partial matrix per task; add them up in Spark.
 
-    Each task emits its non-zero matrix rows as (row index, array<double>); the
-    element-wise sum runs in the JVM (``zip_with``) per row index, whose group
-    holds at most one array per task.
+    Each task emits its non-zero matrix rows as (row index, array<double>).  The sums are made in
+    levels of at most ``FAN_IN`` arrays per group, so no group grows with the number of tasks; the
+    driver gets one matrix of ``shape``.
     """
     width = shape[1]
 
     def part(it):
-        acc = None
+        from pyspark import TaskContext
+        acc = np.zeros(shape)
         for pdf in it:
-            m = fn(pdf)
-            acc = m if acc is None else acc + m
-        if acc is None:
-            return
+            for piece in _chunks(pdf):
+                fn(piece, acc)
         nz = np.flatnonzero(np.any(acc != 0, axis=1))
-        yield pd.DataFrame({"r": nz.astype(np.int32), "v": list(acc[nz])})
-    parts = rows.mapInPandas(part, "r int, v array<double>")
+        task = np.full(len(nz), TaskContext.get().partitionId(), dtype=np.int32)
+        yield pd.DataFrame({"r": nz.astype(np.int32), "task": task, "v": list(acc[nz])})
+    parts = rows.mapInPandas(part, "r int, task int, v array<double>")
     zero = F.array_repeat(F.lit(0.0), width)
-    tot = (parts.groupBy("r")
-           .agg(F.aggregate(F.collect_list("v"), zero,
-                            lambda a, b: F.zip_with(a, b, lambda x, y: x + y)).alias("v"))
-           .toPandas())
+    added = F.aggregate(F.collect_list("v"), zero,
+                        lambda a, b: F.zip_with(a, b, lambda x, y: x + y)).alias("v")
+    n = rows.rdd.getNumPartitions()
+    while n > FAN_IN:
+        parts = parts.groupBy("r", F.floor(F.col("task") / FAN_IN).cast("int").alias("task")).agg(added)
+        n = -(-n // FAN_IN)
+    tot = parts.groupBy("r").agg(added).toPandas()
     m = np.zeros(shape)
     if len(tot):
         m[tot["r"].to_numpy()] = np.stack(tot["v"].to_numpy())
@@ -110,13 +132,11 @@ def fit_svd(weights: DataFrame, model, k: int, cfg, id_col: str = "product_id")
         bz = sc.broadcast(z)
         width = z.shape[1]
 
-        def both(pdf, bz=bz, width=width):
-            out = np.zeros((n_terms + width, width))
-            for x in _dense_chunks(pdf, n_terms):
-                y = x @ bz.value
-                out[:n_terms] += x.T @ y
-                out[n_terms:] += y.T @ y
-            return out
+        def both(piece, out, bz=bz):
+            n, r, c, v = piece
+            y = _times(n, r, c, v, bz.value)
+            _add_transposed(out[:n_terms], r, c, v, y)
+            out[n_terms:] += y.T @ y
         m = _sum_matrix(rows, both, (n_terms + width, width))
         aty, g = m[:n_terms], m[n_terms:]
         lam, u = np.linalg.eigh(g)
@@ -130,17 +150,15 @@ def fit_svd(weights: DataFrame, model, k: int, cfg, id_col: str = "product_id")
         # A has lower rank than k: the remaining components carry no variance
         comps = np.vstack([comps, np.zeros((k - comps.shape[0], n_terms))])
     # explained variance: variance of projected columns over total column variance
-    bc = sc.broadcast(comps)
-
-    def moments(pdf, bc=bc):
-        m = np.zeros((4, max(n_terms, k)))
-        for x in _dense_chunks(pdf, n_terms):
-            p = x @ bc.value.T
-            m[0, :k] += p.sum(axis=0)
-            m[1, :k] += (p * p).sum(axis=0)
-            m[2, :n_terms] += x.sum(axis=0)
-            m[3, :n_terms] += (x * x).sum(axis=0)
-        return m
+    bc = sc.broadcast(np.ascontiguousarray(comps.T))
+
+    def moments(piece, out, bc=bc):
+        n, r, c, v = piece
+        p = _times(n, r, c, v, bc.value)
+        out[0, :k] += p.sum(axis=0)
+        out[1, :k] += (p * p).sum(axis=0)
+        out[2, :n_terms] += np.bincount(c, weights=v, minlength=n_terms)
+        out[3, :n_terms] += np.bincount(c, weights=v * v, minlength=n_terms)
     mo = _sum_matrix(rows, moments, (4, max(n_terms, k)))
     proj_var = mo[1, :k] / n_docs - (mo[0, :k] / n_docs) ** 2
     full_var = mo[3, :n_terms] / n_docs - (mo[2, :n_terms] / n_docs) ** 2
@@ -152,18 +170,18 @@ def fit_svd(weights: DataFrame, model, k: int, cfg, id_col: str = "product_id")
 def project(weights: DataFrame, svd: SvdModel, id_col: str = "product_id") -> DataFrame:
     """(id, text_vec): each document's TF-IDF row times the components, L2-normalised."""
     sc = weights.sparkSession.sparkContext
-    bc = sc.broadcast(svd.components)
+    bc = sc.broadcast(np.ascontiguousarray(svd.components.T))     # terms x k
     rows = text_rows(weights, id_col)
-    n_terms = svd.components.shape[1]
 
     def proj(it):
-        comps = bc.value
+        z = bc.value
         for pdf in it:
-            for start, x in zip(range(0, len(pdf), CHUNK_ROWS), _dense_chunks(pdf, n_terms)):
-                p = x @ comps.T
+            at = 0
+            for n, r, c, v in _chunks(pdf):
+                p = _times(n, r, c, v, z)
                 nrm = np.linalg.norm(p, axis=1, keepdims=True)
                 p = np.where(nrm > 0, p / np.where(nrm > 0, nrm, 1.0), p)
-                ids = pdf[id_col].values[start:start + CHUNK_ROWS]
-                yield pd.DataFrame({id_col: ids, "text_vec": list(p)})
+                yield pd.DataFrame({id_col: pdf[id_col].values[at:at + n], "text_vec": list(p)})
+                at += n
     id_type = weights.schema[id_col].dataType.simpleString()
     return rows.mapInPandas(proj, f"{id_col} {id_type}, text_vec array<double>")

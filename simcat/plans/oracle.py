@@ -235,7 +235,15 @@ def _catalog_select(name_sql: str) -> str:
        END AS sales_rank_in_parent_category,
   CASE WHEN {k} % 4 = 1 THEN ' y ' WHEN {k} % 4 = 2 THEN NULL ELSE 'N' END AS amazon_prime__y_or_n,
   CASE WHEN {k} % 25 = 0 THEN 'Y' ELSE 'N' END AS best_seller_tag__y_or_n,
-  CASE WHEN {k} % 9 = 0 THEN CAST({k} % 300 AS VARCHAR) || ' ratings' END AS no__of_reviews
+  CASE WHEN {k} % 9 = 0 THEN CAST({k} % 300 AS VARCHAR) || ' ratings' END AS no__of_reviews,
+  CASE WHEN {k} % 33 <> 0 THEN 'A' || CAST({k} // 2 AS VARCHAR) END AS asin,
+  CASE WHEN {k} % 3 <> 0 THEN 'https://Img.example/s/' || CAST({k} AS VARCHAR) || '.jpg' END
+    AS image_urls__small,
+  CASE WHEN {k} % 4 = 1 THEN '  ' ELSE 'https://Img.example/l/' || CAST({k} AS VARCHAR) END AS large,
+  CASE WHEN {k} % 7 <> 0 THEN p_type || ' > ' || p_brand END AS parent___child_category__all,
+  CASE WHEN {k} % 5 <> 1 THEN '{{' || {qt} || 'Size' || {qt} || ': ' || {qt} || CAST(p_size AS VARCHAR)
+       || {qt} || ', ' || {qt} || 'Kind' || {qt} || ': ' || {qt} || p_type || {qt} || '}}' END
+    AS product_details__k_v_pairs
 FROM part"""
 
 
@@ -243,7 +251,8 @@ RAW_TEXT_COLUMNS = [
     "product_name", "brand", "colour", "sales_price", "weight", "rating", "discount_percentage",
     "browsenode", "meta_keywords", "medium", "sales_rank_in_child_category",
     "sales_rank_in_parent_category", "amazon_prime__y_or_n", "best_seller_tag__y_or_n",
-    "no__of_reviews"]
+    "no__of_reviews", "asin", "image_urls__small", "large", "parent___child_category__all",
+    "product_details__k_v_pairs"]
 
 
 def catalog_raw_sql() -> str:

@@ -179,6 +179,36 @@ def q_svd_explained(spark, sf_dir):
         F.round(F.lit(svd.explained_variance_ratio if svd else 1.0), 6).alias("explained_variance"))
 
 
+CFG_SMALL_VOCAB = Config(svd_components=0, tfidf_max_features=100)
+
+
+def _svd_inner_sql():
+    from simcat.plans.q_features import fsql
+    return fsql("""SELECT a.product_id, round(sum(a.w * b.w), 6) AS dot
+FROM tfidf a JOIN tfidf b ON a.term = b.term
+  AND TRY_CAST(b.product_id AS BIGINT) = TRY_CAST(a.product_id AS BIGINT) + 1
+GROUP BY a.product_id HAVING round(sum(a.w * b.w), 6) > 0""", CFG_SMALL_VOCAB)
+
+
+@register("svd_inner_products", _svd_inner_sql)
+def q_svd_inner_products(spark, sf_dir):
+    """SVD with as many components as terms (the 100 most frequent): inner products of neighbouring
+    products are those of the TF-IDF rows themselves, whatever the components' signs."""
+    from simcat.functions.vectors import dot
+    from simcat.operators import features as FT
+    from simcat.operators import svd as V
+    from simcat.plans.q_features import checkpointed_inputs
+    p, tf = checkpointed_inputs(spark, sf_dir)
+    model = FT.fit(p, CFG_SMALL_VOCAB, tf=tf)
+    w = FT.tfidf(tf, model)
+    vec = V.project(w, V.fit_svd(w, model, len(model.vocab), CFG_SMALL_VOCAB))
+    n = F.col("product_id").try_cast("bigint")
+    a = vec.select("product_id", n.alias("n"), F.col("text_vec").alias("va"))
+    b = vec.select((n - 1).alias("n"), F.col("text_vec").alias("vb"))
+    return (a.join(b, "n").select("product_id", F.round(dot("va", "vb"), 6).alias("dot"))
+            .where(F.col("dot") > 0))
+
+
 def _features_sql():
     from simcat.plans.q_features import fsql
     effs = ", ".join(f"round(eff_{b}, 6) AS eff_{b}" for b in ("category", "text", "numeric", "brand", "colour"))

@@ -23,7 +23,8 @@ def doc_term_counts(spark, sf_dir):
         docs = read_table(spark, sf_dir, "documents", spread=True).select(
             "doc_id", P.clean_text("text").alias("text"))
         n = docs.count()
-        return materialise(FT.term_counts(docs, "doc_id", "text")), n
+        # one exchange of the texts; the counts per document then need none
+        return materialise(FT.term_counts(docs.repartition("doc_id"), "doc_id", "text")), n
     return memo(spark, ("doc_tf", sf_dir), make)
 
 

@@ -25,7 +25,8 @@ RAW_COLUMNS = [
     "src_seq", "uniq_id", "product_name", "brand", "colour", "sales_price", "weight",
     "rating", "discount_percentage", "browsenode", "meta_keywords", "medium",
     "sales_rank_in_child_category", "sales_rank_in_parent_category",
-    "amazon_prime__y_or_n", "best_seller_tag__y_or_n", "no__of_reviews",
+    "amazon_prime__y_or_n", "best_seller_tag__y_or_n", "no__of_reviews", "asin",
+    "image_urls__small", "large", "parent___child_category__all", "product_details__k_v_pairs",
 ]
 
 # Places per part key: the record, its re-listed copy, its bare row.
@@ -87,6 +88,15 @@ def _rules(name: Column) -> list[Column]:
          .otherwise(F.lit("N")).alias("amazon_prime__y_or_n"),
         F.when(m(25) == 0, F.lit("Y")).otherwise(F.lit("N")).alias("best_seller_tag__y_or_n"),
         F.when(m(9) == 0, F.concat(_s(m(300)), F.lit(" ratings"))).alias("no__of_reviews"),
+        F.when(m(33) != 0, F.concat(F.lit("A"), _s(F.floor(k / 2).cast("bigint")))).alias("asin"),
+        F.when(m(3) != 0, F.concat(F.lit("https://Img.example/s/"), _s(k), F.lit(".jpg")))
+         .alias("image_urls__small"),
+        F.when(m(4) == 1, F.lit("  ")).otherwise(F.concat(F.lit("https://Img.example/l/"), _s(k)))
+         .alias("large"),
+        F.when(m(7) != 0, F.concat(F.col("p_type"), F.lit(" > "), F.col("p_brand")))
+         .alias("parent___child_category__all"),
+        F.when(m(5) != 1, F.concat(F.lit("{'Size': '"), _s(F.col("p_size")), F.lit("', 'Kind': '"),
+                                   F.col("p_type"), F.lit("'}"))).alias("product_details__k_v_pairs"),
     ]
 
 
