@@ -37,10 +37,7 @@ def scan_ldjson(spark: SparkSession, path: str, columns: list[str],
 
 
 def parse_lines(text: DataFrame, columns: list[str]) -> DataFrame:
-    """``value`` lines (batch or stream) -> all-string columns, ``_corrupt_record``, ``src_seq``.
-
-    For a stream, ``src_seq`` is (file, split start) only: first arrival decides.
-    """
+    """``value`` lines -> all-string columns, ``_corrupt_record``, ``src_seq``."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                           + [T.StructField(CORRUPT, T.StringType())])
     # File order without a global sort: (file, split start, position in the
@@ -49,8 +46,7 @@ def parse_lines(text: DataFrame, columns: list[str]) -> DataFrame:
              .select(strip(F.col("value")).alias("line"),
                      F.struct(F.col("_metadata.file_path").alias("file"),
                               F.col("_metadata.file_block_start").alias("block"),
-                              (F.lit(0).cast("long") if text.isStreaming
-                               else F.monotonically_increasing_id()).alias("pos")).alias("src_seq"))
+                              F.monotonically_increasing_id().alias("pos")).alias("src_seq"))
              .where(F.col("line") != ""))
     parsed = lines.select(
         F.from_json("line", schema, {"mode": "PERMISSIVE",

@@ -1,12 +1,10 @@
 """Incremental ingest: new ``.ldjson`` files in a folder -> cleaned product rows.
 
-A Structured Streaming query over the file source.  Each micro-batch parses its
-lines with the batch parser, applies the same cleaning projection as
-``normalise`` and drops ids already seen (``dropDuplicates`` keeps the first
-arrival; its state holds one entry per distinct id, so a RocksDB state store
-suits large catalogues).  Malformed lines are left out.  Progress and state
-live in the checkpoint location, so a restarted or failed query resumes
-without loss or repeats.
+A Structured Streaming query over the file source.  Each micro-batch parses its lines with the
+batch parser, keeps the first row per id in file order, drops ids that the product table already
+holds (an anti-join against the table, so no state grows with the number of ids ever seen) and
+appends the rest.  A batch that is run again after a failure finds the rows it had written and
+adds none twice.  Malformed lines are left out.  Progress lives in the checkpoint location.
 """
 
 from __future__ import annotations
@@ -32,12 +30,19 @@ def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str,
         from simcat.session import ensure_checkpoint_dir
         checkpoint = os.path.join(ensure_checkpoint_dir(spark), "ingest-" + os.path.basename(
             sink_dir.rstrip("/")))
-    lines = spark.readStream.text(source_dir)
-    raw = parse_lines(lines, columns or DUMP_COLUMNS).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    cleaned = N.filter_valid_id(N.clean_columns(N.project_canonical(raw)))
-    products = cleaned.dropDuplicates(["product_id"]).select(*N.PRODUCT_COLUMNS)
-    writer = (products.writeStream.format("parquet").option("path", sink_dir)
-              .option("checkpointLocation", checkpoint).outputMode("append"))
+    def append(batch, _):
+        session = batch.sparkSession
+        raw = parse_lines(batch, columns or DUMP_COLUMNS).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        products = N.normalise(raw, keep_seq=False)
+        path = session.sparkContext._jvm.org.apache.hadoop.fs.Path(sink_dir)
+        fs = path.getFileSystem(session.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            known = session.read.schema(products.schema).parquet(sink_dir).select("product_id")
+            products = products.join(known, "product_id", "left_anti").select(*N.PRODUCT_COLUMNS)
+        products.write.mode("append").parquet(sink_dir)
+
+    writer = (spark.readStream.text(source_dir).select("value", "_metadata").writeStream
+              .foreachBatch(append).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="10 seconds")
     return writer.start()
