@@ -50,6 +50,7 @@ NAMES = frozenset(
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription "
     "signup login comment comments reply replies respond disqus share sharing social related "
     "recommended recommendations masthead toolbar skip".split())
+STATES = ("has-", "with-", "no-", "without-", "has_", "with_", "no_")
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
 DROP, OPEN, KEEP = 0, 1, 2
@@ -63,7 +64,9 @@ def _is_template(name: str, attributes: str, in_main: bool) -> bool:
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower()
         if key in ("class", "id"):
-            if any(w in NAMES for w in re.split(r"[^a-z0-9]+", value)):
+            # "with-sidebar" or "no-ads" describe what is beside the text, not the text
+            if any(w in NAMES for name_ in value.split() if not name_.startswith(STATES)
+                   for w in re.split(r"[^a-z0-9]+", name_)):
                 return True
         elif key == "role":
             if value in ROLES:
@@ -110,7 +113,7 @@ def lines_of(page: str | None) -> list[tuple[int, str]]:
             continue
         hides = False
         if skip is not None:
-            if name in MAIN and not closing and skip not in TEMPLATE:
+            if name in MAIN and not closing and (skip not in TEMPLATE or skip == "form"):
                 flush()                       # an element left open can't swallow the article
                 skip, depth = None, 0
             elif name == skip:

@@ -81,6 +81,8 @@ def test_page_structure():
     assert lines("<div class=ad>open<article><p>kept</article>") == ["kept"]
     assert lines("<p>one</p><form><p>mail</p></form><p>two<p hidden>no</p>") == ["one", "two"]
     assert lines("<article><p>cut off &am") == ["cut off &am"]
+    assert lines("<div class='with-sidebar'><p>text</p><div class='sidebar'>x</div></div>") == ["text"]
+    assert lines("<form><div class='ad'>x</div><main><p>text</main></form>") == ["text"]
     assert lines("<p a='x>y'>z</p><p title=\"a") == ["z"]
 
 
