@@ -18,9 +18,9 @@ Records are rows of a Parquet table, written by Spark into the shared folder, so
 cost a retry and half-written files are never read.  ``decode_document`` expands one document
 without touching the rest of its block.
 
-The tokenizer's cost is paid once per distinct piece: texts of plain Latin letters are cut by the
-tokenizer's own splitting rule and the ids of each piece come from a bounded memory; all other
-texts go through the tokenizer whole.
+The tokenizer's cost is paid once per distinct piece: texts of plain Latin-1 characters are cut by
+the tokenizer's own splitting rule and the ids of each piece come from a bounded memory (by the
+piece's 64-bit hash); all other texts go through the tokenizer whole.
 
 Defined results: null and empty texts have the end id alone; null ids sort first; repeated ids are
 ordered by text; an empty table gives no rows; extra columns are ignored.
@@ -28,13 +28,13 @@ ordered by text; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from simcat.llm.circulant import BASE, BYTE_CODE, mix64
 from simcat.llm.common import shared_path, small_batches, table
 
 END = 2
@@ -43,13 +43,81 @@ ROUNDS = 5
 PAIRS_PER_ROUND = 1024
 BUCKET_BITS = 18
 MIN_COUNT = 16
-PIECES_KEPT = 1 << 19
+PIECES_KEPT = 1 << 20
+
+# Texts of these characters (Latin-1, after lower-casing) are cut here exactly as the tokenizer
+# cuts them: runs of letters, single digits, runs of other signs.  Any other text, and one with an
+# apostrophe (contractions) or a special token's "<|", is tokenised whole.
+SPACES = b"\t\n\x0b\x0c\r "
+DIGITS = b"0123456789"
+LETTERS = bytes(range(97, 123)) + bytes(range(0xDF, 0xF7)) + bytes(range(0xF8, 0x100))
+SIGNS = bytes(c for c in range(33, 127) if c not in DIGITS + LETTERS + b"'" and not 65 <= c <= 90)
+KIND = np.zeros(256, dtype=np.uint8)
+for _kind, _chars in ((1, LETTERS), (2, DIGITS), (3, SIGNS)):
+    KIND[list(_chars)] = _kind
+PLAIN = SPACES + DIGITS + LETTERS + SIGNS
+
+
+class Pieces:
+    """Ids of pieces by the 64-bit hash of the piece; a bounded open-addressing table in numpy."""
+
+    BITS = 21
+
+    def __init__(self, dtype):
+        self.dtype = dtype
+        self.clear()
+
+    def clear(self):
+        self.keys = np.zeros(1 << self.BITS, dtype=np.uint64)
+        self.values = np.zeros(1 << self.BITS, dtype=np.int32)
+        self.n, self.used = 0, 0
+        self.at = np.zeros(PIECES_KEPT, dtype=np.int64)
+        self.size = np.zeros(PIECES_KEPT, dtype=np.int64)
+        self.flat = np.zeros(1 << 16, dtype=self.dtype)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Number of each piece, -1 if unknown."""
+        mask = np.int64((1 << self.BITS) - 1)
+        slot = (h & np.uint64(mask)).astype(np.int64)
+        out = np.full(len(h), -1, dtype=np.int64)
+        todo = np.arange(len(h))
+        while len(todo):
+            k = self.keys[slot[todo]]
+            hit = k == h[todo]
+            out[todo[hit]] = self.values[slot[todo[hit]]]
+            todo = todo[~hit & (k != 0)]
+            slot[todo] = (slot[todo] + 1) & mask
+        return out
 
-# Characters whose pieces can be cut here exactly as the tokenizer does; any other text is
-# tokenised whole.
-OTHER = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]|<\\|")
-# The tokenizer's splitting rule for those characters, after lower-casing.
-PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
+    def add(self, h: np.ndarray, ids: list[bytes]):
+        """Store pieces that are not in the table yet."""
+        mask = np.int64((1 << self.BITS) - 1)
+        number = np.arange(self.n, self.n + len(h), dtype=np.int32)
+        slot = (h & np.uint64(mask)).astype(np.int64)
+        todo = np.arange(len(h))
+        while len(todo):
+            free = todo[self.keys[slot[todo]] == 0]
+            self.keys[slot[free]] = h[free]
+            won = self.keys[slot[todo]] == h[todo]
+            self.values[slot[todo[won]]] = number[todo[won]]
+            todo = todo[~won]
+            slot[todo] = (slot[todo] + 1) & mask
+        new = np.frombuffer(b"".join(ids), dtype=self.dtype)
+        while self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        size = np.array([len(b) for b in ids], dtype=np.int64) // self.dtype.itemsize
+        self.at[self.n:self.n + len(h)] = self.used + np.cumsum(size) - size
+        self.size[self.n:self.n + len(h)] = size
+        self.flat[self.used:self.used + len(new)] = new
+        self.used += len(new)
+        self.n += len(h)
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces in a row, and how many each has."""
+        size = self.size[numbers]
+        first = np.cumsum(size) - size
+        place = np.repeat(self.at[numbers] - first, size) + np.arange(int(size.sum()))
+        return self.flat[place], size
 
 
 class Encoder:
@@ -62,7 +130,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.vocab = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.vocab <= 60_000 else "<u4")
-        self.kept: dict[str, bytes] = {}
+        self.pieces = Pieces(self.dtype)
         self.cut_here = self._cuts_like_pieces(spec)
         self.ends_piece = np.zeros(self.vocab, dtype=bool)
         for token, ident in self.tokenizer.get_vocab(with_added_tokens=True).items():
@@ -70,12 +138,12 @@ class Encoder:
 
     @staticmethod
     def _cuts_like_pieces(spec: str) -> bool:
-        """Whether the tokenizer lower-cases and splits by the rule that PIECE follows."""
+        """Whether the tokenizer lower-cases and splits by the rule that KIND follows."""
         return "'s|'t|'re|'ve|'m|'ll|'d|[\\\\p{L}]+|[\\\\p{N}]|[^\\\\s\\\\p{L}\\\\p{N}]+" in spec \
             and '"Lowercase"' in spec and '"end_of_word_suffix":"</w>"' in spec
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes()
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.dtype)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _ids_of_pieces(self, pieces: list[str]) -> list[bytes]:
@@ -83,8 +151,7 @@ class Encoder:
         out = []
         for a in range(0, len(pieces), 1000):
             part = pieces[a:a + 1000]
-            e = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
-            ids = np.array(e.ids, dtype=self.dtype)
+            ids = self._ids([" ".join(part)])[0]
             stop = np.flatnonzero(self.ends_piece[ids]) + 1
             if len(stop) != len(part):
                 raise ValueError("the tokenizer doesn't mark the ends of words")
@@ -93,28 +160,93 @@ class Encoder:
             out += [raw[x:y] for x, y in zip(edge, edge[1:])]
         return out
 
+    def _plain(self, text: str) -> bytes | None:
+        """The lower-cased text in Latin-1 if it can be cut here."""
+        if not self.cut_here or "<|" in text:
+            return None
+        try:
+            raw = text.lower().encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        return None if raw.translate(None, PLAIN) else raw
+
+    def _cut(self, raws: list[bytes]) -> list[np.ndarray]:
+        """Ids of plain texts, all at once."""
+        joined = b" ".join(raws) + b" "
+        b = np.frombuffer(joined, dtype=np.uint8)
+        kind = KIND[b]
+        inside = kind != 0
+        # a piece begins or ends where the kind changes, and around every digit
+        changes = np.diff(kind, prepend=0) != 0
+        changes |= kind == 2
+        edge = np.flatnonzero(changes)
+        start = edge[inside[edge]]
+        length = np.append(edge[1:], len(b))[inside[edge]] - start
+        if not len(start):
+            return [np.empty(0, self.dtype) for _ in raws]
+        first = np.cumsum(length) - length
+        place = np.arange(int(length.sum())) - np.repeat(first, length)
+        powers = np.cumprod(np.full(int(length.max()), BASE, dtype=np.uint64))
+        h = mix64(np.add.reduceat(BYTE_CODE[b[inside]] * powers[place], first) + length.astype(np.uint64))
+        h |= np.uint64(1)                         # 0 marks a free place in the table
+        number = self.pieces.find(h)
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            new, at = np.unique(h[missing], return_index=True)
+            if self.pieces.n + len(new) > PIECES_KEPT:
+                self.pieces.clear()               # the memory is bounded; forgetting costs time only
+                missing = np.arange(len(h))
+                new, at = np.unique(h, return_index=True)
+            if len(new) > PIECES_KEPT:
+                return self._halves(raws)
+            at = missing[at]
+            texts = [joined[x:x + n].decode("latin-1")
+                     for x, n in zip(start[at].tolist(), length[at].tolist())]
+            self.pieces.add(new, self._ids_of_pieces(texts))
+            number[missing] = self.pieces.find(h[missing])
+        ids, size = self.pieces.ids(number)
+        ends = np.cumsum([len(r) + 1 for r in raws])
+        upto = np.concatenate(([0], np.cumsum(size)))[np.searchsorted(start, ends)]
+        return [ids[x:y] for x, y in zip([0, *upto[:-1].tolist()], upto.tolist())]
+
+    def _halves(self, raws: list[bytes]) -> list[np.ndarray]:
+        """More distinct pieces than the memory holds: fewer texts at a time."""
+        if len(raws) == 1:
+            return self._ids([raws[0].decode("latin-1")])
+        m = len(raws) // 2
+        return self._cut(raws[:m]) + self._cut(raws[m:])
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         out: list = [None] * len(texts)
-        whole, cut = [], {}
+        whole, cut = [], []
         for i, t in enumerate(texts):
             if not t:
-                out[i] = b""
-            elif not self.cut_here or OTHER.search(t):
+                out[i] = np.empty(0, self.dtype)
+                continue
+            raw = self._plain(t)
+            if raw is None:
                 whole.append(i)
             else:
-                cut[i] = PIECE.findall(t.lower())
+                cut.append((i, raw))
         if whole:
             for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
                 out[i] = ids
         if cut:
-            if len(self.kept) > PIECES_KEPT:       # the memory is bounded; forgetting costs time only
-                self.kept = {}
-            new = list(set().union(*cut.values()).difference(self.kept))
-            self.kept.update(zip(new, self._ids_of_pieces(new)))
-            get = self.kept.__getitem__
-            for i, p in cut.items():
-                out[i] = b"".join(map(get, p))
-        return [np.frombuffer(b, dtype=self.dtype) for b in out]
+            for (i, _), ids in zip(cut, self._cut([r for _, r in cut])):
+                out[i] = ids
+        return out
+
+
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def encoder_of(spec: str) -> Encoder:
+    """One encoder per worker process, so the pieces learned in a task serve the next ones."""
+    key = zlib.crc32(spec.encode())
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(spec)
+    return _ENCODERS[key]
 
 
 def compress(seq: np.ndarray, first_rule: int, end: int = END):
@@ -279,7 +411,7 @@ def write(docs: DataFrame, tokenizer_json: str, path: str, end: int = END,
     def run(batches):
         from pyspark import TaskContext
         shard = TaskContext.get().partitionId()
-        encoder = Encoder(spec.value)
+        encoder = encoder_of(spec.value)
         first_rule = encoder.vocab
         stop = np.array([end], dtype=encoder.dtype)
         ids, seqs, held, block, start = [], [], 0, 0, 0
