@@ -20,12 +20,13 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simcat.llm.common import crc_mod, small_batches, table
+from simcat.llm.common import crc_mod, materialise, small_batches, table
 
 FOLDS, HELD_OUT = 4, 2
 MAX_FIT = 20_000
@@ -35,6 +36,7 @@ STEM = (4, 5, 6, 7)
 MIN_GAIN = 27.0          # log-likelihood ratio of a lexicon entry
 MIN_PRECISION = 0.6      # less precise hits order the texts below CUT, but never reject one
 WINDOW = 8               # words looked at on either side of a hit
+LONG_WORD = 9            # letters of the words that tell texts apart when copies are left out
 SEEN = 1 << 19           # words remembered as clean by one worker
 WORD = re.compile(r"\w+")
 QUOTES = re.compile(r"[\"“”„«»‹›]|(?<!\w)'|'(?!\w)")
@@ -211,13 +213,37 @@ def training_rows(docs: DataFrame, labels: DataFrame, column: str, folds: int, h
            .groupBy("doc_id").agg(F.max(column).cast("int").alias("y"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
     # at most ``limit`` ids: the size of the broadcast is a parameter
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        F.broadcast(ids.withColumn("doc_id", F.col("doc_id").cast("long"))), "doc_id")
+
+
+def _sketch(batches):
+    """A hash that copies and near copies of a text share: the smallest of its long words'."""
+    for batch in batches:
+        out = []
+        for t in batch.column("text"):
+            text = (t.as_py() or "").lower()
+            words = {w for w in WORD.findall(text) if len(w) >= LONG_WORD} or {text}
+            out.append(min(zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())],
+                                         names=[*batch.schema.names, "sketch"])
+
+
+def one_of_each(rows: DataFrame) -> DataFrame:
+    """The sample without copies: a term must stand out in different texts, not in many copies of
+    one.  The sample is written out, so the passes over it don't read the corpus again."""
+    sample = materialise(rows.select("doc_id", "y", "text").mapInArrow(
+        _sketch, "doc_id long, y int, text string, sketch long"), "toxicity-sample")
+    # at most max_fit rows
+    first = sample.groupBy("sketch", "y").agg(F.min("doc_id").alias("doc_id"))
+    return sample.join(F.broadcast(first), ["sketch", "y", "doc_id"], "left_semi").select(
+        "doc_id", "text", "y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT):
     """Lexicon entries, precision per (entry, edits, quoted), score of a text without hits."""
     small_batches(docs.sparkSession)
-    rows = training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, max_fit)
+    rows = one_of_each(training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, max_fit))
 
     def count(batches):
         pos, neg = Counter(), Counter()
