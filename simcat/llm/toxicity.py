@@ -218,13 +218,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, column: str, folds: int, h
 
 
 def _sketch(batches):
-    """A hash that copies and near copies of a text share: the smallest of its long words'."""
+    """A hash that copies and most near copies of a text share: the two smallest of its long words'
+    (of the whole text where it has few)."""
     for batch in batches:
         out = []
         for t in batch.column("text"):
             text = (t.as_py() or "").lower()
-            words = {w for w in WORD.findall(text) if len(w) >= LONG_WORD} or {text}
-            out.append(min(zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words))
+            words = {w for w in WORD.findall(text) if len(w) >= LONG_WORD}
+            low = sorted(zlib.crc32(w.encode("utf-8", "surrogatepass"))
+                         for w in (words if len(words) >= 4 else {text}))
+            out.append(low[0] << 31 ^ low[-1 if len(low) == 1 else 1])
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())],
                                          names=[*batch.schema.names, "sketch"])
 

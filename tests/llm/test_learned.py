@@ -87,6 +87,22 @@ def test_toxicity_held_out(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, s in got.items() if s < T.CUT}
 
 
+def test_words_of_a_copied_text_are_no_lexicon(spark):
+    docs, labels, _ = toxic_tables(spark, 600)
+    rng = random.Random(8)
+    copied = words(rng, "pqvwxyz", 80).split() + ["grobzak", "unusuallylongword"]
+    more = []
+    for i in range(2000, 2080):           # near copies: one word differs
+        text = list(copied)
+        text[rng.randrange(80)] = f"edit{i}"
+        more.append((i, " ".join(text), "en"))
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    labels = labels.unionByName(spark.createDataFrame([(i, 0, 1) for i, *_ in more], labels.schema))
+    entries, _, _ = T.fit(docs, labels)
+    assert "grobzak" in {t for t, _ in entries}
+    assert not {t for t, _ in entries} & set(copied[:80])
+
+
 def test_labels_of_the_held_out_fold_are_never_used(spark):
     docs, labels, truth = toxic_tables(spark, 400)
     from pyspark.sql import functions as F
