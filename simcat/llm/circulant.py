@@ -2,20 +2,25 @@
 
 A document's set is its distinct 5-word shingles.  Two permutations of the 32-bit universe make the
 whole signature: the first shuffles the shingles, the second is applied after a circular shift by
-k for coordinate k.  Bands of ``ROWS`` coordinates give bucket keys.
-
-Links are found in rounds, each verified on the full shingle sets:
-1. texts with equal sets are one vertex (the smallest ``doc_id``);
-2. in every bucket each member is compared with the bucket's smallest member, then, where the
-   bucket still holds several components, with a second member picked by a hash;
-3. what then remains are members of one bucket in different components.  Two texts at the
-   threshold or above share two bands almost surely, so those pairs are taken from the buckets of
-   two bands, and all of them are verified.  No bucket is capped.
-Pairs inside one component add nothing to it and are never emitted, so a large group of copies
-costs one comparison per member and hub rather than all pairs.
-
-A pair at the threshold 0.85 shares no band with probability 2e-7, and fewer than two bands with
-5e-6.  Buckets of very common passages only meet in a few bands, and step 3 separates them.
+k for coordinate k.  Bands of ``ROWS`` coordinates give bucket keys; a pair at the threshold 0.85
+shares no band with probability 2e-7.  Links are decided on the full sets:
+
+1. Texts with equal sets are one vertex (the smallest ``doc_id``).
+2. Every bucket has a hub, the member that meets the most others, and each text is compared with
+   the best hub of its buckets.  That links nearly all members of a group of variants.  Where a
+   bucket still has several components and its members different hubs, all of them are compared
+   with the bucket's own hub too, so any two members of a bucket have a hub in common.
+3. Members of one hub that are in different components after that are described by what they lack
+   of the hub's set and what they have besides it.  The intersection of two of them is the hub's
+   size, less what either lacks, plus the differences they share.  So a pair is a link without any
+   shared difference only if a sum of two numbers is small, and then both are linked to the member
+   with the smallest number: one more comparison each.
+4. Every other link needs a known number of shared differences.  By the prefix principle such a
+   pair meets in the first few differences of either (differences that only they have come first),
+   which is an equality join; those pairs are verified.
+
+All links between members of a bucket are found (and some others), without comparing all its pairs and without a cap.
+Pairs inside one component add nothing to it and are not looked for.
 
 Defined results: null, empty and wordless texts have an empty set, n_shingles 0 and a component of
 their own; texts of fewer than five words have one shingle; rows that repeat a ``doc_id`` are one
@@ -37,7 +42,7 @@ SHINGLE = 5
 BANDS, ROWS = 26, 5
 THRESHOLD = 85           # per cent of the union
 CHUNK = 1 << 15          # shingles signed at once; fits a core's cache
-NULL_ID = -(1 << 63)
+NULL_ID = 1 - (1 << 63)      # the lowest id that can be negated
 
 _rng = np.random.default_rng(20240229)
 BYTE_CODE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -47,7 +52,7 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _mix64(x: np.ndarray) -> np.ndarray:
+def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
@@ -68,7 +73,7 @@ def word_hashes(text: str) -> np.ndarray:
     first = np.cumsum(lengths) - lengths
     place = np.arange(len(letters)) - np.repeat(first, lengths)
     powers = np.cumprod(np.full(int(lengths.max()), BASE, dtype=np.uint64))
-    return _mix64(np.add.reduceat(BYTE_CODE[letters] * powers[place], first)
+    return mix64(np.add.reduceat(BYTE_CODE[letters] * powers[place], first)
                   + lengths.astype(np.uint64))
 
 
@@ -81,7 +86,7 @@ def shingle_set(text: str | None) -> np.ndarray:
     total = np.zeros(len(words) - n + 1, dtype=np.uint64)
     for j in range(n):
         total += words[j:len(words) - n + 1 + j] * PLACE[j]
-    return np.unique(_mix64(total + np.uint64(n)))
+    return np.unique(mix64(total + np.uint64(n)))
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -123,7 +128,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     for b in range(BANDS):
         h = np.full(len(sig), b + 1, dtype=np.uint64)
         for r in range(ROWS):
-            h = _mix64(h * BASE + sig[:, b * ROWS + r].astype(np.uint64))
+            h = mix64(h * BASE + sig[:, b * ROWS + r].astype(np.uint64))
         keys[:, b] = h
     return keys.view(np.int64)
 
@@ -157,13 +162,8 @@ def _linked(batches):
     for batch in batches:
         keep = []
         for x, y in zip(batch.column(2), batch.column(3)):
-            p = np.frombuffer(x.as_buffer(), dtype=np.uint64)
-            q = np.frombuffer(y.as_buffer(), dtype=np.uint64)
-            if len(p) > len(q):
-                p, q = q, p
-            at = np.searchsorted(q, p)
-            at[at == len(q)] = 0
-            inter = int((q[at] == p).sum())
+            p, q = _grams(x), _grams(y)
+            inter = int(_within(p, q).sum())
             keep.append(100 * inter >= THRESHOLD * (len(p) + len(q) - inter))
         kept = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)],
@@ -195,71 +195,167 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _near_sizes(n, m):
-    return F.least(n, m) * 100 >= F.greatest(n, m) * THRESHOLD
-
-
-class _Links:
-    """Verified links so far and the components they make."""
-
-    def __init__(self, docs: DataFrame):
-        self.docs = docs
-        self.links: DataFrame | None = None
-        self.labels: DataFrame | None = None
-        self.known: DataFrame | None = None
-
-    def sets(self, ids: DataFrame) -> DataFrame:
-        """Shingle sets of ``ids``; sets made before are reused."""
-        if self.known is not None:
-            ids = ids.join(self.known.select("id"), "id", "left_anti")
-        made = materialise(
-            self.docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-            .mapInArrow(_sets, "id long, grams binary"), "sets")
-        self.known = made if self.known is None else self.known.unionByName(made)
-        return self.known
-
-    def verify(self, pairs: DataFrame) -> int:
-        """Verify ``pairs`` (a, b), add those that are links and renew the components."""
-        pairs = materialise(pairs, "pairs")
-        if not pairs.limit(1).count():
-            return 0
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        sets = self.sets(ids)
-        wide = (pairs.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b")
-                .join(sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a"))
-        found = materialise(wide.select("a", "b", "grams_a", "grams_b")
-                            .mapInArrow(_linked, "a long, b long"), "found")
-        new = found.limit(1).count()
-        if new:
-            edges = found
-            if self.labels is not None:
-                edges = edges.union(self.labels.filter(F.col("id") != F.col("label"))
-                                    .select("label", "id"))
-            self.labels = components(edges)
-        return new
-
-    def labelled(self, members: DataFrame) -> DataFrame:
-        """``members`` with the component of ``id``."""
-        if self.labels is None:
-            return members.withColumn("label", F.col("id"))
-        return (members.join(self.labels, "id", "left")
-                .withColumn("label", F.coalesce("label", "id")))
-
-
-def _mixed(members: DataFrame, keys: list[str]) -> DataFrame:
-    """Members (with ``label``) of the buckets that hold several components."""
-    mixed = (members.groupBy(*keys).agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-             .filter(F.col("lo") != F.col("hi")).select(*keys))
-    return members.join(mixed, keys, "left_semi")
-
-
-def _stars(members: DataFrame, order) -> DataFrame:
-    """Pairs of every member with the member of its bucket that is first in ``order``."""
-    hub = members.groupBy("key").agg(F.min_by(F.struct("id", "n", "label"), order).alias("hub"))
-    pairs = (members.join(hub, "key")
-             .filter((F.col("hub.label") != F.col("label")) & _near_sizes(F.col("n"), F.col("hub.n"))))
-    return pairs.select(F.least("hub.id", "id").alias("a"),
-                        F.greatest("hub.id", "id").alias("b")).distinct()
+def _compare(batches):
+    """Sizes and the part of the hub's set that a member lacks."""
+    schema = pa.schema([("hub", pa.int64()), ("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()),
+                        ("lacks", pa.int64())])
+    for batch in batches:
+        h, n, lacks = [], [], []
+        for x, y in zip(batch.column(2), batch.column(3)):
+            hub, own = _grams(x), _grams(y)
+            h.append(len(hub))
+            n.append(len(own))
+            lacks.append(len(hub) - int(_within(own, hub).sum()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), *[pa.array(v, pa.int64()) for v in (h, n, lacks)]],
+            schema=schema)
+
+
+def _prefixes(batches):
+    """The first differences of a member from its hub, as far as a partner may need them.
+
+    ``cap`` of a difference: it is in the prefix for partners whose ``load`` is at most that.
+    """
+    names = ["hub", "gram", "id", "label", "load", "cap"]
+    for batch in batches:
+        out: list[list] = [[] for _ in names]
+        for hub, ident, label, load, least, x, y in zip(
+                *[batch.column(c).to_pylist() for c in ("hub", "id", "label", "load", "least")],
+                batch.column("grams_hub"), batch.column("grams_id")):
+            a, b = _grams(x), _grams(y)
+            # what only this text has comes first: it is rarer than what it lacks of the hub
+            diff = np.concatenate([b[~_within(b, a)], a[~_within(a, b)]]).view(np.int64)
+            cap = WHOLE * (len(diff) - np.arange(len(diff)) + len(a)) - load
+            n = int((cap >= least).sum())
+            for column, value in zip(out, ([hub] * n, diff[:n], [ident] * n, [label] * n, [load] * n,
+                                           cap[:n])):
+                column.extend(value)
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(c, dtype=np.int64), pa.int64())
+                                          for c in out], names=names)
+
+
+def _grams(x) -> np.ndarray:
+    return np.frombuffer(x.as_buffer(), dtype=np.uint64)
+
+
+def _within(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Which of the sorted ``p`` are in the sorted, non-empty ``q``."""
+    at = np.searchsorted(q, p)
+    at[at == len(q)] = 0
+    return q[at] == p
+
+
+# 100 * I >= THRESHOLD * (n + m - I), multiplied out: WHOLE * I >= THRESHOLD * (n + m)
+WHOLE = 100 + THRESHOLD
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
+    return (pairs.join(sets.select(F.col("id").alias(b), F.col("grams").alias(f"grams_{b}")), b)
+            .join(sets.select(F.col("id").alias(a), F.col("grams").alias(f"grams_{a}")), a))
+
+
+def _join_up(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """Components after adding ``links`` (a, b)."""
+    if not links.limit(1).count():
+        return labels
+    if labels is not None:
+        links = links.union(labels.filter(F.col("id") != F.col("label")).select("label", "id"))
+    return components(links)
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of ``id``."""
+    if labels is None:
+        return rows.withColumn("label", F.col("id"))
+    return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows of the hubs whose members are in several components."""
+    several = (rows.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+               .filter(F.col("lo") != F.col("hi")).select("hub"))
+    return rows.join(several, "hub", "left_semi")
+
+
+def _members(groups: DataFrame) -> DataFrame:
+    """(key, id, hub) of every member of a shared bucket; the hub is the member that meets most."""
+    postings = groups.select("id", F.explode("bands").alias("key"))
+    shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    members = materialise(postings.join(shared, "key"), "members")
+    meets = members.groupBy("id").agg(F.sum("c").alias("meets"))
+    hubs = (members.join(meets, "id").groupBy("key")
+            .agg(F.max(F.struct("meets", (-F.col("id")).alias("low"))).alias("top")))
+    return members.join(hubs, "key").select("key", "id", "top")
+
+
+def _star(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    return materialise(_with_sets(pairs, docs, "hub", "id").select("hub", "id", "grams_hub", "grams_id")
+                       .mapInArrow(_compare, "hub long, id long, h long, n long, lacks long"), "star")
+
+
+def link(docs: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """``id``, ``label`` of the vertices that have a link; None if none has."""
+    members = materialise(_members(groups), "bucket-members")
+    hub = (-F.col("top.low")).alias("hub")
+    # one hub for each member: the best of those of its buckets
+    own = materialise(members.groupBy("id").agg(F.max("top").alias("top")).select("id", hub), "own-hubs")
+    sets = materialise(docs.join(own.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                       .mapInArrow(_sets, "id long, grams binary"), "sets")
+    star = _star(sets, own.filter(F.col("hub") != F.col("id")))
+    same = F.col("h") - F.col("lacks")
+    linked = WHOLE * same >= THRESHOLD * (F.col("h") + F.col("n"))
+    labels = _join_up(None, star.filter(linked).select("hub", "id").toDF("a", "b"))
+
+    # buckets of several components whose members have different hubs: all with the bucket's hub
+    seen = _labelled(members.join(own, "id"), labels)
+    several = (seen.groupBy("key").agg(
+        *[f(c).alias(f"{n}_{c}") for c in ("label", "hub") for n, f in (("lo", F.min), ("hi", F.max))])
+        .filter((F.col("lo_label") != F.col("hi_label")) & (F.col("lo_hub") != F.col("hi_hub")))
+        .select("key"))
+    more = (members.join(several, "key", "left_semi").select("id", hub)
+            .filter(F.col("hub") != F.col("id")).distinct().join(own, ["id", "hub"], "left_anti"))
+    second = _star(sets, more.select("hub", "id"))
+    labels = _join_up(labels, second.filter(linked).select("hub", "id").toDF("a", "b"))
+    star = star.unionByName(second)
+
+    # the hubs themselves are members that lack nothing
+    own = star.select("hub", F.col("hub").alias("id"), "h", F.col("h").alias("n"),
+                      F.lit(0).cast("long").alias("lacks")).distinct()
+    load = (THRESHOLD * F.col("n") + WHOLE * F.col("lacks")).alias("load")
+    rows = star.unionByName(own).select("hub", "id", "h", "n", "lacks", load)
+    rows = materialise(_mixed(_labelled(rows, labels)), "mixed")
+    # links that need no shared difference
+    lead = rows.groupBy("hub").agg(F.min_by(F.struct("id", "load", "label"),
+                                            F.struct("load", "id")).alias("lead"))
+    plain = (rows.join(lead, "hub")
+             .filter((F.col("label") != F.col("lead.label"))
+                     & (F.col("load") + F.col("lead.load") <= WHOLE * F.col("h")))
+             .select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct())
+    labels = _join_up(labels, materialise(plain, "plain"))
+
+    # links that need some: the least load of a partner in another component bounds the prefix
+    rows = materialise(_mixed(_labelled(rows.drop("label"), labels)), "mixed")
+    least = rows.groupBy("hub", "label").agg(F.min("load").alias("load"))
+    first = least.groupBy("hub").agg(F.min(F.struct("load", "label")).alias("one"))
+    second = (least.join(first, "hub").filter(F.col("label") != F.col("one.label"))
+              .groupBy("hub").agg(F.min("load").alias("other")))
+    bound = first.join(second, "hub")
+    partner = F.when(F.col("label") == F.col("one.label"), F.col("other")).otherwise(F.col("one.load"))
+    differences = F.col("n") - F.col("h") + 2 * F.col("lacks")
+    open_ = (rows.join(bound, "hub").withColumn("least", partner)
+             .filter((F.col("id") != F.col("hub"))
+                     & (WHOLE * (differences + F.col("h")) - F.col("load") >= F.col("least")))
+             .select("hub", "id", "label", "load", "least"))
+    heads = materialise(_with_sets(open_, sets, "hub", "id").mapInArrow(
+        _prefixes, "hub long, gram long, id long, label long, load long, cap long"), "prefixes")
+    other = heads.select("hub", "gram", *[F.col(c).alias(c + "_o") for c in ("id", "label", "load", "cap")])
+    close = (heads.join(other, ["hub", "gram"])
+             .filter((F.col("id") < F.col("id_o")) & (F.col("label") != F.col("label_o"))
+                     & (F.col("load") <= F.col("cap_o")) & (F.col("load_o") <= F.col("cap")))
+             .select(F.col("id").alias("a"), F.col("id_o").alias("b")).distinct())
+    found = materialise(_with_sets(close, sets, "a", "b").select("a", "b", "grams_a", "grams_b")
+                        .mapInArrow(_linked, "a long, b long"), "found")
+    return _join_up(labels, found)
 
 
 def cluster(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -273,33 +369,11 @@ def cluster(docs: DataFrame, text: str = "text") -> DataFrame:
     full = signed.filter(F.col("fp").isNotNull())
     total = signed.count()
     groups = materialise(
-        full.groupBy("fp").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"),
-                               F.count(F.lit(1)).alias("group_size"),
+        full.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("group_size"),
                                F.first("bands").alias("bands")), "set-groups")
-    postings = groups.select("id", "n", F.explode("bands").alias("key"))
-    shared = (postings.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-              .filter(F.col("lo") != F.col("hi")).select("key"))
-    members = materialise(postings.join(shared, "key", "left_semi"), "members")
-    state = _Links(docs)
-    state.verify(_stars(members.withColumn("label", F.col("id")), F.col("id")))
-    left = materialise(_mixed(state.labelled(members), ["key"]), "mixed")
-    state.verify(_stars(left, F.xxhash64("id", "key")))
-    left = materialise(_mixed(state.labelled(left.drop("label")), ["key"]), "mixed")
-    # members of mixed buckets by two bands: every other band of the same text
-    two = (left.select("id", "n", "label", "key")
-           .join(left.select(F.col("id").alias("id2"), F.col("key").alias("key2")),
-                 (F.col("id") == F.col("id2")) & (F.col("key") < F.col("key2")))
-           .select("id", "n", "label", "key", "key2"))
-    two = materialise(_mixed(two, ["key", "key2"]), "two-bands")
-    other = two.select(*[F.col(c).alias(c + "_o") for c in ("id", "n", "label")], "key", "key2")
-    pairs = (two.join(other, ["key", "key2"])
-             .filter((F.col("label") != F.col("label_o")) & (F.col("id") < F.col("id_o"))
-                     & _near_sizes(F.col("n"), F.col("n_o")))
-             .select(F.col("id").alias("a"), F.col("id_o").alias("b")).distinct())
-    state.verify(pairs)
-    named = state.labelled(groups.select("fp", "id", "group_size")).select(
-        "fp", "group_size", F.col("label").alias("component_id"))
-    named = materialise(named, "components")
+    named = _labelled(groups.select("fp", "id", "group_size"), link(docs, groups))
+    named = materialise(named.select("fp", "group_size", F.col("label").alias("component_id")),
+                        "components")
     out = hot_join(full.select("fp", "doc_id", "n_shingles"), named, ["fp"], total)
     out = out.select("doc_id", "n_shingles", "component_id").unionByName(
         signed.filter(F.col("fp").isNull())

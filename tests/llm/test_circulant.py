@@ -96,3 +96,11 @@ def test_filter_keeps_one_of_each(spark):
                                  "doc_id long, text string, n int")
     kept = C.filter_documents(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
+def test_null_ids_and_repeated_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text), (7, text + " x"), (7, "other words"), (9, "alone here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in C.cluster(docs).collect()}
+    assert got == {(None, 56): (None, True), (7, 57): (None, False), (7, 1): (None, False), (9, 1): (9, True)}
