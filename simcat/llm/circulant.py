@@ -16,8 +16,8 @@ shares no band with probability 2e-7.  Links are decided on the full sets:
    shared difference only if a sum of two numbers is small, and then both are linked to the member
    with the smallest number: one more comparison each.
 4. Every other link needs a known number of shared differences.  By the prefix principle such a
-   pair meets in the first few differences of either (differences that only they have come first),
-   which is an equality join; those pairs are verified.
+   pair meets in the first few differences of either, the rarest first, which is an equality join;
+   those pairs are verified.
 
 All links between members of a bucket are found (and some others), without comparing all its pairs and without a cap.
 Pairs inside one component add nothing to it and are not looked for.
@@ -34,7 +34,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from simcat.llm.common import hot_join, materialise, small_batches, table
 
@@ -211,27 +211,18 @@ def _compare(batches):
             schema=schema)
 
 
-def _prefixes(batches):
-    """The first differences of a member from its hub, as far as a partner may need them.
-
-    ``cap`` of a difference: it is in the prefix for partners whose ``load`` is at most that.
-    """
-    names = ["hub", "gram", "id", "label", "load", "cap"]
+def _differences(batches):
+    """What a member has besides its hub's set, and what it lacks of it."""
+    schema = pa.schema([("hub", pa.int64()), ("id", pa.int64()), ("gram", pa.int64())])
     for batch in batches:
-        out: list[list] = [[] for _ in names]
-        for hub, ident, label, load, least, x, y in zip(
-                *[batch.column(c).to_pylist() for c in ("hub", "id", "label", "load", "least")],
-                batch.column("grams_hub"), batch.column("grams_id")):
+        out, size = [np.empty(0, np.uint64)], []
+        for x, y in zip(batch.column(2), batch.column(3)):
             a, b = _grams(x), _grams(y)
-            # what only this text has comes first: it is rarer than what it lacks of the hub
-            diff = np.concatenate([b[~_within(b, a)], a[~_within(a, b)]]).view(np.int64)
-            cap = WHOLE * (len(diff) - np.arange(len(diff)) + len(a)) - load
-            n = int((cap >= least).sum())
-            for column, value in zip(out, ([hub] * n, diff[:n], [ident] * n, [label] * n, [load] * n,
-                                           cap[:n])):
-                column.extend(value)
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(c, dtype=np.int64), pa.int64())
-                                          for c in out], names=names)
+            out += [b[~_within(b, a)], a[~_within(a, b)]]
+            size.append(len(out[-1]) + len(out[-2]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(batch.column(c).to_numpy(), size), pa.int64()) for c in (0, 1)]
+            + [pa.array(np.concatenate(out).view(np.int64))], schema=schema)
 
 
 def _grams(x) -> np.ndarray:
@@ -342,12 +333,28 @@ def link(docs: DataFrame, groups: DataFrame) -> DataFrame | None:
     bound = first.join(second, "hub")
     partner = F.when(F.col("label") == F.col("one.label"), F.col("other")).otherwise(F.col("one.load"))
     differences = F.col("n") - F.col("h") + 2 * F.col("lacks")
-    open_ = (rows.join(bound, "hub").withColumn("least", partner)
-             .filter((F.col("id") != F.col("hub"))
-                     & (WHOLE * (differences + F.col("h")) - F.col("load") >= F.col("least")))
-             .select("hub", "id", "label", "load", "least"))
-    heads = materialise(_with_sets(open_, sets, "hub", "id").mapInArrow(
-        _prefixes, "hub long, gram long, id long, label long, load long, cap long"), "prefixes")
+    # reach: the largest load of a partner for whom a member's first difference counts; each
+    # further difference counts for partners of WHOLE less
+    open_ = materialise(
+        rows.join(bound, "hub").withColumn("least", partner).withColumn("size", differences)
+        .withColumn("reach", WHOLE * (F.col("size") + F.col("h")) - F.col("load"))
+        .filter((F.col("id") != F.col("hub")) & (F.col("reach") >= F.col("least")))
+        .select("hub", "id", "label", "load", "least", "size", "reach"), "open")
+    diffs = materialise(
+        _with_sets(open_.select("hub", "id").distinct(), sets, "hub", "id")
+        .select("hub", "id", "grams_hub", "grams_id")
+        .mapInArrow(_differences, "hub long, id long, gram long"), "differences")
+    # rarest first: differences of one member alone can't match and only take places
+    often = diffs.groupBy("hub", "gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    mine = Window.partitionBy("hub", "id")
+    placed = (diffs.join(often, ["hub", "gram"])
+              .withColumn("known", F.count(F.lit(1)).over(mine))
+              .withColumn("at", F.row_number().over(mine.orderBy("c", "gram"))))
+    heads = materialise(
+        placed.join(open_, ["hub", "id"])
+        .withColumn("cap", F.col("reach") - WHOLE * (F.col("size") - F.col("known") + F.col("at") - 1))
+        .filter(F.col("cap") >= F.col("least"))
+        .select("hub", "gram", "id", "label", "load", "cap"), "prefixes")
     other = heads.select("hub", "gram", *[F.col(c).alias(c + "_o") for c in ("id", "label", "load", "cap")])
     close = (heads.join(other, ["hub", "gram"])
              .filter((F.col("id") < F.col("id_o")) & (F.col("label") != F.col("label_o"))
