@@ -36,7 +36,7 @@ STEM = (4, 5, 6, 7)
 MIN_GAIN = 27.0          # log-likelihood ratio of a lexicon entry
 MIN_PRECISION = 0.6      # less precise hits order the texts below CUT, but never reject one
 WINDOW = 8               # words looked at on either side of a hit
-LONG_WORD = 9            # letters of the words that tell texts apart when copies are left out
+LONGEST = 40             # longest words of a text, which tell texts apart when copies are left out
 SEEN = 1 << 19           # words remembered as clean by one worker
 WORD = re.compile(r"\w+")
 QUOTES = re.compile(r"[\"“”„«»‹›]|(?<!\w)'|'(?!\w)")
@@ -218,15 +218,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, column: str, folds: int, h
 
 
 def _sketch(batches):
-    """A hash that copies and most near copies of a text share: the two smallest of its long words'
-    (of the whole text where it has few)."""
+    """A hash that copies and most near copies of a text share: the two smallest of its longest
+    words'."""
     for batch in batches:
         out = []
         for t in batch.column("text"):
             text = (t.as_py() or "").lower()
-            words = {w for w in WORD.findall(text) if len(w) >= LONG_WORD}
-            low = sorted(zlib.crc32(w.encode("utf-8", "surrogatepass"))
-                         for w in (words if len(words) >= 4 else {text}))
+            words = sorted(set(WORD.findall(text)), key=lambda w: (-len(w), w))[:LONGEST] or [text]
+            low = sorted(zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words)
             out.append(low[0] << 31 ^ low[-1 if len(low) == 1 else 1])
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())],
                                          names=[*batch.schema.names, "sketch"])
