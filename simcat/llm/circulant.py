@@ -3,9 +3,9 @@
 A document's set is its distinct 5-word shingles.  Two permutations of the 32-bit universe make the
 whole signature: the first shuffles the shingles, the second is applied after a circular shift by
 k for coordinate k.  Bands of ``ROWS`` coordinates give bucket keys; a pair at the threshold 0.85
-shares no band with probability 2e-7.  Links are decided on the full sets:
+shares no band with probability 2e-7, one at 0.8 with 3e-5.  Links are decided on the full sets:
 
-1. Texts with equal sets are one vertex (the smallest ``doc_id``).
+1. Texts with equal sets are one vertex, whatever their ``doc_id``.
 2. Every bucket has a hub, the member that meets the most others, and each text is compared with
    the best hub of its buckets.  That links nearly all members of a group of variants.  Where a
    bucket still has several components and its members different hubs, all of them are compared
@@ -23,9 +23,11 @@ All links between members of a bucket are found (and some others), without compa
 Pairs inside one component add nothing to it and are not looked for.
 
 Defined results: null, empty and wordless texts have an empty set, n_shingles 0 and a component of
-their own; texts of fewer than five words have one shingle; rows that repeat a ``doc_id`` are one
-vertex; a null ``doc_id`` counts as the lowest id and its component_id stays null where it is
-alone; extra columns are ignored.
+their own; texts of fewer than five words have one shingle; a component is named by its smallest
+``doc_id``, and the row of that id is kept (of several, that of the smallest text hash); a null
+``doc_id`` counts as the lowest id and stays null as a name; rows that share a ``doc_id`` (or have
+none) are linked by that only if ``one_per_id`` is set, which the query and the pipeline don't;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from simcat.llm.common import hot_join, materialise, small_batches, table
 
 SHINGLE = 5
 BANDS, ROWS = 26, 5
-THRESHOLD = 85           # per cent of the union
+THRESHOLD = 85           # per cent of the union, if the caller names none
 CHUNK = 1 << 15          # shingles signed at once; fits a core's cache
 NULL_ID = 1 - (1 << 63)      # the lowest id that can be negated
 
@@ -134,10 +136,10 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("sha", pa.binary()), ("n_shingles", pa.int64()),
                         ("fp", pa.binary()), ("bands", pa.list_(pa.int64()))])
     for batch in batches:
-        sets = [shingle_set(t.as_py()) for t in batch.column(1)]
+        sets = [shingle_set(t.as_py()) for t in batch.column(2)]
         full = [i for i, s in enumerate(sets) if len(s)]
         bands: list = [None] * len(sets)
         if full:
@@ -145,7 +147,7 @@ def _sign(batches):
                 bands[i] = row
         fp = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+            [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
              pa.array(fp, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], schema=schema)
 
 
@@ -157,17 +159,21 @@ def _sets(batches):
                                        pa.binary())], schema=schema)
 
 
-def _linked(batches):
+def _linked(threshold: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            p, q = _grams(x), _grams(y)
-            inter = int(_within(p, q).sum())
-            keep.append(100 * inter >= THRESHOLD * (len(p) + len(q) - inter))
-        kept = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)],
-                                         schema=schema)
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                p, q = _grams(x), _grams(y)
+                inter = int(_within(p, q).sum())
+                keep.append(100 * inter >= threshold * (len(p) + len(q) - inter))
+            kept = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).filter(kept), batch.column(1).filter(kept)], schema=schema)
+
+    return run
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -236,10 +242,6 @@ def _within(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return q[at] == p
 
 
-# 100 * I >= THRESHOLD * (n + m - I), multiplied out: WHOLE * I >= THRESHOLD * (n + m)
-WHOLE = 100 + THRESHOLD
-
-
 def _with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
     return (pairs.join(sets.select(F.col("id").alias(b), F.col("grams").alias(f"grams_{b}")), b)
             .join(sets.select(F.col("id").alias(a), F.col("grams").alias(f"grams_{a}")), a))
@@ -284,17 +286,23 @@ def _star(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                        .mapInArrow(_compare, "hub long, id long, h long, n long, lacks long"), "star")
 
 
-def link(docs: DataFrame, groups: DataFrame) -> DataFrame | None:
-    """``id``, ``label`` of the vertices that have a link; None if none has."""
+def link(docs: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> DataFrame | None:
+    """``id``, ``label`` of the vertices that have a link; None if none has.
+
+    ``docs`` has doc_id, sha, text; ``groups`` a vertex per set: id, first (doc_id, sha), bands.
+    """
+    # 100 * I >= threshold * (n + m - I), multiplied out: whole * I >= threshold * (n + m)
+    whole = 100 + threshold
     members = materialise(_members(groups), "bucket-members")
     hub = (-F.col("top.low")).alias("hub")
     # one hub for each member: the best of those of its buckets
     own = materialise(members.groupBy("id").agg(F.max("top").alias("top")).select("id", hub), "own-hubs")
-    sets = materialise(docs.join(own.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-                       .mapInArrow(_sets, "id long, grams binary"), "sets")
+    wanted = groups.select("id", "first.doc_id", "first.sha").join(own.select("id"), "id", "left_semi")
+    sets = materialise(docs.join(wanted, ["doc_id", "sha"]).dropDuplicates(["doc_id", "sha"])
+                       .select("id", "text").mapInArrow(_sets, "id long, grams binary"), "sets")
     star = _star(sets, own.filter(F.col("hub") != F.col("id")))
     same = F.col("h") - F.col("lacks")
-    linked = WHOLE * same >= THRESHOLD * (F.col("h") + F.col("n"))
+    linked = whole * same >= threshold * (F.col("h") + F.col("n"))
     labels = _join_up(None, star.filter(linked).select("hub", "id").toDF("a", "b"))
 
     # buckets of several components whose members have different hubs: all with the bucket's hub
@@ -312,7 +320,7 @@ def link(docs: DataFrame, groups: DataFrame) -> DataFrame | None:
     # the hubs themselves are members that lack nothing
     own = star.select("hub", F.col("hub").alias("id"), "h", F.col("h").alias("n"),
                       F.lit(0).cast("long").alias("lacks")).distinct()
-    load = (THRESHOLD * F.col("n") + WHOLE * F.col("lacks")).alias("load")
+    load = (threshold * F.col("n") + whole * F.col("lacks")).alias("load")
     rows = star.unionByName(own).select("hub", "id", "h", "n", "lacks", load)
     rows = materialise(_mixed(_labelled(rows, labels)), "mixed")
     # links that need no shared difference
@@ -320,7 +328,7 @@ def link(docs: DataFrame, groups: DataFrame) -> DataFrame | None:
                                             F.struct("load", "id")).alias("lead"))
     plain = (rows.join(lead, "hub")
              .filter((F.col("label") != F.col("lead.label"))
-                     & (F.col("load") + F.col("lead.load") <= WHOLE * F.col("h")))
+                     & (F.col("load") + F.col("lead.load") <= whole * F.col("h")))
              .select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct())
     labels = _join_up(labels, materialise(plain, "plain"))
 
@@ -334,10 +342,10 @@ def link(docs: DataFrame, groups: DataFrame) -> DataFrame | None:
     partner = F.when(F.col("label") == F.col("one.label"), F.col("other")).otherwise(F.col("one.load"))
     differences = F.col("n") - F.col("h") + 2 * F.col("lacks")
     # reach: the largest load of a partner for whom a member's first difference counts; each
-    # further difference counts for partners of WHOLE less
+    # further difference counts for partners of whole less
     open_ = materialise(
         rows.join(bound, "hub").withColumn("least", partner).withColumn("size", differences)
-        .withColumn("reach", WHOLE * (F.col("size") + F.col("h")) - F.col("load"))
+        .withColumn("reach", whole * (F.col("size") + F.col("h")) - F.col("load"))
         .filter((F.col("id") != F.col("hub")) & (F.col("reach") >= F.col("least")))
         .select("hub", "id", "label", "load", "least", "size", "reach"), "open")
     diffs = materialise(
@@ -352,7 +360,7 @@ def link(docs: DataFrame, groups: DataFrame) -> DataFrame | None:
               .withColumn("at", F.row_number().over(mine.orderBy("c", "gram"))))
     heads = materialise(
         placed.join(open_, ["hub", "id"])
-        .withColumn("cap", F.col("reach") - WHOLE * (F.col("size") - F.col("known") + F.col("at") - 1))
+        .withColumn("cap", F.col("reach") - whole * (F.col("size") - F.col("known") + F.col("at") - 1))
         .filter(F.col("cap") >= F.col("least"))
         .select("hub", "gram", "id", "label", "load", "cap"), "prefixes")
     other = heads.select("hub", "gram", *[F.col(c).alias(c + "_o") for c in ("id", "label", "load", "cap")])
@@ -361,43 +369,76 @@ def link(docs: DataFrame, groups: DataFrame) -> DataFrame | None:
                      & (F.col("load") <= F.col("cap_o")) & (F.col("load_o") <= F.col("cap")))
              .select(F.col("id").alias("a"), F.col("id_o").alias("b")).distinct())
     found = materialise(_with_sets(close, sets, "a", "b").select("a", "b", "grams_a", "grams_b")
-                        .mapInArrow(_linked, "a long, b long"), "found")
+                        .mapInArrow(_linked(threshold), "a long, b long"), "found")
     return _join_up(labels, found)
 
 
-def cluster(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
-                       F.col(text).alias("text"))
+def _same_ids(full: DataFrame, groups: DataFrame) -> DataFrame:
+    """Links (a, b) between the sets of rows that share a ``doc_id``."""
+    rows = full.select("doc_id", "fp").distinct().join(groups.select("fp", "id"), "fp")
+    several = (rows.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z"))
+               .filter(F.col("a") != F.col("z")).select("doc_id", "a"))
+    return rows.join(several, "doc_id").filter(F.col("id") != F.col("a")).select("a", F.col("id").alias("b"))
+
+
+def _keys():
+    """What tells rows apart: the id (null as the lowest) and a hash of the text (null as empty binary)."""
+    return {"doc_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
+            "sha": F.coalesce(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), F.lit(b""))}
+
+
+def _rows(docs: DataFrame, threshold: int, one_per_id: bool) -> DataFrame:
+    """``doc_id``, ``sha``, ``n_shingles``, ``first`` (doc_id and sha that stand for the component)."""
+    small_batches(docs.sparkSession)
+    docs = docs.select("doc_id", "text").select(*[c.alias(n) for n, c in _keys().items()], "text")
     signed = materialise(docs.mapInArrow(
-        _sign, "doc_id long, n_shingles long, fp binary, bands array<long>"), "signed")
+        _sign, "doc_id long, sha binary, n_shingles long, fp binary, bands array<long>"), "signed")
     full = signed.filter(F.col("fp").isNotNull())
     total = signed.count()
+    # written once, so that a vertex keeps its number
     groups = materialise(
-        full.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("group_size"),
-                               F.first("bands").alias("bands")), "set-groups")
-    named = _labelled(groups.select("fp", "id", "group_size"), link(docs, groups))
-    named = materialise(named.select("fp", "group_size", F.col("label").alias("component_id")),
-                        "components")
-    out = hot_join(full.select("fp", "doc_id", "n_shingles"), named, ["fp"], total)
-    out = out.select("doc_id", "n_shingles", "component_id").unionByName(
+        full.groupBy("fp").agg(F.min(F.struct("doc_id", "sha")).alias("first"),
+                               F.count(F.lit(1)).alias("group_size"), F.first("bands").alias("bands"))
+        .withColumn("id", F.monotonically_increasing_id()), "set-groups")
+    labels = link(docs, groups, threshold)
+    if one_per_id:
+        labels = _join_up(labels, materialise(_same_ids(full, groups), "same-ids"))
+    named = materialise(_labelled(groups.select("fp", "id", "group_size", "first"), labels), "labelled")
+    tops = materialise(named.groupBy("label").agg(F.min("first").alias("first"),
+                                                  F.count(F.lit(1)).alias("members")), "components")
+    named = materialise(hot_join(named.select("fp", "group_size", "label"), tops, ["label"],
+                                 named.count(), "members").select("fp", "group_size", "first"), "named")
+    out = hot_join(full.select("fp", "doc_id", "sha", "n_shingles"), named, ["fp"], total)
+    return out.select("doc_id", "sha", "n_shingles", "first").unionByName(
         signed.filter(F.col("fp").isNull())
-        .select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+        .select("doc_id", "sha", "n_shingles", F.struct("doc_id", "sha").alias("first")))
+
+
+def _kept():
+    return (F.col("doc_id") == F.col("first.doc_id")) & (F.col("sha") == F.col("first.sha"))
+
+
+def cluster(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD,
+            one_per_id: bool = True) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``."""
+    out = _rows(docs.select("doc_id", F.col(text).alias("text")), threshold, one_per_id)
     null = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return out.select(null("doc_id").alias("doc_id"), "n_shingles",
-                      null("component_id").alias("component_id"),
-                      (F.col("doc_id") == F.col("component_id")).alias("kept"))
+                      null("first.doc_id").alias("component_id"), _kept().alias("kept"))
 
 
-def filter_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each component, with all their columns."""
-    keep = (cluster(docs).filter("kept")
-            .select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_key")).distinct())
-    tagged = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
-    return tagged.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+def filter_documents(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component, with all their columns.
+
+    Wordless rows stay too; repeated rows (same ``doc_id``, same text) are reduced to one of them.
+    """
+    keep = (_rows(docs, threshold, one_per_id=False).filter(_kept())
+            .select(F.col("doc_id").alias("_key"), F.col("sha").alias("_sha")).distinct())
+    keys = _keys()
+    tagged = docs.withColumns({"_key": keys["doc_id"], "_sha": keys["sha"]})
+    return (tagged.join(keep, ["_key", "_sha"], "left_semi")
+            .dropDuplicates(["_key", "_sha"]).select(*docs.columns))
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster(table(spark, sf_dir, "documents"))
+    return cluster(table(spark, sf_dir, "documents"), one_per_id=False)

@@ -104,3 +104,23 @@ def test_null_ids_and_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in C.cluster(docs).collect()}
     assert got == {(None, 56): (None, True), (7, 57): (None, False), (7, 1): (None, False), (9, 1): (9, True)}
+
+
+def test_rows_without_an_id_of_their_own_are_told_apart_by_text(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(None, one, 1), (None, two, 2), (None, one + " x", 3), (7, three, 4), (7, "other words", 5),
+            (8, two + " x", 6), (9, three + " x", 7), (9, None, 8), (9, "", 9), (None, " ", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    kept = {r["n"] for r in C.filter_documents(docs.repartition(4)).collect()}
+    assert len(kept & {1, 3}) == 1 and kept - {1, 3} == {2, 4, 5, 8, 9, 10}
+    got = C.cluster(docs, one_per_id=False).collect()
+    assert sum(r["kept"] for r in got) == 7
+    assert {(r["doc_id"], r["component_id"]) for r in got if r["n_shingles"] == 57} == {
+        (None, None), (8, None), (9, 7)}
+
+
+def test_many_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text)] * 300 + [(None, f"{text} {i}") for i in range(40)] + [(5, "alone")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] or 0 for r in C.filter_documents(docs).collect()) == [0, 5]
