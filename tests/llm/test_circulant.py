@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 
+import corpus_pipeline
 from simcat.llm import circulant as C
 from simcat.llm.common import LOWER_TABLE
 
@@ -124,3 +125,20 @@ def test_many_repeated_rows(spark):
     rows = [(None, text)] * 300 + [(None, f"{text} {i}") for i in range(40)] + [(5, "alone")] * 3
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["doc_id"] or 0 for r in C.filter_documents(docs).collect()) == [0, 5]
+
+
+def test_pairs_between_the_thresholds(spark):
+    rng = random.Random(5)
+    rows = []
+    for family in range(6):
+        base = words(rng, 150)
+        near = list(base)
+        for at in (30, 70, 110):          # 131 of 161 shingles are shared: 0.81
+            near[at] = f"n{family}"
+        rows += [(2 * family, " ".join(base)), (2 * family + 1, " ".join(near))]
+    assert all(0.8 <= len(grams(a) & grams(b)) / len(grams(a) | grams(b)) < 0.85
+               for (_, a), (_, b) in zip(rows[::2], rows[1::2]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in C.filter_documents(docs).collect()) == list(range(12))
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+                  ) == list(range(0, 12, 2))
