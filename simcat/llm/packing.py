@@ -10,6 +10,9 @@ size that holds its contents.
 The cost of a sequence of c tokens is ``c + c * c / QUADRATIC + FIXED`` (linear layers, attention,
 overhead of a sequence).
 
+Lengths are token ids of the tokenizer that ``op10_token_ids`` uses (``id_counts``), or words as a
+rough stand-in (``token_counts``, the default of ``pack_documents``, which the pipeline uses).
+
 Defined results: null and empty texts have just the end token and are packed like any other; ties
 are broken by doc_id and piece, so a shard's bins don't depend on the order of its rows; repeated
 ids are packed row by row; extra columns are ignored.
@@ -21,9 +24,11 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simcat.llm.common import materialise, table, text_or_empty
+from simcat.llm.common import materialise, small_batches, table, text_or_empty
+from simcat.llm.repair import encoder_of, tokenizer_json
 
 SIZES = (512, 1024, 2048, 4096, 8192)
 QUADRATIC, FIXED = 16_384, 16
@@ -44,6 +49,24 @@ def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                        (F.size(words) + 1).cast("long").alias("tokens"))
 
 
+def id_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``doc_id`` and ``tokens``: ids that the tokenizer gives the text, and one end token."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    spec = spark.sparkContext.broadcast(tokenizer_json())     # one file of fixed size
+    schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.int64())])
+
+    def run(batches):
+        encoder = encoder_of(spec.value)
+        for batch in batches:
+            ids = encoder.encode([t.as_py() for t in batch.column(1)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(i) + 1 for i in ids], pa.int64())], schema=schema)
+
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+            .mapInArrow(run, "doc_id long, tokens long"))
+
+
 def pieces(counts: DataFrame, longest: int) -> DataFrame:
     """Documents cut to at most ``longest`` tokens: doc_id, piece, n_tokens."""
     last = F.greatest(F.ceil(F.col("tokens") / longest) - 1, F.lit(0)).cast("int")
@@ -114,11 +137,12 @@ def downsize(n: int, sizes: tuple[int, ...] = SIZES) -> int:
     return min(c for c in sizes if c >= n)
 
 
-def pack_documents(docs: DataFrame, sizes: tuple[int, ...] = SIZES, text: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, sizes: tuple[int, ...] = SIZES, text: str = "text",
+                   count=token_counts) -> DataFrame:
     """One row per piece: document, piece, tokens, shard, bin, start in the bin, the bin's tokens
     and its size after shrinking."""
     sizes = tuple(sorted(sizes))
-    cut = materialise(pieces(token_counts(docs, text), sizes[-1]), "pieces")
+    cut = materialise(pieces(count(docs, text), sizes[-1]), "pieces")
     shards = max(1, math.ceil(cut.count() / SHARD_PIECES))
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -136,4 +160,4 @@ def pack_documents(docs: DataFrame, sizes: tuple[int, ...] = SIZES, text: str =
 
 
 def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return pack_documents(table(spark, sf_dir, "documents"), count=id_counts)

@@ -63,6 +63,21 @@ def test_pack_documents(spark):
     assert P.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_query_packs_the_tokenizer_s_ids(spark, tmp_path):
+    texts = ["Packing sesquipedalian internationalisation 2024!", "日本語のテキスト" * 4000, None, "a b c", "x1" * 9000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    tok = R.Encoder(R.tokenizer_json()).tokenizer
+    got, bins = {}, {}
+    for r in P.op9_best_fit(spark, str(tmp_path)).collect():
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["n_tokens"]
+        b = bins.setdefault((r["shard"], r["bin"]), [0, r["bin_tokens"], r["bin_size"]])
+        b[0] += r["n_tokens"]
+    assert got == {i: len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    assert got[0] > 5 and got[1] > 8192 and got[4] > 8192
+    assert all(n == t <= s for n, t, s in bins.values())
+
+
 @pytest.mark.parametrize("kind", ["random", "repeats", "one", "ends"])
 def test_compress_round_trip(kind):
     rng = np.random.default_rng(4)
