@@ -6,7 +6,10 @@ pair are aligned by their longest common subsequence; lines that both pages shar
 go.  Two kinds of lines are settled by the markup itself and not by the pair: lines in navigation,
 headers, footers, sidebars, forms, notices, adverts, comments and the like always go, and lines of
 an ``article`` or ``main`` element always stay, because a copied or quoted passage that two
-articles share is content.  On pages with such an element the rest of the page goes.
+articles share is content.  On pages with such an element the rest of the page goes, unless it has
+only articles that are short beside the rest: those are teasers, and the pair decides about all lines.
+Articles in a hidden part (comments, adverts) or named as
+one are hidden; only the first ``article`` or ``main`` of a page ends a part that was never closed.
 
 Pages of one host are not gathered in one task: the order is a distributed sort, neighbours meet
 by their position in it, and only line hashes travel.
@@ -30,7 +33,8 @@ from simcat.llm.common import materialise, small_batches, table
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|select|textarea|title)\b[^>]*>"
+    r"|<(?:svg|math)(?=[\s/>])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(script|style|noscript|template|svg|math|iframe|object|select|textarea|title)(?=[\s/>])[^>]*>"
     r".*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>", re.S | re.I)
@@ -54,16 +58,17 @@ STATES = ("has-", "with-", "no-", "without-", "has_", "with_", "no_")
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
 DROP, OPEN, KEEP = 0, 1, 2
+SHORT = 0.5              # articles with less than this share of the rest's characters are teasers
 
 
 def _is_template(name: str, attributes: str, in_main: bool) -> bool:
     if name in TEMPLATE or (name == "header" and not in_main):
         return True
-    if name in MAIN or name in ("body", "html") or not attributes:
+    if name in ("body", "html") or not attributes:
         return False
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower()
-        if key in ("class", "id"):
+        if key in ("class", "id") and name != "main":
             # "with-sidebar" or "no-ads" describe what is beside the text, not the text
             if any(w in NAMES for name_ in value.split() if not name_.startswith(STATES)
                    for w in re.split(r"[^a-z0-9]+", name_)):
@@ -78,6 +83,12 @@ def _is_template(name: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
+def _never_closed(name: str, page: str) -> bool:
+    """Whether ``page`` opens more elements of this name than it closes."""
+    found = [m for m in MARKUP.finditer(page) if m.group(3) and m.group(3).lower() == name]
+    return sum(1 for m in found if not m.group(2)) > sum(1 for m in found if m.group(2))
+
+
 def lines_of(page: str | None) -> list[tuple[int, str]]:
     """(DROP, OPEN or KEEP, text) of the blocks of a page, in page order."""
     if not page:
@@ -88,6 +99,7 @@ def lines_of(page: str | None) -> list[tuple[int, str]]:
     depth = 0
     main: list[str] = []
     state = OPEN
+    began = only = False         # a main part has been seen; it is a <main> element
 
     def flush():
         if held:
@@ -113,7 +125,9 @@ def lines_of(page: str | None) -> list[tuple[int, str]]:
             continue
         hides = False
         if skip is not None:
-            if name in MAIN and not closing and (skip not in TEMPLATE or skip == "form"):
+            if name in MAIN and not closing and not began and (skip not in TEMPLATE or skip == "form") \
+                    and not _is_template(name, m.group(4), False) \
+                    and (skip == "form" or _never_closed(skip, page)):
                 flush()                       # an element left open can't swallow the article
                 skip, depth = None, 0
             elif name == skip:
@@ -137,6 +151,7 @@ def lines_of(page: str | None) -> list[tuple[int, str]]:
                     del main[len(main) - 1 - main[::-1].index(name):]
             else:
                 main.append(name)
+                began, only = True, only or name == "main"
         if skip is None:
             state = KEEP if main else OPEN
     if at < len(page):
@@ -144,9 +159,11 @@ def lines_of(page: str | None) -> list[tuple[int, str]]:
         cut = rest.rfind("<")
         held.append(rest if cut < 0 or not re.match(r"<[a-zA-Z/!]", rest[cut:]) else rest[:cut])
     flush()
-    if any(s == KEEP for s, _ in out):
-        out = [(DROP if s == OPEN else s, t) for s, t in out]
-    return out
+    kept, rest = (sum(len(t) for s, t in out if s == which) for which in (KEEP, OPEN))
+    if only and kept or kept >= SHORT * rest:
+        return [(DROP if s == OPEN and kept else s, t) for s, t in out]
+    # articles that are short beside the rest are teasers: the pair decides about all lines
+    return [(OPEN if s == KEEP else s, t) for s, t in out]
 
 
 def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:

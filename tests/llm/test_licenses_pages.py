@@ -113,3 +113,16 @@ def test_repeated_and_many_pages_of_one_host(spark):
     # equal pages share all their lines, with their copy or with nothing else nearer
     assert all("menu" not in t for _, t, _ in got)
     assert P.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_articles_in_hidden_parts_and_teasers():
+    long = "real text of the page " * 20
+    assert lines("<div class=comments><article class=comment><p>me too</p></article></div>"
+                 "<article><p>text</p></article>") == ["text"]
+    assert lines("<article><p>text</p></article><article class='ad'>buy</article>") == ["text"]
+    assert lines("<div class=comments><article><p>me too</p></article></div><p>text</p>") == ["text"]
+    assert lines(f"<div id=content><p>{long}</p></div><div><article>teaser</article></div>") == [
+        long.strip(), "teaser"]
+    for head in ("<svg-icon name=x>", "<object-x>", "<template-y a=b>", "<svg a='b'/>", "<svg />"):
+        assert lines(f"<article>{head}<p>text</p></article>") == ["text"], head
+    assert lines("<article><svg><path/><text>no</text></svg><p>text</p></article>") == ["text"]
