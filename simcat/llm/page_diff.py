@@ -1,14 +1,14 @@
 """Main text of web pages by nearest-URL differencing.
 
 Every page is cut into text lines (blocks).  Pages are ordered by host and URL path, and each is
-paired with the neighbour of its host whose path shares the most leading segments.  The lines of a
-pair are aligned by their longest common subsequence; lines that both pages share are template and
+paired with the neighbour of its host whose path shares the most leading segments; pages of a host
+with the same lines count once there, so a copy is never the partner.  The lines of a pair are aligned by their longest common subsequence; lines that both pages share are template and
 go.  Two kinds of lines are settled by the markup itself and not by the pair: lines in navigation,
 headers, footers, sidebars, forms, notices, adverts, comments and the like always go, and lines of
 an ``article`` or ``main`` element always stay, because a copied or quoted passage that two
 articles share is content.  On pages with such an element the rest of the page goes, unless it has
 only articles that are short beside the rest: those are teasers, and the pair decides about all lines.
-Articles in a hidden part (comments, adverts) or named as
+No page loses all its lines to its pair.  Articles in a hidden part (comments, adverts) or named as
 one are hidden; only the first ``article`` or ``main`` of a page ends a part that was never closed.
 
 Pages of one host are not gathered in one task: the order is a distributed sort, neighbours meet
@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simcat.llm.common import materialise, small_batches, table
+from simcat.llm.common import hot_join, materialise, small_batches, table
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -236,8 +236,8 @@ def _number(batches):
 
 
 def _cut(batches):
-    """Line numbers that a page loses to its pair."""
-    schema = pa.schema([("rid", pa.int64()), ("gone", pa.list_(pa.int32()))])
+    """Line numbers that the pages of a host with these lines lose to their pair."""
+    schema = pa.schema([("host", pa.string()), ("lines", pa.binary()), ("gone", pa.list_(pa.int32()))])
     for batch in batches:
         gone = []
         for open_, own, other in zip(batch.column("open").to_pylist(), batch.column("hashes"),
@@ -245,11 +245,13 @@ def _cut(batches):
             a = np.frombuffer(own.as_buffer(), dtype=np.int64)
             b = np.frombuffer(other.as_buffer(), dtype=np.int64) if other.is_valid else a[:0]
             shared = set(shared_lines(a, b).tolist()) if len(b) else set()
-            gone.append([i for i in open_ if i in shared])
+            lost = [i for i in open_ if i in shared]
+            # a page that the other one holds whole is no template
+            gone.append(lost if len(lost) < len(a) else [])
         keep = pa.array([bool(g) for g in gone], pa.bool_())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("rid").filter(keep), pa.array([g for g in gone if g], pa.list_(pa.int32()))],
-            schema=schema)
+            [batch.column("host").filter(keep), batch.column("lines").filter(keep),
+             pa.array([g for g in gone if g], pa.list_(pa.int32()))], schema=schema)
 
 
 def host_and_path(url):
@@ -277,15 +279,24 @@ def cut_lines(pages: DataFrame) -> DataFrame:
     """
     spark = pages.sparkSession
     host, path = host_and_path(F.col("url"))
-    outline = (pages.select("rid", "page_id", "url", "html")
-               .mapInArrow(_outline, "rid long, page_id long, url string, open array<int>, hashes binary")
-               .withColumn("host", host).withColumn("path", path).drop("url"))
+    # null where the page has no lines
+    digest = F.when(F.length("hashes") > 0, F.unhex(F.sha2(F.concat(
+        "hashes", F.array_join("open", ",").cast("binary")), 256)))
+    outline = materialise(
+        pages.select("rid", "page_id", "url", "html")
+        .mapInArrow(_outline, "rid long, page_id long, url string, open array<int>, hashes binary")
+        .withColumn("host", host).withColumn("path", path).withColumn("lines", digest).drop("url"), "outline")
+    # pages of a host with the same lines count once, as the first of them
+    first = F.min(F.struct("path", "page_id", "rid")).alias("first")
+    alike = (outline.filter(F.col("lines").isNotNull()).groupBy("host", "lines")
+             .agg(first, F.first("open").alias("open"), F.first("hashes").alias("hashes"))
+             .select("host", "lines", "first.*", "open", "hashes"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["host", "path", "page_id", "rid"]
-    ordered = outline.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ordered = materialise(alike, "alike").repartitionByRange(n, *order).sortWithinPartitions(*order)
     placed = materialise(ordered.mapInArrow(
-        _number, "rid long, page_id long, open array<int>, hashes binary, host string, "
-                 "path array<string>, part int, at long"), "outline")
+        _number, "host string, lines binary, path array<string>, page_id long, rid long, "
+                 "open array<int>, hashes binary, part int, at long"), "placed")
     # one row per partition: where its numbering starts
     sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     starts, total = [], 0
@@ -305,8 +316,14 @@ def cut_lines(pages: DataFrame) -> DataFrame:
             .filter(F.col("host") == F.col("host2"))
             .withColumn("close", F.struct(_common(F.col("path"), F.col("path2")).alias("common"),
                                           F.col("from").alias("from")))
-            .groupBy("rid").agg(F.max_by(F.struct("open", "hashes", "other"), "close").alias("pair")))
-    return best.select("rid", "pair.*").mapInArrow(_cut, "rid long, gone array<int>")
+            .groupBy("rid").agg(F.max_by(F.struct("host", "lines", "open", "hashes", "other"), "close").alias("pair")))
+    lost = materialise(best.select("pair.*").mapInArrow(_cut, "host string, lines binary, gone array<int>"),
+                       "lost-lines")
+    key = ["host", "lines"]
+    rows = outline.filter((F.size("open") > 0) & F.col("lines").isNotNull()).select("rid", *key)
+    sizes_of = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"))
+    groups = materialise(lost.join(sizes_of, key), "lost-groups")
+    return hot_join(rows, groups, key, rows.count()).select("rid", "gone")
 
 
 def extract(pages: DataFrame) -> DataFrame:

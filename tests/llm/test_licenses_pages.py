@@ -126,3 +126,14 @@ def test_articles_in_hidden_parts_and_teasers():
     for head in ("<svg-icon name=x>", "<object-x>", "<template-y a=b>", "<svg a='b'/>", "<svg />"):
         assert lines(f"<article>{head}<p>text</p></article>") == ["text"], head
     assert lines("<article><svg><path/><text>no</text></svg><p>text</p></article>") == ["text"]
+
+
+def test_copies_are_no_partners_and_no_page_loses_all(spark):
+    page = lambda *own: "".join(f"<div>{x}</div>" for x in ("menu", *own))
+    rows = [(i, f"http://h.org/d/{i // 2}", page(f"text {i // 2}")) for i in range(60)]
+    rows += [(100 + i, f"http://m.org/{i}", page("the same article")) for i in range(40)]
+    rows += [(200, "http://n.org/a", page("one")), (201, "http://n.org/b", page("one", "more"))]
+    got = {i: t for i, t, _ in extract(spark, rows)}
+    assert all(got[i] == f"text {i // 2}" for i in range(60))
+    assert all(got[100 + i] == "menu\nthe same article" for i in range(40))
+    assert got[200] == "menu\none" and got[201] == "more"
