@@ -6,6 +6,11 @@ looked up among known licence sentences.  The identifiers found, in text order w
 sentences skipped, form a sequence; ordered rules replace runs of identifiers by a licence,
 the first rule taking its identifiers before the later ones see them.
 
+A known sentence may be wrapped: inside it a line end (with comment marks) counts as a space, and
+its lines as one sentence; a blank line always ends it.  Entries that hold a break themselves
+(``v. 2.0``) are looked for with it.  The SQL reads every line for itself, so it agrees on texts
+without wrapped notices and without such entries.
+
 Defined results: null and empty texts have no sentence and no licence; a sentence without
 a-z 0-9 does not count; repeated licences are listed once, sorted; rows are never dropped,
 repeated or joined, and input columns other than ``doc_id`` and ``text`` are ignored.
@@ -13,9 +18,11 @@ repeated or joined, and input columns other than ``doc_id`` and ``text`` are ign
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simcat.llm.common import ASCII_LOWER, ASCII_UPPER, lower_ascii, table, text_or_empty
+from simcat.llm.common import ASCII_LOWER, ASCII_UPPER, table, text_or_empty
 
 # Known licence sentences: identifier, wording (compared after normalisation).
 SENTENCES = [
@@ -140,8 +147,10 @@ RULES = [
     ("all-rights-reserved", ["allRights"]),
 ]
 
-BREAKS = r"[.!?;]+[ \t\f\r\n]+|[\r\n]+"
-OTHER = r"[^a-z0-9\n]+"
+# Lower-cased texts hold no A-Z, so B can stand for a break that no sentence goes across.
+BREAKS = r"[.!?;]+[ \t\f\n]+"
+OTHER = r"[^a-z0-9B\n]+"
+BLANK = r" ?\n ?\n[ \n]*|[ \n]*B[ \nB]*"
 
 
 def _key(sentence: str) -> str:
@@ -155,6 +164,12 @@ def dictionary() -> dict[str, str]:
     return {_key(text): ident for ident, text in SENTENCES}
 
 
+def known_runs() -> dict[str, str]:
+    """Normalised sentence, with B for the breaks it holds -> identifier; whole sentences first."""
+    cut = {"B".join(map(_key, re.split(BREAKS, text))): ident for ident, text in SENTENCES}
+    return dict(sorted(cut.items(), key=lambda kv: ("B" in kv[0], -len(kv[0]))))
+
+
 def _run(idents: list[str]) -> str:
     return "".join(f"<{i}>" for i in idents)
 
@@ -162,14 +177,20 @@ def _run(idents: list[str]) -> str:
 def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Licences of every row: ``keep`` columns plus n_sentences, n_known, sentence_ids,
     licenses (comma-joined, sorted, distinct) and n_unmatched (known sentences in no rule)."""
-    known = F.create_map(*[F.lit(x) for kv in dictionary().items() for x in kv])
-    norm = F.regexp_replace(F.regexp_replace(lower_ascii(text_or_empty(text)), BREAKS, "\n"),
-                            OTHER, " ")
-    sentences = F.filter(F.transform(F.split(norm, "\n"), lambda s: F.trim(s)), lambda s: s != "")
-    base = docs.select(*keep, sentences.alias("_sentences"))
-    idents = F.filter(F.transform("_sentences", lambda s: F.try_element_at(known, s)),
-                      lambda i: i.isNotNull())
-    base = base.select(*keep, F.size("_sentences").cast("long").alias("n_sentences"),
+    runs = known_runs()
+    known = F.create_map(*[F.lit(x) for kv in runs.items() for x in kv])
+    lower = F.translate(F.replace(text_or_empty(text), F.lit("\r\n"), F.lit("\n")),
+                        ASCII_UPPER + "\r", ASCII_LOWER + "\n")
+    norm = F.regexp_replace(F.regexp_replace(lower, BREAKS, "B"), OTHER, " ")
+    norm = F.trim(F.regexp_replace(F.regexp_replace(norm, BLANK, "B"), " ?\\n ?", "\n"))
+    either = "|".join(k.replace(" ", r"[ \n]") for k in runs)
+    base = docs.select(*keep, norm.alias("_norm"))
+    base = base.select(
+        *keep, F.filter(F.split("_norm", r"[B\n]"), lambda s: ~s.isin("", " ")).alias("_sentences"),
+        F.regexp_extract_all("_norm", F.lit(rf"(?<![^B\n])(?:{either})(?![^B\n])"), F.lit(0)).alias("_runs"))
+    idents = F.transform("_runs", lambda r: F.try_element_at(known, F.translate(r, "\n", " ")))
+    wrapped = F.length(F.regexp_replace(F.array_join("_runs", ""), r"[^\n]+", ""))
+    base = base.select(*keep, (F.size("_sentences") - wrapped).cast("long").alias("n_sentences"),
                        idents.alias("_ids"))
     found = F.concat(*[F.array_join(F.transform("_ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))),
                                     "")])

@@ -137,3 +137,29 @@ def test_copies_are_no_partners_and_no_page_loses_all(spark):
     assert all(got[i] == f"text {i // 2}" for i in range(60))
     assert all(got[100 + i] == "menu\nthe same article" for i in range(40))
     assert got[200] == "menu\none" and got[201] == "more"
+
+
+def test_wrapped_notices(spark):
+    import textwrap
+    said = dict(reversed([(i, t) for i, t in L.SENTENCES]))
+    wrap = lambda *ids, end=".": [textwrap.fill(said[i] + end, 60) for i in ids]
+    mit = "\n\n".join(wrap("mitGrant", end="") + wrap("mitNotice", "mitAsIs") + wrap("mitLiability"))
+    bsd = "\n\n".join(["Copyright (c) 2020, X\nAll rights reserved.", *wrap("bsdIntro", end=""),
+                       *[f"{n}. {t}" for n, t in enumerate(wrap("bsdSource", "bsdBinary", "bsdEndorse"), 1)]])
+    apache = ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except\n"
+              "in compliance with the License.\nYou may obtain a copy of the License at\n\n"
+              "    http://www.apache.org/licenses/LICENSE-2.0\n\n" + wrap("apacheAsIs")[0])
+    gpl2 = textwrap.fill("; ".join(said[i] for i in ("gplFree", "gplTerms", "gplTerms2p")) + ". " + "; ".join(
+        said[i] for i in ("gplHope", "gplImplied")) + ". " + said["gplSee"] + ".", 60)
+    gpl3 = "\n\n".join(wrap("gplTerms3pOne"))
+    mpl = textwrap.fill(said["mplRef"] + ". " + said["mplCopy"] + ".", 60)
+    isc = "Copyright 2020 X\n" + wrap("iscGrant")[0]
+    texts = [mit, bsd, apache, gpl2, gpl3, mpl, isc]
+    want = ["MIT", "BSD-3-Clause,all-rights-reserved", "Apache-2.0", "GPL-2.0-or-later", "GPL-3.0-or-later",
+            "MPL-2.0", "ISC"]
+    comments = [t.replace("\n", "\r\n * ") for t in texts] + ["# " + t.replace("\n", "\n# ") for t in texts]
+    # a blank line ends a sentence
+    got = scan(spark, texts + comments + ["Released under\n\nthe MIT License", "Released under\nthe MIT License"])
+    assert [got[i]["licenses"] for i in range(23)] == want * 3 + ["", "MIT"]
+    assert got[21]["n_sentences"] == 2 and got[22]["n_sentences"] == 1
+    assert all(got[i]["n_unmatched"] == 0 for i in range(21))
