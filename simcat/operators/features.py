@@ -11,7 +11,7 @@ Rather than materialising that dense vector, every product carries a sparse
 feature list ``(fkeys, fvals)`` whose values already include the scaling, so
 search is a sparse dot product (see ``simcat.operators.search``).
 
-``fit`` only collects bounded things: six medians (exact, via the histogram
+``fit`` only collects bounded things: six medians (exact, by the distributed
 quantile operator), six means and deviations, at most ``top_n_brands`` brands,
 ``top_n_colours`` colours and ``tfidf_max_features`` terms.  ``transform`` is a
 projection plus one broadcast join against the (bounded) vocabulary and an
@@ -265,9 +265,11 @@ def transform(products: DataFrame, model: FeatureModel, text_weights: DataFrame
     return out
 
 
-def with_feature_list(feat: DataFrame, model: FeatureModel) -> DataFrame:
-    """``fkeys``/``fvals``: every non-zero coordinate of the scaled concatenated vector."""
-    s = {b: F.sqrt(F.col(f"eff_{b}")) for b in BLOCKS}
+def with_feature_list(feat: DataFrame, model: FeatureModel, scale: dict | None = None,
+                      keys: str = "fkeys", vals: str = "fvals") -> DataFrame:
+    """``fkeys``/``fvals``: every non-zero coordinate of the concatenated vector, each block scaled by
+    ``scale`` (by default the square root of its effective weight)."""
+    s = scale or {b: F.sqrt(F.col(f"eff_{b}")) for b in BLOCKS}
     kv = lambda k, v: F.struct(k.alias("k"), v.alias("v"))
     cat = F.transform("cat_tokens", lambda t: kv(F.concat(F.lit("c:"), t),
                                                  s["category"] / F.sqrt(F.size("cat_tokens"))))
@@ -287,8 +289,8 @@ def with_feature_list(feat: DataFrame, model: FeatureModel) -> DataFrame:
                                                     s["colour"] / F.sqrt(F.size("colour_top"))))
     allf = F.filter(F.concat(cat, text, num, brand, colour), lambda e: e["v"] != 0)
     return feat.withColumn("_f", allf).withColumns({
-        "fkeys": F.transform("_f", lambda e: e["k"]),
-        "fvals": F.transform("_f", lambda e: e["v"])}).drop("_f")
+        keys: F.transform("_f", lambda e: e["k"]),
+        vals: F.transform("_f", lambda e: e["v"])}).drop("_f")
 
 
 def build_features(products: DataFrame, cfg: Config = Config(), materialise_inputs: bool = True,

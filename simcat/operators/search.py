@@ -119,8 +119,11 @@ class Prepared:
 
 
 def select_topk(r: np.ndarray, q: pd.DataFrame, c: pd.DataFrame, k: int,
-                spec: RankSpec) -> pd.DataFrame:
-    """Best ``k`` columns of the rounded score matrix ``r`` (queries x candidates) per row."""
+                spec: RankSpec, names: np.ndarray | None = None) -> pd.DataFrame:
+    """Best ``k`` columns of the rounded score matrix ``r`` (queries x candidates) per row.
+
+    ``names`` stand in ``query_id``; without them the queries' own ids do.
+    """
     r = r.copy()
     qid = q[spec.id_col].to_numpy()
     cid = c[spec.id_col].to_numpy()
@@ -150,7 +153,7 @@ def select_topk(r: np.ndarray, q: pd.DataFrame, c: pd.DataFrame, k: int,
     keep = (np.arange(len(qi)) - starts) < k
     qi, ci, score = qi[keep], ci[keep], score[keep]
     cols = _out_columns(spec)
-    res = {"query_id": qid[qi], spec.id_col: cid[ci], "score": score}
+    res = {"query_id": (qid if names is None else names)[qi], spec.id_col: cid[ci], "score": score}
     for col in cols[3:]:
         res[col] = c[col].to_numpy()[ci]
     return pd.DataFrame(res)[cols]
@@ -222,6 +225,29 @@ def query_chunks(queries: DataFrame, spec: RankSpec, block_rows: int = BLOCK_ROW
         yield part.toPandas()
 
 
+def in_chunks(queries: DataFrame, key: str, finish, block_rows: int = BLOCK_ROWS) -> DataFrame | None:
+    """``finish`` of each chunk of about ``block_rows`` queries (broadcast as pandas), put together.
+
+    A single chunk stays lazy.  Of several, one is broadcast, scored, written to the checkpoint
+    folder and freed before the next is read, so neither the driver nor the executors ever hold
+    more than one.  None if there are no queries.
+    """
+    from simcat.session import materialise
+    sc = queries.sparkSession.sparkContext
+    n = queries.count()
+    chunks = n_blocks_for(n, block_rows)
+    parts = []
+    for j in range(chunks if n else 0):
+        part = queries if chunks == 1 else queries.where(_block_of(key, chunks) == j)
+        shared = sc.broadcast(part.toPandas())
+        out = finish(shared)
+        if chunks > 1:
+            out = materialise(out)
+            shared.destroy()
+        parts.append(out)
+    return union_all(parts) if parts else None
+
+
 def topk(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpec = PRODUCT_RANK,
          block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Exact top-k of ``corpus`` rows for every row of ``queries`` (both carry feature lists).
@@ -230,13 +256,10 @@ def topk(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpec = PRODUCT
     """
     if k <= 0:
         return no_result(corpus, spec)
-    sc = corpus.sparkSession.sparkContext
     cand = candidate_side(corpus, spec)
-    parts = []
-    for qpdf in query_chunks(query_side(queries, spec), spec, block_rows):
-        shared = sc.broadcast(qpdf)        # about block_rows queries
 
-        def score(batches, shared=shared):
+    def finish(shared):
+        def score(batches):
             prepared, best = Prepared(shared.value, spec), None
             for cpdf in batches:
                 for start in range(0, len(cpdf), block_rows):
@@ -244,10 +267,9 @@ def topk(queries: DataFrame, corpus: DataFrame, k: int, spec: RankSpec = PRODUCT
                     best = part if best is None else merge_topk(best, part, k, spec)
             if best is not None and len(best):
                 yield best
-        parts.append(cand.mapInPandas(score, _result_schema(spec)))
-    if not parts:
-        return no_result(corpus, spec)
-    return with_columns(rank_final(union_all(parts), k, spec), corpus, spec)
+        return rank_final(cand.mapInPandas(score, _result_schema(spec)), k, spec)
+    ranked = in_chunks(query_side(queries, spec), spec.id_col, finish, block_rows)
+    return no_result(corpus, spec) if ranked is None else with_columns(ranked, corpus, spec)
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

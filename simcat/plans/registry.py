@@ -30,5 +30,5 @@ def register(name: str, sql: str | Callable[[], str] | None = None, headline: bo
 def load_all() -> dict[str, Query]:
     # importing the modules fills QUERIES
     from simcat.plans import (q_scalar, q_clean, q_profile, q_features,  # noqa: F401
-                              q_text, q_search)
+                              q_text, q_search, q_request, q_neighbours)
     return QUERIES
