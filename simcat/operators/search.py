@@ -234,6 +234,7 @@ def in_chunks(queries: DataFrame, key: str, finish, block_rows: int = BLOCK_ROWS
     """
     from simcat.session import materialise
     sc = queries.sparkSession.sparkContext
+    queries = materialise(queries)       # looked up once, however many chunks follow
     n = queries.count()
     chunks = n_blocks_for(n, block_rows)
     parts = []

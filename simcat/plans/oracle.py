@@ -390,20 +390,25 @@ def pair_score_sql(a: str = "a", b: str = "b") -> str:
             f" + sqrt({a}.eff_colour * {b}.eff_colour) * {cos_set('colour_top')})")
 
 
-def topk_sql(queries_sql: str, k: int, weights: dict, **fv) -> str:
-    """Top-k by the closed-form score for the ids returned by ``queries_sql``."""
+def topk_sql(queries_sql: str, k: int, weights: dict, rating: str = "rating", cands: str = "feats",
+             more: list = (), **fv) -> str:
+    """Top-k by the closed-form score for the ids returned by ``queries_sql``.
+
+    ``cands`` is the candidates' view (made by ``more``), whose column ``rating`` breaks ties.
+    """
+    shown = "" if rating == "rating" else f", b.{rating}"
     body = f"""SELECT query_id, CAST(rank AS BIGINT) AS rank, product_id, score, product_name, brand,
-  child_category, sales_price, rating, image_url FROM (
+  child_category, sales_price, rating, image_url{shown.replace("b.", "")} FROM (
   SELECT a.product_id AS query_id, b.product_id, round({pair_score_sql()}, 6) AS score,
-    b.product_name, b.brand, b.child_category, b.sales_price, b.rating, b.image_url,
+    b.product_name, b.brand, b.child_category, b.sales_price, b.rating, b.image_url{shown},
     row_number() OVER (PARTITION BY a.product_id ORDER BY round({pair_score_sql()}, 6) DESC,
-      coalesce(b.rating, -1.0::DOUBLE) DESC, coalesce(b.sales_price, 'inf'::DOUBLE) ASC,
+      coalesce(b.{rating}, -1.0::DOUBLE) DESC, coalesce(b.sales_price, 'inf'::DOUBLE) ASC,
       b.product_id ASC) AS rank
   FROM (SELECT * FROM feats WHERE product_id IN ({queries_sql})) a
-  JOIN feats b ON a.product_id <> b.product_id
+  JOIN {cands} b ON a.product_id <> b.product_id
   LEFT JOIN (SELECT x.product_id AS qa, y.product_id AS qb, sum(x.w * y.w) AS tc
              FROM tfidf x JOIN tfidf y ON x.term = y.term
              WHERE x.product_id IN ({queries_sql}) GROUP BY 1, 2) t
     ON t.qa = a.product_id AND t.qb = b.product_id) r
 WHERE rank <= {k}"""
-    return with_views(body, *feature_views(weights, **fv))
+    return with_views(body, *feature_views(weights, **fv), *more)
