@@ -51,6 +51,8 @@ def build(corpus: DataFrame, spec: RankSpec = PRODUCT_RANK, tables: int = TABLES
           seed: int = 42) -> BucketIndex:
     """One pass over the corpus; no exchange but that of a small table over the cores."""
     from simcat.session import materialise, spread
+    if spec.dense_col:
+        raise ValueError("sign buckets take feature lists; give a dense block as one")
     bits = bits or default_bits(corpus.count())
     if not 1 <= bits <= MAX_BITS or tables < 1:
         raise ValueError(f"needs at least one table and 1 to {MAX_BITS} bits")

@@ -46,6 +46,8 @@ class RankSpec:
     score_places: int = 6
     exclude_self: bool = True
     extra: dict = field(default_factory=dict)
+    # a dense block beside the feature list (array<double>, already scaled; null counts as zeros)
+    dense_col: str = ""
 
 
 PRODUCT_RANK = RankSpec()
@@ -58,10 +60,11 @@ def _result_schema(spec: RankSpec) -> str:
 
 
 def query_side(df: DataFrame, spec: RankSpec, *extra: str) -> DataFrame:
-    """Id and hashed feature list (fresh columns, so both sides may come from one DataFrame)."""
+    """Id, hashed feature list and dense block (fresh columns, so both sides may come from one DataFrame)."""
+    dense = [F.col(spec.dense_col).cast("array<double>").alias(spec.dense_col)] if spec.dense_col else []
     return df.select(F.col(spec.id_col).alias(spec.id_col),
                      F.transform(F.col(spec.keys_col), lambda k: F.xxhash64(k)).alias(spec.keys_col),
-                     F.col(spec.vals_col).alias(spec.vals_col), *extra)
+                     F.col(spec.vals_col).alias(spec.vals_col), *dense, *extra)
 
 
 def candidate_side(df: DataFrame, spec: RankSpec, *extra: str) -> DataFrame:
@@ -89,6 +92,29 @@ def _dense(pdf: pd.DataFrame, vocab: np.ndarray, spec: RankSpec) -> np.ndarray:
     return x
 
 
+def _dense_block(pdf: pd.DataFrame, spec: RankSpec) -> np.ndarray | None:
+    """The dense block as one matrix; shorter and missing vectors are filled with zeros."""
+    if not spec.dense_col:
+        return None
+    rows = pdf[spec.dense_col].values
+    lens = np.fromiter((0 if v is None else len(v) for v in rows), dtype=np.int64, count=len(rows))
+    width = int(lens.max()) if len(lens) else 0
+    if len(lens) and (lens == width).all():
+        return np.stack(rows).astype(np.float64) if width else np.zeros((len(rows), 0))
+    out = np.zeros((len(rows), width))
+    for i in np.flatnonzero(lens):
+        out[i, :lens[i]] = rows[i]
+    return out
+
+
+def _dense_dot(a: np.ndarray | None, b: np.ndarray | None) -> np.ndarray | float:
+    """Inner products of two dense blocks (what one side lacks is zero)."""
+    if a is None or b is None:
+        return 0.0
+    width = min(a.shape[1], b.shape[1])
+    return a[:, :width] @ b[:, :width].T
+
+
 def _out_columns(spec: RankSpec) -> list[str]:
     return [x.split(" ")[0] for x in _result_schema(spec).split(", ")]
 
@@ -108,13 +134,16 @@ class Prepared:
         self.q, self.spec = q, spec
         self.vocab = _vocab(q, spec=spec)
         self.x = _dense(q, self.vocab, spec)
+        self.block = _dense_block(q, spec)
 
     def topk(self, c: pd.DataFrame, k: int, rows: np.ndarray | None = None) -> pd.DataFrame:
         """Best ``k`` of ``c`` for the queries at ``rows`` (all without)."""
         q, x = (self.q, self.x) if rows is None else (self.q.iloc[rows], self.x[rows])
         if q.empty or c.empty or k <= 0:
             return _empty(self.spec)
-        r = np.round(x @ _dense(c, self.vocab, self.spec).T, self.spec.score_places)
+        block = self.block if rows is None or self.block is None else self.block[rows]
+        r = x @ _dense(c, self.vocab, self.spec).T + _dense_dot(block, _dense_block(c, self.spec))
+        r = np.round(r, self.spec.score_places)
         return select_topk(r, q, c, k, self.spec)
 
 
@@ -174,11 +203,12 @@ def pair_topk(a: pd.DataFrame, b: pd.DataFrame | None, k: int, spec: RankSpec) -
     if a.empty or k <= 0:
         return _empty(spec)
     if b is None or b.empty:
-        xa = _dense(a, _vocab(a, spec=spec), spec)
-        r = np.round(xa @ xa.T, spec.score_places)
+        xa, da = _dense(a, _vocab(a, spec=spec), spec), _dense_block(a, spec)
+        r = np.round(xa @ xa.T + _dense_dot(da, da), spec.score_places)
         return select_topk(r, a, a, k, spec)
     vocab = _vocab(a, b, spec=spec)
-    r = np.round(_dense(a, vocab, spec) @ _dense(b, vocab, spec).T, spec.score_places)
+    r = _dense(a, vocab, spec) @ _dense(b, vocab, spec).T
+    r = np.round(r + _dense_dot(_dense_block(a, spec), _dense_block(b, spec)), spec.score_places)
     return pd.concat([select_topk(r, a, b, k, spec), select_topk(r.T, b, a, k, spec)],
                      ignore_index=True)
 

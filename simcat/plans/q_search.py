@@ -75,6 +75,19 @@ EMB_RANK = S.RankSpec(id_col="vec_id", id_type="bigint", tiebreak=(), carry=("la
                       keys_col="ekeys", vals_col="evals")
 
 
+# The same vectors as a dense block, without keys: exact search multiplies matrices.
+EMB_DENSE = S.RankSpec(id_col="vec_id", id_type="bigint", tiebreak=(), carry=("label",), keys_col="nokeys",
+                       vals_col="novals", dense_col="evals")
+
+
+def embedding_block(spark, sf_dir):
+    """Each vector, unit-normalised, as a dense block beside an empty feature list."""
+    from simcat.functions.vectors import l2_normalise
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "label", l2_normalise("embedding").alias("evals"),
+                    F.array().cast("array<string>").alias("nokeys"), F.array().cast("array<double>").alias("novals"))
+
+
 def embedding_features(spark, sf_dir):
     """Each vector as a feature list ("e:<dim>" -> unit-normalised value)."""
     from simcat.functions.vectors import l2_normalise
@@ -98,8 +111,7 @@ SELECT query_id, CAST(rank AS BIGINT) AS rank, vec_id, score, label FROM (
 @register("knn_embeddings", _EMB_SQL, headline=True)
 def q_knn_embeddings(spark, sf_dir):
     """Top-10 cosine neighbours of every embedding vector."""
-    e = embedding_features(spark, sf_dir)
-    return S.all_pairs(e, 10, EMB_RANK)
+    return S.all_pairs(embedding_block(spark, sf_dir), 10, EMB_DENSE)
 
 
 # ------------------------------------------------------------------ lookups
