@@ -20,8 +20,11 @@ aggregation keyed by product id.
 
 from __future__ import annotations
 
+import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,19 +128,27 @@ def term_counts(docs: DataFrame, id_col: str = "product_id", text_col: str = "te
     return grams.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
 
 
-def fit_vocabulary(tf: DataFrame, n_docs: int, min_df: int, max_features: int) -> list:
-    """Terms in >= min_df documents, then the max_features with the largest corpus count.
+def top_terms(tf: DataFrame, min_df: int, max_features: int) -> list:
+    """[(term, document frequency)]: terms in >= min_df documents, then the max_features with the largest
+    corpus count.
 
-    Returns [(term, df, idf)] with smooth idf = ln((1 + n) / (1 + df)) + 1.
     Partial aggregation runs before the shuffle, so a term found in a third of
     all documents is still one row per map task.
     """
     stats = (tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
              .where(F.col("df") >= min_df)
              .orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features))
-    import math
-    return [(r["term"], int(r["df"]), math.log((1.0 + n_docs) / (1.0 + r["df"])) + 1.0)
-            for r in stats.collect()]
+    return [(r["term"], int(r["df"])) for r in stats.collect()]
+
+
+def with_idf(terms: list, n_docs: int) -> list:
+    """[(term, df, idf)] with smooth idf = ln((1 + n) / (1 + df)) + 1."""
+    return [(t, df, math.log((1.0 + n_docs) / (1.0 + df)) + 1.0) for t, df in terms]
+
+
+def fit_vocabulary(tf: DataFrame, n_docs: int, min_df: int, max_features: int) -> list:
+    """The vocabulary with its idf; see ``top_terms``."""
+    return with_idf(top_terms(tf, min_df, max_features), n_docs)
 
 
 def fit_vocabularies(products: DataFrame, n_brands: int, n_colours: int) -> tuple[list, list]:
@@ -156,18 +167,36 @@ def fit_vocabularies(products: DataFrame, n_brands: int, n_colours: int) -> tupl
     return pick("b"), pick("c")
 
 
-def fit(products: DataFrame, cfg: Config = Config(), tf: DataFrame | None = None) -> FeatureModel:
+def together(spark, *steps):
+    """Results of independent steps, whose jobs run side by side (each leaves cores idle at its end)."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        runs = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        return [r.result() for r in runs]
+
+
+def fit(products: DataFrame, cfg: Config = Config(), tf=None) -> FeatureModel:
+    """``tf``: the term counts, or a function that makes them; made from ``products`` without."""
+    return _fit(products, cfg, tf)[0]
+
+
+def _fit(products: DataFrame, cfg: Config, tf) -> tuple[FeatureModel, DataFrame]:
     weights = cfg.normalised_weights()
     model = FeatureModel(weights=weights, stop_words=cfg.stop_words)
-    model.medians, model.means, model.scales, model.n_docs = fit_numeric_stats(products)
-    model.brands, model.colours = fit_vocabularies(products, cfg.top_n_brands, cfg.top_n_colours)
-    tf = term_counts(products, stop_words=cfg.stop_words) if tf is None else tf
-    model.vocab = fit_vocabulary(tf, model.n_docs, cfg.tfidf_min_df, cfg.tfidf_max_features)
+
+    def terms():
+        counts = tf() if callable(tf) else term_counts(products, stop_words=cfg.stop_words) if tf is None else tf
+        return counts, top_terms(counts, cfg.tfidf_min_df, cfg.tfidf_max_features)
+
+    numeric, (model.brands, model.colours), (tf, top) = together(
+        products.sparkSession, lambda: fit_numeric_stats(products),
+        lambda: fit_vocabularies(products, cfg.top_n_brands, cfg.top_n_colours), terms)
+    model.medians, model.means, model.scales, model.n_docs = numeric
+    model.vocab = with_idf(top, model.n_docs)
     if cfg.svd_components > 0 and len(model.vocab) > 1:
         from simcat.operators.svd import fit_svd
         k = min(cfg.svd_components, len(model.vocab) - 1)
         model.svd = fit_svd(tfidf(tf, model), model, k, cfg)
-    return model
+    return model, tf
 
 
 # --------------------------------------------------------------------------
@@ -211,6 +240,11 @@ def numeric_vector(model: FeatureModel) -> Column:
     return F.array(*scaled, *flags, *extra)
 
 
+def literals(values: list[str]) -> str:
+    """SQL string literals of any content; one expression instead of a call per value."""
+    return ", ".join(f"CAST(X'{v.encode().hex()}' AS STRING)" for v in values)
+
+
 def _unit(arr: Column) -> Column:
     from simcat.functions.vectors import l2_normalise
     return l2_normalise(arr)
@@ -237,9 +271,9 @@ def transform(products: DataFrame, model: FeatureModel, text_weights: DataFrame
         category_tokens().alias("cat_tokens"),
         numeric_vector(model).alias("_num_raw"),
         (~all_missing).alias("has_numeric"),
-        (F.when(F.col("brand").isin(*brand_set), F.col("brand")) if brand_set
+        (F.expr(f"CASE WHEN brand IN ({literals(brand_set)}) THEN brand END") if brand_set
          else F.lit(None).cast("string")).alias("brand_top"),
-        (F.array_sort(F.array_distinct(F.filter("colour_tokens", lambda t: t.isin(*colour_set))))
+        (F.array_sort(F.array_distinct(F.expr(f"filter(colour_tokens, t -> t IN ({literals(colour_set)}))")))
          if colour_set else F.array().cast("array<string>")).alias("colour_top"),
     )
     base = base.withColumn("num_vec", _unit(F.col("_num_raw"))).drop("_num_raw")
@@ -294,21 +328,19 @@ def with_feature_list(feat: DataFrame, model: FeatureModel, scale: dict | None =
 
 
 def build_features(products: DataFrame, cfg: Config = Config(), materialise_inputs: bool = True,
-                   with_features: bool = True, tf: DataFrame | None = None):
+                   with_features: bool = True, tf=None):
     """Fit and transform in one go: returns (features DataFrame, model).
 
     The product table and its term counts feed several aggregations, so they are
     written once to the shared checkpoint folder rather than recomputed (pass
-    ``materialise_inputs=False`` and ``tf`` when the caller already holds them).
+    ``materialise_inputs=False`` and ``tf``, or a function that makes it, when the caller holds them).
     """
     from simcat.session import materialise
     if materialise_inputs:
         products = materialise(products)
-    if tf is None:
-        tf = term_counts(products, stop_words=cfg.stop_words)
-        if materialise_inputs:
-            tf = materialise(tf)
-    model = fit(products, cfg, tf=tf)
+        if tf is None:
+            tf = lambda: materialise(term_counts(products, stop_words=cfg.stop_words))
+    model, tf = _fit(products, cfg, tf)
     feats = transform(products, model, tfidf(tf, model), with_features=with_features)
     feats = materialise(feats)
     return feats, model

@@ -21,23 +21,29 @@ def products(spark, sf_dir):
     return memo(spark, ("products", sf_dir), lambda: N.normalise(catalog_raw(spark, sf_dir)))
 
 
-def checkpointed_inputs(spark, sf_dir):
-    """Cleaned products and their term counts, checkpointed once per session (any config)."""
+def checkpointed_products(spark, sf_dir):
+    """Cleaned products, checkpointed once per session (any config)."""
     from simcat.session import materialise
+    return memo(spark, ("clean", sf_dir), lambda: materialise(products(spark, sf_dir)))
 
-    def make():
-        p = materialise(products(spark, sf_dir))
-        return p, materialise(FT.term_counts(p))
-    return memo(spark, ("inputs", sf_dir), make)
+
+def checkpointed_counts(spark, sf_dir):
+    """Their term counts with the default stop words, checkpointed once per session."""
+    from simcat.session import materialise
+    return memo(spark, ("counts", sf_dir),
+                lambda: materialise(FT.term_counts(checkpointed_products(spark, sf_dir))))
+
+
+def checkpointed_inputs(spark, sf_dir):
+    return checkpointed_products(spark, sf_dir), checkpointed_counts(spark, sf_dir)
 
 
 def built(spark, sf_dir, cfg=CFG_RAW, features=True):
     """Products -> fitted model -> feature table (checkpointed), once per session and config."""
     def make():
-        p, tf = checkpointed_inputs(spark, sf_dir)
-        if cfg.stop_words is not None:      # the shared term counts use the default list
-            tf = None
-        return FT.build_features(p, cfg, materialise_inputs=False, tf=tf)
+        p = checkpointed_products(spark, sf_dir)
+        shared = (lambda: checkpointed_counts(spark, sf_dir)) if cfg.stop_words is None else None
+        return FT.build_features(p, cfg, materialise_inputs=False, tf=shared)
     return memo(spark, ("features", sf_dir, repr(cfg)), make)
 
 
