@@ -24,7 +24,8 @@ Pairs inside one component add nothing to it and are not looked for.
 
 Defined results: null, empty and wordless texts have an empty set, n_shingles 0 and a component of
 their own; texts of fewer than five words have one shingle; a component is named by its smallest
-``doc_id``, and the row of that id is kept (of several, that of the smallest text hash); a null
+``doc_id``, and the rows of that id are kept (without an id, and in ``filter_documents``, of several that of the
+smallest text hash); a null
 ``doc_id`` counts as the lowest id and stays null as a name; rows that share a ``doc_id`` (or have
 none) are linked by that only if ``one_per_id`` is set, which the query and the pipeline don't;
 extra columns are ignored.
@@ -176,29 +177,50 @@ def _linked(threshold: int):
     return run
 
 
+def _pointed(edges: DataFrame, key: str, low) -> DataFrame:
+    """``edges`` with ``m``, the smallest of ``low`` over the edges of the same ``key``; a vertex with a
+    large share of the edges is joined by broadcast, so no task gets it whole."""
+    mins = edges.groupBy(key).agg(F.min(low).alias("m"), F.count(F.lit(1)).alias("group_size"))
+    return hot_join(edges, mins, [key], edges.count()).drop("group_size")
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Every larger neighbour of a vertex is linked to the smallest of the vertex and its neighbours."""
+    both = materialise(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    near = _pointed(both, "a", F.least("a", "b"))
+    return near.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """A vertex and its smaller neighbours are linked to the smallest of them."""
+    near = materialise(_pointed(edges, "a", F.col("b")), "links")
+    return (near.select("a", F.col("m").alias("b")).union(
+        near.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b")))
+        .distinct())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``id``, ``label`` (smallest id reachable) for every vertex of ``edges`` (a, b).
 
-    Minimum labels spread along the edges and then jump to their label's label; the rounds end when
-    a round changes nothing.  Every round is written out; nothing is collected but a count.
+    Large-star and small-star steps in turn (Kiveris and others, 2014) until the edges are stars around
+    the smallest ids: a few rounds, growing with the logarithm of the longest chain.  Every step
+    is written out; nothing is collected but a count and a checksum.
     """
-    both = materialise(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-                       .distinct(), "links")
-    labels = materialise(both.groupBy(F.col("a").alias("id"))
-                         .agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    found = materialise(edges.select("a", "b"), "links")
+    links = materialise(found.filter(F.col("a") != F.col("b")).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    before = None
     while True:
-        near = (both.join(labels.withColumnRenamed("id", "b"), "b")
-                .groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near")))
-        step = (labels.join(near, "id")
-                .select("id", F.col("label").alias("was"), F.least("label", "near").alias("label")))
-        up = labels.select(F.col("id").alias("label"), F.col("label").alias("up"))
-        after = materialise(
-            step.join(up, "label", "left")
-            .select("id", "was", F.coalesce("up", "label").alias("label")), "labels")
-        changed = after.filter(F.col("was") != F.col("label")).limit(1).count()
-        labels = after.select("id", "label")
-        if not changed:
-            return labels
+        state = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")),
+                          F.bit_xor(F.xxhash64("b", "a"))).first()
+        if state == before or not state[0]:
+            break
+        before = state
+        links = materialise(_large_star(links), "links")
+        links = materialise(_small_star(links), "links")
+    own = found.select(F.explode(F.array("a", "b")).alias("id")).union(links.select("b"))
+    return materialise(links.select(F.col("a").alias("id"), F.col("b").alias("label")).union(
+        own.select("id", F.col("id").alias("label"))).groupBy("id").agg(F.min("label").alias("label")), "labels")
 
 
 def _compare(batches):
@@ -424,7 +446,9 @@ def cluster(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD,
     out = _rows(docs.select("doc_id", F.col(text).alias("text")), threshold, one_per_id)
     null = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return out.select(null("doc_id").alias("doc_id"), "n_shingles",
-                      null("first.doc_id").alias("component_id"), _kept().alias("kept"))
+                      null("first.doc_id").alias("component_id"),
+                      F.when(F.col("doc_id") == NULL_ID, _kept())
+                      .otherwise(F.col("doc_id") == F.col("first.doc_id")).alias("kept"))
 
 
 def filter_documents(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

@@ -142,3 +142,51 @@ def test_pairs_between_the_thresholds(spark):
     assert sorted(r["doc_id"] for r in C.filter_documents(docs).collect()) == list(range(12))
     assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()
                   ) == list(range(0, 12, 2))
+
+
+def labels_of(spark, edges, monkeypatch=None):
+    rounds = []
+    if monkeypatch:
+        real = C._small_star
+        monkeypatch.setattr(C, "_small_star", lambda e: rounds.append(1) or real(e))
+    got = C.components(spark.createDataFrame(edges, "a long, b long").repartition(3))
+    return {r["id"]: r["label"] for r in got.collect()}, len(rounds)
+
+
+def plain_labels(edges):
+    up = {v: v for e in edges for v in e}
+
+    def root(v):
+        while up[v] != v:
+            v = up[v]
+        return v
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        up[b] = a
+    return {v: root(v) for v in up}
+
+
+def test_a_shuffled_path_takes_few_rounds(spark, monkeypatch):
+    order = list(range(1000))
+    random.Random(3).shuffle(order)
+    got, rounds = labels_of(spark, list(zip(order, order[1:])), monkeypatch)
+    assert got == dict.fromkeys(range(1000), 0) and rounds <= 15
+
+
+def test_components_of_random_links_equal_union_find(spark):
+    rng = random.Random(8)
+    edges = [(rng.randrange(-40, 300), rng.randrange(-40, 300)) for _ in range(180)]
+    edges += [(500, 500), (7, 7), edges[0], edges[0][::-1]] + [(1000, 1001 + i) for i in range(150)]
+    assert labels_of(spark, edges)[0] == plain_labels(edges)
+
+
+def test_components_without_links(spark):
+    assert labels_of(spark, [])[0] == {} and labels_of(spark, [(4, 4)])[0] == {4: 4}
+
+
+def test_rows_of_the_components_id_are_kept(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(7, text), (7, text + " x"), (8, text + " y")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in C.cluster(docs, one_per_id=False).collect())
+    assert got == [(7, 7, True), (7, 7, True), (8, 7, False)]
+    assert C.filter_documents(docs).count() == 1
