@@ -10,8 +10,8 @@ size that holds its contents.
 The cost of a sequence of c tokens is ``c + c * c / QUADRATIC + FIXED`` (linear layers, attention,
 overhead of a sequence).
 
-Lengths are token ids of the tokenizer that ``op10_token_ids`` uses (``id_counts``), or words as a
-rough stand-in (``token_counts``, the default of ``pack_documents``, which the pipeline uses).
+Lengths are token ids of the tokenizer that ``op10_token_ids`` uses and one end token (``id_counts``);
+``pack_documents`` takes another count as a parameter.
 
 Defined results: null and empty texts have just the end token and are packed like any other; ties
 are broken by doc_id and piece, so a shard's bins don't depend on the order of its rows; repeated
@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simcat.llm.common import materialise, small_batches, table, text_or_empty
+from simcat.llm.common import materialise, small_batches, table
 from simcat.llm.repair import encoder_of, tokenizer_json
 
 SIZES = (512, 1024, 2048, 4096, 8192)
@@ -42,13 +42,6 @@ def cost(size: int) -> float:
     return size + size * size / QUADRATIC + FIXED
 
 
-def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id`` and ``tokens``: words cut at ASCII white space, and one end token."""
-    words = F.filter(F.split(text_or_empty(text), "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       (F.size(words) + 1).cast("long").alias("tokens"))
-
-
 def id_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id`` and ``tokens``: ids that the tokenizer gives the text, and one end token."""
     spark = docs.sparkSession
@@ -138,7 +131,7 @@ def downsize(n: int, sizes: tuple[int, ...] = SIZES) -> int:
 
 
 def pack_documents(docs: DataFrame, sizes: tuple[int, ...] = SIZES, text: str = "text",
-                   count=token_counts) -> DataFrame:
+                   count=id_counts) -> DataFrame:
     """One row per piece: document, piece, tokens, shard, bin, start in the bin, the bin's tokens
     and its size after shrinking."""
     sizes = tuple(sorted(sizes))
@@ -160,4 +153,4 @@ def pack_documents(docs: DataFrame, sizes: tuple[int, ...] = SIZES, text: str =
 
 
 def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), count=id_counts)
+    return pack_documents(table(spark, sf_dir, "documents"))

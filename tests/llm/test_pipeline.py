@@ -6,7 +6,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from simcat.llm import circulant, packing, queries, suffix_automaton, toxicity
+from simcat.llm import circulant, packing, queries, repair, suffix_automaton, toxicity
 from simcat.llm.common import LOWER_TABLE
 
 SF = "/root/testdata/sf0.001"
@@ -69,8 +69,10 @@ def test_planted_cases(spark, folder):
     untouched = [i for i in cut if i != 1003 and i != 1004]
     assert all(cut[i] == text[i] for i in untouched)
     assert ids["pack"] == ids["decontaminate"]
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_str(repair.tokenizer_json())
     assert sum(r["n_tokens"] for r in steps["pack"]) == sum(
-        len((t or "").split()) + 1 for t in cut.values())
+        len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for t in cut.values())
 
 
 def test_run_equals_the_stages(spark, folder):
