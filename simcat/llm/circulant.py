@@ -178,44 +178,49 @@ def _linked(threshold: int):
 
 
 def _pointed(edges: DataFrame, key: str, low) -> DataFrame:
-    """``edges`` with ``m``, the smallest of ``low`` over the edges of the same ``key``; a vertex with a
-    large share of the edges is joined by broadcast, so no task gets it whole."""
-    mins = edges.groupBy(key).agg(F.min(low).alias("m"), F.count(F.lit(1)).alias("group_size"))
-    return hot_join(edges, mins, [key], edges.count()).drop("group_size")
+    """``edges`` with ``m``, the smallest of ``low`` over the edges of the same ``key``.
+
+    The minima are partial before their exchange, and what follows the join is exchanged anew, so adaptive
+    execution may split a vertex with a large share of the edges.
+    """
+    return edges.join(edges.groupBy(key).agg(F.min(low).alias("m")), key)
+
+
+def _are_stars(links: DataFrame) -> bool:
+    """Every vertex is either a centre or the leaf of one centre."""
+    ends = (links.select(F.col("a").alias("id"), F.lit(1).alias("as_leaf"), F.lit(0).alias("as_centre"))
+            .union(links.select("b", F.lit(0), F.lit(1))))
+    mixed = ends.groupBy("id").agg(F.sum("as_leaf").alias("l"), F.max("as_centre").alias("c")).filter(
+        (F.col("l") > 1) | ((F.col("l") > 0) & (F.col("c") > 0)))
+    return not mixed.limit(1).count()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a vertex is linked to the smallest of the vertex and its neighbours."""
-    both = materialise(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = _pointed(both, "a", F.least("a", "b"))
     return near.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A vertex and its smaller neighbours are linked to the smallest of them."""
-    near = materialise(_pointed(edges, "a", F.col("b")), "links")
-    return (near.select("a", F.col("m").alias("b")).union(
-        near.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b")))
-        .distinct())
+    ends = F.array(*[F.struct(F.col(c).alias("a"), F.col("m").alias("b")) for c in ("a", "b")])
+    return (_pointed(edges, "a", F.col("b")).select(F.explode(ends).alias("e")).select("e.*")
+            .filter(F.col("a") != F.col("b")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``id``, ``label`` (smallest id reachable) for every vertex of ``edges`` (a, b).
 
     Large-star and small-star steps in turn (Kiveris and others, 2014) until the edges are stars around
-    the smallest ids: a few rounds, growing with the logarithm of the longest chain.  Every step
-    is written out; nothing is collected but a count and a checksum.
+    the smallest ids: a few rounds, growing with the logarithm of the longest chain.  Links always point
+    from a larger to a smaller id, so a star's centre is its smallest.  Every step is written out; nothing
+    is collected but a count.
     """
     found = materialise(edges.select("a", "b"), "links")
     links = materialise(found.filter(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
-    while True:
-        state = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")),
-                          F.bit_xor(F.xxhash64("b", "a"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
+    while not _are_stars(links):
         links = materialise(_large_star(links), "links")
         links = materialise(_small_star(links), "links")
     own = found.select(F.explode(F.array("a", "b")).alias("id")).union(links.select("b"))
