@@ -1,15 +1,17 @@
 """Toxicity scores from a learned lexicon, matched by Levenshtein automata over its trie.
 
 The lexicon is learned from labelled rows of the training fold: words, and stems that many
-different words begin with, which stand out in toxic texts.  A trie of the lexicon is intersected
+different words begin with, which stand out in toxic texts.  A stem may need two or three different
+words of one text: where ordinary words share the stem now and then, only their number tells.  A trie of the lexicon is intersected
 with Levenshtein automata: a state is a set of (trie node, edits so far), made on demand and kept,
 so every word of a text costs a few table look-ups and misspelled terms are found too.  Each hit
 is looked at in a window of words around it, which tells quotation from abuse.  Entry, number of
-edits and context give the hit a precision learned from the labels; a text's score is the chance
+edits, context and whether the stem has its number of words give the hit a precision learned from the labels; a text's score is the chance
 that at least one of its hits is abuse.
 
-Parameters: ``MAX_FIT`` bounds the labelled rows used for fitting (the smallest hashes of doc_id,
-so the choice doesn't depend on partitioning); ``MAX_LEXICON`` bounds the broadcast lexicon.
+Parameter: ``MAX_FIT`` bounds the labelled rows used for fitting (the smallest hashes of doc_id,
+so the choice doesn't depend on partitioning), and with them the lexicon: every term of these rows
+that passes the tests is an entry.
 
 Defined results: null, empty and wordless texts get the score of texts without a hit; of repeated
 labels for a document the highest counts; without toxic training rows every score is the base
@@ -22,6 +24,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,9 +33,11 @@ from simcat.llm.common import crc_mod, materialise, small_batches, table
 
 FOLDS, HELD_OUT = 4, 2
 MAX_FIT = 20_000
-MAX_LEXICON = 2_000
 CUT = 0.3
 STEM = (4, 5, 6, 7)
+REPEATS = 3              # different words of a text that an entry may ask of its stem
+MIN_POSITIVE = 5         # fewer toxic texts can't reach MIN_GAIN
+MIN_RATIO = 20           # share of the toxic texts against share of the others
 MIN_GAIN = 27.0          # log-likelihood ratio of a lexicon entry
 MIN_PRECISION = 0.6      # less precise hits order the texts below CUT, but never reject one
 WINDOW = 8               # words looked at on either side of a hit
@@ -52,9 +57,13 @@ def allowed(length: int) -> int:
 
 
 class Lexicon:
-    """Trie of the entries and the lazily built automaton of words near them."""
+    """Trie of the entries and the lazily built automaton of words near them.
 
-    def __init__(self, entries: list[tuple[str, bool]]):
+    An entry is a term and the number of different words of a text that must begin with it; 0 for a
+    whole word.
+    """
+
+    def __init__(self, entries: list[tuple[str, int]]):
         self.entries = entries
         self.kids: list[dict[str, int]] = [{}]
         self.ends: list[list[int]] = [[]]
@@ -142,19 +151,19 @@ class Scanner:
         self.clean: set[str] = set()
         self.known: dict[str, tuple[int, int]] = {}
 
-    def hits(self, text: str | None) -> set[tuple[int, int, bool]]:
-        """(entry, edits, quoted) of every hit."""
+    def hits(self, text: str | None) -> set[tuple[int, int, bool, bool]]:
+        """(entry, edits, quoted, enough words of the stem) of every hit."""
         if not text:
             return set()
         low = text.lower()
         words = set(WORD.findall(low))
         new = words - self.clean
-        near = []
+        near = set()
         for w in new:
             m = self.known.get(w) or self.lexicon.match(w)
             if m:
                 self.known[w] = m
-                near.append(w)
+                near.add(w)
         # memories are bounded; forgetting costs time only
         if len(self.known) > SEEN:
             self.known = {w: self.known[w] for w in near}
@@ -163,15 +172,22 @@ class Scanner:
             self.clean = set()
         if not near:
             return set()
+        several = Counter(self.known[w] for w in near)
         found = set()
-        pattern = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, near), key=len,
-                                                             reverse=True)) + r")(?!\w)")
-        for m in pattern.finditer(low):
-            before, after = low[max(0, m.start() - 80):m.start()], low[m.end():m.end() + 80]
-            around = WORD.findall(before)[-WINDOW:] + WORD.findall(after)[:WINDOW]
+        at = [m.span() for m in WORD.finditer(low)]
+        for i, (start, stop) in enumerate(at):
+            word = low[start:stop]
+            if word not in near:
+                continue
+            left, right = at[max(0, i - WINDOW):i], at[i + 1:i + 1 + WINDOW]
+            around = [low[a:b] for a, b in left + right]
+            # signs before the first and after the last of these words count too
+            before = low[at[i - WINDOW - 1][1] if i > WINDOW else 0:start]
+            after = low[stop:at[i + 1 + WINDOW][0] if i + 1 + WINDOW < len(at) else len(low)]
             marked = len(QUOTES.findall(before)) % 2 == 1 and QUOTES.search(after) is not None
             quoted = (marked or not REPORTING.isdisjoint(around)) and YOU.isdisjoint(around)
-            found.add((*self.known[m.group()], quoted))
+            entry, edits = self.known[word]
+            found.add((entry, edits, quoted, several[entry, edits] >= self.lexicon.entries[entry][1]))
         return found
 
 
@@ -184,25 +200,34 @@ def _gain(pos: int, neg: int, n_pos: int, n_neg: int) -> float:
     return 2 * (out + neg * math.log(neg / (total * (1 - share)))) if neg else 2 * out
 
 
-def choose(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int) -> list[tuple[str, bool]]:
-    """Lexicon entries (term, is a stem) from rows (term or ``stem*``, toxic docs, other docs)."""
+def terms_of(text: str | None) -> set[str]:
+    """The words of a text, and its stems with a star for each of up to REPEATS words that have it."""
+    words = set(WORD.findall((text or "").lower()))
+    stems = Counter(w[:k] for w in words for k in STEM if len(w) > k)
+    return words | {t + "*" * n for t, most in stems.items() for n in range(1, min(most, REPEATS) + 1)}
+
+
+def choose(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int) -> list[tuple[str, int]]:
+    """Lexicon entries (term, words its stem needs or 0) from rows (term, toxic docs, other docs)."""
     gain = {t: _gain(p, n, n_pos, n_neg) for t, p, n in counts}
     sure = {t for t, p, n in counts if gain[t] >= MIN_GAIN
-            and p / n_pos >= 20 * (n + 0.5) / (n_neg + 1)}
+            and p / n_pos >= MIN_RATIO * (n + 0.5) / (n_neg + 1)}
     words = sorted((t for t in sure if not t.endswith("*")), key=lambda t: (-gain[t], t))
     best_word: dict[str, float] = {}
     for w in words:
         for k in STEM:
             best_word[w[:k]] = max(best_word.get(w[:k], 0.0), gain[w])
-    stems: list[str] = []
-    for t in sorted((t for t in sure if t.endswith("*")), key=lambda t: (-gain[t], -len(t), t)):
-        stem = t[:-1]
-        if gain[t] > 1.3 * best_word.get(stem, 0.0) and not any(
-                stem.startswith(s) or s.startswith(stem) for s in stems):
-            stems.append(stem)
-    out = [(s, True) for s in stems]
-    out += [(w, False) for w in words if not any(w.startswith(s) for s in stems)]
-    return out[:MAX_LEXICON]
+    out: list[tuple[str, int]] = []
+    taken: set[str] = set()                   # the stems, and all that they begin with
+    starts: set[str] = set()
+    stars = [(t.rstrip("*"), t.count("*"), gain[t]) for t in sure if t.endswith("*")]
+    for stem, n, g in sorted(stars, key=lambda s: (-s[2], -len(s[0]), s[1], s[0])):
+        if g > 1.3 * best_word.get(stem, 0.0) and stem not in starts \
+                and not any(stem[:k] in taken for k in STEM):
+            out.append((stem, n))
+            taken.add(stem)
+            starts.update(stem[:k] for k in STEM)
+    return out + [(w, 0) for w in words if not any(w[:k] in taken for k in STEM)]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, column: str, folds: int, held_out: int,
@@ -243,7 +268,7 @@ def one_of_each(rows: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT):
-    """Lexicon entries, precision per (entry, edits, quoted), score of a text without hits."""
+    """Lexicon entries, precision per (entry, edits, quoted, enough), score of a text without hits."""
     small_batches(docs.sparkSession)
     rows = one_of_each(training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, max_fit))
 
@@ -251,10 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT):
         pos, neg = Counter(), Counter()
         for batch in batches:
             for t, y in zip(batch.column("text"), batch.column("y").to_pylist()):
-                words = set(WORD.findall((t.as_py() or "").lower()))
-                terms = {w for w in words if 4 <= len(w) <= 30}
-                terms |= {w[:k] + "*" for w in terms for k in STEM if len(w) > k}
-                (pos if y else neg).update(terms)
+                (pos if y else neg).update(terms_of(t.as_py()))
                 (pos if y else neg)[""] += 1
         terms = sorted(pos.keys() | neg.keys())
         for a in range(0, len(terms), 10_000):
@@ -263,17 +285,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT):
                 [pa.array(part, pa.string()), pa.array([pos[t] for t in part], pa.int64()),
                  pa.array([neg[t] for t in part], pa.int64())], names=["term", "pos", "neg"])
 
-    counted = (rows.mapInArrow(count, "term string, pos long, neg long").groupBy("term")
-               .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    # fewer than five toxic documents can't reach MIN_GAIN; the strongest terms decide
-    top = (counted.filter((F.col("term") == "") | ((F.col("pos") >= 5) & (F.col("pos") > F.col("neg"))))
-           .orderBy(F.col("term") != "", F.desc(F.col("pos") - F.col("neg")), "term")
-           .limit(10 * MAX_LEXICON).collect())
-    whole = {r["term"]: r for r in top if r["term"] == ""}
-    if not whole or not whole[""]["pos"]:
+    counted = materialise(
+        rows.mapInArrow(count, "term string, pos long, neg long").groupBy("term")
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "toxicity-terms")
+    whole = counted.filter(F.col("term") == "").first()
+    if whole is None or not whole["pos"]:
         return [], {}, 0.0
-    n_pos, n_neg = whole[""]["pos"], whole[""]["neg"]
-    entries = choose([(r["term"], r["pos"], r["neg"]) for r in top if r["term"]], n_pos, n_neg)
+    n_pos, n_neg = whole["pos"], whole["neg"]
+    often = counted.filter((F.col("term") != "") & (F.col("pos") >= MIN_POSITIVE)
+                           & (F.col("pos") / n_pos >= MIN_RATIO * (F.col("neg") + 0.5) / (n_neg + 1)))
+    # terms of at least MIN_POSITIVE of at most max_fit texts
+    entries = choose([tuple(r) for r in often.select("term", "pos", "neg").collect()], n_pos, n_neg)
 
     def find(batches):
         scanner = Scanner(Lexicon(entries))
@@ -281,27 +303,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT):
         for batch in batches:
             for t, y in zip(batch.column("text"), batch.column("y").to_pylist()):
                 hits = scanner.hits(t.as_py())
-                (pos if y else neg).update(hits or {(-1, 0, False)})
+                (pos if y else neg).update(hits or {(-1, 0, False, True)})
         keys = sorted(pos.keys() | neg.keys())
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-             pa.array([k[2] for k in keys], pa.bool_()), pa.array([pos[k] for k in keys], pa.int64()),
-             pa.array([neg[k] for k in keys], pa.int64())],
-            names=["entry", "edits", "quoted", "pos", "neg"])
-
-    table_ = {(r["entry"], r["edits"], r["quoted"]): (r["pos"], r["neg"]) for r in rows.mapInArrow(
-        find, "entry long, edits long, quoted boolean, pos long, neg long")
-        .groupBy("entry", "edits", "quoted")
+             pa.array([k[2] for k in keys], pa.bool_()), pa.array([k[3] for k in keys], pa.bool_()),
+             pa.array([pos[k] for k in keys], pa.int64()), pa.array([neg[k] for k in keys], pa.int64())],
+            names=[*kind, "pos", "neg"])
+
+    kind = ["entry", "edits", "quoted", "enough"]
+    table_ = {tuple(r[k] for k in kind): (r["pos"], r["neg"]) for r in rows.mapInArrow(
+        find, "entry long, edits long, quoted boolean, enough boolean, pos long, neg long")
+        .groupBy(*kind)
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()}
-    base_pos, base_neg = table_.pop((-1, 0, False), (0, 0))
+    base_pos, base_neg = table_.pop((-1, 0, False, True), (0, 0))
     precision = {}
-    for e in range(len(entries)):
-        for edits in (0, 1, 2):
-            for quoted in (False, True):
-                p, n = table_.get((e, edits, quoted), (0, 0))
-                # kinds never seen in training: misspellings count, quotations don't
-                prior = (0.9, 0.75, 0.65)[edits] * (0.3 if quoted else 1.0)
-                precision[(e, edits, quoted)] = (p + prior) / (p + n + 1.0)
+    for e, edits, quoted, enough in product(range(len(entries)), (0, 1, 2), (False, True), (False, True)):
+        p, n = table_.get((e, edits, quoted, enough), (0, 0))
+        # kinds never seen in training: misspellings count; quotations and too few words don't
+        prior = (0.9, 0.75, 0.65)[edits] * (0.3 if quoted else 1.0) * (1.0 if enough else 0.1)
+        precision[(e, edits, quoted, enough)] = (p + prior) / (p + n + 1.0)
     return entries, precision, base_pos / max(1, base_pos + base_neg)
 
 
@@ -324,7 +345,7 @@ def score(docs: DataFrame, model, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` plus ``score``."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)     # at most MAX_LEXICON entries
+    shared = spark.sparkContext.broadcast(model)     # entries of at most max_fit texts
     source = docs.select(*columns, F.col("text").alias("_text"))
     schema = docs.select(*columns).schema
 

@@ -114,12 +114,47 @@ def test_labels_of_the_held_out_fold_are_never_used(spark):
 
 def test_quotation_counts_less():
     scanner = T.Scanner(T.Lexicon([("idiot", False)]))
-    assert scanner.hits("you are an idiot") == {(0, 0, False)}
-    assert scanner.hits('he wrote the word "idiot" in a letter') == {(0, 0, True)}
-    assert scanner.hits("Idi0t! and idiotic") == {(0, 1, False)}
+    assert scanner.hits("you are an idiot") == {(0, 0, False, True)}
+    assert scanner.hits('he wrote the word "idiot" in a letter') == {(0, 0, True, True)}
+    assert scanner.hits("Idi0t! and idiotic") == {(0, 1, False, True)}
     assert scanner.hits(None) == scanner.hits("") == set()
 
 
+def test_context_is_words_not_characters():
+    scanner = T.Scanner(T.Lexicon([("idiot", 0)]))
+    long = " ".join(["extraordinarily" * 3] * 7)
+    assert scanner.hits(f"he wrote {long} idiot") == {(0, 0, True, True)}
+    assert scanner.hits(f"he wrote {long} {long} idiot") == {(0, 0, False, True)}
+
+
+def test_a_stem_may_need_several_words(spark):
+    """A stem that clean texts of one language have once, and toxic ones several times."""
+    rng = random.Random(12)
+    docs, labels = [], []
+    for i in range(1200):
+        rare = i % 8 == 0
+        text = words(rng, "uvwxyz" if rare else "abcdeghi", 50).split()
+        toxic = rng.random() < 0.12
+        stem = "bomente" if rare else "grobz"
+        for _ in range(rng.randrange(3, 6) if toxic else int(rare and rng.random() < 0.3)):
+            text.insert(rng.randrange(50), stem + "".join(rng.choice("aeiourst") for _ in range(4)))
+        docs.append((i, " ".join(text)))
+        labels.append((i, 1, int(toxic)))
+    # repeated rows, a very long text
+    docs += [docs[0], docs[0], (1200, docs[1][1] * 3000)]
+    docs_df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels_df = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = T.fit(docs_df, labels_df)
+    assert dict(model[0])["bomente"] > 1
+    rows = T.score(docs_df, model, ["doc_id"]).collect()
+    assert len(rows) == 1203 and len({r["score"] for r in rows if r["doc_id"] == 0}) == 1
+    got = {r["doc_id"]: r["score"] for r in rows}
+    held = [(i, y) for i, _, y in labels if fold(i, T.FOLDS) == T.HELD_OUT]
+    for rare in (True, False):
+        of = [(i, y) for i, y in held if (i % 8 == 0) == rare]
+        assert sum((got[i] >= T.CUT) == bool(y) for i, y in of) / len(of) > 0.97
+
+
 def test_no_labels(spark):
     docs, labels, _ = toxic_tables(spark, 20)
     none = labels.limit(0)
