@@ -1,33 +1,38 @@
 """Benchmark decontamination with a generalised suffix automaton of the test items.
 
-The automaton of all items' word sequences is built once and broadcast; documents stream through
-it word by word while the longest match ending at each word is tracked.  A match of at least
-``window`` words marks those words as hit.  Items of fewer words count as one window of their own
-length.  Before streaming, words that can't be part of a window are skipped: each pair of adjacent
-words of a window must be a pair of adjacent words of some item.
+The items are cut into blocks of about ``BLOCK_WORDS`` words; each block's automaton is built in a
+task and written to the shared folder.  Documents stream through it word by word while the longest
+match ending at each word is tracked.  A match of at least ``window`` words marks those words as
+hit.  Items of fewer words count as one window of their own length.  Before streaming, words that
+can't be part of a window are skipped: each pair of adjacent words of a window must be a pair of
+adjacent words of some item.
 
-The automaton grows with the benchmark, not with the corpus.  Its size is bounded: the items are
-cut into blocks of at most ``BLOCK_WORDS`` words, one automaton per block, and the spans found in
-the blocks are united, so a benchmark of any size needs no larger broadcast.
+The automata grow with the benchmark, not with the corpus, and no more than ``GROUP_BLOCKS`` of them are
+on the driver or in a worker at a time: the documents stream once per such group.  Each group but
+the last writes the spans of the texts it hits, by the text's hash; the last one's pass unites them with its own.
 
 Defined results: null and empty texts have no words and are clean; null or wordless items are
-ignored; repeated items all count; a very long item is cut between blocks with ``window - 1``
+ignored; repeated items count once; a very long item is cut between blocks with ``window - 1``
 words of overlap; extra columns are untouched.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simcat.llm.common import LOWER_TABLE, small_batches, table
+from simcat.llm.common import LOWER_TABLE, materialise, shared_path, small_batches, table
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
+GROUP_BLOCKS = 2         # automata that a worker holds at a time
+CHARS = 6                # of a word with its space, about; sets the number of build tasks only
+SALTS = 16               # copies of a hit text's row, so that rows of one text don't meet in one task
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -49,6 +54,13 @@ class Automaton:
         self.items: dict[int, set] = {}      # state -> items with a window of it
         self.short: dict[int, dict[int, set]] = {}   # state -> {length: items of just that length}
 
+    @classmethod
+    def of(cls, state: dict) -> "Automaton":
+        """The automaton with these attributes (``vars`` of a built one)."""
+        out = cls.__new__(cls)
+        out.__dict__.update(state)
+        return out
+
     def _extend(self, last: int, c: int) -> int:
         nxt, link, length = self.next, self.link, self.length
         if c in nxt[last]:
@@ -197,16 +209,108 @@ def blocks_of(items, window: int, block_words: int = BLOCK_WORDS):
         yield block
 
 
-def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-          text: str = "text", item_id: str = "item_id") -> DataFrame:
+def written_blocks(benchmark: DataFrame, window: int, item_id: str, block_words: int) -> DataFrame:
+    """``block``, ``automaton`` (pickled attributes) of all items, in the shared folder."""
+    items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
+                             "text").filter(F.length("text") > 0).distinct()
+    items = materialise(items, "items")
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    schema = pa.schema([("automaton", pa.binary())])
+
+    def build(batches):
+        rows = ((i, t.as_py()) for batch in batches
+                for i, t in zip(batch.column(0).to_pylist(), batch.column(1)))
+        for block in blocks_of(rows, window, block_words):
+            state = pickle.dumps(vars(Automaton(window).build(block)), protocol=5)
+            yield pa.RecordBatch.from_arrays([pa.array([state], pa.binary())], schema=schema)
+
+    built = items.repartition(1 + chars // (CHARS * block_words)).mapInArrow(build, "automaton binary")
+    return materialise(built.withColumn("block", F.monotonically_increasing_id()), "automata")
+
+
+class Search:
+    """The automata of a benchmark, and what all groups of them but the last have found in ``docs``."""
+
+    def __init__(self, docs: DataFrame, benchmark: DataFrame, window: int, text: str, item_id: str,
+                 block_words: int):
+        self.spark, self.text = docs.sparkSession, text
+        small_batches(self.spark)
+        blocks = written_blocks(benchmark, window, item_id, block_words)
+        # one number per block
+        ids = [r["block"] for r in blocks.select("block").orderBy("block").collect()]
+        groups = [ids[a:a + GROUP_BLOCKS] for a in range(0, len(ids), GROUP_BLOCKS)] or [[]]
+        path = shared_path(self.spark, "spans")
+        for group in groups[:-1]:
+            automata = self._broadcast(blocks, group)
+            self._hits(docs, automata).write.mode("append").parquet(path)
+            automata.unpersist()
+        self.last = self._broadcast(blocks, groups[-1])
+        self.earlier = self.spark.read.parquet(path) if len(groups) > 1 else None
+
+    def _broadcast(self, blocks: DataFrame, group: list[int]):
+        rows = blocks.filter(F.col("block").isin(group)).select("automaton").collect()
+        return self.spark.sparkContext.broadcast([pickle.loads(r[0]) for r in rows])
+
+    def _key(self):
+        return F.unhex(F.sha2(F.col(self.text).cast("binary"), 256))
+
+    def _hits(self, docs: DataFrame, automata) -> DataFrame:
+        schema = pa.schema([("key", pa.binary()), ("starts", pa.list_(pa.int64())),
+                            ("stops", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
+
+        def run(batches):
+            found_by = [Automaton.of(a) for a in automata.value]
+            for batch in batches:
+                out = []
+                for key, t in zip(batch.column(0), batch.column(1)):
+                    spans, items = look(words_of(t.as_py()), found_by)
+                    if spans:
+                        out.append({"key": key.as_py(), "starts": [a for a, _ in spans],
+                                    "stops": [b for _, b in spans], "items": sorted(items)})
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+        return docs.select(self._key().alias("key"), F.col(self.text)).mapInArrow(
+            run, "key binary, starts array<long>, stops array<long>, items array<string>").dropDuplicates(["key"])
+
+    def rows(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with three last columns: starts, stops and items of the groups before the last."""
+        names = [next(n for n in (c + "_" * i for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+                 for c in ("starts", "stops", "items")]
+        types = ["array<long>", "array<long>", "array<string>"]
+        if self.earlier is None:
+            return docs.select("*", *[F.lit(None).cast(t).alias(n) for n, t in zip(names, types)])
+        by_text = self.earlier.groupBy(F.col("key").alias("k")).agg(
+            *[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "stops", "items")])
+        copies = by_text.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        left = docs.select(F.struct("*").alias("row"), self._key().alias("key"),
+                           F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("s"))
+        return left.join(copies, (F.col("key") == F.col("k")) & (F.col("s") == F.col("salt")), "left").select(
+            "row.*", *[F.col(c).alias(n) for c, n in zip(("starts", "stops", "items"), names)])
+
+
+def look(words: list[str], automata: list[Automaton]) -> tuple[list[tuple[int, int]], set]:
+    """Hit spans of ``words`` and the items found by any of the automata."""
+    spans, found = [], set()
+    for a in automata:
+        s, f = a.spans(words)
+        spans += s
+        found |= f
+    return union(spans), found
+
+
+def known_of(batch: pa.RecordBatch):
+    """Per row the spans and items that earlier groups found: the batch's last three columns."""
+    for starts, stops, items in zip(*[c.to_pylist() for c in batch.columns[-3:]]):
+        yield list(zip(starts or [], stops or [])), set(items or [])
+
+
+def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text",
+          item_id: str = "item_id", block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id``, n_words, n_hit, n_items, items_sha256, contaminated and the hit ``spans``
     (word positions [from, to)) of every row of ``docs``."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    sc = spark.sparkContext
-    rows = ((r[0], r[1]) for r in benchmark.select(
-        F.coalesce(F.col(item_id).cast("string"), F.lit("")), "text").toLocalIterator())
-    automata = [sc.broadcast(Automaton(window).build(b)) for b in blocks_of(rows, window)]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+    search = Search(docs, benchmark, window, "text", item_id, block_words)
+    automata = search.last
     schema = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
               "contaminated boolean, spans array<struct<start:int,stop:int>>")
     arrow = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
@@ -215,16 +319,13 @@ def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))])
 
     def run(batches):
+        found_by = [Automaton.of(a) for a in automata.value]
         for batch in batches:
             out = []
-            for ident, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for ident, t, (spans, found) in zip(batch.column(0).to_pylist(), batch.column(1), known_of(batch)):
                 words = words_of(t.as_py())
-                spans, found = [], set()
-                for a in automata:
-                    s, f = a.value.spans(words)
-                    spans += s
-                    found |= f
-                spans = union(spans)
+                here, items = look(words, found_by)
+                spans, found = union(spans + here), found | items
                 hit = sum(b - a for a, b in spans)
                 sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
                 out.append({"doc_id": ident, "n_words": len(words), "n_hit": hit,
@@ -232,7 +333,7 @@ def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                             "spans": [{"start": a, "stop": b} for a, b in spans]})
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(run, schema)
+    return search.rows(docs).mapInArrow(run, schema)
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -246,24 +347,21 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                    max_coverage: float = 0.8) -> DataFrame:
+                    max_coverage: float = 0.8, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without the hit spans; a document goes when hits cover over ``max_coverage`` of its
     words.  The text outside the spans stays as it is; ``n_chars`` follows the text if present."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    sc = spark.sparkContext
-    rows = ((r[0], r[1]) for r in benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text").toLocalIterator())
-    automata = [sc.broadcast(Automaton(window).build(b)) for b in blocks_of(rows, window)]
+    search = Search(docs, benchmark, window, "text", "item_id", block_words)
+    automata = search.last
+    names = docs.columns
     at = docs.columns.index("text")
     count_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
-    def cut(text):
+    def cut(text, spans, found_by):
         if not text:
             return text, True
         found = list(WORD.finditer(text.translate(LOWER_TABLE)))
         words = [m.group() for m in found]
-        spans = union([s for a in automata for s in a.value.spans(words)[0]])
+        spans = union(spans + look(words, found_by)[0])
         if not spans:
             return text, True
         if sum(b - a for a, b in spans) > max_coverage * len(words):
@@ -275,9 +373,10 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         return "".join(parts) + text[pos:], True
 
     def run(batches):
+        found_by = [Automaton.of(a) for a in automata.value]
         for batch in batches:
-            done = [cut(t.as_py()) for t in batch.column(at)]
-            columns = list(batch.columns)
+            done = [cut(t.as_py(), spans, found_by) for t, (spans, _) in zip(batch.column(at), known_of(batch))]
+            columns = list(batch.columns[:-3])
             columns[at] = pa.array([t for t, _ in done], pa.string()).cast(columns[at].type)
             if count_at is not None:
                 old = columns[count_at].to_pylist()
@@ -285,10 +384,10 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 columns[count_at] = pa.array(
                     [o if t == b or t is None else len(t) for o, b, (t, _) in zip(old, before, done)],
                     columns[count_at].type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(
-                pa.array([k for _, k in done]))
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(
+                pa.array([k for _, k in done], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return search.rows(docs).mapInArrow(run, docs.schema)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

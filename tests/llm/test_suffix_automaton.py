@@ -83,3 +83,24 @@ def test_clean_documents(spark):
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in S.clean_documents(docs, bench).collect()}
     text = "Before all. ! And after that comes more"
     assert got == {1: (text, len(text)), 3: ("clean", 9), 4: (None, None)}
+
+
+def test_groups_of_blocks_find_the_same(spark):
+    rng = random.Random(5)
+    draw = lambda n: " ".join(rng.choice("abcdef") for _ in range(n))
+    items = [(i, draw(rng.randrange(0, 14))) for i in range(40)] + [(3, "solo"), (3, "solo")]
+    rows = [(i, draw(rng.randrange(0, 60))) for i in range(60)] + [(9, None), (9, "solo"), (None, "solo")]
+    hot = rows[0][1] + " solo"
+    rows += [(100 + i, hot) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "x", [1]) for i, t in rows],
+                                 "doc_id long, text string, starts string, items array<int>")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert S.written_blocks(bench, 4, "item_id", 30).count() > 2 * S.GROUP_BLOCKS
+    got = S.match(docs, bench, 4, block_words=30)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    got = sorted((tuple(r)[:6] for r in got.collect()), key=key)
+    want = expected([(-1 if i is None else i, t) for i, t in rows], items, 4)
+    assert got == sorted(((None if r[0] == -1 else r[0], *r[1:]) for r in want), key=key)
+    whole, cut = (S.clean_documents(docs, bench, 4, 0.9, block_words=n) for n in (S.BLOCK_WORDS, 30))
+    assert cut.columns == docs.columns
+    assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
