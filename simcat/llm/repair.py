@@ -2,7 +2,7 @@
 
 Documents are sorted by ``doc_id`` over shards (ranges of ids), tokenised and given an end id.  A
 shard is a sequence of blocks of about ``BLOCK_TOKENS`` ids.  In each block Re-Pair replaces the
-most frequent adjacent pairs by nonterminals, in rounds, with exact counts; no pair goes across the
+most frequent adjacent pairs by nonterminals, many a round, with exact counts, until no pair is frequent or no symbol is free; no pair goes across the
 end of a document.  A block's record keeps:
 
     shard, block, start     place of the block; ids of the shard before it
@@ -39,10 +39,9 @@ from simcat.llm.common import shared_path, small_batches, table
 
 END = 2
 BLOCK_TOKENS = 1_000_000
-ROUNDS = 5
-PAIRS_PER_ROUND = 1024
+PAIRS_PER_ROUND = 2048
 BUCKET_BITS = 18
-MIN_COUNT = 16
+MIN_COUNT = 4            # a rule is stored as two symbols and a span: the room of four symbols
 PIECES_KEPT = 1 << 20
 
 # Texts of these characters (Latin-1, after lower-casing) are cut here exactly as the tokenizer
@@ -249,48 +248,68 @@ def encoder_of(spec: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def _apart(place: np.ndarray) -> np.ndarray:
+    """Of overlapping places every second one of a run, from the left."""
+    fresh = np.diff(place, prepend=-2) != 1
+    run_at = np.maximum.accumulate(np.where(fresh, np.arange(len(place)), 0))
+    return (np.arange(len(place)) - run_at) % 2 == 0
+
+
 def compress(seq: np.ndarray, first_rule: int, end: int = END):
-    """Re-Pair of ``seq``: (symbols, rules as an (n, 2) array, ids per rule)."""
+    """Re-Pair of ``seq``: (symbols, rules as an (n, 2) array, ids per rule).
+
+    Ends when no pair has MIN_COUNT places, or when all symbols of the width are in use.
+    """
     most = (1 << 16) if first_rule <= 60_000 else (1 << 24)
     seq = seq.astype(np.uint32)
     rules: list[np.ndarray] = []
     spans: list[np.ndarray] = []
     number = first_rule
-    for _ in range(ROUNDS):
-        if len(seq) < 2 * MIN_COUNT:
-            break
+    every = False            # count the pairs of all buckets that could hold one
+    while number < most and len(seq) > MIN_COUNT:
         a, b = seq[:-1], seq[1:]
         # counts by hash bucket first; only the pairs of the largest buckets are counted exactly
         bucket = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA77))) >> np.uint32(32 - BUCKET_BITS)
         size_of = np.bincount(bucket, minlength=1 << BUCKET_BITS)
-        bar = max(MIN_COUNT, int(np.partition(size_of, -2 * PAIRS_PER_ROUND)[-2 * PAIRS_PER_ROUND]))
+        bar = MIN_COUNT if every else max(
+            MIN_COUNT, int(np.partition(size_of, -2 * PAIRS_PER_ROUND)[-2 * PAIRS_PER_ROUND]))
         place = np.flatnonzero((size_of >= bar)[bucket])
         place = place[(seq[place] != end) & (seq[place + 1] != end)]
         code = (seq[place].astype(np.uint64) << np.uint64(32)) | seq[place + 1]
         if most <= 65536:
             code = (seq[place] << np.uint32(16)) | seq[place + 1]
         ordered = np.sort(code)
-        if not len(ordered):
-            break
         at = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] - ordered.dtype.type(1)))
         count = np.diff(at, append=len(ordered))
         often = np.flatnonzero(count >= MIN_COUNT)
-        room = min(PAIRS_PER_ROUND, most - number)
-        if not len(often) or room <= 0:
+        if not len(often) and bar > MIN_COUNT:
+            every = True
+            continue
+        if not len(often):
             break
+        every = False
+        room = min(PAIRS_PER_ROUND, most - number)
         # most frequent first; equal counts by the pair itself
         often = often[np.lexsort((ordered[at[often]], -count[often]))][:room]
-        pairs = np.sort(ordered[at[often]])
+        often = np.sort(often)
+        pairs = ordered[at[often]]
         shift = pairs.dtype.type(32 if most > 65536 else 16)
         which = np.searchsorted(pairs, code)
         which[which == len(pairs)] = 0
         hit = pairs[which] == code
         place, which = place[hit], which[hit]
-        # overlapping places: every second one of a run, from the left
-        fresh = np.diff(place, prepend=-2) != 1
-        run_at = np.maximum.accumulate(np.where(fresh, np.arange(len(place)), 0))
-        take = (np.arange(len(place)) - run_at) % 2 == 0
+        take = _apart(place)
+        uses = np.bincount(which[take], minlength=len(pairs))
+        # a pair that loses most of its places to others waits for a later round
+        good = 2 * uses >= count[often]
+        good[int(count[often].argmax())] = True
+        wait = ~good[which]
+        if wait.any():
+            place, which = place[~wait], which[~wait]
+            take = _apart(place)
         place, which = place[take], which[take]
+        used = np.bincount(which, minlength=len(pairs)) > 0
+        pairs, which = pairs[used], (np.cumsum(used) - 1)[which]
         left = (pairs >> shift).astype(np.int64)
         right = (pairs & pairs.dtype.type((1 << int(shift)) - 1)).astype(np.int64)
         known = np.concatenate(spans) if spans else np.empty(0, np.uint32)

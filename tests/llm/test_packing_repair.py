@@ -93,6 +93,48 @@ def test_compress_round_trip(kind):
     assert (R.expand(wide[0], wide[2], start, flat, 200_000) == seqs).all()
 
 
+def plain_repair(seq, end):
+    """Size of Re-Pair's result, one pair at a time: symbols and two per rule."""
+    seq, rules, fresh = list(seq), 0, 10 ** 6
+    while True:
+        counts = {}
+        for a, b in zip(seq, seq[1:]):
+            if end not in (a, b):
+                counts[a, b] = counts.get((a, b), 0) + 1
+        pair = max(counts, key=lambda p: (counts[p], p), default=None)
+        if pair is None or counts[pair] < R.MIN_COUNT:
+            return len(seq) + 2 * rules
+        out, i = [], 0
+        while i < len(seq):
+            if tuple(seq[i:i + 2]) == pair:
+                out.append(fresh)
+                i += 2
+            else:
+                out.append(seq[i])
+                i += 1
+        seq, rules, fresh = out, rules + 1, fresh + 1
+
+
+@pytest.mark.parametrize("kind", ["zipf", "copies", "run"])
+def test_compress_runs_to_the_end(kind):
+    rng = np.random.default_rng(4)
+    words = [rng.integers(10, 300, rng.integers(1, 6)) for _ in range(200)]
+    if kind == "run":
+        seq = np.full(5000, 7)
+    else:
+        pick = np.minimum(rng.zipf(1.3, 1500), 200) - 1
+        seq = np.concatenate([words[i] for i in pick])
+        if kind == "copies":
+            seq = np.concatenate([np.append(seq[:700], 2)] * 12)
+    symbols, rules, spans = R.compress(seq.astype("<u2"), 49_408, 2)
+    # many pairs a round: at most a fifth more symbols than one pair at a time, even in a tiny block
+    assert len(symbols) + 2 * len(rules) <= 1.2 * plain_repair(seq.tolist(), 2) + 10
+    start, flat = R.expansions(rules, spans, 49_408)
+    assert np.array_equal(R.expand(symbols, spans, start, flat, 49_408), seq)
+    if kind == "copies":
+        assert spans.max() > 300
+
+
 def test_block_gives_single_documents():
     rng = np.random.default_rng(5)
     seqs = [np.append(np.tile(rng.integers(3, 9, 3), rng.integers(0, 60)), 2).astype(np.uint16)
