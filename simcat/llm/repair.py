@@ -248,6 +248,11 @@ def encoder_of(spec: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def _bucket(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of the pairs (a, b) of BUCKET_BITS bits."""
+    return ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA77))) >> np.uint32(32 - BUCKET_BITS)
+
+
 def _apart(place: np.ndarray) -> np.ndarray:
     """Of overlapping places every second one of a run, from the left."""
     fresh = np.diff(place, prepend=-2) != 1
@@ -269,7 +274,7 @@ def compress(seq: np.ndarray, first_rule: int, end: int = END):
     while number < most and len(seq) > MIN_COUNT:
         a, b = seq[:-1], seq[1:]
         # counts by hash bucket first; only the pairs of the largest buckets are counted exactly
-        bucket = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA77))) >> np.uint32(32 - BUCKET_BITS)
+        bucket = _bucket(a, b)
         size_of = np.bincount(bucket, minlength=1 << BUCKET_BITS)
         bar = MIN_COUNT if every else max(
             MIN_COUNT, int(np.partition(size_of, -2 * PAIRS_PER_ROUND)[-2 * PAIRS_PER_ROUND]))
@@ -294,15 +299,18 @@ def compress(seq: np.ndarray, first_rule: int, end: int = END):
         often = np.sort(often)
         pairs = ordered[at[often]]
         shift = pairs.dtype.type(32 if most > 65536 else 16)
-        which = np.searchsorted(pairs, code)
-        which[which == len(pairs)] = 0
-        hit = pairs[which] == code
+        left, right = pairs >> shift, pairs & pairs.dtype.type((1 << int(shift)) - 1)
+        # one pair per bucket is found at once; another one of the bucket waits for a later round
+        slot = np.zeros(1 << BUCKET_BITS, dtype=np.int32)
+        slot[_bucket(left.astype(np.uint32), right.astype(np.uint32))] = np.arange(len(pairs))
+        which = slot[bucket[place]]
+        hit = np.flatnonzero(pairs[which] == code)
         place, which = place[hit], which[hit]
         take = _apart(place)
         uses = np.bincount(which[take], minlength=len(pairs))
         # a pair that loses most of its places to others waits for a later round
         good = 2 * uses >= count[often]
-        good[int(count[often].argmax())] = True
+        good[int((count[often] * (uses > 0)).argmax())] = True
         wait = ~good[which]
         if wait.any():
             place, which = place[~wait], which[~wait]
@@ -310,8 +318,7 @@ def compress(seq: np.ndarray, first_rule: int, end: int = END):
         place, which = place[take], which[take]
         used = np.bincount(which, minlength=len(pairs)) > 0
         pairs, which = pairs[used], (np.cumsum(used) - 1)[which]
-        left = (pairs >> shift).astype(np.int64)
-        right = (pairs & pairs.dtype.type((1 << int(shift)) - 1)).astype(np.int64)
+        left, right = left[used].astype(np.int64), right[used].astype(np.int64)
         known = np.concatenate(spans) if spans else np.empty(0, np.uint32)
         size = lambda s: np.where(s < first_rule, 1, known[np.maximum(s - first_rule, 0)]
                                   if len(known) else 1)
