@@ -43,6 +43,8 @@ def save_index(path: str, features: DataFrame, model: FeatureModel, ann=None,
             "vocab": model.vocab, "n_docs": model.n_docs,
             "svd_k": model.svd.k if model.svd is not None else 0,
             "svd_explained": model.svd.explained_variance_ratio if model.svd is not None else None,
+            "svd_variance": [float(x) for x in model.svd.explained_variance] if model.svd is not None else [],
+            "svd_total": model.svd.total_variance if model.svd is not None else None,
             "stop_words": model.stop_words, "config": asdict(cfg),
             "ann_dims": ann.dims if ann is not None else None,
             "ann_spec": asdict(ann.spec) if ann is not None else None}
@@ -80,7 +82,9 @@ def load_index(spark: SparkSession, path: str):
                          stop_words=tuple(meta["stop_words"]) if meta["stop_words"] is not None else None)
     if meta["svd_k"]:
         model.svd = SvdModel(components=_matrix(spark, os.path.join(path, "svd")), k=meta["svd_k"],
-                             explained_variance_ratio=meta["svd_explained"])
+                             explained_variance_ratio=meta["svd_explained"],
+                             explained_variance=np.array(meta["svd_variance"]),
+                             total_variance=meta["svd_total"])
     feats = spark.read.parquet(os.path.join(path, "features"))
     ann = None
     if meta["ann_dims"]:

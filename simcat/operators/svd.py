@@ -3,15 +3,15 @@
 The matrix A (products x vocabulary terms) stays distributed as one row per
 product: (term_idx array, weight array).  Every pass is one Spark job:
 
-* ``A Z``      is computed inside each task from a broadcast Z (terms x l, bounded
+* ``Y = A Z`` is computed inside each task from a broadcast Z (terms x l, bounded
   by the vocabulary size and the component count), and
-* ``A^T (AZ)`` (terms x l) and the Gram matrix ``(AZ)^T (AZ)`` (l x l) are emitted
-  together as partial sums and added up by a Spark aggregation (map-side combine).
+* ``A^T Y`` (terms x l) and the triangle R of Y's QR decomposition (l x l) are emitted
+  together.  Partial products are added up, and triangles are stacked and decomposed
+  again, in a tree of at most ``FAN_IN`` parts per group (tall-skinny QR).
 
-So the driver only ever holds terms x l and l x l matrices.  Power iterations
-re-orthonormalise with an eigen-decomposition of the Gram matrix, which is
-stable when Y is rank-deficient.  Component signs are arbitrary; inner products
-between projected rows are not affected.
+So the driver only ever holds terms x l and l x l matrices.  R has the singular values of Y
+itself; a Gram matrix would have their squares and lose all below 1e-8 of the largest.
+Component signs are arbitrary; inner products between projected rows are not affected.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ class SvdModel:
     components: np.ndarray      # k x terms
     k: int
     explained_variance_ratio: float
+    explained_variance: np.ndarray      # per component, of the projected rows
+    total_variance: float               # of all columns
 
 
 def text_rows(weights: DataFrame, id_col: str = "product_id") -> DataFrame:
@@ -51,7 +53,8 @@ def _row_block(pdf: pd.DataFrame, n_terms: int):
 
 
 CHUNK_VALUES = 1 << 14      # non-zeros multiplied at once
-FAN_IN = 64                 # partial sums that meet in one group
+FAN_IN = 64                 # parts that meet in one group
+BLOB_ROWS = 256             # rows of a partial sum that travel together
 
 
 def _chunks(pdf: pd.DataFrame):
@@ -82,37 +85,63 @@ def _add_transposed(out: np.ndarray, r, c, v, y: np.ndarray) -> None:
         out[col[first]] += np.add.reduceat(v[order, None] * y[r[order]], first, axis=0)
 
 
-def _sum_matrix(rows: DataFrame, fn, shape) -> np.ndarray:
-    """Run ``fn(piece, out)`` over all pieces -> one partial matrix per task; add them up in Spark.
+def triangle(parts: list[np.ndarray], width: int) -> np.ndarray:
+    """R of the QR decomposition of the stacked ``parts``."""
+    return np.linalg.qr(np.vstack([np.zeros((0, width)), *parts]), mode="r")
 
-    Each task emits its non-zero matrix rows as (row index, array<double>).  The sums are made in
-    levels of at most ``FAN_IN`` arrays per group, so no group grows with the number of tasks; the
-    driver gets one matrix of ``shape``.
+
+def _one_pass(rows: DataFrame, fn, shape) -> tuple[np.ndarray, np.ndarray]:
+    """Run ``fn(piece, out)`` over all pieces: the sum of the tasks' ``out`` (of ``shape``), and R of the
+    rows that ``fn`` returned (none if it returns None).
+
+    Each task emits ``out`` in blocks of ``BLOB_ROWS`` rows, and its triangle as block -1.  Parts meet in
+    levels of at most ``FAN_IN`` per group, so no group grows with the number of tasks; the driver gets
+    one matrix of ``shape`` and one triangle.
     """
     width = shape[1]
 
     def part(it):
         from pyspark import TaskContext
-        acc = np.zeros(shape)
+        acc, held, n = np.zeros(shape), [], 0
         for pdf in it:
             for piece in _chunks(pdf):
-                fn(piece, acc)
-        nz = np.flatnonzero(np.any(acc != 0, axis=1))
-        task = np.full(len(nz), TaskContext.get().partitionId(), dtype=np.int32)
-        yield pd.DataFrame({"r": nz.astype(np.int32), "task": task, "v": list(acc[nz])})
-    parts = rows.mapInPandas(part, "r int, task int, v array<double>")
-    zero = F.array_repeat(F.lit(0.0), width)
-    added = F.aggregate(F.collect_list("v"), zero,
-                        lambda a, b: F.zip_with(a, b, lambda x, y: x + y)).alias("v")
+                y = fn(piece, acc)
+                if y is not None:
+                    held.append(y)
+                    n += len(y)
+                    if n > 4 * width:
+                        held = [triangle(held, width)]
+                        n = len(held[0])
+        blobs = {a // BLOB_ROWS: acc[a:a + BLOB_ROWS] for a in range(0, shape[0], BLOB_ROWS)}
+        if held:
+            blobs[-1] = triangle(held, width)
+        blobs = {k: m for k, m in blobs.items() if m.any()}
+        yield pd.DataFrame({"block": np.array(list(blobs), dtype=np.int32),
+                            "task": np.full(len(blobs), TaskContext.get().partitionId(), dtype=np.int32),
+                            "m": [m.tobytes() for m in blobs.values()]})
+
+    def meet(pdf):
+        # in the order of the tasks, so that a sum doesn't depend on arrival
+        pdf = pdf.sort_values("task")
+        parts = [np.frombuffer(m).reshape(-1, width) for m in pdf["m"]]
+        one = triangle(parts, width) if pdf["block"].iloc[0] < 0 else sum(parts)
+        return pd.DataFrame({"block": pdf["block"].iloc[:1].to_numpy(),
+                             "task": pdf["task"].iloc[:1].to_numpy() // FAN_IN, "m": [one.tobytes()]})
+
+    schema = "block int, task int, m binary"
+    parts = rows.mapInPandas(part, schema)
     n = rows.rdd.getNumPartitions()
     while n > FAN_IN:
-        parts = parts.groupBy("r", F.floor(F.col("task") / FAN_IN).cast("int").alias("task")).agg(added)
+        parts = parts.groupBy("block", F.floor(F.col("task") / FAN_IN)).applyInPandas(meet, schema)
         n = -(-n // FAN_IN)
-    tot = parts.groupBy("r").agg(added).toPandas()
-    m = np.zeros(shape)
-    if len(tot):
-        m[tot["r"].to_numpy()] = np.stack(tot["v"].to_numpy())
-    return m
+    total, r = np.zeros(shape), np.zeros((0, width))
+    for block, m in parts.groupBy("block").applyInPandas(meet, schema).select("block", "m").collect():
+        m = np.frombuffer(m).reshape(-1, width)
+        if block < 0:
+            r = m
+        else:
+            total[block * BLOB_ROWS:block * BLOB_ROWS + len(m)] = m
+    return total, r
 
 
 def fit_svd(weights: DataFrame, model, k: int, cfg, id_col: str = "product_id") -> SvdModel:
@@ -121,28 +150,31 @@ def fit_svd(weights: DataFrame, model, k: int, cfg, id_col: str = "product_id")
     n_terms = len(model.vocab)
     n_docs = max(int(model.n_docs), 1)
     rows = text_rows(weights, id_col).select("idx", "val")
-    from simcat.session import materialise
+    from simcat.session import materialise, spread
     rows = materialise(rows)
+    dealt = spread(rows)             # adaptive execution leaves a small table in fewer partitions than cores
+    if dealt is not rows:
+        rows = materialise(dealt)
     l = min(n_terms, k + cfg.svd_oversample)
     rng = np.random.default_rng(cfg.svd_seed)
     z = rng.standard_normal((n_terms, l))
     for _ in range(cfg.svd_power_iters + 1):
-        # One pass gives both A^T Y and Y^T Y for Y = A Z.  With Y^T Y = U L U^T and
-        # Q = Y U L^-1/2 (orthonormal), A^T Q = (A^T Y) U L^-1/2 is formed on the driver.
-        bz = sc.broadcast(z)
-        width = z.shape[1]
+        # With Y = Q R and R = U S V^T, (Q U) = Y V S^-1 is orthonormal and spans Y's columns, and
+        # A^T (Q U) = (A^T Y) V S^-1 is formed on the driver.
+        bz = sc.broadcast(np.linalg.qr(z)[0])
 
         def both(piece, out, bz=bz):
             n, r, c, v = piece
             y = _times(n, r, c, v, bz.value)
-            _add_transposed(out[:n_terms], r, c, v, y)
-            out[n_terms:] += y.T @ y
-        m = _sum_matrix(rows, both, (n_terms + width, width))
-        aty, g = m[:n_terms], m[n_terms:]
-        lam, u = np.linalg.eigh(g)
-        keep = lam > lam.max() * 1e-12 if lam.max() > 0 else np.zeros_like(lam, bool)
-        z = aty @ (u[:, keep] / np.sqrt(lam[keep]))
+            _add_transposed(out, r, c, v, y)
+            return y
+        aty, r = _one_pass(rows, both, z.shape)
+        _, sv, vt = np.linalg.svd(r, full_matrices=False)
+        keep = sv > sv.max(initial=0.0) * 1e-12
+        z = aty @ (vt[keep].T / sv[keep])
         bz.unpersist()
+        if not z.shape[1]:       # no row has a weight
+            break
     # B = Q^T A = z^T (l' x terms); its right singular vectors span the row space
     _, s, vt = np.linalg.svd(z.T, full_matrices=False)
     comps = vt[:k]
@@ -159,12 +191,13 @@ def fit_svd(weights: DataFrame, model, k: int, cfg, id_col: str = "product_id")
         out[1, :k] += (p * p).sum(axis=0)
         out[2, :n_terms] += np.bincount(c, weights=v, minlength=n_terms)
         out[3, :n_terms] += np.bincount(c, weights=v * v, minlength=n_terms)
-    mo = _sum_matrix(rows, moments, (4, max(n_terms, k)))
+    mo, _ = _one_pass(rows, moments, (4, max(n_terms, k)))
     proj_var = mo[1, :k] / n_docs - (mo[0, :k] / n_docs) ** 2
     full_var = mo[3, :n_terms] / n_docs - (mo[2, :n_terms] / n_docs) ** 2
     ratio = float(proj_var.sum() / full_var.sum()) if full_var.sum() > 0 else 0.0
     bc.unpersist()
-    return SvdModel(components=comps, k=int(comps.shape[0]), explained_variance_ratio=ratio)
+    return SvdModel(components=comps, k=int(comps.shape[0]), explained_variance_ratio=ratio,
+                    explained_variance=proj_var, total_variance=float(full_var.sum()))
 
 
 def project(weights: DataFrame, svd: SvdModel, id_col: str = "product_id") -> DataFrame:

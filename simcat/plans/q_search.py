@@ -8,6 +8,7 @@ from simcat.config import Config
 from simcat.operators import search as S
 from simcat.plans import oracle as O
 from simcat.plans.q_features import CFG_RAW, built, products
+from simcat.plans.memo import memo
 from simcat.plans.registry import register
 from simcat.sources import read_table
 
@@ -202,18 +203,28 @@ FROM tfidf a JOIN tfidf b ON a.term = b.term
 GROUP BY a.product_id HAVING round(sum(a.w * b.w), 6) > 0""", CFG_SMALL_VOCAB)
 
 
+def _svd_full_rank(spark, sf_dir):
+    """Products, TF-IDF rows and the SVD with as many components as terms (the 100 most frequent)."""
+    from simcat.operators import features as FT
+    from simcat.operators.svd import fit_svd
+    from simcat.plans.q_features import checkpointed_inputs
+
+    def make():
+        p, tf = checkpointed_inputs(spark, sf_dir)
+        model = FT.fit(p, CFG_SMALL_VOCAB, tf=tf)
+        w = FT.tfidf(tf, model)
+        return p, w, fit_svd(w, model, len(model.vocab), CFG_SMALL_VOCAB)
+    return memo(spark, ("svd_full_rank", sf_dir), make)
+
+
 @register("svd_inner_products", _svd_inner_sql)
 def q_svd_inner_products(spark, sf_dir):
     """SVD with as many components as terms (the 100 most frequent): inner products of neighbouring
     products are those of the TF-IDF rows themselves, whatever the components' signs."""
     from simcat.functions.vectors import dot
-    from simcat.operators import features as FT
     from simcat.operators import svd as V
-    from simcat.plans.q_features import checkpointed_inputs
-    p, tf = checkpointed_inputs(spark, sf_dir)
-    model = FT.fit(p, CFG_SMALL_VOCAB, tf=tf)
-    w = FT.tfidf(tf, model)
-    vec = V.project(w, V.fit_svd(w, model, len(model.vocab), CFG_SMALL_VOCAB))
+    _, w, svd = _svd_full_rank(spark, sf_dir)
+    vec = V.project(w, svd)
     n = F.col("product_id").try_cast("bigint")
     a = vec.select("product_id", n.alias("n"), F.col("text_vec").alias("va"))
     b = vec.select((n - 1).alias("n"), F.col("text_vec").alias("vb"))
@@ -221,6 +232,26 @@ def q_svd_inner_products(spark, sf_dir):
             .where(F.col("dot") > 0))
 
 
+def _svd_variance_sql():
+    from simcat.plans.q_features import fsql
+    return fsql("""SELECT n AS n_products, CAST(count(*) AS BIGINT) AS n_terms,
+  round(sum(s2 / n - (s1 / n) * (s1 / n)), 6) AS total_variance,
+  round(sum(s2 / n - (s1 / n) * (s1 / n)), 6) AS explained_variance
+FROM (SELECT term, sum(w) AS s1, sum(w * w) AS s2 FROM tfidf GROUP BY term) t,
+     (SELECT count(*) AS n FROM feats) c GROUP BY n""", CFG_SMALL_VOCAB)
+
+
+@register("svd_variance", _svd_variance_sql)
+def q_svd_variance(spark, sf_dir):
+    """Variance that as many components as terms explain: that of the TF-IDF columns."""
+    p, w, svd = _svd_full_rank(spark, sf_dir)
+    n_terms = w.agg(F.count_distinct("term").alias("n_terms"))
+    return p.agg(F.count("*").alias("n_products")).select(
+        "n_products", n_terms.scalar().alias("n_terms"),
+        F.round(F.lit(svd.total_variance), 6).alias("total_variance"),
+        F.round(F.lit(float(svd.explained_variance.sum())), 6).alias("explained_variance"))
+
+
 def _features_sql():
     from simcat.plans.q_features import fsql
     effs = ", ".join(f"round(eff_{b}, 6) AS eff_{b}" for b in ("category", "text", "numeric", "brand", "colour"))
@@ -246,7 +277,6 @@ def q_features(spark, sf_dir):
 # ------------------------------------------------------------------ approximate search
 def _ann(spark, sf_dir, cfg=CFG_RAW):
     from simcat.operators import ann as A
-    from simcat.plans.memo import memo
     f = _features(spark, sf_dir, cfg)
     return memo(spark, ("ann", sf_dir, repr(cfg)),
                 lambda: A.build(f, cells=cfg.ann_cells, dims=cfg.ann_dims, seed=cfg.ann_seed))

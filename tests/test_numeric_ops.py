@@ -48,3 +48,35 @@ def test_svd_inner_products(spark):
     exact = a @ vt[:k].T
     approx = a @ svd.components.T
     assert np.abs(exact @ exact.T - approx @ approx.T).max() < 1e-6 * np.abs(exact @ exact.T).max() + 1e-6
+
+
+def test_svd_keeps_small_singular_values(spark, monkeypatch):
+    """Singular values over nine orders: a Gram matrix would lose the last ones.  Triangles meet in a tree."""
+    from simcat.operators import svd as V
+    from simcat.operators.features import FeatureModel
+    monkeypatch.setattr(V, "FAN_IN", 2)
+    rng = np.random.default_rng(3)
+    n, t = 200, 6
+    u, _ = np.linalg.qr(rng.standard_normal((n, t)))
+    right, _ = np.linalg.qr(rng.standard_normal((t, t)))
+    sigma = 10.0 ** -np.array([0, 2, 4, 6, 8, 9])
+    a = (u * sigma) @ right.T
+    rows = [(i, j, j, float(a[i, j])) for i in range(n) for j in range(t)]
+    w = spark.createDataFrame(rows, "product_id int, term int, term_idx int, w double").repartition(7, "product_id")
+    model = FeatureModel(weights={}, vocab=[(str(j), 1, 1.0) for j in range(t)], n_docs=n)
+    svd = V.fit_svd(w, model, t, Config(svd_power_iters=1))
+    c = svd.components
+    assert np.abs(c @ c.T - np.eye(t)).max() < 1e-10
+    assert np.allclose(np.abs(np.sum(c * right.T, axis=1)), 1, atol=1e-4)
+    p = a @ c.T
+    assert np.allclose(svd.explained_variance, p.var(axis=0), rtol=1e-6, atol=1e-16)
+    assert abs(svd.total_variance - a.var(axis=0).sum()) < 1e-12 and abs(svd.explained_variance_ratio - 1) < 1e-9
+
+
+def test_svd_of_nothing(spark):
+    from simcat.operators.features import FeatureModel
+    from simcat.operators.svd import fit_svd
+    w = spark.createDataFrame([], "product_id int, term int, term_idx int, w double")
+    model = FeatureModel(weights={}, vocab=[("a", 1, 1.0), ("b", 1, 1.0)], n_docs=0)
+    svd = fit_svd(w, model, 1, Config())
+    assert svd.components.shape == (1, 2) and svd.explained_variance_ratio == 0.0
