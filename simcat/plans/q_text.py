@@ -62,6 +62,17 @@ def q_vocabulary_documents(spark, sf_dir):
     return v.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
+@register("vocabulary_heavy", lambda: O.with_views(
+    "SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM dtf GROUP BY term"
+    f" HAVING count(*) >= {DOC_CFG.tfidf_min_df} ORDER BY cf DESC, term ASC LIMIT {DOC_CFG.tfidf_max_features}",
+    *_doc_views()))
+def q_vocabulary_heavy(spark, sf_dir):
+    """The vocabulary of the documents with its counts, by heavy-hitter summaries and an exact recount."""
+    from simcat.operators.heavy_terms import heavy_terms
+    docs = read_table(spark, sf_dir, "documents", spread=True).select(P.clean_text("text").alias("text"))
+    return heavy_terms(docs, DOC_CFG.tfidf_max_features, DOC_CFG.tfidf_min_df).terms
+
+
 @register("tfidf_documents", lambda: O.with_views(
     "SELECT doc_id, CAST(count(*) AS BIGINT) AS n_terms, round(sum(w), 6) AS w_sum,"
     " round(max(w), 6) AS w_max FROM dtfidf GROUP BY doc_id", *_doc_views()))
