@@ -45,6 +45,13 @@ def windows(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Network:
+    @classmethod
+    def of(cls, state: dict) -> "Network":
+        """The network with these attributes (``vars`` of a fitted one)."""
+        out = cls.__new__(cls)
+        out.__dict__.update(state)
+        return out
+
     def __init__(self, langs: list[str], seed: int = 11):
         rng = np.random.default_rng(seed)
         self.langs = langs
@@ -171,10 +178,11 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFra
     """``doc_id``, ``lang_pred``, ``score`` of every row."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(net)      # a fixed number of weights
+    # a fixed number of weights, as plain arrays: a broadcast object would need this package on the executors
+    shared = spark.sparkContext.broadcast(None if net is None else vars(net))
 
     def run(batches):
-        model = shared.value
+        model = None if shared.value is None else Network.of(shared.value)
         tables = model.tables() if model else None
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]
