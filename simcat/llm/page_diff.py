@@ -2,17 +2,23 @@
 
 Every page is cut into text lines (blocks).  Pages are ordered by host and URL path, and each is
 paired with the neighbour of its host whose path shares the most leading segments; pages of a host
-with the same lines count once there, so a copy is never the partner.  The lines of a pair are aligned by their longest common subsequence; lines that both pages share are template and
-go.  Two kinds of lines are settled by the markup itself and not by the pair: lines in navigation,
+with the same visible lines count once there, so a copy is never the partner.  All lines of a pair, whatever
+their markup, are aligned by their longest common subsequence; ``n_shared`` is how many a page shares, and shared
+lines that no markup protects are template and go.  The markup settles two kinds of lines: lines in navigation,
 headers, footers, sidebars, forms, notices, adverts, comments and the like always go, and lines of
 an ``article`` or ``main`` element always stay, because a copied or quoted passage that two
-articles share is content.  On pages with such an element the rest of the page goes, unless it has
-only articles that are short beside the rest: those are teasers, and the pair decides about all lines.
-No page loses all its lines to its pair.  Articles in a hidden part (comments, adverts) or named as
-one are hidden; only the first ``article`` or ``main`` of a page ends a part that was never closed.
+articles share is content.  On pages with such an element the rest of the page goes, but for paragraphs before
+the first article (a story whose page ends in teasers): about those the pair decides.
+No page loses all its lines to its pair.
+
+Words in class and id names hide a part where they make up a whole name (``share-buttons``, ``commentlist``).  Inside
+an article a name that only holds such a word (``social-history``) hides nothing: the pair decides, and lines that are mostly
+links go.  A word never hides the only article of a page; an article named by one goes where a plain article
+stands before it, or where its whole name says so and the page has other text.  Articles in a hidden part are
+hidden; only the first ``article`` or ``main`` of a page ends a part that was never closed.
 
 Pages of one host are not gathered in one task: the order is a distributed sort, neighbours meet
-by their position in it, and only line hashes travel.
+by their position in it, and only line hashes travel.  A page is parsed once.
 
 Defined results: null or empty html gives an empty text; a page alone on its host loses nothing to
 a pair; a broken or cut page is read as far as it goes; equal URLs are ordered by page_id;
@@ -23,7 +29,8 @@ from __future__ import annotations
 
 import html as html_lib
 import re
-import zlib
+from collections import Counter
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -53,65 +60,137 @@ NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside widget footer "
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription "
     "signup login comment comments reply replies respond disqus share sharing social related "
-    "recommended recommendations masthead toolbar skip".split())
+    "recommended recommendations masthead toolbar skip feedback".split())
+# Words that say nothing of their own beside such a word.
+NEUTRAL = tuple(
+    "area bar block box buttons button container content form group icons inner item items link links list "
+    "module panel post posts section slot stories thread top bottom user wrap wrapper".split())
 STATES = ("has-", "with-", "no-", "without-", "has_", "with_", "no_")
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
+PARAGRAPHS = frozenset(("p", "blockquote", "pre"))
 
 DROP, OPEN, KEEP = 0, 1, 2
-SHORT = 0.5              # articles with less than this share of the rest's characters are teasers
+MAX_BITS = 1 << 28               # bits of one alignment held at a time
+PLAIN, HINT, SURE = 0, 1, 2      # what a part's names say: nothing, a listed word among others, nothing else
+
+
+def _listed(word: str) -> bool:
+    return word in NAMES or any(word.endswith(w) and word[:-len(w)] in NAMES for w in NEUTRAL)
 
 
-def _is_template(name: str, attributes: str, in_main: bool) -> bool:
+def _named(value: str) -> int:
+    """PLAIN, HINT or SURE for the names in a class or id."""
+    best = PLAIN
+    for name in value.split():
+        if name.lower().startswith(STATES):
+            continue                     # what is beside the text, not the text
+        words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", name).lower()) if w]
+        if any(map(_listed, words)):
+            if all(w.isdigit() or w in NEUTRAL or _listed(w) for w in words):
+                return SURE
+            best = HINT
+    return best
+
+
+def _template(name: str, attributes: str, in_main: bool) -> tuple[bool, int]:
+    """Whether the element hides what it holds by what it is, and what its names say."""
     if name in TEMPLATE or (name == "header" and not in_main):
-        return True
+        return True, SURE
+    named = PLAIN
     if name in ("body", "html") or not attributes:
-        return False
+        return False, named
     for m in ATTRIBUTE.finditer(attributes):
-        key, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower()
-        if key in ("class", "id") and name != "main":
-            # "with-sidebar" or "no-ads" describe what is beside the text, not the text
-            if any(w in NAMES for name_ in value.split() if not name_.startswith(STATES)
-                   for w in re.split(r"[^a-z0-9]+", name_)):
-                return True
+        key, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
+        if key in ("class", "id"):
+            named = max(named, _named(value) if name != "main" else PLAIN)
         elif key == "role":
-            if value in ROLES:
-                return True
-        elif key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
-        elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            if value.lower() in ROLES:
+                return True, SURE
+        elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
+            return True, SURE
+        elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
+            return True, SURE
+    return False, named
+
+
+def _settle(lines: list, articles: list[tuple[str, int]]) -> list[tuple[int, str]]:
+    """States of parsed lines, from the articles that hold the page's text."""
+    filled = {a for hidden, a, *_ in lines if a >= 0 and not hidden}
+    plain = [a for a in sorted(filled) if articles[a][1] == PLAIN]
+    outside = any(a < 0 and not hidden for hidden, a, *_ in lines)
+    hinted = any(articles[a][1] == HINT for a in filled)
+
+    def stays(a):
+        named = articles[a][1]
+        if named == PLAIN:
             return True
-    return False
-
-
-def _never_closed(name: str, page: str) -> bool:
-    """Whether ``page`` opens more elements of this name than it closes."""
-    found = [m for m in MARKUP.finditer(page) if m.group(3) and m.group(3).lower() == name]
-    return sum(1 for m in found if not m.group(2)) > sum(1 for m in found if m.group(2))
+        if named == HINT:
+            return not plain or a < plain[0]
+        return not plain and not hinted and not outside
+
+    kept = {a for a in filled if stays(a)}
+    only = any(articles[a][0] == "main" for a in kept)
+    out, seen = [], False
+    for hidden, a, hint, paragraph, links, text in lines:
+        if hidden or (a >= 0 and a not in kept):
+            state = DROP
+        elif a >= 0:
+            seen = True
+            state = KEEP if not hint else DROP if 2 * links >= len(text) else OPEN
+        elif not kept:
+            state = OPEN
+        else:
+            state = OPEN if paragraph and not seen and not only and 2 * links < len(text) else DROP
+        out.append((state, text))
+    return out
 
 
 def lines_of(page: str | None) -> list[tuple[int, str]]:
     """(DROP, OPEN or KEEP, text) of the blocks of a page, in page order."""
     if not page:
         return []
-    out: list[tuple[int, str]] = []
+    lines: list = []             # hidden, article, hinted, paragraph, characters in links, text
     held: list[str] = []
+    linked, in_link = 0, False
     skip: str | None = None      # element that hides what it holds, and how deep it is nested
     depth = 0
-    main: list[str] = []
-    state = OPEN
-    began = only = False         # a main part has been seen; it is a <main> element
+    hint: str | None = None      # element in an article whose names hold a listed word
+    hint_depth = 0
+    articles: list[tuple[str, int]] = []
+    main: list[tuple[str, int]] = []
+    paragraph = False
+    balance: Counter | None = None
 
     def flush():
+        nonlocal linked
         if held:
             text = " ".join(html_lib.unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append((state, text))
+                lines.append((skip is not None, main[0][1] if main else -1, hint is not None, paragraph,
+                              linked, text))
+        linked = 0
+
+    def never_closed(name):
+        """Whether the page opens more elements of this name than it closes (counted once per page)."""
+        nonlocal balance
+        if balance is None:
+            balance = Counter()
+            for t in MARKUP.finditer(page):
+                if t.group(3):
+                    balance[t.group(3).lower()] += -1 if t.group(2) else 1
+        return balance[name] > 0
+
+    def take(text):
+        nonlocal linked
+        held.append(text)
+        if in_link:
+            linked += len(text.strip())
 
     at = 0
     for m in MARKUP.finditer(page):
         if m.start() > at:
-            held.append(page[at:m.start()])
+            take(page[at:m.start()])
         at = m.end()
         name = m.group(3)
         if name is None:
@@ -120,50 +199,66 @@ def lines_of(page: str | None) -> list[tuple[int, str]]:
         if name == "br":
             held.append(" ")
             continue
-        if name not in BLOCKS and name not in TEMPLATE and name not in MAIN and skip is None \
+        if name == "a":
+            in_link = not closing
+        if name not in BLOCKS and name not in TEMPLATE and name not in MAIN and skip is None and hint is None \
                 and not (m.group(4) and not closing and "=" in m.group(4)):
             continue
-        hides = False
+        if skip == "p" and name in BLOCKS and not (closing and name == "p"):
+            flush()                       # a paragraph ends where a block begins or its own ends
+            skip, depth = None, 0
+        hides, named = False, PLAIN
         if skip is not None:
-            if name in MAIN and not closing and not began and (skip not in TEMPLATE or skip == "form") \
-                    and not _is_template(name, m.group(4), False) \
-                    and (skip == "form" or _never_closed(skip, page)):
+            if name in MAIN and not closing and not articles and (skip not in TEMPLATE or skip == "form") \
+                    and _template(name, m.group(4), False) == (False, PLAIN) \
+                    and (skip == "form" or never_closed(skip)):
                 flush()                       # an element left open can't swallow the article
                 skip, depth = None, 0
             elif name == skip:
-                depth += -1 if closing else 1
-                if depth == 0:
+                if closing and depth == 1:
                     flush()
-                    skip = None
-                    state = KEEP if main else OPEN
+                    skip, depth = None, 0
                     continue
+                depth += -1 if closing else 1
         elif not closing and name not in VOID and not m.group(4).rstrip().endswith("/"):
-            hides = _is_template(name, m.group(4), bool(main))
+            hides, named = _template(name, m.group(4), bool(main))
+            if name not in MAIN or main:
+                hides = hides or named == SURE or (named == HINT and not main)
         if hides:
             flush()
-            skip, depth, state = name, 1, DROP
+            skip, depth = name, 1
             continue
         if name in BLOCKS or name in MAIN:
             flush()
-        if skip is None and name in MAIN:
-            if closing:
-                if name in main:
-                    del main[len(main) - 1 - main[::-1].index(name):]
+            paragraph = not closing and (name in PARAGRAPHS or (paragraph and name not in MAIN and name != "div"))
+        if skip is not None:
+            continue
+        if hint is not None and name == hint:
+            hint_depth += -1 if closing else 1
+            if hint_depth == 0:
+                flush()
+                hint = None
+        elif hint is None and named == HINT and main:
+            flush()
+            hint, hint_depth = name, 1
+        if name in MAIN:
+            if not closing:
+                if not main:
+                    articles.append((name, named))
+                main.append((name, len(articles) - 1))
             else:
-                main.append(name)
-                began, only = True, only or name == "main"
-        if skip is None:
-            state = KEEP if main else OPEN
+                for i in range(len(main) - 1, -1, -1):
+                    if main[i][0] == name:
+                        del main[i:]
+                        break
+                if not main:
+                    hint = None
     if at < len(page):
         rest = page[at:]
         cut = rest.rfind("<")
-        held.append(rest if cut < 0 or not re.match(r"<[a-zA-Z/!]", rest[cut:]) else rest[:cut])
+        take(rest if cut < 0 or not re.match(r"<[a-zA-Z/!]", rest[cut:]) else rest[:cut])
     flush()
-    kept, rest = (sum(len(t) for s, t in out if s == which) for which in (KEEP, OPEN))
-    if only and kept or kept >= SHORT * rest:
-        return [(DROP if s == OPEN and kept else s, t) for s, t in out]
-    # articles that are short beside the rest are teasers: the pair decides about all lines
-    return [(OPEN if s == KEEP else s, t) for s, t in out]
+    return _settle(lines, articles)
 
 
 def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -174,53 +269,77 @@ def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     same = a[len(a) - n:][::-1] == b[len(b) - n:][::-1]
     tail = min(n - head, n if same.all() else int(same.argmin()))
     x, y = a[head:len(a) - tail], b[head:len(b) - tail]
-    out = [np.arange(head), np.arange(len(a) - tail, len(a))]
     # lines that only one page has can't be part of it
     at, y = np.flatnonzero(np.isin(x, y)), y[np.isin(y, x)]
-    x = x[at]
-    if len(x):
-        where: dict[int, int] = {}
-        for j, h in enumerate(y.tolist()):
-            where[h] = where.get(h, 0) | (1 << j)
-        full = (1 << len(y)) - 1
-        rows, v = [], full               # zero bits of v mark the steps of the alignment's length
-        for h in x.tolist():
-            u = v & where[h]
-            v = ((v + u) | (v - u)) & full
-            rows.append(v)
-        j, picked = len(y), []
-        for i in range(len(x) - 1, -1, -1):
-            before = rows[i - 1] if i else full
-            low = (1 << j) - 1
-            now_n = j - (rows[i] & low).bit_count()
-            if now_n == j - (before & low).bit_count():
-                continue                 # the prefix without line i is as long
-            # line i is matched with the last place where the length grows
-            while j and now_n == (j - 1) - (rows[i] & ((1 << (j - 1)) - 1)).bit_count():
-                j -= 1
-            picked.append(i)
+    picked = at[_aligned(x[at], y)] + head if len(at) else at
+    return np.sort(np.concatenate([np.arange(head), np.arange(len(a) - tail, len(a)), picked])).astype(np.int64)
+
+
+def _rows(x: np.ndarray, y: np.ndarray):
+    """Bit rows of the alignment of ``x``, line by line, with ``y``: zero bits mark the steps of its length."""
+    where: dict[int, int] = {}
+    for j, h in enumerate(y.tolist()):
+        where[h] = where.get(h, 0) | (1 << j)
+    full = (1 << len(y)) - 1
+    v = full
+    for h in x.tolist():
+        u = v & where.get(h, 0)
+        v = ((v + u) | (v - u)) & full
+        yield v
+
+
+def _lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Length of the alignment of ``x`` with each prefix of ``y``."""
+    v = (1 << len(y)) - 1
+    for v in _rows(x, y):
+        pass
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(y) // 8 + 1, "little"), np.uint8), bitorder="little")
+    return np.concatenate([[0], np.cumsum(1 - bits[:len(y)].astype(np.int64))])
+
+
+def _aligned(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Positions of ``x`` in a longest common subsequence; halves ``x`` where all bit rows would not fit."""
+    if not len(x) or not len(y):
+        return np.zeros(0, np.int64)
+    if len(x) > 1 and len(x) * len(y) > MAX_BITS:
+        mid = len(x) // 2
+        j = int((_lengths(x[:mid], y) + _lengths(x[mid:][::-1], y[::-1])[::-1]).argmax())
+        return np.concatenate([_aligned(x[:mid], y[:j]), _aligned(x[mid:], y[j:]) + mid])
+    full = (1 << len(y)) - 1
+    rows = list(_rows(x, y))
+    j, picked = len(y), []
+    for i in range(len(x) - 1, -1, -1):
+        before = rows[i - 1] if i else full
+        low = (1 << j) - 1
+        now_n = j - (rows[i] & low).bit_count()
+        if now_n == j - (before & low).bit_count():
+            continue                     # the prefix without line i is as long
+        # line i is matched with the last place where the length grows
+        while j and now_n == (j - 1) - (rows[i] & ((1 << (j - 1)) - 1)).bit_count():
             j -= 1
-        out.append(at[np.array(picked[::-1], dtype=int)] + head)
-    return np.sort(np.concatenate(out)).astype(np.int64)
+        picked.append(i)
+        j -= 1
+    return np.array(picked[::-1], dtype=np.int64)
 
 
-def _hash(text: str) -> int:
-    raw = text.encode("utf-8", "surrogatepass")
-    return zlib.crc32(raw) | (zlib.adler32(raw) & 0x7FFFFFFF) << 32
+def _hash(text: str) -> bytes:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
 
 
 def _outline(batches):
-    schema = pa.schema([("rid", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()),
-                        ("open", pa.list_(pa.int32())), ("hashes", pa.binary())])
+    """One row per page: its text, the states of all its lines and their hashes."""
+    schema = pa.schema([("rid", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()),
+                        ("states", pa.binary()), ("hashes", pa.binary())])
     for batch in batches:
-        opens, hashes = [], []
+        texts, states, hashes = [], [], []
         for page in batch.column(3):
-            lines = [(s, t) for s, t in lines_of(page.as_py()) if s != DROP]
-            opens.append([i for i, (s, _) in enumerate(lines) if s == OPEN])
-            hashes.append(np.array([_hash(t) for _, t in lines], dtype=np.int64).tobytes())
+            lines = lines_of(page.as_py())
+            texts.append("\n".join(t for s, t in lines if s != DROP))
+            states.append(bytes(s for s, _ in lines))
+            hashes.append(b"".join(_hash(t) for _, t in lines))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array(opens, pa.list_(pa.int32())), pa.array(hashes, pa.binary())],
-            schema=schema)
+            [*batch.columns[:3], pa.array(texts, pa.string()), pa.array(states, pa.binary()),
+             pa.array(hashes, pa.binary())], schema=schema)
 
 
 def _number(batches):
@@ -236,22 +355,22 @@ def _number(batches):
 
 
 def _cut(batches):
-    """Line numbers that the pages of a host with these lines lose to their pair."""
-    schema = pa.schema([("host", pa.string()), ("lines", pa.binary()), ("gone", pa.list_(pa.int32()))])
+    """How many lines the pages of a host with these visible lines share, and which visible ones they lose."""
+    schema = pa.schema([("host", pa.string()), ("lines", pa.binary()), ("n_shared", pa.int64()),
+                        ("gone", pa.list_(pa.int32()))])
     for batch in batches:
-        gone = []
-        for open_, own, other in zip(batch.column("open").to_pylist(), batch.column("hashes"),
-                                     batch.column("other")):
-            a = np.frombuffer(own.as_buffer(), dtype=np.int64)
-            b = np.frombuffer(other.as_buffer(), dtype=np.int64) if other.is_valid else a[:0]
-            shared = set(shared_lines(a, b).tolist()) if len(b) else set()
-            lost = [i for i in open_ if i in shared]
+        counts, gone = [], []
+        for states, own, other in zip(batch.column("states"), batch.column("hashes"), batch.column("other")):
+            state = np.frombuffer(states.as_buffer(), dtype=np.uint8)
+            shared = shared_lines(*(np.frombuffer(h.as_buffer(), dtype=np.int64) for h in (own, other)))
+            visible = np.cumsum(state != DROP) - 1
+            lost = visible[shared[state[shared] == OPEN]]
+            counts.append(len(shared))
             # a page that the other one holds whole is no template
-            gone.append(lost if len(lost) < len(a) else [])
-        keep = pa.array([bool(g) for g in gone], pa.bool_())
+            gone.append(lost.tolist() if len(lost) < (state != DROP).sum() else [])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("host").filter(keep), batch.column("lines").filter(keep),
-             pa.array([g for g in gone if g], pa.list_(pa.int32()))], schema=schema)
+            [batch.column("host"), batch.column("lines"), pa.array(counts, pa.int64()),
+             pa.array(gone, pa.list_(pa.int32()))], schema=schema)
 
 
 def host_and_path(url):
@@ -272,31 +391,44 @@ def _common(p, q):
     return F.aggregate(equal, F.lit(0), lambda s, x: s + x)
 
 
-def cut_lines(pages: DataFrame) -> DataFrame:
-    """``rid`` and the numbers of the lines a page loses, for pages that lose some.
+def _digest(batches):
+    """Digest of the visible lines and which of them are open; null where a page has none."""
+    schema = pa.schema([("rid", pa.int64()), ("page_id", pa.int64()), ("host", pa.string()),
+                        ("path", pa.list_(pa.string())), ("states", pa.binary()), ("hashes", pa.binary()),
+                        ("lines", pa.binary())])
+    for batch in batches:
+        out = []
+        for states, hashes in zip(batch.column("states"), batch.column("hashes")):
+            state = np.frombuffer(states.as_buffer(), dtype=np.uint8)
+            seen = state != DROP
+            one = blake2b(np.frombuffer(hashes.as_buffer(), dtype=np.int64)[seen].tobytes(), digest_size=32)
+            one.update(b"/" + state[seen].tobytes())
+            out.append(one.digest() if seen.any() else None)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], schema=schema)
+
+
+def shared_with_pair(outline: DataFrame) -> DataFrame:
+    """``rid``, ``n_shared`` and ``gone``, the numbers of the visible lines a page loses, for pages with a pair.
 
-    ``pages`` has rid, page_id, url, html.
+    ``outline`` has rid, page_id, url, states, hashes.
     """
-    spark = pages.sparkSession
+    spark = outline.sparkSession
     host, path = host_and_path(F.col("url"))
-    # null where the page has no lines
-    digest = F.when(F.length("hashes") > 0, F.unhex(F.sha2(F.concat(
-        "hashes", F.array_join("open", ",").cast("binary")), 256)))
-    outline = materialise(
-        pages.select("rid", "page_id", "url", "html")
-        .mapInArrow(_outline, "rid long, page_id long, url string, open array<int>, hashes binary")
-        .withColumn("host", host).withColumn("path", path).withColumn("lines", digest).drop("url"), "outline")
-    # pages of a host with the same lines count once, as the first of them
-    first = F.min(F.struct("path", "page_id", "rid")).alias("first")
-    alike = (outline.filter(F.col("lines").isNotNull()).groupBy("host", "lines")
-             .agg(first, F.first("open").alias("open"), F.first("hashes").alias("hashes"))
-             .select("host", "lines", "first.*", "open", "hashes"))
+    told = materialise(
+        outline.select("rid", "page_id", host.alias("host"), path.alias("path"), "states", "hashes")
+        .mapInArrow(_digest, "rid long, page_id long, host string, path array<string>, states binary, "
+                             "hashes binary, lines binary").filter(F.col("lines").isNotNull()), "page-lines")
+    # pages of a host with the same visible lines count once, as the first of them
+    place = F.struct("path", "page_id", "rid")
+    alike = (told.groupBy("host", "lines")
+             .agg(F.min(place).alias("first"), F.min_by(F.struct("states", "hashes"), place).alias("own"))
+             .select("host", "lines", "first.*", "own.*"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["host", "path", "page_id", "rid"]
     ordered = materialise(alike, "alike").repartitionByRange(n, *order).sortWithinPartitions(*order)
     placed = materialise(ordered.mapInArrow(
         _number, "host string, lines binary, path array<string>, page_id long, rid long, "
-                 "open array<int>, hashes binary, part int, at long"), "placed")
+                 "states binary, hashes binary, part int, at long"), "placed")
     # one row per partition: where its numbering starts
     sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     starts, total = [], 0
@@ -312,44 +444,43 @@ def cut_lines(pages: DataFrame) -> DataFrame:
                          F.col("path").alias("path2"), F.col("hashes").alias("other"))
     both = near.withColumn("place", F.col("from") - 1).unionByName(
         near.withColumn("place", F.col("from") + 1))
-    best = (placed.filter(F.size("open") > 0).join(both, "place")
-            .filter(F.col("host") == F.col("host2"))
+    best = (placed.join(both, "place").filter(F.col("host") == F.col("host2"))
             .withColumn("close", F.struct(_common(F.col("path"), F.col("path2")).alias("common"),
                                           F.col("from").alias("from")))
-            .groupBy("rid").agg(F.max_by(F.struct("host", "lines", "open", "hashes", "other"), "close").alias("pair")))
-    lost = materialise(best.select("pair.*").mapInArrow(_cut, "host string, lines binary, gone array<int>"),
-                       "lost-lines")
+            .groupBy("rid").agg(F.max_by(F.struct("host", "lines", "states", "hashes", "other"), "close").alias("pair")))
     key = ["host", "lines"]
-    rows = outline.filter((F.size("open") > 0) & F.col("lines").isNotNull()).select("rid", *key)
+    shared = materialise(best.select("pair.*").mapInArrow(
+        _cut, "host string, lines binary, n_shared long, gone array<int>").filter("n_shared > 0"), "shared-lines")
+    rows = told.select("rid", *key)
     sizes_of = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"))
-    groups = materialise(lost.join(sizes_of, key), "lost-groups")
-    return hot_join(rows, groups, key, rows.count()).select("rid", "gone")
+    groups = materialise(shared.join(sizes_of, key), "shared-groups")
+    return hot_join(rows, groups, key, told.count()).select("rid", "n_shared", "gone")
+
 
+def extract(pages: DataFrame, paired: bool = True) -> DataFrame:
+    """``page_id``, ``url``, ``text``, ``n_chars``, ``n_shared`` of every row of ``pages``.
 
-def extract(pages: DataFrame) -> DataFrame:
-    """``page_id``, ``url``, ``text``, ``n_chars`` of every row of ``pages``."""
+    ``n_shared`` counts the page's lines that its pair shares, template lines too (for copies: of the first of
+    them); 0 without a pair.  ``paired=False`` leaves the differencing out.
+    """
     spark = pages.sparkSession
     small_batches(spark)
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn(
-        "rid", F.monotonically_increasing_id())
-    gone = materialise(cut_lines(pages), "template-lines")
-    schema = pa.schema([("rid", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()),
-                        ("text", pa.string())])
-
-    def read(batches):
-        for batch in batches:
-            text = ["\n".join(t for s, t in lines_of(p.as_py()) if s != DROP) for p in batch.column(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(text, pa.string())],
-                                             schema=schema)
-
-    texts = pages.select("rid", "page_id", "url", "html").mapInArrow(
-        read, "rid long, page_id long, url string, text string")
-    joined = texts.join(gone, "rid", "left")
+    outline = materialise(
+        pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+        .select(F.monotonically_increasing_id().alias("rid"), "page_id", "url", "html")
+        .mapInArrow(_outline, "rid long, page_id long, url string, text string, states binary, hashes binary"),
+        "outline")
+    if not paired:
+        return outline.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"),
+                              F.lit(0).cast("long").alias("n_shared"))
+    found = materialise(shared_with_pair(outline), "template-lines")
+    joined = outline.select("rid", "page_id", "url", "text").join(found, "rid", "left")
     # lines are joined by \n and hold none, so the text can be cut into them again
     left = F.array_join(F.filter(F.split("text", "\n"), lambda t, i: ~F.array_contains("gone", i)), "\n")
-    out = F.when(F.col("gone").isNull(), F.col("text")).otherwise(left)
-    return joined.select("page_id", "url", out.alias("text")).withColumn(
-        "n_chars", F.length("text").cast("long"))
+    out = F.when(F.coalesce(F.size("gone"), F.lit(0)) <= 0, F.col("text")).otherwise(left)
+    return joined.select("page_id", "url", out.alias("text"),
+                         F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")
 
 
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
