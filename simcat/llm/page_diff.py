@@ -327,19 +327,23 @@ def _hash(text: str) -> bytes:
 
 
 def _outline(batches):
-    """One row per page: its text, the states of all its lines and their hashes."""
+    """One row per page: its text, the states of all its lines and their hashes, and ``lines``, a digest of the
+    visible lines and which of them are open (null where a page has none)."""
     schema = pa.schema([("rid", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()),
-                        ("states", pa.binary()), ("hashes", pa.binary())])
+                        ("states", pa.binary()), ("hashes", pa.binary()), ("lines", pa.binary())])
     for batch in batches:
-        texts, states, hashes = [], [], []
+        texts, states, hashes, digests = [], [], [], []
         for page in batch.column(3):
-            lines = lines_of(page.as_py())
-            texts.append("\n".join(t for s, t in lines if s != DROP))
-            states.append(bytes(s for s, _ in lines))
-            hashes.append(b"".join(_hash(t) for _, t in lines))
+            found = lines_of(page.as_py())
+            texts.append("\n".join(t for s, t in found if s != DROP))
+            states.append(bytes(s for s, _ in found))
+            own = [_hash(t) for _, t in found]
+            hashes.append(b"".join(own))
+            seen = [h + bytes([s]) for h, (s, _) in zip(own, found) if s != DROP]
+            digests.append(blake2b(b"".join(seen), digest_size=32).digest() if seen else None)
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:3], pa.array(texts, pa.string()), pa.array(states, pa.binary()),
-             pa.array(hashes, pa.binary())], schema=schema)
+             pa.array(hashes, pa.binary()), pa.array(digests, pa.binary())], schema=schema)
 
 
 def _number(batches):
@@ -391,33 +395,15 @@ def _common(p, q):
     return F.aggregate(equal, F.lit(0), lambda s, x: s + x)
 
 
-def _digest(batches):
-    """Digest of the visible lines and which of them are open; null where a page has none."""
-    schema = pa.schema([("rid", pa.int64()), ("page_id", pa.int64()), ("host", pa.string()),
-                        ("path", pa.list_(pa.string())), ("states", pa.binary()), ("hashes", pa.binary()),
-                        ("lines", pa.binary())])
-    for batch in batches:
-        out = []
-        for states, hashes in zip(batch.column("states"), batch.column("hashes")):
-            state = np.frombuffer(states.as_buffer(), dtype=np.uint8)
-            seen = state != DROP
-            one = blake2b(np.frombuffer(hashes.as_buffer(), dtype=np.int64)[seen].tobytes(), digest_size=32)
-            one.update(b"/" + state[seen].tobytes())
-            out.append(one.digest() if seen.any() else None)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], schema=schema)
-
-
 def shared_with_pair(outline: DataFrame) -> DataFrame:
     """``rid``, ``n_shared`` and ``gone``, the numbers of the visible lines a page loses, for pages with a pair.
 
-    ``outline`` has rid, page_id, url, states, hashes.
+    ``outline`` has rid, page_id, url, states, hashes, lines.
     """
     spark = outline.sparkSession
     host, path = host_and_path(F.col("url"))
-    told = materialise(
-        outline.select("rid", "page_id", host.alias("host"), path.alias("path"), "states", "hashes")
-        .mapInArrow(_digest, "rid long, page_id long, host string, path array<string>, states binary, "
-                             "hashes binary, lines binary").filter(F.col("lines").isNotNull()), "page-lines")
+    told = (outline.filter(F.col("lines").isNotNull())
+            .select("rid", "page_id", host.alias("host"), path.alias("path"), "states", "hashes", "lines"))
     # pages of a host with the same visible lines count once, as the first of them
     place = F.struct("path", "page_id", "rid")
     alike = (told.groupBy("host", "lines")
@@ -447,7 +433,7 @@ def shared_with_pair(outline: DataFrame) -> DataFrame:
     best = (placed.join(both, "place").filter(F.col("host") == F.col("host2"))
             .withColumn("close", F.struct(_common(F.col("path"), F.col("path2")).alias("common"),
                                           F.col("from").alias("from")))
-            .groupBy("rid").agg(F.max_by(F.struct("host", "lines", "states", "hashes", "other"), "close").alias("pair")))
+            .groupBy("place").agg(F.max_by(F.struct("host", "lines", "states", "hashes", "other"), "close").alias("pair")))
     key = ["host", "lines"]
     shared = materialise(best.select("pair.*").mapInArrow(
         _cut, "host string, lines binary, n_shared long, gone array<int>").filter("n_shared > 0"), "shared-lines")
@@ -468,7 +454,8 @@ def extract(pages: DataFrame, paired: bool = True) -> DataFrame:
     outline = materialise(
         pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
         .select(F.monotonically_increasing_id().alias("rid"), "page_id", "url", "html")
-        .mapInArrow(_outline, "rid long, page_id long, url string, text string, states binary, hashes binary"),
+        .mapInArrow(_outline, "rid long, page_id long, url string, text string, states binary, hashes binary, "
+                              "lines binary"),
         "outline")
     if not paired:
         return outline.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"),
