@@ -18,7 +18,7 @@ stands before it, or where its whole name says so and the page has other text.
 hidden; only the first ``article`` or ``main`` of a page ends a part that was never closed.
 
 Pages of one host are not gathered in one task: the order is a distributed sort, neighbours meet
-by their position in it, and only line hashes travel.  A page is parsed once.
+where it puts them (those at the ends of a partition by their position), and only line hashes travel.  A page is parsed once.
 
 Defined results: null or empty html gives an empty text; a page alone on its host loses nothing to
 a pair; a broken or cut page is read as far as it goes; equal URLs are ordered by page_id;
@@ -346,35 +346,84 @@ def _outline(batches):
              pa.array(hashes, pa.binary()), pa.array(digests, pa.binary())], schema=schema)
 
 
-def _number(batches):
-    """The place of each row in its partition."""
+def _shared(states: bytes, own: bytes, other: bytes) -> tuple[int, list[int]]:
+    """How many lines a page shares with its pair, and the numbers of the visible ones it loses."""
+    state = np.frombuffer(states, dtype=np.uint8)
+    shared = shared_lines(np.frombuffer(own, dtype=np.int64), np.frombuffer(other, dtype=np.int64))
+    lost = (np.cumsum(state != DROP) - 1)[shared[state[shared] == OPEN]]
+    # a page that the other one holds whole is no template
+    return len(shared), lost.tolist() if len(lost) < (state != DROP).sum() else []
+
+
+def _common(p, q) -> int:
+    """Leading segments that two paths share."""
+    return next((i for i, (x, y) in enumerate(zip(p, q)) if x != y), min(len(p), len(q)))
+
+
+def _pair(row: dict, before: dict | None, after: dict | None) -> tuple[int, list[int]]:
+    """The result of a page with the neighbour of its host that has the nearest path (the later one if both do)."""
+    near = [(_common(row["path"], o["path"]), i, o) for i, o in enumerate((before, after))
+            if o is not None and o["host"] == row["host"]]
+    if not near:
+        return 0, []
+    return _shared(row["states"], row["hashes"], max(near, key=lambda t: t[:2])[2]["hashes"])
+
+
+PAIRED = "host string, lines binary, path array<string>, states binary, hashes binary, part int, at long, " \
+         "n_shared long, gone array<int>"
+PAIRED_ARROW = pa.schema([("host", pa.string()), ("lines", pa.binary()), ("path", pa.list_(pa.string())),
+                  ("states", pa.binary()), ("hashes", pa.binary()), ("part", pa.int32()), ("at", pa.int64()),
+                  ("n_shared", pa.int64()), ("gone", pa.list_(pa.int32()))])
+
+
+def _inside(batches):
+    """Pairs of a sorted partition.  Its first and last row have a neighbour elsewhere: they get no result yet
+    (``n_shared`` null) and keep their lines, as do the rows beside them."""
     from pyspark import TaskContext
-    part, n = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        at = pa.array(np.arange(n, n + batch.num_rows), pa.int64())
-        n += batch.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(np.full(batch.num_rows, part, np.int32)), at],
-            names=[*batch.schema.names, "part", "at"])
+    part, n, out = TaskContext.get().partitionId(), 0, []
+    held: list[dict] = []             # the last three rows
 
+    def emit(row, result, keep):
+        out.append({"host": row["host"], "lines": row["lines"], "part": part, "at": row["at"],
+                    **{c: row[c] if keep else None for c in ("path", "states", "hashes")},
+                    "n_shared": result and result[0], "gone": result and result[1]})
 
-def _cut(batches):
-    """How many lines the pages of a host with these visible lines share, and which visible ones they lose."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            row["at"] = n
+            n += 1
+            held.append(row)
+            if len(held) == 4:
+                held.pop(0)
+            if n == 1:
+                continue
+            if n == 2:
+                emit(held[0], None, True)
+            else:
+                # two rows on, a row is known not to be the last but one
+                if n > 3:
+                    emit(held[-3], held[-3]["result"], held[-3]["at"] <= 1)
+                held[-2]["result"] = _pair(held[-2], held[-3], held[-1])
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=PAIRED_ARROW)
+            out.clear()
+    if n > 2:
+        emit(held[-2], held[-2]["result"], True)
+    if n:
+        emit(held[-1], None, True)
+        yield pa.RecordBatch.from_pylist(out, schema=PAIRED_ARROW)
+
+
+def _across(batches):
+    """Results of rows at the edge of a partition, from the rows before and after."""
     schema = pa.schema([("host", pa.string()), ("lines", pa.binary()), ("n_shared", pa.int64()),
                         ("gone", pa.list_(pa.int32()))])
     for batch in batches:
-        counts, gone = [], []
-        for states, own, other in zip(batch.column("states"), batch.column("hashes"), batch.column("other")):
-            state = np.frombuffer(states.as_buffer(), dtype=np.uint8)
-            shared = shared_lines(*(np.frombuffer(h.as_buffer(), dtype=np.int64) for h in (own, other)))
-            visible = np.cumsum(state != DROP) - 1
-            lost = visible[shared[state[shared] == OPEN]]
-            counts.append(len(shared))
-            # a page that the other one holds whole is no template
-            gone.append(lost.tolist() if len(lost) < (state != DROP).sum() else [])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), batch.column("lines"), pa.array(counts, pa.int64()),
-             pa.array(gone, pa.list_(pa.int32()))], schema=schema)
+        rows = batch.to_pylist()
+        found = [_pair(r["own"], r["before"], r["after"]) for r in rows]
+        yield pa.RecordBatch.from_pylist(
+            [{"host": r["own"]["host"], "lines": r["own"]["lines"], "n_shared": n, "gone": g}
+             for r, (n, g) in zip(rows, found)], schema=schema)
 
 
 def host_and_path(url):
@@ -386,15 +435,6 @@ def host_and_path(url):
     return host, F.split(path, "/")
 
 
-def _common(p, q):
-    """Leading segments that two paths share."""
-    n = F.least(F.size(p), F.size(q))
-    equal = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                        lambda i: F.when(F.slice(p, F.lit(1), i) == F.slice(q, F.lit(1), i), 1)
-                        .otherwise(0))
-    return F.aggregate(equal, F.lit(0), lambda s, x: s + x)
-
-
 def shared_with_pair(outline: DataFrame) -> DataFrame:
     """``rid``, ``n_shared`` and ``gone``, the numbers of the visible lines a page loses, for pages with a pair.
 
@@ -411,32 +451,29 @@ def shared_with_pair(outline: DataFrame) -> DataFrame:
              .select("host", "lines", "first.*", "own.*"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["host", "path", "page_id", "rid"]
-    ordered = materialise(alike, "alike").repartitionByRange(n, *order).sortWithinPartitions(*order)
-    placed = materialise(ordered.mapInArrow(
-        _number, "host string, lines binary, path array<string>, page_id long, rid long, "
-                 "states binary, hashes binary, part int, at long"), "placed")
+    ordered = (materialise(alike, "alike").repartitionByRange(n, *order).sortWithinPartitions(*order)
+               .select("host", "lines", "path", "states", "hashes"))
+    # neighbours meet where the order puts them; only the ends of a partition have theirs elsewhere
+    inside = materialise(ordered.mapInArrow(_inside, PAIRED), "pairs")
     # one row per partition: where its numbering starts
-    sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["part"]: r["n"] for r in inside.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     starts, total = [], 0
     for part in sorted(sizes):
         starts.append((part, total))
         total += sizes[part]
-    if not starts:
-        starts = [(0, 0)]
-    offset = F.broadcast(spark.createDataFrame(starts, "part int, before long"))
-    placed = (placed.join(offset, "part").withColumn("place", F.col("at") + F.col("before"))
-              .drop("part", "at", "before"))
-    near = placed.select(F.col("place").alias("from"), F.col("host").alias("host2"),
-                         F.col("path").alias("path2"), F.col("hashes").alias("other"))
-    both = near.withColumn("place", F.col("from") - 1).unionByName(
-        near.withColumn("place", F.col("from") + 1))
-    best = (placed.join(both, "place").filter(F.col("host") == F.col("host2"))
-            .withColumn("close", F.struct(_common(F.col("path"), F.col("path2")).alias("common"),
-                                          F.col("from").alias("from")))
-            .groupBy("place").agg(F.max_by(F.struct("host", "lines", "states", "hashes", "other"), "close").alias("pair")))
+    offset = F.broadcast(spark.createDataFrame(starts or [(0, 0)], "part int, before long"))
+    # at most four rows of a partition
+    edges = (inside.filter(F.col("hashes").isNotNull()).join(offset, "part")
+             .select((F.col("at") + F.col("before")).alias("place"), F.col("n_shared").isNull().alias("missing"),
+                     F.struct("host", "lines", "path", "states", "hashes").alias("row")))
+    at = lambda by, name: edges.select((F.col("place") + by).alias("place"), F.col("row").alias(name))
+    across = (edges.filter("missing").select("place", F.col("row").alias("own"))
+              .join(at(1, "before"), "place", "left").join(at(-1, "after"), "place", "left")
+              .select("own", "before", "after")
+              .mapInArrow(_across, "host string, lines binary, n_shared long, gone array<int>"))
     key = ["host", "lines"]
-    shared = materialise(best.select("pair.*").mapInArrow(
-        _cut, "host string, lines binary, n_shared long, gone array<int>").filter("n_shared > 0"), "shared-lines")
+    shared = materialise(inside.select(*key, "n_shared", "gone").unionByName(across).filter("n_shared > 0"),
+                         "shared-lines")
     rows = told.select("rid", *key)
     sizes_of = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"))
     groups = materialise(shared.join(sizes_of, key), "shared-groups")

@@ -254,6 +254,27 @@ def test_given_pages_by_brute_force_and_without_pairs(spark):
     assert any(n for _, n in want.values())
 
 
+def test_pairs_do_not_depend_on_partitions(spark):
+    import random
+    draw = random.Random(5)
+    rows = [(i, f"http://{draw.choice('ab')}.org/{draw.choice('xy')}/{draw.randrange(30)}",
+             "".join(f"<div>{draw.choice(('menu', 'login', 'news', f'own {i}'))}</div>" for _ in range(4)))
+            for i in range(70)]
+    want = brute_pages(rows)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "3", "40", "90"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = {r["page_id"]: r for r in P.extract(pages).collect()}
+            assert {i: bool(r["n_shared"]) for i, r in got.items()} == {i: bool(k) for i, (_, k) in want.items()}, n
+            if n == "1":
+                first = got
+            assert got == first
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_wrapped_notices(spark):
     import textwrap
     said = dict(reversed([(i, t) for i, t in L.SENTENCES]))
