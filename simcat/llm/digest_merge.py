@@ -1,15 +1,19 @@
 """Exact deduplication by a tree merge of sorted digest runs.
 
-Every input partition forms a sorted run of digests (SHA-256 of the normalised text) with the
-identifier that stays and the size of the group.  Runs are exchanged in rounds: in each round the
-runs whose numbers agree after division by ``FAN_IN`` meet and are merged, until one run is left.
-The digest space is cut into ranges, so a merge never holds more than one range of ``FAN_IN``
-runs, and one digest is one row per run however many copies there are.  Digests only merge when
-the text length and a second, independent hash agree too.
+A run is a sorted array of keys (SHA-256 of the normalised text, its length and a second, independent hash) with
+the identifier that stays and the size of the group; every partition of the written digests forms one.
+Runs are exchanged in rounds: in each round the runs whose numbers agree after division by ``FAN_IN`` meet, and a
+multiway merge gives each key its place from its places in the other runs; equal keys become one, until one run is
+left.  Digests only merge when length and second hash agree too.
+
+The digest space is cut by leading bits, more of them each round as there are fewer runs, so that a group holds about
+``RANGE_ROWS`` rows in every round: there are rows / ``RANGE_ROWS`` groups (at least as many as shuffle partitions).
+A digest is one row per run however many copies there are.
 
 Defined results: null text counts as empty and empty texts form one group; of equal texts the row
-with the largest ``doc_id`` stays (null ids sort lowest; of repeated ids one row stays, chosen by
-the remaining columns where the caller passes them); extra columns are untouched.
+with the largest ``doc_id`` stays (null ids sort lowest); rows that repeat the id that stays are all
+marked as kept by ``dedup`` and reduced to one by ``filter_documents``; extra columns are untouched, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -18,37 +22,127 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from simcat.llm.common import hot_join, lower_ascii, materialise, table, text_or_empty
 
 FAN_IN = 8            # runs that meet in one merge
-RANGE_ROWS = 200_000  # rows of one digest range over all runs, at most about this many
+RANGE_ROWS = 100_000  # rows that a group holds in a round, about
 
 RUN_SCHEMA = ("part int, run int, digest binary, n_bytes long, check long, keep_id long, "
               "group_size long")
-
-
-def _merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Merge the sorted runs of one node: equal verified digests become one row."""
-    pdf = pdf.sort_values(["digest", "n_bytes", "check", "run"], kind="stable", ignore_index=True)
-    same = ((pdf["digest"] == pdf["digest"].shift()) & (pdf["n_bytes"] == pdf["n_bytes"].shift())
-            & (pdf["check"] == pdf["check"].shift())).to_numpy()
-    start = np.flatnonzero(~same)
-    out = pdf.iloc[start].copy()
-    out["keep_id"] = np.maximum.reduceat(pdf["keep_id"].to_numpy(), start)
-    out["group_size"] = np.add.reduceat(pdf["group_size"].to_numpy(), start)
-    out["part"], out["run"] = np.int32(key[0]), np.int32(key[1])
+PACKED = "part long, run int, keys binary, keep binary, size binary"
+KEY = np.dtype("S48")  # digest, length and second hash, the numbers big-endian, so that keys sort as bytes
+
+
+def _unite(keys: np.ndarray, keep: np.ndarray, size: np.ndarray):
+    """Equal neighbours of a sorted run become one."""
+    if not len(keys):
+        return keys, keep, size
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[start], np.maximum.reduceat(keep, start), np.add.reduceat(size, start)
+
+
+def merge_sorted(runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+    """Multiway merge of sorted runs (keys, keep, size) into one sorted run with each key once."""
+    n = sum(len(r[0]) for r in runs)
+    out = np.empty(n, KEY), np.empty(n, np.int64), np.empty(n, np.int64)
+    for i, run in enumerate(runs):
+        # a key's place: its own, and how many keys of the other runs come before it (ties by run)
+        place = np.arange(len(run[0]))
+        for j, other in enumerate(runs):
+            if j != i:
+                place = place + np.searchsorted(other[0], run[0], side="right" if j < i else "left")
+        for column, values in zip(out, run):
+            column[place] = values
+    return _unite(*out)
+
+
+def _chunks(run, bits: int):
+    """The pieces of a sorted run by the leading ``bits`` of the digest: (piece, keys, keep, size)."""
+    keys = np.ascontiguousarray(run[0])
+    if not len(keys):
+        return
+    lead = keys.view(np.uint8).reshape(-1, KEY.itemsize)[:, :8].copy().view(">u8").ravel().astype(np.uint64)
+    part = (lead >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+    for i, j in zip(at[:-1], at[1:]):
+        yield int(part[i]), *(column[i:j].tobytes() for column in (keys, *run[1:]))
+
+
+def _pack(bits: int):
+    """Sorted runs of a partition's rows, cut by ``bits`` bits."""
+    def run(batches):
+        found: dict[int, list] = {}
+        for batch in batches:
+            col = {name: batch.column(name) for name in batch.schema.names}
+            digest = b"".join(d.ljust(32, b"\0") for d in col["digest"].to_pylist())
+            key = np.zeros((batch.num_rows, KEY.itemsize), np.uint8)
+            key[:, :32] = np.frombuffer(digest, np.uint8).reshape(-1, 32)
+            for at, name in ((32, "n_bytes"), (40, "check")):
+                number = col[name].to_numpy().astype(np.int64).astype(">i8")
+                key[:, at:at + 8] = number.view(np.uint8).reshape(-1, 8)
+            keys = key.reshape(-1).view(KEY)
+            numbers = col["run"].to_numpy()
+            rows = keys, col["keep_id"].to_numpy().astype(np.int64), col["group_size"].to_numpy().astype(np.int64)
+            for number in np.unique(numbers).tolist():
+                here = numbers == number
+                found.setdefault(number, []).append([c[here] for c in rows])
+        for number, parts in found.items():
+            keys, keep, size = (np.concatenate(c) for c in zip(*parts))
+            order = np.argsort(keys, kind="stable")
+            for part, *packed in _chunks(_unite(keys[order], keep[order], size[order]), bits):
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array([part], pa.int64()), "run": pa.array([number], pa.int32()),
+                    **{n: pa.array([c], pa.binary()) for n, c in zip(("keys", "keep", "size"), packed)}})
+    return run
+
+
+def _merge(bits: int):
+    """Merge the runs of one node; the result is cut for the next round."""
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        runs = [(np.frombuffer(k, KEY), np.frombuffer(i, np.int64), np.frombuffer(n, np.int64))
+                for k, i, n in zip(pdf["keys"], pdf["keep"], pdf["size"])]
+        rows = [(part, int(key[1]), *packed) for part, *packed in _chunks(merge_sorted(runs), bits)]
+        return pd.DataFrame(rows, columns=["part", "run", "keys", "keep", "size"])
+    return run
+
+
+def _unpack(batches):
+    for batch in batches:
+        for keys, keep, size in zip(*(batch.column(n).to_pylist() for n in ("keys", "keep", "size"))):
+            raw = np.frombuffer(keys, np.uint8).reshape(-1, KEY.itemsize)
+            digest = pa.FixedSizeBinaryArray.from_buffers(
+                pa.binary(32), len(raw), [None, pa.py_buffer(raw[:, :32].tobytes())]).cast(pa.binary())
+            number = lambda at: pa.array(
+                raw[:, at:at + 8].copy().view(">i8").ravel().astype(np.int64), pa.int64())
+            yield pa.RecordBatch.from_pydict({
+                "digest": digest, "n_bytes": number(32), "check": number(40),
+                "keep_id": pa.array(np.frombuffer(keep, np.int64)),
+                "group_size": pa.array(np.frombuffer(size, np.int64))})
+
+
+def cuts(n_rows: int, n_runs: int, at_least: int) -> list[tuple[int, int]]:
+    """(runs, leading bits) of each round: rows / ``RANGE_ROWS`` groups, but not under ``at_least``."""
+    out, groups = [], max(1, at_least, math.ceil(n_rows / RANGE_ROWS))
+    while n_runs > 1 or not out:
+        nodes = math.ceil(n_runs / FAN_IN)
+        out.append((n_runs, max(0, math.ceil(math.log2(groups / nodes)))))
+        n_runs = nodes
     return out
 
 
-def merge_runs(runs: DataFrame, n_runs: int) -> DataFrame:
-    """Rounds of merges over columns of ``RUN_SCHEMA`` until each digest range is one run."""
-    while n_runs > 1:
-        runs = (runs.groupBy("part", F.floor(F.col("run") / FAN_IN).cast("int").alias("node"))
-                .applyInPandas(_merge, RUN_SCHEMA))
-        n_runs = math.ceil(n_runs / FAN_IN)
-    return runs
+def merge_runs(runs: DataFrame, n_runs: int, n_rows: int = 0) -> DataFrame:
+    """One row per key of ``runs`` (columns of ``RUN_SCHEMA``, run < ``n_runs``): digest, n_bytes, check, keep_id,
+    group_size."""
+    rounds = cuts(n_rows, n_runs, int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    packed = runs.select("run", "digest", "n_bytes", "check", "keep_id", "group_size").mapInArrow(
+        _pack(rounds[0][1]), PACKED)
+    for (_, bits), (_, after) in zip(rounds, rounds[1:] + rounds[-1:]):
+        packed = (packed.groupBy("part", F.floor(F.col("run") / FAN_IN).cast("int").alias("node"))
+                  .applyInPandas(_merge(after), PACKED))
+    return packed.mapInArrow(_unpack, "digest binary, n_bytes long, check long, keep_id long, group_size long")
 
 
 # A null id takes part as the lowest value.
@@ -63,31 +157,26 @@ def digests(docs: DataFrame, text: str = "text"):
 
 
 def groups(rows: DataFrame) -> DataFrame:
-    """One row per distinct text of ``rows`` (run, digest, n_bytes, check, doc_id):
+    """One row per distinct text of ``rows`` (digest, n_bytes, check, doc_id, a written table):
     digest, n_bytes, check, keep_id, group_size."""
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.max("run").alias("last")).first()
+    size = rows.select(F.spark_partition_id().alias("run")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("run").alias("last")).first()
     n_runs = (size["last"] or 0) + 1
-    parts = max(1, math.ceil(size["n"] / RANGE_ROWS),
-                int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # the run of a partition: its digests, each once (summed where the rows are, before any exchange)
-    first = (rows.withColumn("part", F.pmod(F.conv(F.substring(F.hex("digest"), 1, 8), 16, 10)
-                                        .cast("long"), F.lit(parts)).cast("int"))
-             .groupBy("part", "run", "digest", "n_bytes", "check")
-             .agg(F.max(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).alias("keep_id"),
-                  F.count(F.lit(1)).alias("group_size"))
-             .select("part", "run", "digest", "n_bytes", "check", "keep_id", "group_size"))
-    return merge_runs(first, n_runs).drop("part", "run")
+    first = rows.select(
+        F.lit(0).alias("part"), F.pmod(F.spark_partition_id(), F.lit(n_runs)).alias("run"), "digest", "n_bytes", "check",
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("keep_id"),
+        F.lit(1).cast("long").alias("group_size"))
+    return merge_runs(first, n_runs, size["n"])
 
 
 def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` for every row of ``docs``."""
     rows = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                   *digests(docs, text),
-                                   F.spark_partition_id().alias("run")), "digests")
+                                   *digests(docs, text)), "digests")
     merged = materialise(groups(rows), "digest-groups")
     key = ["digest", "n_bytes", "check"]
     total = rows.count()
-    out = hot_join(rows.drop("run"), merged, key, total)
+    out = hot_join(rows, merged, key, total)
     keep = F.when(F.col("keep_id") == NULL_ID, F.lit(None).cast("long")).otherwise(F.col("keep_id"))
     return out.select("doc_id", keep.alias("keep_id"), "group_size",
                       F.col("doc_id").eqNullSafe(keep).alias("kept"),
@@ -99,13 +188,12 @@ def filter_documents(docs: DataFrame) -> DataFrame:
 
     Repeated rows (same ``doc_id``, same text) are reduced to one of them.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    keep = (dedup(docs).filter("kept")
-            .select(key.alias("_key"), F.unhex("text_sha256").alias("_sha")).distinct())
-    tagged = docs.withColumns({
-        "_key": key, "_sha": F.unhex(F.sha2(lower_ascii(text_or_empty()).cast("binary"), 256))})
-    return (tagged.join(keep, ["_key", "_sha"], "left_semi")
-            .dropDuplicates(["_key", "_sha"]).select(*docs.columns))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("key")
+    keep = dedup(docs).filter("kept").select(key, F.unhex("text_sha256").alias("sha")).distinct()
+    tagged = docs.select(key, F.unhex(F.sha2(lower_ascii(text_or_empty()).cast("binary"), 256)).alias("sha"),
+                         F.struct("*").alias("row"))
+    return (tagged.join(keep, ["key", "sha"], "left_semi")
+            .dropDuplicates(["key", "sha"]).select("row.*"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,3 +61,42 @@ def test_empty_table_and_filter(spark):
 
 def test_materialised_table_is_read_back(spark):
     assert materialise(spark.range(5).select(F.col("id")), "t").count() == 5
+
+
+def test_multiway_merge_of_sorted_runs():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for k in (1, 2, 5, 8):
+        runs, want = [], {}
+        for _ in range(k):
+            keys = sorted({bytes([x]) * 47 + b"\1" for x in rng.integers(1, 40, 30).tolist()})
+            ids, sizes = rng.integers(-9, 99, len(keys)), rng.integers(1, 5, len(keys))
+            runs.append((np.array(keys, D.KEY), ids, sizes))
+            for key, i, n in zip(keys, ids.tolist(), sizes.tolist()):
+                best, total = want.get(key, (i, 0))
+                want[key] = max(best, i), total + n
+        got = D.merge_sorted(runs)
+        assert got[0].tolist() == sorted(want)
+        assert list(zip(*(c.tolist() for c in got[1:]))) == [want[key] for key in sorted(want)]
+
+
+def test_groups_of_a_round_follow_the_rows():
+    for n in (10 ** 6, 10 ** 9, 10 ** 11):
+        for runs, bits in D.cuts(n, max(1, n // 2_000_000), 8):
+            groups = -(-runs // D.FAN_IN) << bits
+            assert n / D.RANGE_ROWS <= max(groups, 8) and groups <= 2 * max(n / D.RANGE_ROWS, 8, -(-runs // D.FAN_IN))
+
+
+def test_names_of_helpers_are_free_for_the_caller(spark):
+    docs = docs_of(spark, ROWS).withColumns({"key": F.lit("mine"), "sha": F.lit("x"), "_key": F.lit("own"),
+                                             "row": F.lit(1)})
+    kept = D.filter_documents(docs)
+    assert kept.columns == docs.columns
+    assert {(r["key"], r["sha"], r["_key"], r["row"]) for r in kept.collect()} == {("mine", "x", "own", 1)}
+
+
+def test_rows_that_repeat_the_kept_id_are_all_kept(spark):
+    docs = docs_of(spark, [(5, "a"), (5, "A"), (5, "a"), (4, "a")])
+    assert sorted((r["doc_id"], r["kept"]) for r in D.dedup(docs).collect()) == [
+        (4, False), (5, True), (5, True), (5, True)]
+    assert D.filter_documents(docs).count() == 1
