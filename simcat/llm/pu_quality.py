@@ -1,15 +1,15 @@
 """Text quality by positive-unlabelled learning (non-negative unbiased risk).
 
-Trusted positives are rows of good quality of the training fold; the unlabelled rows are the other
-rows of the fold's sample with their labels hidden.  The class prior of the unlabelled rows is
+Trusted positives are labelled rows of good quality of the training fold; the unlabelled rows are a sample of
+``documents`` of that fold, with a label or without, whose labels are never read.  The class prior of the unlabelled rows is
 estimated from a first classifier of positives against unlabelled rows (the lowest ratio of the
-two classes' shares above a threshold, with a margin for the sample's size), then a linear model
-minimises the non-negative risk: prior * loss(positives) + max(0, loss of unlabelled rows as
-negatives - prior * loss of positives as negatives).
+two classes' shares above a threshold, plus its standard error) and again from the scores of held-back rows under the
+minimum of the risk; a linear model minimises the non-negative risk: prior * loss(positives) + max(0, loss of unlabelled rows as
+negatives - prior * loss of positives as negatives), with a loss between 0 and 1.  The score is that model's probability.
 
 A text's features are counts over all its bytes and words: bytes, hashed byte pairs, and a few
-ratios.  Parameters: ``MAX_FIT`` bounds the labelled rows used for fitting (smallest hashes of
-doc_id); everything else reads all rows and whole texts.
+ratios.  Parameters: ``MAX_FIT`` bounds the labelled rows used for fitting and ``MAX_UNLABELLED`` the unlabelled ones
+(smallest hashes of doc_id; of rows that repeat an id one is used); everything else reads all rows and whole texts.
 
 Defined results: null text counts as empty and is scored too; without positive training rows every
 score is 0.5; of repeated labels for a document the highest counts; extra columns are ignored.
@@ -29,13 +29,14 @@ from simcat.llm.toxicity import training_rows
 
 FOLDS, HELD_OUT = 5, 0
 MAX_FIT = 12_000
+MAX_UNLABELLED = 12_000
 PAIRS = 512
 EXTRA = 8
 WIDTH = 256 + PAIRS + EXTRA
 CUT = 0.3
 EPOCHS = 300
 SCALE, DECAY = 4.0, 1e-3
-LOST = 0.003            # share of the trusted positives that may score under CUT
+AGAIN = 2               # times that the prior is estimated again
 
 
 def features(text: str | None) -> np.ndarray:
@@ -60,11 +61,17 @@ def features(text: str | None) -> np.ndarray:
     return out
 
 
-def _loss(z):
+def _log_loss(z):
     """log(1 + exp(-z)) and its derivative."""
     return np.logaddexp(0, -z), -1.0 / (1.0 + np.exp(np.clip(z, -60, 60)))
 
 
+def _loss(z):
+    """The bounded loss of the risk, 1 / (1 + exp(z)), and its derivative."""
+    s = 1.0 / (1.0 + np.exp(np.clip(z, -60, 60)))
+    return s, -s * (1 - s)
+
+
 def _adam(grad_fn, w, epochs, rate=0.05):
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, epochs + 1):
@@ -81,66 +88,78 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     for t in np.quantile(pos, np.linspace(0.02, 0.6, 30)):
         p = float((pos >= t).mean())
         u = float((unl >= t).mean())
-        margin = math.sqrt(1.0 / max(1, len(pos))) + math.sqrt(1.0 / max(1, len(unl)))
-        best = min(best, (u + 0.5 * margin) / max(1e-6, p))
+        ratio = u / max(1e-6, p)
+        error = math.sqrt(u * (1 - u) / max(1, len(unl)) + ratio ** 2 * p * (1 - p) / max(1, len(pos)))
+        best = min(best, ratio + error / max(1e-6, p))
     return float(np.clip(best, 0.05, 0.95))
 
 
 def train(x_pos: np.ndarray, x_unl: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights (last one the bias) and the estimated prior.
-
-    The bias is set last, from the trusted positives alone: nearly all of them score over ``CUT``.
-    """
+    """Weights (last one the bias) and the estimated prior."""
     one = lambda x: np.hstack([x * SCALE, np.ones((len(x), 1), np.float32)])
     xp, xu = one(x_pos), one(x_unl)
 
     def separate(w):
         # positives against unlabelled rows, both classes weighing the same
-        gp, gu = _loss(xp[::2] @ w)[1], -_loss(-(xu[::2] @ w))[1]
+        gp, gu = _log_loss(xp[::2] @ w)[1], -_log_loss(-(xu[::2] @ w))[1]
         return xp[::2].T @ gp / len(gp) + xu[::2].T @ gu / len(gu) + DECAY * w
 
     w = _adam(separate, np.zeros(xp.shape[1], np.float32), EPOCHS)
     back_p, back_u = (xp[1::2], xu[1::2]) if len(xp) > 1 and len(xu) > 1 else (xp, xu)
     prior = estimate_prior(back_p @ w, back_u @ w)
 
-    def risk(w):
-        zp, zu = xp @ w, xu @ w
-        (_, dp), (ln, dn), (lu, du) = _loss(zp), _loss(-zp), _loss(-zu)
-        grad = prior * (xp.T @ dp) / len(xp) + DECAY * w
-        if lu.mean() - prior * ln.mean() > 0:        # else the clipped part is flat
-            grad = grad - (xu.T @ du) / len(xu) + prior * (xp.T @ dn) / len(xp)
-        return grad
-
-    w = _adam(risk, np.zeros(xp.shape[1], np.float32), EPOCHS)
-    z = xp @ w
-    low = float(np.quantile(z, LOST)) - 0.1 * float(z.std())
-    w[-1] += math.log(CUT / (1 - CUT)) - low
+    def minimise(p, u):
+        return _adam(lambda v: risk(v, p, u, prior)[1], np.zeros(xp.shape[1], np.float32), EPOCHS)
+
+    for _ in range(AGAIN):
+        # the risk's own minimum tells the classes apart better than the first classifier
+        w = minimise(xp[::2], xu[::2])
+        prior = min(prior, estimate_prior(back_p @ w, back_u @ w))
+    w = minimise(xp, xu)
     return np.append(w[:-1] * SCALE, w[-1]), prior
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> np.ndarray | None:
-    small_batches(docs.sparkSession)
-    rows = training_rows(docs, labels, "quality", FOLDS, HELD_OUT, max_fit)
+def risk(w, xp, xu, prior: float):
+    """The non-negative risk with its decay, and its gradient (the clipped part is flat)."""
+    zp, zu = xp @ w, xu @ w
+    (lp, dp), (ln, dn), (lu, du) = _loss(zp), _loss(-zp), _loss(-zu)
+    value = prior * lp.mean() + DECAY / 2 * float(w @ w)
+    grad = prior * (xp.T @ dp) / len(xp) + DECAY * w
+    negative = lu.mean() - prior * ln.mean()
+    if negative > 0:
+        value += negative
+        grad = grad - (xu.T @ du) / len(xu) + prior * (xp.T @ dn) / len(xp)
+    return value, grad
 
+
+def unlabelled_rows(docs: DataFrame, limit: int) -> DataFrame:
+    """``doc_id`` and ``text`` of a sample of the training fold's documents: at most ``limit`` ids."""
+    ids = (docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+           .filter(F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT)).distinct()
+           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
+
+
+def _features_of(rows: DataFrame, limit: int) -> np.ndarray:
+    """Features of at most ``limit`` ids, one row for each."""
     def make(batches):
         for batch in batches:
             x = [features(t.as_py()).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("y"), pa.array(x, pa.binary())],
-                names=["doc_id", "y", "x"])
+                [batch.column("doc_id").cast(pa.int64()), pa.array(x, pa.binary())], names=["doc_id", "x"])
 
-    got = rows.mapInArrow(make, "doc_id long, y int, x binary").collect()   # max_fit rows
-    got.sort(key=lambda r: (r["doc_id"], r["x"]))
-    if not any(r["y"] == 1 for r in got):
+    got = (rows.select("doc_id", "text").mapInArrow(make, "doc_id long, x binary")
+           .groupBy("doc_id").agg(F.max("x").alias("x")).orderBy("doc_id").limit(limit).collect())
+    return np.frombuffer(b"".join(r["x"] for r in got), dtype=np.float32).reshape(len(got), WIDTH)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT,
+        max_unlabelled: int = MAX_UNLABELLED) -> np.ndarray | None:
+    small_batches(docs.sparkSession)
+    positive = _features_of(training_rows(docs, labels, "quality", FOLDS, HELD_OUT, max_fit).filter("y = 1"), max_fit)
+    if not len(positive):
         return None
-    x = np.frombuffer(b"".join(r["x"] for r in got), dtype=np.float32).reshape(len(got), WIDTH)
-    pick = np.random.default_rng(7).random(len(got)) < 0.5
-    good = np.array([r["y"] == 1 for r in got])
-    trusted = good & pick
-    if not trusted.any():
-        trusted = good.copy()
-    hidden = ~trusted if (~trusted).any() else trusted
-    return train(x[trusted], x[hidden])[0]
+    return train(positive, _features_of(unlabelled_rows(docs, max_unlabelled), max_unlabelled))[0]
 
 
 def score(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:

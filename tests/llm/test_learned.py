@@ -195,6 +195,34 @@ def test_prior_estimate():
     assert abs(Q.estimate_prior(pos, unl) - 0.7) < 0.08
 
 
+def test_risk_gradient_by_differences():
+    rng = np.random.default_rng(4)
+    xp, xu = rng.normal(1, 1, (40, 6)), rng.normal(0, 1, (50, 6))
+    for prior, scale in ((0.3, 1.0), (0.9, 3.0)):
+        w = rng.normal(0, scale, 6)
+        value, grad = Q.risk(w, xp, xu, prior)
+        for k in range(6):
+            step = np.zeros(6)
+            step[k] = 1e-5
+            slope = (Q.risk(w + step, xp, xu, prior)[0] - Q.risk(w - step, xp, xu, prior)[0]) / 2e-5
+            assert abs(slope - grad[k]) < 1e-6
+
+
+def test_quality_uses_unlabelled_documents_and_bounds_rows(spark):
+    rng = random.Random(6)
+    docs = [(i, words(rng, "abcdefg", 30) if i % 3 else words(rng, "XYZ", 30)) for i in range(300)]
+    docs += docs[:150] + [(None, "no id")]
+    docs_df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert Q.unlabelled_rows(docs_df, 40).select("doc_id").distinct().count() == 40
+    assert Q._features_of(Q.unlabelled_rows(docs_df, 40), 40).shape == (40, Q.WIDTH)
+    assert all(fold(r["doc_id"], Q.FOLDS) != Q.HELD_OUT for r in Q.unlabelled_rows(docs_df, 1000).collect())
+    # labels mark good documents only: the rest is told apart by the unlabelled ones
+    good = spark.createDataFrame([(i, 1) for i in range(300) if i % 3], "doc_id long, quality int")
+    got = {r["doc_id"]: r["score"] for r in Q.score(docs_df, Q.fit(docs_df, good)).collect() if r["doc_id"] is not None}
+    right = sum((got[i] >= Q.CUT) == bool(i % 3) for i in got)
+    assert right / len(got) > 0.95
+
+
 def test_language_held_out(spark):
     rng = random.Random(3)
     kinds = {"xx": "abcdefg", "yy": "hijklmn", "zz": "éèêabhi"}
