@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from simcat.config import Config
@@ -13,6 +15,7 @@ from simcat.plans.registry import register
 from simcat.sources import read_table
 
 DOC_CFG = Config()
+TASK_BYTES = 2 << 20     # text whose terms one task counts, about
 
 
 def doc_term_counts(spark, sf_dir):
@@ -20,11 +23,12 @@ def doc_term_counts(spark, sf_dir):
     from simcat.session import materialise
 
     def make():
-        docs = read_table(spark, sf_dir, "documents", spread=True).select(
-            "doc_id", P.clean_text("text").alias("text"))
-        n = docs.count()
+        docs = read_table(spark, sf_dir, "documents", spread=True)
+        size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
         # one exchange of the texts; the counts per document then need none
-        return materialise(FT.term_counts(docs.repartition("doc_id"), "doc_id", "text")), n
+        parts = max(spark.sparkContext.defaultParallelism, math.ceil((size["bytes"] or 0) / TASK_BYTES))
+        texts = docs.select("doc_id", P.clean_text("text").alias("text")).repartition(parts, "doc_id")
+        return materialise(FT.term_counts(texts, "doc_id", "text")), size["n"]
     return memo(spark, ("doc_tf", sf_dir), make)
 
 
@@ -79,7 +83,7 @@ def q_vocabulary_heavy(spark, sf_dir):
 def q_tfidf_documents(spark, sf_dir):
     """Per document: vocabulary terms present, sum and largest of its unit TF-IDF weights."""
     tf, _ = doc_term_counts(spark, sf_dir)
-    w = FT.tfidf(tf, doc_model(spark, sf_dir), "doc_id")
+    w = FT.tfidf(tf, doc_model(spark, sf_dir), "doc_id", parts=tf.rdd.getNumPartitions())
     return w.groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.round(F.sum("w"), 6).alias("w_sum"),
                                    F.round(F.max("w"), 6).alias("w_max"))
 
@@ -91,8 +95,8 @@ def q_svd_documents(spark, sf_dir):
     tf, _ = doc_term_counts(spark, sf_dir)
     m = doc_model(spark, sf_dir)
     k = min(DOC_CFG.svd_components, max(1, len(m.vocab) - 1))
-    svd = memo(spark, ("doc_svd", sf_dir), lambda: fit_svd(FT.tfidf(tf, m, "doc_id"), m, k, DOC_CFG,
-                                                           id_col="doc_id"))
+    svd = memo(spark, ("doc_svd", sf_dir), lambda: fit_svd(
+        FT.tfidf(tf, m, "doc_id", parts=tf.rdd.getNumPartitions()), m, k, DOC_CFG, id_col="doc_id"))
     return tf.agg(F.count_distinct("doc_id").alias("n_documents")).select(
         "n_documents", F.lit(len(m.vocab)).cast("bigint").alias("n_terms"),
         F.lit(svd.k).cast("bigint").alias("n_components"),
