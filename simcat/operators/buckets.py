@@ -135,6 +135,9 @@ def search(queries: DataFrame, index: BucketIndex, k: int, probes: int = PROBES,
     def finish(shared):
         def score(batches):
             q = shared.value
+            if probes >= 1 << index_parts.bits:      # all rows match, whatever their code
+                yield from S.scan((pdf.drop(columns="codes") for pdf in batches), q, k, spec, block_rows)
+                return
             wanted, best = probe_map(q, index_parts, probes), None
             for pdf in batches:
                 for start in range(0, len(pdf), block_rows):
