@@ -115,3 +115,9 @@ def test_documents_are_counted_in_tasks_of_bounded_text(spark, monkeypatch, tmp_
     tf, n = q_text.doc_term_counts(spark, str(tmp_path))
     assert n == 300 and tf.rdd.getNumPartitions() >= 200
     assert tf.where("term = 'alpha'").agg(F.sum("tf")).first()[0] == 1200
+
+
+def test_one_id_for_different_lists_is_an_error(spark):
+    _, df = lists(spark, 30, 30)
+    with pytest.raises(ValueError, match="several rows"):
+        S.topk_self(df.withColumn("id", F.col("id") % 10), 3, SPEC)
