@@ -29,12 +29,13 @@ ordered by text; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from simcat.llm.circulant import BASE, BYTE_CODE, mix64
+from simcat.llm.circulant import BASE, mix64
 from simcat.llm.common import shared_path, small_batches, table
 
 END = 2
@@ -55,6 +56,7 @@ KIND = np.zeros(256, dtype=np.uint8)
 for _kind, _chars in ((1, LETTERS), (2, DIGITS), (3, SIGNS)):
     KIND[list(_chars)] = _kind
 PLAIN = SPACES + DIGITS + LETTERS + SIGNS
+WORD_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)      # the first n bytes of a word
 
 
 class Pieces:
@@ -88,7 +90,7 @@ class Pieces:
             slot[todo] = (slot[todo] + 1) & mask
         return out
 
-    def add(self, h: np.ndarray, ids: list[bytes]):
+    def add(self, h: np.ndarray, ids: list[list[int]]):
         """Store pieces that are not in the table yet."""
         mask = np.int64((1 << self.BITS) - 1)
         number = np.arange(self.n, self.n + len(h), dtype=np.int32)
@@ -101,10 +103,10 @@ class Pieces:
             self.values[slot[todo[won]]] = number[todo[won]]
             todo = todo[~won]
             slot[todo] = (slot[todo] + 1) & mask
-        new = np.frombuffer(b"".join(ids), dtype=self.dtype)
+        new = np.fromiter(chain.from_iterable(ids), dtype=self.dtype)
         while self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        size = np.array([len(b) for b in ids], dtype=np.int64) // self.dtype.itemsize
+        size = np.array([len(x) for x in ids], dtype=np.int64)
         self.at[self.n:self.n + len(h)] = self.used + np.cumsum(size) - size
         self.size[self.n:self.n + len(h)] = size
         self.flat[self.used:self.used + len(new)] = new
@@ -119,6 +121,24 @@ class Pieces:
         return self.flat[place], size
 
 
+def _piece_hashes(joined: bytes, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A 64-bit hash per piece of ``joined``, eight bytes at a time."""
+    padded = joined + bytes(8)
+    words = np.ndarray(len(joined) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    h = length.astype(np.uint64)
+    at, left, todo = start, length, None
+    while len(at):
+        word = words[at] & WORD_MASK[np.minimum(left, 8)]
+        if todo is None:
+            h = mix64(h * BASE + word)
+        else:
+            h[todo] = mix64(h[todo] * BASE + word)
+        more = np.flatnonzero(left > 8)
+        todo = more if todo is None else todo[more]
+        at, left = at[more] + 8, left[more] - 8
+    return h
+
+
 class Encoder:
     """Ids of texts; ``spec`` is the tokenizer's JSON."""
 
@@ -131,9 +151,9 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.vocab <= 60_000 else "<u4")
         self.pieces = Pieces(self.dtype)
         self.cut_here = self._cuts_like_pieces(spec)
-        self.ends_piece = np.zeros(self.vocab, dtype=bool)
-        for token, ident in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            self.ends_piece[ident] = token.endswith("</w>")
+        # the model knows letters beyond ASCII by the spelling that the tokenizer's ByteLevel step gives them
+        self.spelling = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))[0][0]
+                         for c in LETTERS if c > 127} if self.cut_here else {}
 
     @staticmethod
     def _cuts_like_pieces(spec: str) -> bool:
@@ -145,19 +165,10 @@ class Encoder:
         return [np.array(e.ids, dtype=self.dtype)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _ids_of_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Pieces are tokenised many at a time; the last token of each bears the word end."""
-        out = []
-        for a in range(0, len(pieces), 1000):
-            part = pieces[a:a + 1000]
-            ids = self._ids([" ".join(part)])[0]
-            stop = np.flatnonzero(self.ends_piece[ids]) + 1
-            if len(stop) != len(part):
-                raise ValueError("the tokenizer doesn't mark the ends of words")
-            raw, w = ids.tobytes(), self.dtype.itemsize
-            edge = [0, *(stop * w).tolist()]
-            out += [raw[x:y] for x, y in zip(edge, edge[1:])]
-        return out
+    def _ids_of_pieces(self, pieces: list[str]) -> list[list[int]]:
+        """Pieces are cut and lower-case already, so the tokenizer's model merges them as they are."""
+        merge, spelt = self.tokenizer.model.tokenize, self.spelling
+        return [[t.id for t in merge(p if p.isascii() else p.translate(spelt))] for p in pieces]
 
     def _plain(self, text: str) -> bytes | None:
         """The lower-cased text in Latin-1 if it can be cut here."""
@@ -183,10 +194,7 @@ class Encoder:
         length = np.append(edge[1:], len(b))[inside[edge]] - start
         if not len(start):
             return [np.empty(0, self.dtype) for _ in raws]
-        first = np.cumsum(length) - length
-        place = np.arange(int(length.sum())) - np.repeat(first, length)
-        powers = np.cumprod(np.full(int(length.max()), BASE, dtype=np.uint64))
-        h = mix64(np.add.reduceat(BYTE_CODE[b[inside]] * powers[place], first) + length.astype(np.uint64))
+        h = _piece_hashes(joined, start, length)
         h |= np.uint64(1)                         # 0 marks a free place in the table
         number = self.pieces.find(h)
         missing = np.flatnonzero(number < 0)
@@ -250,14 +258,22 @@ def encoder_of(spec: str) -> Encoder:
 
 def _bucket(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A hash of the pairs (a, b) of BUCKET_BITS bits."""
-    return ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA77))) >> np.uint32(32 - BUCKET_BITS)
+    h = a * np.uint32(0x9E3779B1)
+    h ^= b * np.uint32(0x85EBCA77)
+    h >>= np.uint32(32 - BUCKET_BITS)
+    return h
 
 
 def _apart(place: np.ndarray) -> np.ndarray:
     """Of overlapping places every second one of a run, from the left."""
-    fresh = np.diff(place, prepend=-2) != 1
-    run_at = np.maximum.accumulate(np.where(fresh, np.arange(len(place)), 0))
-    return (np.arange(len(place)) - run_at) % 2 == 0
+    take = np.ones(len(place), dtype=bool)
+    follows = np.flatnonzero(place[1:] - place[:-1] == 1) + 1      # few: most places stand alone
+    if len(follows):
+        first = np.diff(follows, prepend=-1) != 1
+        nth = np.arange(len(follows))
+        nth -= np.maximum.accumulate(np.where(first, nth, 0))
+        take[follows] = nth % 2 == 1
+    return take
 
 
 def compress(seq: np.ndarray, first_rule: int, end: int = END):
@@ -274,15 +290,18 @@ def compress(seq: np.ndarray, first_rule: int, end: int = END):
     while number < most and len(seq) > MIN_COUNT:
         a, b = seq[:-1], seq[1:]
         # counts by hash bucket first; only the pairs of the largest buckets are counted exactly
-        bucket = _bucket(a, b)
+        bucket = _bucket(a, b).astype(np.intp)
         size_of = np.bincount(bucket, minlength=1 << BUCKET_BITS)
         bar = MIN_COUNT if every else max(
             MIN_COUNT, int(np.partition(size_of, -2 * PAIRS_PER_ROUND)[-2 * PAIRS_PER_ROUND]))
-        place = np.flatnonzero((size_of >= bar)[bucket])
-        place = place[(seq[place] != end) & (seq[place + 1] != end)]
-        code = (seq[place].astype(np.uint64) << np.uint64(32)) | seq[place + 1]
+        large = (size_of >= bar)[bucket]
+        ends = seq == end
+        large &= ~(ends[:-1] | ends[1:])
+        place = np.flatnonzero(large)
         if most <= 65536:
-            code = (seq[place] << np.uint32(16)) | seq[place + 1]
+            code = (a[place] << np.uint32(16)) | b[place]
+        else:
+            code = (a[place].astype(np.uint64) << np.uint64(32)) | b[place]
         ordered = np.sort(code)
         at = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] - ordered.dtype.type(1)))
         count = np.diff(at, append=len(ordered))
@@ -338,17 +357,27 @@ def expansions(rules: np.ndarray, spans: np.ndarray, first_rule: int):
     """All nonterminals written out: (start of each, ids)."""
     start = np.cumsum(spans, dtype=np.int64) - spans
     flat = np.empty(int(spans.sum()), dtype=np.uint32)
-    for r in range(len(rules)):
-        at = start[r]
-        for s in rules[r]:
-            if s < first_rule:
-                flat[at] = s
-                at += 1
-            else:
-                k = s - first_rule
-                n = spans[k]
-                flat[at:at + n] = flat[start[k]:start[k] + n]
-                at += n
+    done = np.zeros(len(rules), dtype=bool)
+    todo = np.arange(len(rules))
+    while len(todo):
+        # the rules whose both symbols are written out, all at once
+        pair = rules[todo]
+        rule = np.maximum(pair - first_rule, 0)
+        terminal = pair < first_rule
+        ready = (terminal | done[rule]).all(axis=1)
+        now, pair, rule, terminal = todo[ready], pair[ready], rule[ready], terminal[ready]
+        at = start[now]
+        for side in (0, 1):
+            ids = terminal[:, side]
+            flat[at[ids]] = pair[ids, side]
+            others = rule[~ids, side]
+            size = spans[others].astype(np.int64)
+            first = np.cumsum(size) - size
+            step = np.arange(int(size.sum()))
+            flat[np.repeat(at[~ids] - first, size) + step] = flat[np.repeat(start[others] - first, size) + step]
+            at = at + np.where(ids, 1, spans[rule[:, side]])
+        done[now] = True
+        todo = todo[~ready]
     return start, flat
 
 

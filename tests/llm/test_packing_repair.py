@@ -177,3 +177,31 @@ def test_write_and_read(spark, monkeypatch):
     empty = shared_path(spark, "ids")
     R.write(docs.limit(0), R.tokenizer_json(), empty)
     assert R.read(spark, empty).count() == 0
+
+
+def test_pieces_are_merged_by_the_model_alone():
+    rng = random.Random(4)
+    e = R.Encoder(R.tokenizer_json())
+    letters = "abcdefghijklmnopqrstuvwxyzABC"
+    words = ["".join(rng.choices(letters, k=n)) for n in [*range(1, 40), 63, 64, 65, 200] * 3] + [
+        "12.5%", "--", "!?", "x9y", "#" * 17, "_a_", "\\", "a\tb\n c\r"]
+    mixed = ["çédille Straße ÿ", " ".join(chr(c) * n for c in R.LETTERS for n in (1, 2)), "größe 7,5", "naïveté" * 5]
+    whole = [" ".join(rng.sample(words, 30)) for _ in range(20)]
+    want = [x.ids for x in e.tokenizer.encode_batch_fast(whole + mixed, add_special_tokens=False)]
+    assert [x.tolist() for x in e.encode(whole + mixed)] == want
+    asked, real = [], e._ids
+    e._ids = lambda texts: asked.extend(texts) or real(texts)
+    e.pieces.clear()
+    assert [x.tolist() for x in e.encode(whole + mixed)] == want
+    assert not asked
+
+
+def test_piece_hashes_depend_on_the_piece_alone():
+    pieces = [b"a", b"aa", b"abcdefgh", b"abcdefghi", b"abcdefgh" * 2, b"abcdefgh" * 2 + b"i", b"z" * 100]
+    joined, start = b"", []
+    for p in [*pieces, *reversed(pieces)]:
+        start.append(len(joined))
+        joined += p + b" "
+    length = np.array([len(p) for p in [*pieces, *reversed(pieces)]])
+    h = R._piece_hashes(joined, np.array(start), length).tolist()
+    assert h == h[::-1] and len(set(h)) == len(pieces)
