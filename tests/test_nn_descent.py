@@ -78,3 +78,24 @@ def test_empty_and_single(spark):
     assert D.knn(df.limit(0), 3, VEC)[0].count() == 0
     assert D.knn(df.where("vec_id = 1"), 3, VEC)[0].count() == 0
     assert pairs_of(D.knn(df.where("vec_id < 2"), 3, VEC)[0]) == {(0, 1), (1, 0)}
+
+
+def test_rounds_ship_members_to_blocks_and_no_pairs(spark, monkeypatch):
+    df = vectors(spark, cloud(600))
+    seen, real = [], D._score
+    monkeypatch.setattr(D, "_score", lambda lists, *a: seen.append((lists.columns, lists.count())) or real(lists, *a))
+    _, found = D.knn(df, 5, VEC, run=16)
+    assert len(seen) == len(found.stats) - 1
+    assert all(columns == ["v", "m"] and n <= 600 for columns, n in seen)
+
+
+def test_products_of_lists_among_themselves(spark):
+    rng = np.random.default_rng(2)
+    import pandas as pd
+    pdf = pd.DataFrame({"ekeys": [rng.choice(40, 5, replace=False) for _ in range(9)],
+                        "evals": [rng.random(5) for _ in range(9)]})
+    dense = np.zeros((9, 40))
+    for i, (k, v) in enumerate(zip(pdf["ekeys"], pdf["evals"])):
+        dense[i, k] = v
+    at = np.array([4, 0, 7])
+    assert np.allclose(D.Lists(pdf, VEC).among(at), dense[at] @ dense[at].T)
