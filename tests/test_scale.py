@@ -121,3 +121,22 @@ def test_one_id_for_different_lists_is_an_error(spark):
     _, df = lists(spark, 30, 30)
     with pytest.raises(ValueError, match="several rows"):
         S.topk_self(df.withColumn("id", F.col("id") % 10), 3, SPEC)
+
+
+def test_svd_pieces_with_few_columns_are_multiplied_as_matrices(monkeypatch):
+    from simcat.operators import svd as V
+    rng = np.random.default_rng(8)
+    asked, real = [], V._matrix
+    monkeypatch.setattr(V, "_matrix", lambda *a: asked.append(real(*a)) or asked[-1])
+    for terms, dense in ((30, True), (5000, False)):
+        a = np.zeros((300, terms))
+        for row in a[1:]:                      # the first row has no weight
+            row[rng.choice(terms, 5, replace=False)] = rng.random(5)
+        r, c = np.nonzero(a)
+        z, y = rng.random((terms, 7)), rng.random((300, 7))
+        assert np.allclose(V._times(300, r, c, a[r, c], z), a @ z)
+        out = np.ones((terms, 7))
+        V._add_transposed(out, r, c, a[r, c], y)
+        assert np.allclose(out, 1 + a.T @ y)
+        assert all((m is not None) == dense for m in asked) and len(asked) == 2
+        asked.clear()
