@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from simcat.llm.common import hot_join, materialise, small_batches, table
+from simcat.llm.common import hot_join, materialise, small_batches, table, tasks_for
 
 SHINGLE = 5
 BANDS, ROWS = 26, 5
@@ -209,23 +209,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
             .filter(F.col("a") != F.col("b")).distinct())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """``id``, ``label`` (smallest id reachable) for every vertex of ``edges`` (a, b).
 
     Large-star and small-star steps in turn (Kiveris and others, 2014) until the edges are stars around
     the smallest ids: a few rounds, growing with the logarithm of the longest chain.  Links always point
     from a larger to a smaller id, so a star's centre is its smallest.  Every step is written out; nothing
-    is collected but a count.
+    is collected but a count.  Tables are written in ``tasks`` tasks at most, or as many as the edges need.
     """
-    found = materialise(edges.select("a", "b"), "links")
+    found = materialise(edges.select("a", "b"), "links", tasks)
+    tasks = tasks or tasks_for(edges.sparkSession, found.count())
     links = materialise(found.filter(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", tasks)
     while not _are_stars(links):
-        links = materialise(_large_star(links), "links")
-        links = materialise(_small_star(links), "links")
+        links = materialise(_large_star(links), "links", tasks)
+        links = materialise(_small_star(links), "links", tasks)
     own = found.select(F.explode(F.array("a", "b")).alias("id")).union(links.select("b"))
     return materialise(links.select(F.col("a").alias("id"), F.col("b").alias("label")).union(
-        own.select("id", F.col("id").alias("label"))).groupBy("id").agg(F.min("label").alias("label")), "labels")
+        own.select("id", F.col("id").alias("label"))).groupBy("id").agg(F.min("label").alias("label")), "labels", tasks)
 
 
 def _compare(batches):
@@ -274,13 +275,13 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
             .join(sets.select(F.col("id").alias(a), F.col("grams").alias(f"grams_{a}")), a))
 
 
-def _join_up(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
+def _join_up(labels: DataFrame | None, links: DataFrame, tasks: int | None = None) -> DataFrame | None:
     """Components after adding ``links`` (a, b)."""
     if not links.limit(1).count():
         return labels
     if labels is not None:
         links = links.union(labels.filter(F.col("id") != F.col("label")).select("label", "id"))
-    return components(links)
+    return components(links, tasks)
 
 
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -297,20 +298,20 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(several, "hub", "left_semi")
 
 
-def _members(groups: DataFrame) -> DataFrame:
+def _members(groups: DataFrame, tasks: int) -> DataFrame:
     """(key, id, hub) of every member of a shared bucket; the hub is the member that meets most."""
     postings = groups.select("id", F.explode("bands").alias("key"))
     shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    members = materialise(postings.join(shared, "key"), "members")
+    members = materialise(postings.join(shared, "key"), "members", tasks)
     meets = members.groupBy("id").agg(F.sum("c").alias("meets"))
     hubs = (members.join(meets, "id").groupBy("key")
             .agg(F.max(F.struct("meets", (-F.col("id")).alias("low"))).alias("top")))
     return members.join(hubs, "key").select("key", "id", "top")
 
 
-def _star(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _star(docs: DataFrame, pairs: DataFrame, tasks: int) -> DataFrame:
     return materialise(_with_sets(pairs, docs, "hub", "id").select("hub", "id", "grams_hub", "grams_id")
-                       .mapInArrow(_compare, "hub long, id long, h long, n long, lacks long"), "star")
+                       .coalesce(tasks).mapInArrow(_compare, "hub long, id long, h long, n long, lacks long"), "star")
 
 
 def link(docs: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> DataFrame | None:
@@ -320,17 +321,18 @@ def link(docs: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> Data
     """
     # 100 * I >= threshold * (n + m - I), multiplied out: whole * I >= threshold * (n + m)
     whole = 100 + threshold
-    members = materialise(_members(groups), "bucket-members")
+    tasks = tasks_for(docs.sparkSession, groups.count())
+    members = materialise(_members(groups, tasks), "bucket-members", tasks)
     hub = (-F.col("top.low")).alias("hub")
     # one hub for each member: the best of those of its buckets
-    own = materialise(members.groupBy("id").agg(F.max("top").alias("top")).select("id", hub), "own-hubs")
+    own = materialise(members.groupBy("id").agg(F.max("top").alias("top")).select("id", hub), "own-hubs", tasks)
     wanted = groups.select("id", "first.doc_id", "first.sha").join(own.select("id"), "id", "left_semi")
     sets = materialise(docs.join(wanted, ["doc_id", "sha"]).dropDuplicates(["doc_id", "sha"])
-                       .select("id", "text").mapInArrow(_sets, "id long, grams binary"), "sets")
-    star = _star(sets, own.filter(F.col("hub") != F.col("id")))
+                       .select("id", "text").coalesce(tasks).mapInArrow(_sets, "id long, grams binary"), "sets")
+    star = _star(sets, own.filter(F.col("hub") != F.col("id")), tasks)
     same = F.col("h") - F.col("lacks")
     linked = whole * same >= threshold * (F.col("h") + F.col("n"))
-    labels = _join_up(None, star.filter(linked).select("hub", "id").toDF("a", "b"))
+    labels = _join_up(None, star.filter(linked).select("hub", "id").toDF("a", "b"), tasks)
 
     # buckets of several components whose members have different hubs: all with the bucket's hub
     seen = _labelled(members.join(own, "id"), labels)
@@ -340,8 +342,8 @@ def link(docs: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> Data
         .select("key"))
     more = (members.join(several, "key", "left_semi").select("id", hub)
             .filter(F.col("hub") != F.col("id")).distinct().join(own, ["id", "hub"], "left_anti"))
-    second = _star(sets, more.select("hub", "id"))
-    labels = _join_up(labels, second.filter(linked).select("hub", "id").toDF("a", "b"))
+    second = _star(sets, more.select("hub", "id"), tasks)
+    labels = _join_up(labels, second.filter(linked).select("hub", "id").toDF("a", "b"), tasks)
     star = star.unionByName(second)
 
     # the hubs themselves are members that lack nothing
@@ -349,7 +351,7 @@ def link(docs: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> Data
                       F.lit(0).cast("long").alias("lacks")).distinct()
     load = (threshold * F.col("n") + whole * F.col("lacks")).alias("load")
     rows = star.unionByName(own).select("hub", "id", "h", "n", "lacks", load)
-    rows = materialise(_mixed(_labelled(rows, labels)), "mixed")
+    rows = materialise(_mixed(_labelled(rows, labels)), "mixed", tasks)
     # links that need no shared difference
     lead = rows.groupBy("hub").agg(F.min_by(F.struct("id", "load", "label"),
                                             F.struct("load", "id")).alias("lead"))
@@ -357,10 +359,10 @@ def link(docs: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> Data
              .filter((F.col("label") != F.col("lead.label"))
                      & (F.col("load") + F.col("lead.load") <= whole * F.col("h")))
              .select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct())
-    labels = _join_up(labels, materialise(plain, "plain"))
+    labels = _join_up(labels, materialise(plain, "plain", tasks), tasks)
 
     # links that need some: the least load of a partner in another component bounds the prefix
-    rows = materialise(_mixed(_labelled(rows.drop("label"), labels)), "mixed")
+    rows = materialise(_mixed(_labelled(rows.drop("label"), labels)), "mixed", tasks)
     least = rows.groupBy("hub", "label").agg(F.min("load").alias("load"))
     first = least.groupBy("hub").agg(F.min(F.struct("load", "label")).alias("one"))
     second = (least.join(first, "hub").filter(F.col("label") != F.col("one.label"))
@@ -374,10 +376,10 @@ def link(docs: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> Data
         rows.join(bound, "hub").withColumn("least", partner).withColumn("size", differences)
         .withColumn("reach", whole * (F.col("size") + F.col("h")) - F.col("load"))
         .filter((F.col("id") != F.col("hub")) & (F.col("reach") >= F.col("least")))
-        .select("hub", "id", "label", "load", "least", "size", "reach"), "open")
+        .select("hub", "id", "label", "load", "least", "size", "reach"), "open", tasks)
     diffs = materialise(
         _with_sets(open_.select("hub", "id").distinct(), sets, "hub", "id")
-        .select("hub", "id", "grams_hub", "grams_id")
+        .select("hub", "id", "grams_hub", "grams_id").coalesce(tasks)
         .mapInArrow(_differences, "hub long, id long, gram long"), "differences")
     # rarest first: differences of one member alone can't match and only take places
     often = diffs.groupBy("hub", "gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
@@ -389,15 +391,15 @@ def link(docs: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> Data
         placed.join(open_, ["hub", "id"])
         .withColumn("cap", F.col("reach") - whole * (F.col("size") - F.col("known") + F.col("at") - 1))
         .filter(F.col("cap") >= F.col("least"))
-        .select("hub", "gram", "id", "label", "load", "cap"), "prefixes")
+        .select("hub", "gram", "id", "label", "load", "cap"), "prefixes", tasks)
     other = heads.select("hub", "gram", *[F.col(c).alias(c + "_o") for c in ("id", "label", "load", "cap")])
     close = (heads.join(other, ["hub", "gram"])
              .filter((F.col("id") < F.col("id_o")) & (F.col("label") != F.col("label_o"))
                      & (F.col("load") <= F.col("cap_o")) & (F.col("load_o") <= F.col("cap")))
              .select(F.col("id").alias("a"), F.col("id_o").alias("b")).distinct())
     found = materialise(_with_sets(close, sets, "a", "b").select("a", "b", "grams_a", "grams_b")
-                        .mapInArrow(_linked(threshold), "a long, b long"), "found")
-    return _join_up(labels, found)
+                        .coalesce(tasks).mapInArrow(_linked(threshold), "a long, b long"), "found")
+    return _join_up(labels, found, tasks)
 
 
 def _same_ids(full: DataFrame, groups: DataFrame) -> DataFrame:
@@ -414,31 +416,33 @@ def _keys():
             "sha": F.coalesce(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), F.lit(b""))}
 
 
-def _rows(docs: DataFrame, threshold: int, one_per_id: bool) -> DataFrame:
-    """``doc_id``, ``sha``, ``n_shingles``, ``first`` (doc_id and sha that stand for the component)."""
+def _rows(docs: DataFrame, threshold: int, one_per_id: bool) -> tuple[DataFrame, int]:
+    """``doc_id``, ``sha``, ``n_shingles``, ``first`` (doc_id and sha that stand for the component), and the tasks
+    for a table of all rows."""
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text").select(*[c.alias(n) for n, c in _keys().items()], "text")
     signed = materialise(docs.mapInArrow(
         _sign, "doc_id long, sha binary, n_shingles long, fp binary, bands array<long>"), "signed")
     full = signed.filter(F.col("fp").isNotNull())
     total = signed.count()
+    tasks = tasks_for(docs.sparkSession, total)
     # written once, so that a vertex keeps its number
     groups = materialise(
         full.groupBy("fp").agg(F.min(F.struct("doc_id", "sha")).alias("first"),
                                F.count(F.lit(1)).alias("group_size"), F.first("bands").alias("bands"))
-        .withColumn("id", F.monotonically_increasing_id()), "set-groups")
+        .coalesce(tasks).withColumn("id", F.monotonically_increasing_id()), "set-groups")
     labels = link(docs, groups, threshold)
     if one_per_id:
-        labels = _join_up(labels, materialise(_same_ids(full, groups), "same-ids"))
-    named = materialise(_labelled(groups.select("fp", "id", "group_size", "first"), labels), "labelled")
+        labels = _join_up(labels, materialise(_same_ids(full, groups), "same-ids", tasks), tasks)
+    named = materialise(_labelled(groups.select("fp", "id", "group_size", "first"), labels), "labelled", tasks)
     tops = materialise(named.groupBy("label").agg(F.min("first").alias("first"),
-                                                  F.count(F.lit(1)).alias("members")), "components")
+                                                  F.count(F.lit(1)).alias("members")), "components", tasks)
     named = materialise(hot_join(named.select("fp", "group_size", "label"), tops, ["label"],
-                                 named.count(), "members").select("fp", "group_size", "first"), "named")
+                                 named.count(), "members").select("fp", "group_size", "first"), "named", tasks)
     out = hot_join(full.select("fp", "doc_id", "sha", "n_shingles"), named, ["fp"], total)
     return out.select("doc_id", "sha", "n_shingles", "first").unionByName(
         signed.filter(F.col("fp").isNull())
-        .select("doc_id", "sha", "n_shingles", F.struct("doc_id", "sha").alias("first")))
+        .select("doc_id", "sha", "n_shingles", F.struct("doc_id", "sha").alias("first"))), tasks
 
 
 def _kept():
@@ -448,7 +452,7 @@ def _kept():
 def cluster(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD,
             one_per_id: bool = True) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``."""
-    out = _rows(docs.select("doc_id", F.col(text).alias("text")), threshold, one_per_id)
+    out, _ = _rows(docs.select("doc_id", F.col(text).alias("text")), threshold, one_per_id)
     null = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return out.select(null("doc_id").alias("doc_id"), "n_shingles",
                       null("first.doc_id").alias("component_id"),
@@ -461,12 +465,13 @@ def filter_documents(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     Wordless rows stay too; repeated rows (same ``doc_id``, same text) are reduced to one of them.
     """
-    keep = (_rows(docs, threshold, one_per_id=False).filter(_kept())
+    out, tasks = _rows(docs, threshold, one_per_id=False)
+    keep = (out.filter(_kept())
             .select(F.col("doc_id").alias("_key"), F.col("sha").alias("_sha")).distinct())
     keys = _keys()
     tagged = docs.withColumns({"_key": keys["doc_id"], "_sha": keys["sha"]})
     return (tagged.join(keep, ["_key", "_sha"], "left_semi")
-            .dropDuplicates(["_key", "_sha"]).select(*docs.columns))
+            .dropDuplicates(["_key", "_sha"]).select(*docs.columns).coalesce(tasks))
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

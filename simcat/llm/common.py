@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,6 +13,8 @@ LOWER_TABLE = str.maketrans(ASCII_UPPER, ASCII_LOWER)
 
 # Rows handed to Python at once.  Texts may be long, so batches stay small.
 BATCH_ROWS = 256
+# Texts for each task that writes an intermediate table, where their number is known.
+TASK_ROWS = 8192
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,10 +49,19 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet into the shared folder and read it back."""
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks that write a table about ``rows`` texts: one for ``TASK_ROWS`` of them, and one for each core."""
+    return max(1, spark.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS))
+
+
+def materialise(df: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet into the shared folder and read it back.
+
+    No more than ``tasks`` tasks write, if given.  On a local disk Hadoop starts three processes (chmod) for each
+    file, and each shares the executor's memory while it starts: many small files cost time, and count twice.
+    """
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.coalesce(tasks) if tasks else df).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

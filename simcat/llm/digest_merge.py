@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simcat.llm.common import hot_join, lower_ascii, materialise, table, text_or_empty
+from simcat.llm.common import hot_join, lower_ascii, materialise, table, tasks_for, text_or_empty
 
 FAN_IN = 8            # runs that meet in one merge
 RANGE_ROWS = 100_000  # rows that a group holds in a round, about
@@ -109,18 +109,19 @@ def _merge(bits: int):
     return run
 
 
-def _unpack(batches):
-    for batch in batches:
-        for keys, keep, size in zip(*(batch.column(n).to_pylist() for n in ("keys", "keep", "size"))):
-            raw = np.frombuffer(keys, np.uint8).reshape(-1, KEY.itemsize)
-            digest = pa.FixedSizeBinaryArray.from_buffers(
-                pa.binary(32), len(raw), [None, pa.py_buffer(raw[:, :32].tobytes())]).cast(pa.binary())
-            number = lambda at: pa.array(
-                raw[:, at:at + 8].copy().view(">i8").ravel().astype(np.int64), pa.int64())
-            yield pa.RecordBatch.from_pydict({
-                "digest": digest, "n_bytes": number(32), "check": number(40),
-                "keep_id": pa.array(np.frombuffer(keep, np.int64)),
-                "group_size": pa.array(np.frombuffer(size, np.int64))})
+def _merge_last(packed: pa.Table) -> pa.Table:
+    """Merge the runs of one node into rows, in the same Python worker."""
+    keys, keep, size = merge_sorted([
+        (np.frombuffer(k, KEY), np.frombuffer(i, np.int64), np.frombuffer(n, np.int64))
+        for k, i, n in zip(*(packed.column(name).to_pylist() for name in ("keys", "keep", "size")))])
+    raw = np.ascontiguousarray(keys).view(np.uint8).reshape(-1, KEY.itemsize)
+    digest = pa.FixedSizeBinaryArray.from_buffers(
+        pa.binary(32), len(raw), [None, pa.py_buffer(raw[:, :32].tobytes())]).cast(pa.binary())
+    number = lambda at: pa.array(
+        raw[:, at:at + 8].copy().view(">i8").ravel().astype(np.int64), pa.int64())
+    return pa.Table.from_pydict({
+        "digest": digest, "n_bytes": number(32), "check": number(40),
+        "keep_id": pa.array(keep, pa.int64()), "group_size": pa.array(size, pa.int64())})
 
 
 def cuts(n_rows: int, n_runs: int, at_least: int) -> list[tuple[int, int]]:
@@ -139,10 +140,11 @@ def merge_runs(runs: DataFrame, n_runs: int, n_rows: int = 0) -> DataFrame:
     rounds = cuts(n_rows, n_runs, int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     packed = runs.select("run", "digest", "n_bytes", "check", "keep_id", "group_size").mapInArrow(
         _pack(rounds[0][1]), PACKED)
-    for (_, bits), (_, after) in zip(rounds, rounds[1:] + rounds[-1:]):
-        packed = (packed.groupBy("part", F.floor(F.col("run") / FAN_IN).cast("int").alias("node"))
-                  .applyInPandas(_merge(after), PACKED))
-    return packed.mapInArrow(_unpack, "digest binary, n_bytes long, check long, keep_id long, group_size long")
+    node = F.floor(F.col("run") / FAN_IN).cast("int").alias("node")
+    for _, after in rounds[1:]:
+        packed = packed.groupBy("part", node).applyInPandas(_merge(after), PACKED)
+    return packed.groupBy("part", node).applyInArrow(
+        _merge_last, "digest binary, n_bytes long, check long, keep_id long, group_size long")
 
 
 # A null id takes part as the lowest value.
@@ -169,8 +171,8 @@ def groups(rows: DataFrame) -> DataFrame:
     return merge_runs(first, n_runs, size["n"])
 
 
-def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` for every row of ``docs``."""
+def _dedup(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
+    """The rows of ``dedup`` and their number."""
     rows = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                    *digests(docs, text)), "digests")
     merged = materialise(groups(rows), "digest-groups")
@@ -180,7 +182,12 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     keep = F.when(F.col("keep_id") == NULL_ID, F.lit(None).cast("long")).otherwise(F.col("keep_id"))
     return out.select("doc_id", keep.alias("keep_id"), "group_size",
                       F.col("doc_id").eqNullSafe(keep).alias("kept"),
-                      F.lower(F.hex("digest")).alias("text_sha256"))
+                      F.lower(F.hex("digest")).alias("text_sha256")), total
+
+
+def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` for every row of ``docs``."""
+    return _dedup(docs, text)[0]
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
@@ -189,11 +196,12 @@ def filter_documents(docs: DataFrame) -> DataFrame:
     Repeated rows (same ``doc_id``, same text) are reduced to one of them.
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("key")
-    keep = dedup(docs).filter("kept").select(key, F.unhex("text_sha256").alias("sha")).distinct()
+    marked, total = _dedup(docs, "text")
+    keep = marked.filter("kept").select(key, F.unhex("text_sha256").alias("sha")).distinct()
     tagged = docs.select(key, F.unhex(F.sha2(lower_ascii(text_or_empty()).cast("binary"), 256)).alias("sha"),
                          F.struct("*").alias("row"))
     return (tagged.join(keep, ["key", "sha"], "left_semi")
-            .dropDuplicates(["key", "sha"]).select("row.*"))
+            .dropDuplicates(["key", "sha"]).select("row.*").coalesce(tasks_for(docs.sparkSession, total)))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

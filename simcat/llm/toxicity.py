@@ -29,7 +29,7 @@ from itertools import product
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simcat.llm.common import crc_mod, materialise, small_batches, table
+from simcat.llm.common import crc_mod, materialise, small_batches, table, tasks_for
 
 FOLDS, HELD_OUT = 4, 2
 MAX_FIT = 20_000
@@ -287,7 +287,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT):
 
     counted = materialise(
         rows.mapInArrow(count, "term string, pos long, neg long").groupBy("term")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "toxicity-terms")
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "toxicity-terms",
+        tasks_for(docs.sparkSession, max_fit))
     whole = counted.filter(F.col("term") == "").first()
     if whole is None or not whole["pos"]:
         return [], {}, 0.0

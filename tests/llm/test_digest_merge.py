@@ -100,3 +100,14 @@ def test_rows_that_repeat_the_kept_id_are_all_kept(spark):
     assert sorted((r["doc_id"], r["kept"]) for r in D.dedup(docs).collect()) == [
         (4, False), (5, True), (5, True), (5, True)]
     assert D.filter_documents(docs).count() == 1
+
+
+@pytest.mark.parametrize("runs", [1, 3, 20, 70])
+def test_the_last_merge_needs_one_python_worker(spark, runs):
+    rows = [(0, i % runs, bytes([i % 50]) * 32, 1, 10, i, 1) for i in range(300)]
+    merged = D.merge_runs(spark.createDataFrame(rows, D.RUN_SCHEMA), runs)
+    after = merged._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+    assert after.count("InArrow") + after.count("InPandas") == 1
+    got = merged.collect()
+    assert len(got) == 50 and sum(r["group_size"] for r in got) == 300
+    assert all(r["keep_id"] == 250 + r["digest"][0] for r in got)

@@ -2,12 +2,13 @@
 
 import os
 import random
+from pathlib import Path
 
 import pytest
 
 import corpus_pipeline
 from simcat.llm import circulant, packing, queries, repair, suffix_automaton, toxicity
-from simcat.llm.common import LOWER_TABLE
+from simcat.llm.common import LOWER_TABLE, shared_dir, tasks_for
 
 SF = "/root/testdata/sf0.001"
 
@@ -116,3 +117,29 @@ def test_stage_functions_are_the_operators(spark, folder):
     same = {r["doc_id"]: r["text"] for r in docs.collect()}
     cut = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_benchmark(spark, docs, out).collect()}
     assert hit == {i for i in same if i not in cut or cut[i] != same[i]}
+
+
+def test_many_shuffle_partitions_write_few_files(spark, folder):
+    """A file costs the executor three processes: small tables don't take one for each shuffle partition."""
+    out, *_ = folder
+    docs = spark.read.parquet(f"{out}/documents.parquet").coalesce(2)
+    top = Path(shared_dir(spark).removeprefix("file:"))
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    before = set(top.iterdir())
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        most = tasks_for(spark, 400)
+        assert most < 64
+        for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies):
+            assert stage(spark, docs, out).rdd.getNumPartitions() <= most
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    files = {d.name: len(list(d.glob("part-*.parquet"))) for d in set(top.iterdir()) - before}
+    names = {n.rsplit("-", 1)[0] for n in files}
+    assert names >= {"toxicity-terms", "set-groups", "bucket-members", "own-hubs", "sets", "star", "links", "labels",
+                     "mixed", "open", "labelled", "components", "named"}
+    # the merged digests have a file for each group of the merge
+    assert {n: c for n, c in files.items() if c > most and not n.startswith("digest-groups")} == {}
