@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from simcat.llm.common import hot_join, materialise, small_batches, table, tasks_for
+from simcat.llm.common import hot_join, materialise, measured_joins, small_batches, table, tasks_for
 
 SHINGLE = 5
 BANDS, ROWS = 26, 5
@@ -416,11 +416,8 @@ def _keys():
             "sha": F.coalesce(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), F.lit(b""))}
 
 
-def _rows(docs: DataFrame, threshold: int, one_per_id: bool) -> tuple[DataFrame, int]:
-    """``doc_id``, ``sha``, ``n_shingles``, ``first`` (doc_id and sha that stand for the component), and the tasks
-    for a table of all rows."""
-    small_batches(docs.sparkSession)
-    docs = docs.select("doc_id", "text").select(*[c.alias(n) for n, c in _keys().items()], "text")
+def _named(docs: DataFrame, threshold: int, one_per_id: bool) -> tuple[DataFrame, DataFrame, int, int]:
+    """The signed rows, their sets (``fp``, ``group_size``, ``first``), the number of rows and the tasks for them."""
     signed = materialise(docs.mapInArrow(
         _sign, "doc_id long, sha binary, n_shingles long, fp binary, bands array<long>"), "signed")
     full = signed.filter(F.col("fp").isNotNull())
@@ -439,7 +436,18 @@ def _rows(docs: DataFrame, threshold: int, one_per_id: bool) -> tuple[DataFrame,
                                                   F.count(F.lit(1)).alias("members")), "components", tasks)
     named = materialise(hot_join(named.select("fp", "group_size", "label"), tops, ["label"],
                                  named.count(), "members").select("fp", "group_size", "first"), "named", tasks)
-    out = hot_join(full.select("fp", "doc_id", "sha", "n_shingles"), named, ["fp"], total)
+    return signed, named, total, tasks
+
+
+def _rows(docs: DataFrame, threshold: int, one_per_id: bool) -> tuple[DataFrame, int]:
+    """``doc_id``, ``sha``, ``n_shingles``, ``first`` (doc_id and sha that stand for the component), and the tasks
+    for a table of all rows."""
+    small_batches(docs.sparkSession)
+    docs = docs.select("doc_id", "text").select(*[c.alias(n) for n, c in _keys().items()], "text")
+    with measured_joins(docs.sparkSession):
+        signed, named, total, tasks = _named(docs, threshold, one_per_id)
+    out = hot_join(signed.filter(F.col("fp").isNotNull()).select("fp", "doc_id", "sha", "n_shingles"), named, ["fp"],
+                   total, hint="merge")
     return out.select("doc_id", "sha", "n_shingles", "first").unionByName(
         signed.filter(F.col("fp").isNull())
         .select("doc_id", "sha", "n_shingles", F.struct("doc_id", "sha").alias("first"))), tasks

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import uuid
 
@@ -65,6 +66,24 @@ def materialise(df: DataFrame, label: str, tasks: int | None = None) -> DataFram
     return df.sparkSession.read.parquet(path)
 
 
+@contextlib.contextmanager
+def measured_joins(spark: SparkSession):
+    """While it lasts, a joined table is broadcast only once adaptive execution has measured that it is small.
+
+    Before it runs, Spark takes a written table for as large as its files, whatever they unpack to, and an exploded
+    array for one row.  What is returned unplanned needs a hint instead.
+    """
+    static, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = {c: spark.conf.get(c, None) for c in (static, measured)}
+    spark.conf.set(measured, before[measured] or spark.conf.get(static))
+    spark.conf.set(static, "-1")
+    try:
+        yield
+    finally:
+        for c, value in before.items():
+            spark.conf.unset(c) if value is None else spark.conf.set(c, value)
+
+
 def lower_ascii(col):
     """Lower-case A-Z only."""
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
@@ -83,11 +102,11 @@ HOT_SHARE = 1000  # a key with more than 1/HOT_SHARE of the rows is hot: there a
 
 
 def hot_join(rows: DataFrame, groups: DataFrame, key: list[str], total: int,
-             size: str = "group_size") -> DataFrame:
+             size: str = "group_size", hint: str | None = None) -> DataFrame:
     """Inner join of ``rows`` with one row per key (``groups``, which has the key's row count).
 
     Fewer than ``HOT_SHARE`` keys can hold more than 1/HOT_SHARE of ``total`` rows each; those are
-    broadcast, so no task gets a hot key.  All other keys are joined by an exchange.
+    broadcast, so no task gets a hot key.  All other keys are joined by an exchange (by ``hint``, if given).
     """
     limit = max(2, total // HOT_SHARE)
     hot = groups.filter(F.col(size) > limit)
@@ -95,4 +114,5 @@ def hot_join(rows: DataFrame, groups: DataFrame, key: list[str], total: int,
     with_hot = rows.join(F.broadcast(hot), key, "left")
     done = with_hot.filter(F.col(size).isNotNull())
     rest = with_hot.filter(F.col(size).isNull()).drop(*value)
-    return done.unionByName(rest.join(groups.filter(F.col(size) <= limit), key))
+    others = groups.filter(F.col(size) <= limit)
+    return done.unionByName(rest.join(others.hint(hint) if hint else others, key))

@@ -190,3 +190,25 @@ def test_rows_of_the_components_id_are_kept(spark):
     got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in C.cluster(docs, one_per_id=False).collect())
     assert got == [(7, 7, True), (7, 7, True), (8, 7, False)]
     assert C.filter_documents(docs).count() == 1
+
+
+def test_nothing_is_broadcast_by_an_estimate(spark, monkeypatch):
+    rng = random.Random(10 ** 6)
+    rows = [(i, " ".join(words(random.Random(i // 2), 60) + [f"v{i}"])) for i in range(400)]
+    rows += [(400 + i, " ".join(words(rng, 60))) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    plans, real = {}, C.materialise
+
+    def seen(df, label, *more):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label, *more)
+    monkeypatch.setattr(C, "materialise", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    out = C.cluster(docs, one_per_id=False)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+    assert plans["members"] and plans["sets"] and plans["star"]
+    last = out._jdf.queryExecution().executedPlan().toString()
+    for label, some in [*plans.items(), ("result", [last])]:
+        for plan in some:          # hot keys only, of which there are few; both halves of a hot join read them
+            assert plan.count("BroadcastExchange") <= 2 * (label in ("named", "result"))
+    assert {r["component_id"] for r in out.collect()} == {*range(0, 400, 2), *range(400, 500)}
