@@ -20,7 +20,7 @@ TASK_BYTES = 2 << 20     # text whose terms one task counts, about
 
 def doc_term_counts(spark, sf_dir):
     """(doc_id, term, tf) over every whole document, checkpointed once per session."""
-    from simcat.session import materialise
+    from simcat.session import free, packed
 
     def make():
         docs = read_table(spark, sf_dir, "documents", spread=True)
@@ -28,7 +28,9 @@ def doc_term_counts(spark, sf_dir):
         # one exchange of the texts; the counts per document then need none
         parts = max(spark.sparkContext.defaultParallelism, math.ceil((size["bytes"] or 0) / TASK_BYTES))
         texts = docs.select("doc_id", P.clean_text("text").alias("text")).repartition(parts, "doc_id")
-        return materialise(FT.term_counts(texts, "doc_id", "text")), size["n"]
+        tf = packed(FT.term_counts(texts, "doc_id", "text"))
+        free(spark)
+        return tf, size["n"]
     return memo(spark, ("doc_tf", sf_dir), make)
 
 
@@ -36,7 +38,7 @@ def doc_model(spark, sf_dir):
     def make():
         tf, n = doc_term_counts(spark, sf_dir)
         m = FT.FeatureModel(weights={}, n_docs=n)
-        m.vocab = FT.fit_vocabulary(tf, n, DOC_CFG.tfidf_min_df, DOC_CFG.tfidf_max_features)
+        m.vocab = FT.fit_vocabulary(tf, n, DOC_CFG.tfidf_min_df, DOC_CFG.tfidf_max_features, many=True)
         return m
     return memo(spark, ("doc_model", sf_dir), make)
 
@@ -88,16 +90,25 @@ def q_tfidf_documents(spark, sf_dir):
                                    F.round(F.max("w"), 6).alias("w_max"))
 
 
+def _once(batches):
+    """Each value of a batch once."""
+    import pyarrow as pa
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0).unique()], names=batch.schema.names)
+
+
 @register("svd_documents")
 def q_svd_documents(spark, sf_dir):
     """Truncated SVD of the documents' TF-IDF: components kept and explained variance."""
     from simcat.operators.svd import fit_svd
+    from simcat.session import map_columns
     tf, _ = doc_term_counts(spark, sf_dir)
     m = doc_model(spark, sf_dir)
     k = min(DOC_CFG.svd_components, max(1, len(m.vocab) - 1))
     svd = memo(spark, ("doc_svd", sf_dir), lambda: fit_svd(
         FT.tfidf(tf, m, "doc_id", parts=tf.rdd.getNumPartitions()), m, k, DOC_CFG, id_col="doc_id"))
-    return tf.agg(F.count_distinct("doc_id").alias("n_documents")).select(
+    ids = map_columns(tf, ["doc_id"], _once, tf.select("doc_id").schema)
+    return ids.agg(F.count_distinct("doc_id").alias("n_documents")).select(
         "n_documents", F.lit(len(m.vocab)).cast("bigint").alias("n_terms"),
         F.lit(svd.k).cast("bigint").alias("n_components"),
         F.round(F.lit(svd.explained_variance_ratio), 6).alias("explained_variance"))

@@ -140,3 +140,64 @@ def test_svd_pieces_with_few_columns_are_multiplied_as_matrices(monkeypatch):
         assert np.allclose(out, 1 + a.T @ y)
         assert all((m is not None) == dense for m in asked) and len(asked) == 2
         asked.clear()
+
+
+def written(path):
+    return {p: p.stat().st_size for p in path.rglob("part-*")}
+
+
+def test_term_counts_are_kept_compressed(spark, tmp_path):
+    from pathlib import Path
+    from simcat.session import drop, materialise, packed
+    root = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    rows = [(i // 50 if i % 7 else None, f"word{i % 90} word{i % 31}", i % 4) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, term string, tf long").repartition(5).cache()
+    before = written(root)
+    plain = materialise(df)
+    size = sum(written(root).values()) - sum(before.values())
+    drop(plain)
+    assert written(root) == before                # nothing is left of a dropped table
+    small = packed(df)
+    assert sum(written(root).values()) - sum(before.values()) < size / 3
+    assert small.rdd.getNumPartitions() == df.rdd.getNumPartitions() and small.schema == df.schema
+    assert sorted(small.collect(), key=str) == sorted(df.collect(), key=str)
+    assert packed(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("flat", [False, True])
+def test_only_terms_that_can_be_frequent_are_exchanged(spark, monkeypatch, flat):
+    from simcat.operators import features as FT
+    from simcat.operators import heavy_terms as H
+    from simcat.session import packed
+    monkeypatch.setattr(H, "CHUNK_ROWS", 700)
+    rng = np.random.default_rng(3)
+    rows = {}
+    for doc in range(400):
+        for t in rng.integers(0, 3000, 30) if flat else rng.zipf(1.3, 60) % 3000:
+            rows[doc, f"t{t:04d}"] = rows.get((doc, f"t{t:04d}"), 0) + 1
+    rows |= {(0, f"once{i}"): 500 + i for i in range(9)}         # often, but in one document
+    tf = spark.createDataFrame([(d, t, n) for (d, t), n in rows.items()], "doc_id long, term string, tf long").repartition(6)
+    near = H.near_terms(tf, 40, 3)
+    want = FT.top_terms(tf, 3, 40)
+    assert len(want) == 40 and FT.top_terms(tf, 3, 40, many=True) == want
+    assert FT.top_terms(tf, 3, 10 ** 6, many=True) == FT.top_terms(tf, 3, 10 ** 6)
+    if flat:
+        assert near is None
+    else:
+        assert near.count() < 300
+        full = {r["term"]: (r["df"], r["cf"]) for r in tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf")).collect()}
+        assert {r["term"]: (r["df"], r["cf"]) for r in near.collect()}.items() <= full.items()
+    small = packed(tf)
+    assert FT.top_terms(small, 3, 40, many=True) == want
+    model = FT.FeatureModel(weights={}, vocab=FT.with_idf(want, 400))
+    rows = lambda t: sorted((r["doc_id"], r["term"], round(r["w"], 9)) for r in FT.tfidf(t, model, "doc_id").collect())
+    assert rows(small) == rows(tf)
+
+
+def test_svd_passes_run_in_few_tasks(spark, monkeypatch):
+    from simcat.operators import svd as V
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 6 * cores, 1, 6 * cores).selectExpr("array(int(id), int(id) + 1) AS idx")
+    assert V._in_few_tasks(rows).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(V, "PASS_VALUES", 3)         # 12 non-zeros for each core
+    assert V._in_few_tasks(rows).rdd.getNumPartitions() == 4 * cores
