@@ -99,3 +99,17 @@ def test_products_of_lists_among_themselves(spark):
         dense[i, k] = v
     at = np.array([4, 0, 7])
     assert np.allclose(D.Lists(pdf, VEC).among(at), dense[at] @ dense[at].T)
+
+
+def test_disk_does_not_grow_with_the_rounds(spark, monkeypatch):
+    from pathlib import Path
+    from simcat import session
+    root = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    df = session.materialise(vectors(spark, cloud(600)))
+    tables = lambda: {p for p in root.iterdir() if any(p.iterdir())}
+    before, most, real = tables(), [], D._keep
+    monkeypatch.setattr(D, "_keep", lambda *a: most.append(len(tables() - before)) or real(*a))
+    got, found = D.knn(df, 5, VEC, run=16)
+    assert len(found.stats) > 3 and max(most) <= 3      # nodes, a graph and what a round scored
+    assert len(tables() - before) == 2                  # nodes and the last graph
+    assert got.count() == 600 * 5
